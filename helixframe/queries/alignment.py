@@ -33,7 +33,7 @@ BASES = f"""{OPS}, cells AS (SELECT *, rs + k AS bpos, qs + k AS q FROM (SELECT
   good AS (SELECT *, ascii(substr(qual, (q + 1)::INT, 1)) - 33 AS bq FROM cells WHERE (flag & 3844) = 0 AND mapq <> 255 AND mapq >= 20 AND qual <> '*'),
   ok AS (SELECT * FROM good WHERE bq >= 20),
   dep AS (SELECT rname, bpos AS pos, COUNT(DISTINCT coalesce(rg, '') || '/' || qname) AS depth FROM ok GROUP BY ALL)"""
-TOTALS = f"""tot AS (SELECT r.rname, r.length, coalesce(sum(depth), 0)::DOUBLE / r.length AS global_mean, r.length - COUNT(d.pos) AS zero_bases FROM ({REFS}) r LEFT JOIN dep d USING (rname) GROUP BY ALL)"""
+TOTALS = f"""tot AS (SELECT r.rname, r.length, coalesce(sum(depth), 0)::DOUBLE / r.length AS global_mean, r.length - COUNT(d.pos) AS zero_bases FROM ({REFS}) r LEFT JOIN dep d USING (rname) GROUP BY r.rname, r.length)"""
 WINDOWS = """win AS (SELECT g.rname, w * 500 + 1 AS start, least((w + 1) * 500, length) AS "end", coalesce(s, 0)::DOUBLE / (least((w + 1) * 500, length) - w * 500) AS mean,
   CASE WHEN coalesce(c, 0) < least((w + 1) * 500, length) - w * 500 THEN 0 ELSE mn END AS minimum, coalesce(mx, 0) AS maximum, global_mean
   FROM (SELECT *, unnest(range(0, (length - 1) // 500 + 1)) AS w FROM tot) g LEFT JOIN (SELECT rname, (pos - 1) // 500 AS w, sum(depth) AS s, min(depth) AS mn, max(depth) AS mx, COUNT(*) AS c FROM dep GROUP BY ALL) USING (rname, w)),
@@ -148,7 +148,7 @@ def base_support(t):
     f"""WITH {BASES}, {TOTALS}, {WINDOWS}, {READ_ENDS}, l3 AS (SELECT rname, start AS lo, "end" AS hi FROM lw WHERE low QUALIFY row_number() OVER (PARTITION BY rname ORDER BY start) <= 3),
     pr AS (SELECT l3.rname, lo, hi, e.* EXCLUDE (rname), CASE WHEN (flag & 1) = 0 OR (flag & 8) <> 0 THEN 'none' WHEN NOT (rnext = '=' OR rnext = l3.rname) THEN 'other' WHEN pnext < lo THEN 'left' WHEN pnext > hi THEN 'right' ELSE 'inside' END AS mate
       FROM l3 LEFT JOIN ends e ON e.rname = l3.rname AND e.pos <= hi AND e.e >= lo AND (flag & 3844) = 0 AND mapq <> 255 AND mapq >= 20)
-    SELECT 'all' AS sample, rname, lo, hi, COUNT(rid) AS reads, count_if(contains(cigar, 'S'))::BIGINT AS soft_clipped, {', '.join(f"count_if(rid IS NOT NULL AND mate = '{m}')::BIGINT AS mate_{m}" for m in ('left', 'right', 'inside', 'other', 'none'))} FROM pr GROUP BY rname, lo, hi""",
+    SELECT 'all' AS sample, rname, lo, hi, COUNT(rid) AS reads, COUNT(CASE WHEN contains(cigar, 'S') THEN 1 END) AS soft_clipped, {', '.join(f"count_if(rid IS NOT NULL AND mate = '{m}')::BIGINT AS mate_{m}" for m in ('left', 'right', 'inside', 'other', 'none'))} FROM pr GROUP BY rname, lo, hi""",
 )
 def observations(t):
     r = reads(t)
