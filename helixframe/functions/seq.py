@@ -138,8 +138,8 @@ def gc_percent(seq: Column) -> Column:
 
 def windows(seq: Column, size: int = 500) -> Column:
     """Fixed windows as (start, piece); `start` is 0-based, the last piece may be short."""
-    starts = F.when(F.length(seq) > 0, F.sequence(F.lit(0), F.length(seq) - 1, F.lit(size))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda s: F.struct(s.alias("start"), seq.substr(s + 1, F.lit(size)).alias("piece")))
+    pieces = F.regexp_extract_all(seq, F.lit("[\\s\\S]{1,%d}" % size), 0)
+    return F.transform(pieces, lambda p, i: F.struct((i * size).alias("start"), p.alias("piece")))
 
 
 def runs_of(seq: Column, letters: str) -> Column:
@@ -201,10 +201,8 @@ def stop_prefixes(table: int) -> list[str]:
 
 
 def codon_list(seq: Column) -> Column:
-    """Complete codons in frame."""
-    n = F.floor(F.length(seq) / 3).cast("int")
-    index = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(index, lambda i: seq.substr(i * 3 + 1, F.lit(3)))
+    """Complete codons in frame, cut in one pass over the sequence."""
+    return F.regexp_extract_all(seq, F.lit("[\\s\\S]{3}"), 0)
 
 
 def translate(seq: Column, table: int = 5) -> Column:

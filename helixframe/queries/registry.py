@@ -28,12 +28,14 @@ class Tables:
 
     def sql(self, text: str) -> DataFrame:
         """Run SQL that names tables as {table}."""
+        text = text.replace("{G}", "")
         used = {t: getattr(self, t) for t in TABLES if "{" + t + "}" in text}
         return self.spark.sql(text, **used)
 
 
 def duck(text: str) -> str:
-    """The same SQL with plain table names."""
+    """The same SQL with plain table names; {G} is the replace-all flag that only DuckDB needs."""
+    text = text.replace("{G}", ", 'g'")
     for t in TABLES:
         text = text.replace("{" + t + "}", t)
     return text
