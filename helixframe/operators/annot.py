@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from helixframe.functions import names as nm, seq as sq
 from helixframe.functions.rules import flags
+from helixframe.session import cut_lineage
 
 BIN = 1000
 FINDING = ["record_id", "feature_id", "level", "code", "detail"]
@@ -21,8 +22,9 @@ def named(features: DataFrame) -> DataFrame:
     """Add display name, canonical name and tRNA identity."""
     label = F.coalesce(F.col("gene"), F.col("product"), F.lit("?"))
     first = lambda k: F.try_element_at(F.try_element_at("qualifiers", F.lit(k)), F.lit(1))
-    out = features.withColumn("name", nm.canonical_gene(label)).withColumn("display", label)
-    return out.withColumn("identity", nm.trna_identity(F.col("name"), nm.anticodon(first("anticodon"), first("note"))))
+    out = features.withColumn("display", label).withColumn("_key", nm.gene_key(F.col("display"))).withColumn("name", nm.canonical_key(F.col("_key")))
+    out = out.withColumn("_ac", nm.anticodon(first("anticodon"), first("note")))
+    return out.withColumn("identity", nm.trna_identity(F.col("name"), F.col("_ac"))).drop("_key", "_ac")
 
 
 def finding(df: DataFrame, level, code, detail: Column) -> DataFrame:
@@ -31,6 +33,14 @@ def finding(df: DataFrame, level, code, detail: Column) -> DataFrame:
     return df.select("record_id", fid.cast("string").alias("feature_id"), col(level).alias("level"), col(code).alias("code"), detail.alias("detail"))
 
 
+def row_findings(df: DataFrame, *rules: tuple) -> DataFrame:
+    """Findings of independent rules (condition, level, code, detail) in one pass over the rows."""
+    col = lambda v: v if isinstance(v, Column) else F.lit(v)
+    found = F.array(*[F.when(c, F.struct(col(level).alias("level"), F.lit(code).alias("code"), d.alias("detail"))) for c, level, code, d in rules])
+    rows = df.select("record_id", F.col("feature_id").cast("string").alias("feature_id"), F.explode(F.array_compact(found)).alias("f"))
+    return rows.select("record_id", "feature_id", "f.level", "f.code", "f.detail")
+
+
 def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -46,12 +56,14 @@ def gene_set_findings(features: DataFrame, level: str = "ERROR") -> DataFrame:
     """
     resolved = F.when(F.col("type") == "tRNA", F.col("identity")).otherwise(F.col("name"))
     rows = features.where(F.col("type").isin("CDS", "tRNA", "rRNA")).select("record_id", F.col("type").alias("kind"), "name", resolved.alias("gene"))
-    counts = rows.where(F.col("gene").isNotNull()).groupBy("record_id", "kind", "gene").agg(F.count("*").alias("n"))
+    # Every rule below needs only these counts, so the features are read and named once.
+    tally = cut_lineage(rows.groupBy("record_id", "kind", "name", "gene").agg(F.count("*").alias("n")))
+    counts = tally.where(F.col("gene").isNotNull()).groupBy("record_id", "kind", "gene").agg(F.sum("n").alias("n"))
     expected = [(k, g) for k, genes in (("CDS", nm.EXPECTED_CDS), ("tRNA", nm.EXPECTED_TRNA), ("rRNA", nm.EXPECTED_RRNA)) for g in genes]
     known = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(g).alias("gene")) for k, g in expected]))
-    wanted = features.select("record_id").distinct().select("record_id", known.alias("e")).select("record_id", "e.kind", "e.gene")
+    wanted = tally.select("record_id").distinct().select("record_id", known.alias("e")).select("record_id", "e.kind", "e.gene")
     missing = wanted.join(counts, ["record_id", "kind", "gene"], "left_anti")
-    bare = rows.where((F.col("kind") == "tRNA") & F.col("gene").isNull() & F.col("name").isin(*nm.AMBIGUOUS_TRNA)).groupBy("record_id", "name").agg(F.count("*").alias("n"))
+    bare = tally.where((F.col("kind") == "tRNA") & F.col("gene").isNull() & F.col("name").isin(*nm.AMBIGUOUS_TRNA)).select("record_id", "name", "n")
     covers = F.create_map(*[x for k, v in nm.AMBIGUOUS_TRNA.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
     open_trna = bare.select("record_id", F.lit("tRNA").alias("kind"), F.explode(F.element_at(covers, F.col("name"))).alias("gene"))
     loose = counts.where((F.col("kind") == "rRNA") & (F.col("gene") == "rrna"))
@@ -84,19 +96,19 @@ def rna_length_findings(features: DataFrame) -> DataFrame:
     """tRNA and rRNA lengths against their bands; lengths never decide an identity."""
     rows = features.where(F.col("type").isin("tRNA", "rRNA")).withColumn("_len", sq.feature_length(F.col("segments")))
     detail = F.concat_ws(":", "name", F.col("_len").cast("string"))
-    trna = rows.where(F.col("type") == "tRNA")
+    trna, rrna, length, name = F.col("type") == "tRNA", F.col("type") == "rRNA", F.col("_len"), F.col("name")
     noted = F.map_contains_key("qualifiers", "note")
-    short = trna.where(F.col("_len") < TRNA_MINIMUM)
-    odd = trna.where((F.col("_len") >= TRNA_MINIMUM) & ~F.col("_len").between(*TRNA_BAND))
-    bare = trna.where(~F.map_contains_key("qualifiers", "anticodon"))
-    rrna = rows.where(F.col("type") == "rRNA")
-    inside = reduce(lambda a, b: a | b, [(F.col("name") == k) & F.col("_len").between(*v) for k, v in RRNA_BANDS.items()])
-    return union([
-        finding(short, F.when(noted, "REVIEW").otherwise("ERROR"), "TRNA_TOO_SHORT", detail), finding(odd, "REVIEW", "TRNA_LENGTH", detail),
-        finding(bare, "REVIEW", "TRNA_NO_ANTICODON", F.col("name")), finding(trna.where(F.col("identity").isNull()), "REVIEW", "UNDETERMINED_TRNA", F.col("name")),
-        finding(rrna.where(F.col("name").isin(*RRNA_BANDS) & ~inside), "REVIEW", "RRNA_LENGTH", detail),
-        finding(rrna.where(~F.col("name").isin(*RRNA_BANDS)), "INFO", "UNDETERMINED_RRNA", F.col("name")),
-    ])
+    banded = name.isin(*RRNA_BANDS)
+    inside = reduce(lambda a, b: a | b, [(name == k) & length.between(*v) for k, v in RRNA_BANDS.items()])
+    return row_findings(
+        rows,
+        (trna & (length < TRNA_MINIMUM), F.when(noted, "REVIEW").otherwise("ERROR"), "TRNA_TOO_SHORT", detail),
+        (trna & (length >= TRNA_MINIMUM) & ~length.between(*TRNA_BAND), "REVIEW", "TRNA_LENGTH", detail),
+        (trna & ~F.map_contains_key("qualifiers", "anticodon"), "REVIEW", "TRNA_NO_ANTICODON", name),
+        (trna & F.col("identity").isNull(), "REVIEW", "UNDETERMINED_TRNA", name),
+        (rrna & banded & ~inside, "REVIEW", "RRNA_LENGTH", detail),
+        (rrna & ~banded, "INFO", "UNDETERMINED_RRNA", name),
+    )
 
 
 # -- overlaps --------------------------------------------------------------------------------------
@@ -251,54 +263,67 @@ def cds_findings(cds: DataFrame, table: int, registry: DataFrame | None = None,
 
     `start_exceptions(name, codon, registered)` lists starts accepted on request.
     """
-    uncertain = F.exists(F.coalesce(F.try_element_at("qualifiers", F.lit("note")), F.array().cast("array<string>")), lambda n: n.startswith("codon_start uncertain:"))
-    parts = [finding(cds.where(uncertain), "REVIEW", "CODON_START_UNCERTAIN", F.col("name"))]
-    cds = cds.where(~uncertain)
+    none = F.array().cast("array<string>")
+    uncertain = F.exists(F.coalesce(F.try_element_at("qualifiers", F.lit("note")), none), lambda n: n.startswith("codon_start uncertain:"))
+    values = F.coalesce(F.try_element_at("qualifiers", F.lit("transl_except")), none)
+    cds = cds.withColumn("uncertain", uncertain).withColumn("start_codon", F.left("coding", F.lit(3)))
+    cds = cds.withColumn("unread", F.size(F.filter(values, lambda v: ~nm.exceptions_readable(v)))).withColumn("vague", sq.ambiguous_codons(F.col("coding")))
+    if start_exceptions is not None:
+        listed = start_exceptions.select("name", F.col("codon").alias("start_codon"), "registered")
+        cds = cds.join(listed, ["name", "start_codon"], "left")
+    else:
+        cds = cds.withColumn("registered", F.lit(None).cast("boolean"))
+    # Spliced sequences feed several branches: splice and translate once.
+    cds = cut_lineage(cds.drop("spliced", "segments", "gene", "product"))
+    parts = [finding(cds.where("uncertain"), "REVIEW", "CODON_START_UNCERTAIN", F.col("name"))]
+    cds = cds.where(~F.col("uncertain"))
     p5, p3 = F.coalesce("partial5", F.lit(False)), F.coalesce("partial3", F.lit(False))
     given = F.trim(F.coalesce("declared_table", F.lit("")))
-    parts.append(finding(cds.where((given != "") & (given != str(table))), "REVIEW", "TABLE_CONFLICT", given))
-    parts.append(finding(cds.where(~F.col("codon_start_given").isin(1, 2, 3)), "ERROR", "INVALID_CDS", F.concat(F.lit("codon_start="), F.col("codon_start_given").cast("string"))))
-    parts.append(finding(cds.where((F.col("codon_start") != 1) & ~p5), "REVIEW", "CODON_START_CONFLICT", F.col("codon_start").cast("string")))
-    vague = cds.withColumn("_a", F.explode(sq.ambiguous_codons(F.col("coding"))))
+    odd_start = ~p5 & ~F.col("start_codon").isin(*sq.START_CODONS[table])
+    begin = F.col("start_codon")
+    parts.append(row_findings(
+        cds,
+        ((given != "") & (given != str(table)), "REVIEW", "TABLE_CONFLICT", given),
+        (~F.col("codon_start_given").isin(1, 2, 3), "ERROR", "INVALID_CDS", F.concat(F.lit("codon_start="), F.col("codon_start_given").cast("string"))),
+        ((F.col("codon_start") != 1) & ~p5, "REVIEW", "CODON_START_CONFLICT", F.col("codon_start").cast("string")),
+        (F.col("unread") > 0, "REVIEW", "TRANSL_EXCEPT_UNPARSED", F.col("unread").cast("string")),
+        (odd_start & F.col("registered").isNull(), "ERROR", "INVALID_CDS", F.concat(F.lit("start="), begin)),
+        (odd_start & F.col("registered").isNotNull(), "REVIEW", "NONCANONICAL_START_REVIEW", begin),
+        (odd_start & ~F.col("registered"), "REVIEW", "EXCEPTION_NOT_REGISTERED", begin),
+        (p5, "INFO", "PARTIAL_CDS_5P", F.col("name")),
+        (p3, "INFO", "PARTIAL_CDS_3P", F.col("name")),
+        (~p3 & (F.col("terminal") == "incomplete"), "REVIEW", "INCOMPLETE_STOP", F.col("tail")),
+        (~p3 & (F.col("terminal") == "nonstop"), "ERROR", "INVALID_CDS", F.concat(F.lit("end="), F.col("last3"))),
+    ))
+    vague = cds.select("record_id", "feature_id", "positions", F.explode("vague").alias("_a"))
     parts.append(finding(vague, "REVIEW", "AMBIGUOUS_CODON", F.concat_ws(":", F.col("_a.codon").cast("string"), F.array_join(F.slice("positions", F.col("_a.start"), 3).cast("array<string>"), ","))))
 
-    values = F.coalesce(F.try_element_at("qualifiers", F.lit("transl_except")), F.array().cast("array<string>"))
-    unread = F.size(F.filter(values, lambda v: ~nm.exceptions_readable(v)))
-    parts.append(finding(cds.where(unread > 0), "REVIEW", "TRANSL_EXCEPT_UNPARSED", unread.cast("string")))
-    entries = exception_entries(cds, table)
-    done = entries.where("completes_stop")
-    parts.append(finding(done, "INFO", "PARTIAL_STOP_COMPLETION_VALIDATED", F.col("text")))
-    parts.append(finding(entries.where(F.col("problem").isNotNull()), "REVIEW", "TRANSL_EXCEPT_UNEXPLAINED", F.concat_ws(":", "text", "problem")))
-    matched = entries.where(F.col("problem").isNull() & ~F.col("completes_stop"))
-    parts.append(finding(matched, "INFO", "TRANSL_EXCEPT_MATCHED", F.concat_ws(":", "text", "codon")))
+    entries = cut_lineage(exception_entries(cds, table))
+    done, bad = F.col("completes_stop"), F.col("problem").isNotNull()
+    matched = ~bad & ~done
+    rules = [
+        (done, "INFO", "PARTIAL_STOP_COMPLETION_VALIDATED", F.col("text")),
+        (bad, "REVIEW", "TRANSL_EXCEPT_UNEXPLAINED", F.concat_ws(":", "text", "problem")),
+        (matched, "INFO", "TRANSL_EXCEPT_MATCHED", F.concat_ws(":", "text", "codon")),
+    ]
+    if registry is None:
+        rules.append((matched, "REVIEW", "TRANSL_EXCEPT_DECLARED_UNVERIFIED", F.concat_ws(":", F.col("text"), F.lit("not_registered"))))
+    parts.append(row_findings(entries, *rules))
     idle = entries.groupBy("record_id", "feature_id").agg(F.bool_or("completes_stop").alias("_done"))
     no_stop = cds.where(F.size("stops") == 0).join(idle.where(~F.col("_done")), ["record_id", "feature_id"], "left_semi")
     parts.append(finding(no_stop, "REVIEW", "TRANSL_EXCEPT_UNEXPLAINED", F.lit("no_internal_stop")))
     unexplained = cds.select("record_id", "feature_id", F.explode("stops").alias("codon_index"))
-    if registry is None:
-        parts.append(finding(matched, "REVIEW", "TRANSL_EXCEPT_DECLARED_UNVERIFIED", F.concat_ws(":", "text", F.lit("not_registered"))))
-    else:
+    if registry is not None:
         judged = judge_exceptions(entries, registry, table, taxon)
-        parts.append(finding(judged.where("accepted"), "INFO", "TRANSL_EXCEPT_VALIDATED", F.concat_ws(":", "text", "codon", "token")))
-        parts.append(finding(judged.where(~F.col("accepted")), "REVIEW", "TRANSL_EXCEPT_DECLARED_UNVERIFIED", F.concat_ws(":", F.col("text"), F.array_join("reasons", ","))))
+        yes = F.col("accepted")
+        parts.append(row_findings(
+            judged,
+            (yes, "INFO", "TRANSL_EXCEPT_VALIDATED", F.concat_ws(":", "text", "codon", "token")),
+            (~yes, "REVIEW", "TRANSL_EXCEPT_DECLARED_UNVERIFIED", F.concat_ws(":", F.col("text"), F.array_join("reasons", ","))),
+        ))
         unexplained = unexplained.join(judged.where("accepted"), ["record_id", "feature_id", "codon_index"], "left_anti")
     left = unexplained.groupBy("record_id", "feature_id").agg(F.count("*").alias("_n"))
     parts.append(finding(left, "ERROR", "INTERNAL_STOP", F.col("_n").cast("string")))
-
-    starts = cds.withColumn("start_codon", F.left("coding", F.lit(3)))
-    odd = starts.where(~p5 & ~F.col("start_codon").isin(*sq.START_CODONS[table]))
-    if start_exceptions is not None:
-        listed = start_exceptions.select("name", F.col("codon").alias("start_codon"), "registered")
-        odd = odd.join(listed, ["name", "start_codon"], "left")
-    else:
-        odd = odd.withColumn("registered", F.lit(None).cast("boolean"))
-    parts.append(finding(odd.where(F.col("registered").isNull()), "ERROR", "INVALID_CDS", F.concat(F.lit("start="), F.col("start_codon"))))
-    parts.append(finding(odd.where(F.col("registered").isNotNull()), "REVIEW", "NONCANONICAL_START_REVIEW", F.col("start_codon")))
-    parts.append(finding(odd.where(~F.col("registered")), "REVIEW", "EXCEPTION_NOT_REGISTERED", F.col("start_codon")))
-    parts.append(finding(cds.where(p5), "INFO", "PARTIAL_CDS_5P", F.col("name")))
-    parts.append(finding(cds.where(p3), "INFO", "PARTIAL_CDS_3P", F.col("name")))
-    parts.append(finding(cds.where(~p3 & (F.col("terminal") == "incomplete")), "REVIEW", "INCOMPLETE_STOP", F.col("tail")))
-    parts.append(finding(cds.where(~p3 & (F.col("terminal") == "nonstop")), "ERROR", "INVALID_CDS", F.concat(F.lit("end="), F.col("last3"))))
     return union(parts)
 
 

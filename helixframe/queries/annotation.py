@@ -16,7 +16,7 @@ SPELLINGS = [
 ]
 CANON = [
     "atp6", "atp8", "cox1", "cox2", "cox3", "cytb", "nd1", "nd2", "nd3", "nd4", "nd4l", "nd5", "nd6", "rrnl", "rrns", "rrnl",
-    "trnl", "trnl1", "trns", "trns2", "trna", "cytochromecoxidasesubuniti", "cytochromecoxidasesubunitiii", "atp6", "cytb", "trnm", "orf12", "rrna",
+    "trnl", "trnl1", "trns", "trns2", "trna", "cox1", "cox3", "atp6", "cytb", "trnm", "orf12", "rrna",
     "atp8", "cytb",
 ]
 
