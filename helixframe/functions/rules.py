@@ -6,7 +6,10 @@ from pyspark.sql import Column, functions as F
 
 from helixframe.functions import text as tx
 
-NONE = F.array().cast("array<string>")
+
+def none() -> Column:
+    """Empty text list."""
+    return F.array().cast("array<string>")
 
 
 def flags(*pairs: tuple[Column, str]) -> Column:
@@ -71,12 +74,12 @@ def data_availability(formats: Column, text: Column, family: Column) -> Column:
 def design_clarity(columns: Column) -> Column:
     """high when a grouping column names the design, partial when there are other ones, else low."""
     named = F.exists(columns, lambda c: F.lower(c).rlike("treatment|condition|group|phenotype|disease|genotype"))
-    return F.when(F.size(F.coalesce(columns, NONE)) == 0, "low").when(named, "high").otherwise("partial")
+    return F.when(F.size(F.coalesce(columns, none())) == 0, "low").when(named, "high").otherwise("partial")
 
 
 def run_design_clarity(keys: Column, clear: tuple[str, ...]) -> Column:
     """The same over run-metadata keys, which must match exactly."""
-    return F.when(F.size(F.coalesce(keys, NONE)) == 0, "low").when(F.arrays_overlap(keys, F.array(*map(F.lit, clear))), "high").otherwise("partial")
+    return F.when(F.size(F.coalesce(keys, none())) == 0, "low").when(F.arrays_overlap(keys, F.array(*map(F.lit, clear))), "high").otherwise("partial")
 
 
 def series_risks(title: Column, summary: Column, organisms: Column, tissues: Column, group_columns: Column) -> Column:

@@ -237,7 +237,7 @@ def segment_overlap(a: Column, b: Column) -> Column:
     return F.aggregate(a, F.lit(0).cast("long"), with_all)
 
 
-def coding_positions(segments: Column, strand: Column, codon_start: Column = F.lit(1)) -> Column:
+def coding_positions(segments: Column, strand: Column, codon_start: Column | int = 1) -> Column:
     """1-based genomic positions in transcription order, from the reading frame on.
 
     Segments are half-open and listed in transcription order.
@@ -246,7 +246,8 @@ def coding_positions(segments: Column, strand: Column, codon_start: Column = F.l
         return F.when(strand < 0, F.sequence(s["end"], s["start"] + 1, F.lit(-1).cast("long"))).otherwise(F.sequence(s["start"] + 1, s["end"]))
 
     every = F.flatten(F.transform(segments, positions))
-    return F.slice(every, codon_start.cast("int"), F.size(every))
+    start = codon_start.cast("int") if isinstance(codon_start, Column) else F.lit(codon_start)
+    return F.slice(every, start, F.size(every))
 
 
 def extract(sequence: Column, segments: Column, strand: Column) -> Column:

@@ -12,7 +12,10 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from helixframe.functions import text as tx
 
-ORDER = F.struct("query_ord", "record_ord")
+
+def order() -> Column:
+    """Order of a hit: query first, then place in its result."""
+    return F.struct("query_ord", "record_ord")
 
 
 def within_limit(hits: DataFrame, max_results: int = 10) -> DataFrame:
@@ -23,7 +26,7 @@ def within_limit(hits: DataFrame, max_results: int = 10) -> DataFrame:
 
 def matched_queries(hits: DataFrame, key: str) -> DataFrame:
     """Distinct query labels per record in order of first match."""
-    labels = hits.groupBy(key, tx.squeeze(F.col("query")).alias("_label")).agg(F.min(ORDER).alias("_o"))
+    labels = hits.groupBy(key, tx.squeeze(F.col("query")).alias("_label")).agg(F.min(order()).alias("_o"))
     listed = F.array_sort(F.collect_list(F.struct("_o", "_label")))
     return labels.groupBy(key).agg(F.transform(listed, lambda x: x["_label"]).alias("matched_queries"), F.min("_o").alias("first_seen"))
 
@@ -31,13 +34,13 @@ def matched_queries(hits: DataFrame, key: str) -> DataFrame:
 def merge_first_wins(hits: DataFrame, key: str = "uid") -> DataFrame:
     """One record per key: the first one seen, with all queries that found it."""
     fields = [c for c in hits.columns if c not in (key, "query", "query_ord", "record_ord")]
-    first = hits.groupBy(key).agg(F.min_by(F.struct(*fields), ORDER).alias("_r"))
+    first = hits.groupBy(key).agg(F.min_by(F.struct(*fields), order()).alias("_r"))
     return first.select(key, "_r.*").join(matched_queries(hits, key), key)
 
 
 def first_text(name: str) -> Column:
     """Aggregate: first non-empty value of a text column."""
-    return F.coalesce(F.min_by(F.col(name), F.when(F.coalesce(F.col(name), F.lit("")) != "", ORDER)), F.lit("")).alias(name)
+    return F.coalesce(F.min_by(F.col(name), F.when(F.coalesce(F.col(name), F.lit("")) != "", order())), F.lit("")).alias(name)
 
 
 def merged_list(hits: DataFrame, key: str, name: str) -> DataFrame:
@@ -52,10 +55,10 @@ def merge_studies(hits: DataFrame) -> DataFrame:
     filled = ["organism", "title", "bioproject", "biosample"]
     fixed = ["uid", "accession", "source_type", "summary", "library_strategy", "library_layout", "platform"]
     merged = keyed.groupBy("record_key").agg(
-        F.min_by(F.struct(*fixed, "run_accessions"), ORDER).alias("_r"),
+        F.min_by(F.struct(*fixed, "run_accessions"), order()).alias("_r"),
         *[first_text(c) for c in filled],
-        F.min_by("sample_count", F.when(F.col("sample_count") != 0, ORDER)).alias("_some"),
-        F.max_by(F.struct("sample_count"), ORDER).alias("_last"),
+        F.min_by("sample_count", F.when(F.col("sample_count") != 0, order())).alias("_some"),
+        F.max_by(F.struct("sample_count"), order()).alias("_last"),
         F.max("run_count").alias("_runs"),
         F.count("*").alias("_rows"),
     )
@@ -77,7 +80,7 @@ def merge_projects(hits: DataFrame) -> DataFrame:
     """Merge project hits by accession (uid when it is empty): union of links, first non-empty texts."""
     keyed = hits.withColumn("record_key", F.when(F.coalesce("accession", F.lit("")) != "", F.col("accession")).otherwise(F.col("uid")))
     merged = keyed.groupBy("record_key").agg(
-        F.min_by(F.struct("uid", "accession"), ORDER).alias("_r"), *[first_text(c) for c in ("title", "summary", "organism")]
+        F.min_by(F.struct("uid", "accession"), order()).alias("_r"), *[first_text(c) for c in ("title", "summary", "organism")]
     )
     for name in ("linked_sra", "linked_biosamples"):
         merged = merged.join(merged_list(keyed, "record_key", name), "record_key", "left")

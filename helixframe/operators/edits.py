@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from helixframe.functions import seq as sq, text as tx
-from helixframe.functions.rules import flags
-
-NONE = F.array().cast("array<string>")
+from helixframe.functions.rules import flags, none
 
 
 def base_edit_reasons(edits: DataFrame, records: DataFrame) -> DataFrame:
@@ -114,13 +112,13 @@ def qualifier_edits(edits: DataFrame, features: DataFrame) -> DataFrame:
     j = select_feature(edits, features).join(features.select("record_id", "feature_id", "qualifiers"), ["record_id", "feature_id"], "left")
     same = j.where("feature_id IS NOT NULL").groupBy("record_id", "feature_id", "qualifier").agg(F.count("*").alias("_same"))
     j = j.join(same, ["record_id", "feature_id", "qualifier"], "left")
-    old, new = F.coalesce("old", NONE), F.coalesce("new", NONE)
+    old, new = F.coalesce("old", none()), F.coalesce("new", none())
     source = F.col("selector_type") == "source"
     selector = source | (F.col("selector_type").isin("CDS", "tRNA", "rRNA", "gene") & F.col("selector_qualifier").isin("gene", "locus_tag", "product") & (tx.clean(F.col("selector_value")) != ""))
     empty = lambda values: F.exists(values, lambda v: F.coalesce(v, F.lit("")) == "")
     reasons = flags(
         (~F.coalesce(selector, F.lit(False)), "selector"), (~F.coalesce(F.col("qualifier").rlike("^[A-Za-z][A-Za-z0-9_]*$"), F.lit(False)), "qualifier"), (empty(old) | empty(new) | (old == new), "values"),
-        (F.col("matches") != 1, "not_unique"), (F.col("_same") > 1, "repeated_qualifier"), ((F.col("matches") == 1) & (F.coalesce(F.try_element_at("qualifiers", F.col("qualifier")), NONE) != old), "old_value_differs"),
+        (F.col("matches") != 1, "not_unique"), (F.col("_same") > 1, "repeated_qualifier"), ((F.col("matches") == 1) & (F.coalesce(F.try_element_at("qualifiers", F.col("qualifier")), none()) != old), "old_value_differs"),
         (source & (F.col("qualifier") == "organism") & (F.size(new) != 1), "one_organism"), (tx.clean(F.col("evidence")) == "", "no_evidence"), (tx.clean(F.col("rationale")) == "", "no_rationale"),
     )
     return j.withColumn("reasons", reasons).drop("_same", "qualifiers")
@@ -130,7 +128,7 @@ def apply_qualifier_edits(edits: DataFrame, features: DataFrame) -> DataFrame:
     """Features after the qualifier edits; an empty new list removes the qualifier."""
     judged = qualifier_edits(edits, features)
     bad = judged.where(F.size("reasons") > 0).select("record_id").distinct()
-    good = judged.join(bad, "record_id", "left_anti").groupBy("record_id", "feature_id").agg(F.map_from_entries(F.collect_list(F.struct("qualifier", F.coalesce("new", NONE)))).alias("_new"))
+    good = judged.join(bad, "record_id", "left_anti").groupBy("record_id", "feature_id").agg(F.map_from_entries(F.collect_list(F.struct("qualifier", F.coalesce("new", none())))).alias("_new"))
     j = features.join(good, ["record_id", "feature_id"], "left")
     kept = F.map_filter("qualifiers", lambda k, v: ~F.map_contains_key("_new", k))
     merged = F.map_concat(kept, F.map_filter("_new", lambda k, v: F.size(v) > 0))

@@ -10,9 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from helixframe.functions import text as tx
-from helixframe.functions.rules import flags
-
-NONE = F.array().cast("array<string>")
+from helixframe.functions.rules import flags, none
 
 
 def violation(df: DataFrame, entity: str, rule: str, id_col: str = "id") -> DataFrame:
@@ -34,11 +32,11 @@ def union(parts: list[DataFrame]) -> DataFrame:
 
 def event_violations(events: DataFrame, inputs: DataFrame) -> DataFrame:
     """Events: unknown inputs, exit codes that contradict the execution status, completed runs without products."""
-    used = events.select("case_id", "id", F.explode(F.coalesce("input_ids", NONE)).alias("input_id")).distinct()
+    used = events.select("case_id", "id", F.explode(F.coalesce("input_ids", none())).alias("input_id")).distinct()
     known = inputs.select("case_id", F.col("id").alias("input_id")).distinct()
     unknown = used.join(known, ["case_id", "input_id"], "left_anti").select("case_id", "id").distinct()
     status, code = F.col("execution_status"), F.col("exit_code")
-    nothing = (F.size(F.coalesce("artifacts", F.array().cast("array<struct<id:string,path:string,sha256:string>>"))) == 0) | (F.size(F.coalesce("input_ids", NONE)) == 0)
+    nothing = (F.size(F.coalesce("artifacts", F.array().cast("array<struct<id:string,path:string,sha256:string>>"))) == 0) | (F.size(F.coalesce("input_ids", none())) == 0)
     return union([
         repeated_ids(events, "event"), violation(unknown, "event", "unknown_input"),
         row_rules(
@@ -54,14 +52,14 @@ def conclusion_violations(conclusions: DataFrame, events: DataFrame, inputs: Dat
     c = conclusions.join(kind, "case_id", "left")
     status, reads = F.col("status"), F.col("reads_support")
     bare = F.size("evidence_for") == 0
-    competitors = F.coalesce("competitive_reference_ids", NONE)
+    competitors = F.coalesce("competitive_reference_ids", none())
     simple = row_rules(
         c, "conclusion", ((F.col("case_type") == "normal_validation_case") & (status == "UNRESOLVED"), "unresolved_in_normal_case"), ((status == "RESOLVED") & bare, "resolved_without_support"),
         ((F.col("confidence") == "high") & bare, "high_confidence_without_support"), ((status == "RESOLVED") & (F.col("confidence") == "not_assessable"), "resolved_not_assessable"),
         ((reads == "READS_DISCRIMINATING") & (F.size(competitors) == 0), "discriminating_without_competitor"),
         (F.col("review_status").isin("reviewed", "disputed") & (F.coalesce("reviewer", F.lit("")) == ""), "review_without_reviewer"),
     )
-    keyed = events.select("case_id", F.col("id").alias("event_id"), "execution_status", F.coalesce("input_ids", NONE).alias("input_ids"), F.transform("artifacts", lambda a: a["id"]).alias("_arts")).dropDuplicates(["case_id", "event_id"])
+    keyed = events.select("case_id", F.col("id").alias("event_id"), "execution_status", F.coalesce("input_ids", none()).alias("input_ids"), F.transform("artifacts", lambda a: a["id"]).alias("_arts")).dropDuplicates(["case_id", "event_id"])
     cited = conclusions.select("case_id", "id", "conclusion_type", F.explode(F.concat("evidence_for", "evidence_against")).alias("e")).select("case_id", "id", "conclusion_type", "e.event_id", "e.artifact_id").distinct()
     checked = cited.join(keyed, ["case_id", "event_id"], "left")
     evidence = row_rules(
@@ -105,7 +103,7 @@ def candidate_violations(candidates: DataFrame, checks: DataFrame, events: DataF
     """Candidates: registered base and product, completed producer, separate content, valid checks, matching status."""
     ins = inputs.dropDuplicates(["case_id", "id"])
     side = lambda p: ins.select("case_id", F.col("id").alias(f"{p}_input_id"), *[F.col(c).alias(f"_{p}_{c}") for c in ("role", "path", "sha256", "size")])
-    ev = events.dropDuplicates(["case_id", "id"]).select("case_id", F.col("id").alias("producer_event_id"), F.col("execution_status").alias("_st"), F.col("artifacts").alias("_arts"), F.coalesce("input_ids", NONE).alias("_ins"))
+    ev = events.dropDuplicates(["case_id", "id"]).select("case_id", F.col("id").alias("producer_event_id"), F.col("execution_status").alias("_st"), F.col("artifacts").alias("_arts"), F.coalesce("input_ids", none()).alias("_ins"))
     j = candidates.join(side("base"), ["case_id", "base_input_id"], "left").join(side("candidate"), ["case_id", "candidate_input_id"], "left").join(ev, ["case_id", "producer_event_id"], "left")
     art = F.try_element_at(F.filter("_arts", lambda a: a["id"] == F.col("artifact_id")), F.lit(1))
     same_product = (art["path"] == F.col("_candidate_path")) & (art["sha256"] == F.col("_candidate_sha256"))
@@ -115,7 +113,7 @@ def candidate_violations(candidates: DataFrame, checks: DataFrame, events: DataF
         (F.col("_st").isNull() | (F.col("_st") != "completed"), "producer_not_completed"), (F.col("_st").isNotNull() & ~F.coalesce(same_product, F.lit(False)), "product_differs"),
         (F.col("_st").isNotNull() & ~F.array_contains("_ins", F.col("base_input_id")), "base_not_used"), (copied, "same_as_base"),
     )
-    cev = events.dropDuplicates(["case_id", "id"]).select("case_id", F.col("id").alias("event_id"), F.col("execution_status").alias("_cst"), F.col("exit_code").alias("_code"), F.coalesce("input_ids", NONE).alias("_cins"))
+    cev = events.dropDuplicates(["case_id", "id"]).select("case_id", F.col("id").alias("event_id"), F.col("execution_status").alias("_cst"), F.col("exit_code").alias("_code"), F.coalesce("input_ids", none()).alias("_cins"))
     k = checks.join(candidates.select("case_id", F.col("id").alias("candidate_id"), "candidate_input_id", "change_type"), ["case_id", "candidate_id"], "left").join(cev, ["case_id", "event_id"], "left").withColumn("id", F.col("candidate_id"))
     reads = ins.where(F.col("role").isin("reads", "bam")).select("case_id", F.col("id").alias("_rid"))
     event_reads = cev.select("case_id", "event_id", F.explode("_cins").alias("_rid")).join(reads, ["case_id", "_rid"]).select("case_id", "event_id").distinct().withColumn("_reads", F.lit(True))
@@ -259,7 +257,7 @@ def registry_violations(records: DataFrame) -> DataFrame:
     """
     blank = lambda c: tx.clean(F.col(c)) == ""
     hexed = lambda c: F.coalesce(F.col(c).rlike(HEX64), F.lit(False))
-    purposes = F.coalesce("purposes", NONE)
+    purposes = F.coalesce("purposes", none())
     allowed = F.create_map(*[x for k, v in LEVEL_PURPOSES.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
     level = F.try_element_at(allowed, F.coalesce("level", F.lit("")))
     seq, db = F.col("kind") == "sequence", F.col("kind") == "database"

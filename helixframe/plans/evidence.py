@@ -12,10 +12,13 @@ PROJECT_LINK = "https://www.ncbi.nlm.nih.gov/bioproject/"
 SAMPLE_LINK = "https://www.ncbi.nlm.nih.gov/biosample/"
 
 LIST, TEXTMAP = "array<string>", "map<string,string>"
-EMPTY_LIST = F.array().cast(LIST)
 SIGNALS = "array<struct<column:string,counts:map<string,bigint>>>"
 
 
+def empty_list() -> Column:
+    return F.array().cast(LIST)
+
+
 def one(value: Column) -> Column:
     """Single text as a list, empty when it is blank."""
     return tx.non_empty(F.array(value))
@@ -40,10 +43,10 @@ def as_json(values: Column) -> Column:
 def evidence(df: DataFrame, **fields: Column) -> DataFrame:
     """Project into the common schema; fields not given take their empty value."""
     blank = {
-        "source": F.lit(""), "accession": F.lit(""), "source_type": F.lit(""), "title": F.lit(""), "organisms": EMPTY_LIST,
-        "tissues": EMPTY_LIST, "assay_family": F.lit(""), "sample_count": F.lit(None), "run_count": F.lit(None),
-        "group_signals": F.array(), "data_availability": F.create_map(), "geo": EMPTY_LIST, "sra": EMPTY_LIST,
-        "bioproject": EMPTY_LIST, "biosample": EMPTY_LIST, "risks": EMPTY_LIST, "source_links": F.create_map(), "local_notes": F.create_map(),
+        "source": F.lit(""), "accession": F.lit(""), "source_type": F.lit(""), "title": F.lit(""), "organisms": empty_list(),
+        "tissues": empty_list(), "assay_family": F.lit(""), "sample_count": F.lit(None), "run_count": F.lit(None),
+        "group_signals": F.array(), "data_availability": F.create_map(), "geo": empty_list(), "sra": empty_list(),
+        "bioproject": empty_list(), "biosample": empty_list(), "risks": empty_list(), "source_links": F.create_map(), "local_notes": F.create_map(),
     }
     v = {**blank, **fields}
     return df.select(
@@ -116,7 +119,7 @@ def study_candidates(df: DataFrame, include_summary: bool = False) -> DataFrame:
     return evidence(
         df, **study_fields(df), organisms=one(F.col("organism")), assay_family=F.col("library_strategy"),
         geo=tx.mine(F.col("title"), tx.GEO_PATTERN), biosample=one(column(df, "biosample")),
-        sra=tx.non_empty(F.concat(F.array(acc, *[column(df, c) for c in levels]), F.coalesce(column(df, "run_accessions", LIST), EMPTY_LIST))),
+        sra=tx.non_empty(F.concat(F.array(acc, *[column(df, c) for c in levels]), F.coalesce(column(df, "run_accessions", LIST), empty_list()))),
         data_availability=notes(
             sra_runs_available=F.coalesce(F.col("run_count"), F.lit(0)) > 0, library_layout=F.col("library_layout"), platform=F.col("platform")
         ),

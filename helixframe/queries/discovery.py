@@ -258,7 +258,7 @@ BACKFILL_S = """SELECT 'PRJ' || CAST(l_orderkey AS STRING) AS bioproject, 'SRP'
 )
 def backfill(t):
     own = t.sql(BACKFILL_P).select(
-        "accession", F.when(F.col("st") == "F", F.array(F.concat(F.lit("SRP"), F.col("ck").cast("string")))).otherwise(ev.EMPTY_LIST).alias("linked_sra")
+        "accession", F.when(F.col("st") == "F", F.array(F.concat(F.lit("SRP"), F.col("ck").cast("string")))).otherwise(ev.empty_list()).alias("linked_sra")
     )
     return di.backfill_links(own, t.sql(BACKFILL_S).withColumn("run_accessions", F.array("run")))
 
@@ -420,8 +420,8 @@ def inspected(t):
     )
     tissue = di.tissue_summary(samples).select("accession", F.col("values").alias("tissues"))
     out = records.join(signals, "accession", "left").join(tissue, "accession", "left").join(di.sample_counts(records, samples.select("accession", "sample")), "accession")
-    out = out.withColumn("organisms", tx.non_empty(F.split("taxon", "[;,]"))).withColumn("tissues", F.coalesce("tissues", ev.EMPTY_LIST))
-    cols = F.coalesce(F.transform("_g", lambda g: g["column"]), ev.EMPTY_LIST)
+    out = out.withColumn("organisms", tx.non_empty(F.split("taxon", "[;,]"))).withColumn("tissues", F.coalesce("tissues", ev.empty_list()))
+    cols = F.coalesce(F.transform("_g", lambda g: g["column"]), ev.empty_list())
     out = out.withColumn("group_columns", cols).withColumn(
         "group_signals", F.slice(F.transform("_g", lambda g: F.struct(g["column"].alias("column"), F.map_from_entries(g["counts"]).alias("counts"))), 1, 8)
     )
@@ -587,7 +587,7 @@ PROJECT_SQL = f"""SELECT 'BioProject' AS source, accession, 'project' AS source_
 
 @query("discover_candidate_evidence", f"{SERIES_SQL} UNION ALL {STUDY_SQL} UNION ALL {PROJECT_SQL}")
 def candidates(t):
-    projects = t.sql(PROJECT_CAND).withColumn("linked_sra", F.array(F.concat(F.lit("SRP"), F.col("k").cast("string")))).withColumn("linked_biosamples", ev.EMPTY_LIST)
+    projects = t.sql(PROJECT_CAND).withColumn("linked_sra", F.array(F.concat(F.lit("SRP"), F.col("k").cast("string")))).withColumn("linked_biosamples", ev.empty_list())
     return flat(ev.series_candidates(t.sql(RECORDS)).unionByName(ev.study_candidates(t.sql(STUDY_CAND))).unionByName(ev.project_candidates(projects)))
 
 
