@@ -9,7 +9,7 @@ from helixframe.session import get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = get_session("tests", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false"})
+    session = get_session("tests", "local[8]", **{"spark.sql.shuffle.partitions": "3", "spark.ui.enabled": "false", "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
