@@ -33,7 +33,7 @@ def kind_of(name: str) -> str:
 FEATURES = f"""SELECT CAST(l_orderkey AS STRING) AS record_id, l_linenumber * 100000000000 + l_partkey * 100000 + l_suppkey AS feature_id, {pick([kind_of(c) for c in CANON])} AS type,
   {pick(SPELLINGS)} AS gene, {pick(CANON)} AS canon, CASE WHEN l_returnflag = 'A' THEN -1 ELSE 1 END AS strand, l_linenumber * 40 AS s1, l_linenumber * 40 + CAST(l_quantity AS BIGINT) * 2 AS e1,
   CASE WHEN l_tax > 0.045 THEN l_linenumber * 40 + 150 END AS s2, CASE WHEN l_tax > 0.045 THEN l_linenumber * 40 + 150 + CAST(l_quantity AS BIGINT) END AS e2, CASE WHEN l_discount > 0.05 THEN 'seq:tag' END AS ac,
-  CASE WHEN l_extendedprice > 50000 THEN 'x' END AS note FROM {{lineitem}}"""
+  CASE WHEN l_extendedprice > 50000 THEN 'x' END AS note FROM {{wide_lineitem}}"""
 UNIQ = f"SELECT * FROM ({FEATURES}) QUALIFY row_number() OVER (PARTITION BY record_id, feature_id ORDER BY s1, e1, strand, s2, ac, note) = 1"
 
 
@@ -165,7 +165,7 @@ def codons(t):
 
 
 # Coding features cut from the texts' letters: two pieces of every text, joined.
-CDS_SQL = f"SELECT CAST(doc_id AS STRING) AS record_id, {DNA} AS sequence, doc_id FROM {{documents}}"
+CDS_SQL = f"SELECT CAST(doc_id AS STRING) AS record_id, {DNA} AS sequence, doc_id FROM {{wide_documents}}"
 
 
 def coding(t):
@@ -275,7 +275,7 @@ def frame_state(t):
 
 
 # Annotator rows against files and genome: genome and files come from one text.
-AGREE = f"SELECT CAST(doc_id AS STRING) AS record_id, {DNA} AS seq, doc_id, n_chars FROM {{documents}}"
+AGREE = f"SELECT CAST(doc_id AS STRING) AS record_id, {DNA} AS seq, doc_id, n_chars FROM {{wide_documents}}"
 
 
 @query(

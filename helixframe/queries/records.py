@@ -227,7 +227,7 @@ def verify(t):
 
 # -- edits -----------------------------------------------------------------------------------------
 
-SEQS = f"SELECT source AS set_id, CAST(doc_id AS STRING) AS sequence_id, {DNA} AS seq, doc_id FROM {{documents}}"
+SEQS = f"SELECT source AS set_id, CAST(doc_id AS STRING) AS sequence_id, {DNA} AS seq, doc_id FROM {{wide_documents}}"
 EDITS = f"""SELECT set_id, sequence_id, CAST(p AS BIGINT) AS position, CASE WHEN doc_id % 97 = 0 THEN 'C' ELSE substr(seq, p, 1) END AS old, CASE WHEN substr(seq, p, 1) = 'G' THEN 'A' ELSE 'G' END AS new, CASE WHEN doc_id % 89 = 1 THEN ' ' ELSE 'e' END AS evidence, 'r' AS rationale
   FROM (SELECT *, CAST(7 AS INT) AS p FROM ({SEQS}) UNION ALL SELECT *, CAST(length(seq) - 2 AS INT) AS p FROM ({SEQS})) WHERE length(seq) > 20"""
 
@@ -298,7 +298,7 @@ def boundary(t):
 # -- search ----------------------------------------------------------------------------------------
 
 ASCII = "regexp_replace(lower(text), '[^a-z0-9 ]', ' '{G})"
-LIBRARY = f"SELECT doc_id, {ASCII} AS body, source AS title, CASE WHEN quality = 1 THEN 'verified' ELSE 'candidate' END AS status, lang AS domain, source AS taxon FROM {{documents}} LEFT JOIN {{labels}} USING (doc_id)"
+LIBRARY = f"SELECT doc_id, {ASCII} AS body, source AS title, CASE WHEN quality = 1 THEN 'verified' ELSE 'candidate' END AS status, lang AS domain, source AS taxon FROM {{wide_documents}} LEFT JOIN {{labels}} USING (doc_id)"
 TOK = f"tk AS (SELECT doc_id, status, domain, taxon, regexp_extract_all(title || ' ' || body, '\\w+') AS w FROM ({LIBRARY}))"
 
 

@@ -26,10 +26,20 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
 
+    def wide(self, name: str) -> DataFrame:
+        """The table spread over all cores, for work that multiplies or scans long texts row by row.
+
+        Only a table stored in fewer pieces than there are cores is moved; a large one is read as it lies.
+        """
+        table = getattr(self, name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
     def sql(self, text: str) -> DataFrame:
-        """Run SQL that names tables as {table}."""
+        """Run SQL that names tables as {table}, or {wide_table} where the rows are costly."""
         text = text.replace("{G}", "")
         used = {t: getattr(self, t) for t in TABLES if "{" + t + "}" in text}
+        used.update({f"wide_{t}": self.wide(t) for t in TABLES if "{wide_" + t + "}" in text})
         return self.spark.sql(text, **used)
 
 
@@ -37,7 +47,7 @@ def duck(text: str) -> str:
     """The same SQL with plain table names; {G} is the replace-all flag that only DuckDB needs."""
     text = text.replace("{G}", ", 'g'")
     for t in TABLES:
-        text = text.replace("{" + t + "}", t)
+        text = text.replace("{" + t + "}", t).replace("{wide_" + t + "}", t)
     return text
 
 

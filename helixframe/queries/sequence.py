@@ -9,7 +9,7 @@ from helixframe.operators import reads as rd, sequences as se
 from helixframe.queries.registry import query
 
 DNA = "regexp_replace(translate(lower(text), 'aetoinshrdlucmfwygpbvkjxqz', 'AAATTTTCCCCGGGGAACCTTGRRYN'), '[^ACGTRYN]', ''{G})"
-RECORDS = f"SELECT source AS path, CASE WHEN n_chars < 400 THEN lang ELSE CAST(doc_id AS STRING) END AS id, {DNA} AS seq, doc_id FROM {{documents}}"
+RECORDS = f"SELECT source AS path, CASE WHEN n_chars < 400 THEN lang ELSE CAST(doc_id AS STRING) END AS id, {DNA} AS seq, doc_id FROM {{wide_documents}}"
 COUNTS = ", ".join(f"length(seq) - length(replace(seq, '{b}', '')) AS {b.lower()}" for b in "ACGT")
 
 
@@ -244,7 +244,7 @@ def keep(t):
     return kept.select("lane", "template", "turn", name.alias("name"))
 
 
-QC = f"SELECT source AS lane, {DNA} AS seq, translate(text, ' aeiounst', '!5?IIII04') AS qual FROM {{documents}}"
+QC = f"SELECT source AS lane, {DNA} AS seq, translate(text, ' aeiounst', '!5?IIII04') AS qual FROM {{wide_documents}}"
 
 
 @query(
@@ -272,7 +272,7 @@ def count_status(t):
 
 
 # Alignment rows: every text of a source, letters mapped so that most columns agree.
-ROWS = "SELECT source AS alignment, 'L0_P' || CAST(CAST(FLOOR(doc_id / 2) AS BIGINT) AS STRING) AS template, doc_id, regexp_replace(translate(lower(text), 'bcdfghijklmnopqrstuvwxyzae', 'AAAAAAAAAAAAAAAAACGTAAGCAA'), '[^ACGT]', '~'{G}) AS seq FROM {documents}"
+ROWS = "SELECT source AS alignment, 'L0_P' || CAST(CAST(FLOOR(doc_id / 2) AS BIGINT) AS STRING) AS template, doc_id, regexp_replace(translate(lower(text), 'bcdfghijklmnopqrstuvwxyzae', 'AAAAAAAAAAAAAAAAACGTAAGCAA'), '[^ACGT]', '~'{G}) AS seq FROM {wide_documents}"
 COLUMNS = f"""lt AS (SELECT alignment, template, generate_subscripts(string_split(seq, ''), 1) - 1 AS site, unnest(string_split(seq, '')) AS base FROM ({ROWS})),
   ca AS (SELECT alignment, site, template, min(base) AS base FROM lt WHERE base IN ('A', 'C', 'G', 'T') GROUP BY ALL HAVING min(base) = max(base)),
   ct AS (SELECT alignment, site, base, COUNT(*) AS n FROM ca GROUP BY ALL), rk AS (SELECT *, row_number() OVER (PARTITION BY alignment, site ORDER BY n DESC, base) AS p, sum(n) OVER (PARTITION BY alignment, site) AS depth FROM ct),
