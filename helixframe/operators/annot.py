@@ -171,10 +171,12 @@ def reference_lengths(features: DataFrame, reference: DataFrame, tolerance: floa
 
 
 def set_differences(query: DataFrame, reference: DataFrame) -> DataFrame:
-    """Names on one side only per record; the reference set applies to every record."""
+    """Names on one side only per record; the gene set of one reference (a few dozen names) applies to every record."""
     mine = query.select("record_id", "name").distinct()
     theirs = reference.select("name").distinct()
-    missing = mine.select("record_id").distinct().join(theirs).join(mine, ["record_id", "name"], "left_anti").withColumn("side", F.lit("missing"))
+    listed = theirs.agg(F.collect_set("name").alias("_names"))
+    wanted = mine.select("record_id").distinct().join(listed).select("record_id", F.explode("_names").alias("name"))
+    missing = wanted.join(mine, ["record_id", "name"], "left_anti").withColumn("side", F.lit("missing"))
     extra = mine.join(theirs, "name", "left_anti").withColumn("side", F.lit("extra"))
     return missing.unionByName(extra)
 

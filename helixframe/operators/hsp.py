@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from helixframe.functions.rules import flags
 from helixframe.operators import intervals as iv
-from helixframe.session import cut_lineage
+from helixframe.session import cut_lineage, global_rank
 
 HIT = ["query", "hit"]
 BIN = 1000
@@ -110,8 +110,8 @@ def best_per_accession(hits: DataFrame) -> DataFrame:
 
 def hit_order(hits: DataFrame) -> DataFrame:
     """Position of each hit by descending bit score, then identity."""
-    order = W.partitionBy("query").orderBy(F.desc("bitscore"), F.desc(F.coalesce("identity", F.lit(0.0))), "hit")
-    return hits.withColumn("position", F.row_number().over(order))
+    placed = hits.withColumn("_i", F.coalesce("identity", F.lit(0.0)))
+    return global_rank(placed, ["query"], [F.col("bitscore").desc(), F.col("_i").desc(), F.col("hit").asc()], "position").drop("_i")
 
 
 def supported_hit(hits: DataFrame, min_identity: float = 85.0, min_coverage: float | None = 0.8, margin: float = 1.0) -> DataFrame:

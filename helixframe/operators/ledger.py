@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from helixframe.functions import text as tx
 from helixframe.functions.rules import flags, none
+from helixframe.session import global_rank
 
 
 def violation(df: DataFrame, entity: str, rule: str, id_col: str = "id") -> DataFrame:
@@ -228,10 +229,10 @@ def show_revision(revisions: DataFrame, requests: DataFrame) -> DataFrame:
 
 
 def assign_ids(items: DataFrame, existing: DataFrame, order: list[str], pattern: str, template: str) -> DataFrame:
-    """Next free numbers for new items (few per batch) in the given order."""
+    """Next free numbers for new items in the given total order; positions come from a sort over all tasks."""
     start = existing.agg(tx.next_number(F.col("id"), pattern).alias("_start"))
-    numbered = items.withColumn("_n", F.row_number().over(W.orderBy(*order)) - 1)
-    return numbered.join(start).withColumn("id", F.format_string(template, F.col("_start") + F.col("_n"))).drop("_n", "_start")
+    numbered = global_rank(items.withColumn("_all", F.lit(1)), ["_all"], [F.col(c).asc() for c in order], "_n")
+    return numbered.join(start).withColumn("id", F.format_string(template, F.col("_start") + F.col("_n") - 1)).drop("_n", "_start", "_all")
 
 
 # -- reference registry ----------------------------------------------------------------------------

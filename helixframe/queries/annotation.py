@@ -118,23 +118,23 @@ def unused(t):
 
 @query(
     "annot_reference_lengths",
-    f"""WITH f AS (SELECT *, e1 - s1 + coalesce(e2 - s2, 0) AS len FROM ({FEATURES}) WHERE type = 'CDS'), r AS (SELECT canon, arg_min(len, (s1, feature_id)) AS rl FROM f WHERE strand < 0 AND feature_id % 100000 = 7 AND len > 0 GROUP BY canon)
+    f"""WITH f AS (SELECT *, e1 - s1 + coalesce(e2 - s2, 0) AS len FROM ({FEATURES}) WHERE type = 'CDS'), r AS (SELECT canon, arg_min(len, (s1, feature_id)) AS rl FROM f WHERE strand < 0 AND len > 0 GROUP BY canon)
     SELECT record_id, feature_id, f.canon AS name, len AS length, rl AS ref_length, round(abs(len - rl)::DOUBLE / rl * 100, 9) AS delta_pct, abs(len - rl)::DOUBLE / rl * 100 > 20 AS outside FROM f LEFT JOIN r USING (canon)""",
 )
 def reference_lengths(t):
     f = features(t)
-    out = an.reference_lengths(f, f.where("strand < 0 AND feature_id % 100000 = 7"))
+    out = an.reference_lengths(f, f.where("strand < 0"))
     return out.withColumn("delta_pct", F.round("delta_pct", 9))
 
 
 @query(
     "annot_set_differences",
-    f"""WITH q AS (SELECT DISTINCT record_id, canon AS name FROM ({FEATURES})), r AS (SELECT DISTINCT name FROM q WHERE record_id = '7') SELECT record_id, name, 'missing' AS side FROM (SELECT DISTINCT record_id FROM q) CROSS JOIN r ANTI JOIN q USING (record_id, name)
+    f"""WITH q AS (SELECT DISTINCT record_id, canon AS name FROM ({FEATURES})), r AS (SELECT DISTINCT canon AS name FROM ({FEATURES}) WHERE strand < 0 AND type = 'tRNA') SELECT record_id, name, 'missing' AS side FROM (SELECT DISTINCT record_id FROM q) CROSS JOIN r ANTI JOIN q USING (record_id, name)
     UNION ALL SELECT record_id, name, 'extra' FROM q ANTI JOIN r USING (name)""",
 )
 def set_differences(t):
     f = features(t)
-    return an.set_differences(f, f.where("record_id = '7'"))
+    return an.set_differences(f, f.where("strand < 0 AND type = 'tRNA'"))
 
 
 @query(
@@ -275,24 +275,24 @@ def frame_state(t):
 
 
 # Annotator rows against files and genome: genome and files come from one text.
-AGREE = f"SELECT CAST(doc_id AS STRING) AS record_id, {DNA} AS seq, doc_id, n_chars FROM {{wide_documents}}"
+AGREE = f"SELECT CAST(doc_id AS STRING) AS record_id, {DNA} AS seq, lang, source FROM {{wide_documents}}"
 
 
 @query(
     "annot_source_agreement",
-    f"""SELECT record_id, doc_id % 4 = 3 AS from_genome_only, array_to_string(list_filter([CASE WHEN doc_id % 11 = 0 THEN 'foreign_record' END, CASE WHEN doc_id % 11 <> 0 AND length(seq) < 40 THEN 'outside_genome' END, CASE WHEN doc_id % 4 = 1 THEN 'place_conflict' END,
-      CASE WHEN doc_id % 11 <> 0 AND doc_id % 4 <> 3 AND doc_id % 4 = 2 AND substr(seq, 11, 30) <> substr(seq, 12, 30) THEN 'sequence_conflict' END, CASE WHEN doc_id % 5 = 0 THEN 'protein_place_conflict' END], lambda x: x IS NOT NULL), ',') AS problems FROM ({AGREE}) WHERE length(seq) >= 12""",
+    f"""SELECT record_id, lang = 'es' AS from_genome_only, array_to_string(list_filter([CASE WHEN source = 'src11' THEN 'foreign_record' END, CASE WHEN source <> 'src11' AND length(seq) < 40 THEN 'outside_genome' END, CASE WHEN lang = 'fr' THEN 'place_conflict' END,
+      CASE WHEN source <> 'src11' AND lang <> 'es' AND lang = 'de' AND substr(seq, 11, 30) <> substr(seq, 12, 30) THEN 'sequence_conflict' END, CASE WHEN source IN ('src5', 'src10') THEN 'protein_place_conflict' END], lambda x: x IS NOT NULL), ',') AS problems FROM ({AGREE}) WHERE length(seq) >= 12""",
 )
 def source_agreement(t):
     base = t.sql(AGREE).where(F.length("seq") >= 12)
     place = [F.lit("g").alias("name"), F.lit(11).alias("start"), F.lit(40).alias("end"), F.lit("+").alias("strand")]
     gff = base.select("record_id", *place)
-    nuc = base.where("doc_id % 4 <> 3").select(
-        "record_id", F.lit("g").alias("name"), F.when(F.col("doc_id") % 4 == 1, 12).otherwise(11).alias("start"), F.lit(40).alias("end"), F.lit("+").alias("strand"),
-        F.when(F.col("doc_id") % 4 == 2, F.substring("seq", 12, 30)).otherwise(F.substring("seq", 11, 30)).alias("seq"),
+    nuc = base.where("lang <> 'es'").select(
+        "record_id", F.lit("g").alias("name"), F.when(F.col("lang") == "fr", 12).otherwise(11).alias("start"), F.lit(40).alias("end"), F.lit("+").alias("strand"),
+        F.when(F.col("lang") == "de", F.substring("seq", 12, 30)).otherwise(F.substring("seq", 11, 30)).alias("seq"),
     )
-    prot = base.select("record_id", F.lit("g").alias("name"), F.lit(11).alias("start"), F.lit(40).alias("end"), F.when(F.col("doc_id") % 5 == 0, "-").otherwise("+").alias("strand"))
-    out = an.agreement(gff, nuc, prot, base.where("doc_id % 11 <> 0").select("record_id", "seq"))
+    prot = base.select("record_id", F.lit("g").alias("name"), F.lit(11).alias("start"), F.lit(40).alias("end"), F.when(F.col("source").isin("src5", "src10"), "-").otherwise("+").alias("strand"))
+    out = an.agreement(gff, nuc, prot, base.where("source <> 'src11'").select("record_id", "seq"))
     return out.select("record_id", "from_genome_only", F.array_join("problems", ",").alias("problems"))
 
 

@@ -335,12 +335,12 @@ def search_ranked(t):
 
 # -- set operations --------------------------------------------------------------------------------
 
-BRANDS = "SELECT l_suppkey, p_brand FROM {lineitem} JOIN {part} ON p_partkey = l_partkey"
+BRANDS = "SELECT l_returnflag, p_size, p_brand FROM {lineitem} JOIN {part} ON p_partkey = l_partkey"
 
 
-@query("set_shared_and_different", f"WITH a AS (SELECT DISTINCT p_brand FROM ({BRANDS}) WHERE l_suppkey = 1), b AS (SELECT DISTINCT p_brand FROM ({BRANDS}) WHERE l_suppkey = 2) SELECT 'both' AS side, p_brand FROM a INTERSECT SELECT 'both', p_brand FROM b UNION ALL (SELECT 'first', p_brand FROM a EXCEPT SELECT 'first', p_brand FROM b) UNION ALL (SELECT 'second', p_brand FROM b EXCEPT SELECT 'second', p_brand FROM a)")
+@query("set_shared_and_different", f"WITH a AS (SELECT DISTINCT p_brand FROM ({BRANDS}) WHERE l_returnflag = 'A' AND p_size = 1), b AS (SELECT DISTINCT p_brand FROM ({BRANDS}) WHERE l_returnflag = 'R' AND p_size = 2) SELECT 'both' AS side, p_brand FROM a INTERSECT SELECT 'both', p_brand FROM b UNION ALL (SELECT 'first', p_brand FROM a EXCEPT SELECT 'first', p_brand FROM b) UNION ALL (SELECT 'second', p_brand FROM b EXCEPT SELECT 'second', p_brand FROM a)")
 def sets(t):
     rows = t.sql(BRANDS)
-    a, b = (rows.where(F.col("l_suppkey") == k).select("p_brand") for k in (1, 2))
+    a, b = (rows.where((F.col("l_returnflag") == f) & (F.col("p_size") == n)).select("p_brand") for f, n in (("A", 1), ("R", 2)))
     named = lambda df, side: df.select(F.lit(side).alias("side"), "p_brand")
     return named(a.intersect(b), "both").union(named(a.exceptAll(b).distinct().join(b, "p_brand", "left_anti"), "first")).union(named(b.join(a, "p_brand", "left_anti").distinct(), "second"))
