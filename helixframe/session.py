@@ -23,16 +23,27 @@ def get_session(app: str = "helixframe", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise `df` in the reliable checkpoint directory the cluster names.
+def shared_dir(spark: SparkSession) -> str:
+    """Folder for intermediate tables: the one the session names in `spark.checkpoint.dir`.
 
-    Only where `spark.checkpoint.dir` is unset (local tests) a temporary directory is used.
+    Only a local session (tests, one machine) may leave the setting out and gets a temporary folder; on a
+    cluster, where executors share no local disk, a missing setting is an error.
     """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-"))
+    return spark.conf.get("spark.checkpoint.dir")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise `df` in the reliable checkpoint directory (see `shared_dir`)."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="spark-"))
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
 
 
