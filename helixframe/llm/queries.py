@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from helixframe.llm import license_join, quality_bands, secret_ownership
+from helixframe.llm import byte_cnn, license_join, mixture, packing, quality_bands, secret_ownership
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +26,11 @@ def op1_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bands.quality(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_hypergeometric_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.Mixture(table(spark, sf_dir, "documents")).totals()
+
+
 @query
 def op5_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_join.scan_licenses(table(spark, sf_dir, "documents")).drop("blocks")
@@ -34,3 +39,14 @@ def op5_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ownership.reported(secret_ownership.scan_secrets(table(spark, sf_dir, "documents")))
+
+
+@query
+def op9_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return byte_cnn.predict(docs, byte_cnn.fit(docs)).drop("n_windows")
+
+
+@query
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
