@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from helixframe.llm import byte_cnn, license_join, mixture, packing, quality_bands, secret_ownership
+from helixframe.llm import byte_cnn, license_join, minhash_dedup, mixture, packing, quality_bands, secret_ownership
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,6 +31,11 @@ def op2_hypergeometric_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.Mixture(table(spark, sf_dir, "documents")).totals()
 
 
+@query
+def op3_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
+
+
 @query
 def op5_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_join.scan_licenses(table(spark, sf_dir, "documents")).drop("blocks")
