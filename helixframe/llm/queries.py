@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from helixframe.llm import byte_cnn, license_join, minhash_dedup, mixture, packing, quality_bands, secret_ownership
+from helixframe.llm import byte_cnn, license_join, minhash_dedup, mixture, packing, quality_bands, secret_ownership, toxicity_zstd
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,6 +36,12 @@ def op3_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
 
 
+@query
+def op4_compression_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity_zstd.score(docs, toxicity_zstd.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op5_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_join.scan_licenses(table(spark, sf_dir, "documents")).drop("blocks")
