@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from helixframe.llm import byte_cnn, hamming_index, license_join, minhash_dedup, mixture, packing, quality_bands, secret_ownership, toxicity_zstd
+from helixframe.llm import byte_cnn, hamming_index, license_join, minhash_dedup, mixture, packing, pitman_yor, quality_bands, secret_ownership, toxicity_zstd
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -57,6 +57,11 @@ def op7_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_index.nearest(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
