@@ -8,7 +8,10 @@ bins run empty.  The pieces of bins that stay underfull are dealt out again, int
 
 from __future__ import annotations
 
+import re
+import sys
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -17,39 +20,58 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from helixframe.llm.common import per_text, texts, written
+from helixframe.llm.common import texts, written
 
 END_ID = 1
 PIECES = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 PIECES_DDL = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
 
 
+#: A sign of ASCII other than the apostrophe, right after a small ASCII letter: the pre-tokenizer always cuts there.
+AFTER_LETTER = re.compile(r"[!-&(-/:-@\[-`{-~](?<=[a-z].)")
+#: Blanks that every rule of the tokenizer drops; other blanks stay inside a chunk.
+BLANKS = bytes.maketrans(b"\n\t", b"  ")
+
+
+class ChunkIds(dict):
+    """The ids of chunks as little-endian bytes, tokenised when first asked for."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.encode, self.model = tokenizer.encode, tokenizer.model
+
+    def __missing__(self, chunk: str) -> bytes:
+        if chunk.isalpha() and chunk.isascii() and chunk.islower():  # one pre-token, and normal as it is
+            ids = [t.id for t in self.model.tokenize(chunk)]
+        else:
+            ids = self.encode(chunk, add_special_tokens=False).ids
+        value = self[chunk] = np.array(ids, "<u4").tobytes() if sys.byteorder == "big" else array("I", ids).tobytes()
+        return value
+
+
 class ChunkTokenizer:
-    """Token ids of a text, put together from those of its blank-separated chunks.
+    """Token ids of a text, put together from those of its chunks.
 
-    The vocabulary's pre-tokenizer never joins characters over a blank, so a chunk's ids do not depend on its
-    neighbours; chunks seen before are looked up.  The store of chunks is emptied when it reaches `most` entries.
+    Chunks end at blanks and between a letter and a sign.  The vocabulary lower-cases and its pre-tokenizer cuts at these
+    places, so a chunk's ids do not depend on its neighbours and each chunk is tokenised once.  Texts with the opening
+    of a special token are cut at blanks only.  The store of chunks is emptied when it has passed `most` entries.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 300_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
+        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.known = ChunkIds(self.tokenizer)
 
-    def ids(self, text: str) -> np.ndarray:
-        # Only blanks that every rule of the tokenizer drops; other blanks stay inside the chunk.
-        chunks = text.replace("\n", " ").replace("\t", " ").split(" ")
-        known = self.known
-        fresh = [c for c in set(chunks) if c not in known]
-        if fresh:
-            if len(known) + len(fresh) > self.most:
-                known.clear()
-                fresh = list(set(chunks))
-            for start in range(0, len(fresh), 4096):
-                part = fresh[start : start + 4096]
-                for chunk, encoding in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                    known[chunk] = np.array(encoding.ids, "<u4").tobytes()
-        return np.frombuffer(b"".join(map(known.__getitem__, chunks)), "<u4")
+    def ids(self, body: bytes) -> np.ndarray:
+        body = body.translate(BLANKS)
+        if b"<|" in body:
+            chunks = body.decode("utf-8", "replace").split(" ")
+        else:
+            chunks = AFTER_LETTER.sub(r" \g<0>", body.lower().decode("utf-8", "replace")).split(" ")
+        if len(self.known) > self.most:
+            self.known.clear()
+        return np.frombuffer(b"".join(map(self.known.__getitem__, chunks)), "<u4")
 
 
 def tokenized(path: str | None, capacity: int, end_id: int = END_ID):
@@ -63,14 +85,16 @@ def tokenized(path: str | None, capacity: int, end_id: int = END_ID):
             file = public_tokenizers.path("word_bpe_49k.json")
         tokenizer = ChunkTokenizer(file)
         for batch in batches:
-            out: list[tuple] = []
-            for doc_id, row, body in zip(*(batch.column(c).to_pylist() for c in ("id", "row", "body")), strict=True):
-                ids = np.append(tokenizer.ids((body or b"").decode("utf-8", "replace")), np.uint32(end_id)).astype("<u4")
-                for piece, start in enumerate(range(0, len(ids), capacity)):
-                    part = ids[start : start + capacity]
-                    out.append((doc_id, row, piece, start, len(part), zlib.crc32(part.tobytes())))
-            columns = list(zip(*out, strict=True)) or [()] * len(PIECES)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, PIECES.types, strict=True)], schema=PIECES)
+            for begin in range(0, batch.num_rows, 500):
+                slices = batch.slice(begin, 500)
+                out: list[tuple] = []
+                for doc_id, row, body in zip(*(slices.column(c).to_pylist() for c in ("id", "row", "body")), strict=True):
+                    ids = np.append(tokenizer.ids(body or b""), np.uint32(end_id)).astype("<u4")
+                    for piece, start in enumerate(range(0, len(ids), capacity)):
+                        part = ids[start : start + capacity]
+                        out.append((doc_id, row, piece, start, len(part), zlib.crc32(part.tobytes())))
+                columns = list(zip(*out, strict=True)) or [()] * len(PIECES)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, PIECES.types, strict=True)], schema=PIECES)
 
     return run
 
