@@ -46,3 +46,8 @@ def per_text(make: Callable[[], Callable[..., tuple]], schema: pa.Schema, inputs
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
     return run
+
+
+def numbered(docs: DataFrame, name: str = "_row") -> DataFrame:
+    """`docs` written to the shared folder with a column of unique numbers, which later reads see alike."""
+    return written(docs.withColumn(name, F.monotonically_increasing_id()), "rows")

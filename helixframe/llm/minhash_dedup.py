@@ -196,15 +196,17 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 class Deduplicator:
     """Near duplicates of a table; `result()` has one row for each row of it."""
 
-    def __init__(self, docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands: Bands = Bands(), id_col: str = "doc_id", text_col: str = "text"):
-        """Documents are linked where 100 * shared shingles >= percent * distinct shingles of both.
+    def __init__(self, docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands: Bands = Bands(), id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None):
+        """`row_col` names a column of unique numbers, if there is one; else rows are numbered.
+
+        Documents are linked where 100 * shared shingles >= percent * distinct shingles of both.
 
         A-Z are lower-cased, words split at the six ASCII blanks.  Null and blank texts have no shingles and no links.
         A row with a null id takes no part in links and is its own, with a null component.  Repeated rows are linked
         as copies, and one of them is kept.  Other columns are ignored; an empty table gives an empty result.
         """
         self.docs, self.size, self.percent, self.id_col, self.text_col = docs, shingle_words, percent, id_col, text_col
-        rows = texts(docs, id_col, text_col, F.monotonically_increasing_id().alias("row"))
+        rows = texts(docs, id_col, text_col, (F.col(row_col) if row_col else F.monotonically_increasing_id()).cast("long").alias("row"))
         self.signed = written(rows.mapInArrow(sign(shingle_words, bands), SIGNED_DDL), "signed")
         first = F.min(F.struct("doc_id", "row"))
         classes = self.signed.where("same is not null and doc_id is not null").groupBy("same").agg(first.alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys"))
@@ -242,16 +244,16 @@ class Deduplicator:
         return with_both.select("a", "b", "x", "y").mapInArrow(confirmed(self.percent), "a long, b long, shared long, joint long")
 
     def result(self) -> DataFrame:
-        """doc_id, n_shingles, component_id (the smallest id in reach) and kept, true for one row of each component."""
+        """doc_id, row, n_shingles, component_id (the smallest id in reach) and kept, true for one row of each component."""
         comp = components(self.links())
         labelled = self.classes.select("cid", "same", F.struct("doc_id", "row").alias("first")).join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
         best = labelled.groupBy("comp").agg(F.min("first").alias("best"))
         by_class = labelled.join(best, "comp").select("same", F.col("best.doc_id").alias("component_id"), F.col("best.row").alias("best_row"))
         rows = self.signed.select("doc_id", "row", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("same")).alias("same"))
         joined = rows.join(by_class, "same", "left")
-        return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce(F.col("row") == F.col("best_row"), F.lit(True)).alias("kept"))
+        return joined.select("doc_id", "row", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce(F.col("row") == F.col("best_row"), F.lit(True)).alias("kept"))
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """See `Deduplicator`; its result."""
-    return Deduplicator(docs, **options).result()
+    """See `Deduplicator`; its result without row numbers."""
+    return Deduplicator(docs, **options).result().drop("row")

@@ -139,16 +139,17 @@ def block_start(block: Column) -> Column:
 class Mixture:
     """The mix of a table: `documents` (one row each, with sizes and its source's target) and `pieces` (what is taken)."""
 
-    def __init__(self, docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most: float = 3.0, block_words: int = 128, shard_words: int = 1_000_000, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", bucket_rows: int = 1000):
+    def __init__(self, docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most: float = 3.0, block_words: int = 128, shard_words: int = 1_000_000, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None, bucket_rows: int = 1000):
         """weights: repeated over the sources in code point order, null last; most: largest number of times that a source's size is taken.
 
         A null text has size 0; rows of size 0 are listed and nothing of them is taken; repeated rows are rows of
         their own; columns beyond the three named are ignored; an empty table gives empty results.  Runs agree: every draw is a hash of
-        the seed, the ids and the sizes.
+        the seed, the ids and the sizes.  `row_col` names a column of unique numbers, if there is one; else rows are numbered.
         """
         size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-        rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size")).withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "size"))
-        rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
+        number = F.col(row_col) if row_col else F.monotonically_increasing_id()
+        rows = docs.select(number.cast("long").alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"))
+        rows = written(rows.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "size")), "mix-sizes")
         count, words = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
         self.shard_levels = max(0, (-(-words // shard_words) - 1).bit_length())
         self.seed = seed
@@ -195,3 +196,22 @@ class Mixture:
         """doc_id, size, source_size, target, taken of every document, taken words counted with repeats."""
         taken = self.pieces().groupBy("row").agg(F.sum("length").alias("taken"))
         return self.documents.join(taken, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+    def texts(self, docs: DataFrame, row_col: str, text_col: str = "text") -> DataFrame:
+        """`docs` as mixed: a row for each pass over a document, its text cut to the words taken in that pass.
+
+        Words taken whole leave the text as it is; of a part, each word comes with the blanks before it.  A row goes to the
+        shard of its first part, and each shard lies in one partition in its hashed order.
+        """
+        end = F.col("start") + F.col("length")
+        by_pass = self.pieces().groupBy("row", "pass").agg(
+            F.min_by(F.struct("shard", "order"), "start").alias("at"), F.sum("length").alias("words"), F.array_sort(F.collect_list(F.struct("start", end.alias("end")))).alias("parts")
+        )
+        parts = F.transform("parts", lambda p: F.struct(p["start"].alias("start"), (p["end"] - p["start"]).alias("length")))
+        taken = by_pass.join(self.documents.select("row", "size"), "row").select(F.col("row").alias("_taken"), (F.col("words") < F.col("size")).alias("_part"), parts.alias("_parts"), F.col("at.shard").alias("_shard"), F.col("at.order").alias("_order"))
+        text = F.col(text_col)
+        words = F.regexp_extract_all(text, F.lit("(" + SPACED_WORD + ")"), F.lit(1))
+        cut = F.array_join(F.flatten(F.transform("_parts", lambda p: F.slice("_words", p["start"].cast("int") + 1, p["length"].cast("int")))), "")
+        joined = docs.join(taken, F.col(row_col) == F.col("_taken")).withColumn("_words", F.when(F.col("_part"), words))
+        mixed = joined.select("_shard", "_order", *[F.when(F.col("_part"), cut).otherwise(text).alias(c) if c == text_col else F.col(c) for c in docs.columns])
+        return mixed.repartition("_shard").sortWithinPartitions("_shard", "_order").drop("_shard", "_order")

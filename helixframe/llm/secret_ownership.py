@@ -83,10 +83,10 @@ def scan(min_entropy: float):
     return make
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", common_owners: int = 3, min_entropy: float = 2.8) -> DataFrame:
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", common_owners: int = 3, min_entropy: float = 2.8, row_col: str | None = None) -> DataFrame:
     """Every row of `docs` with its candidate spans and their ownership.
 
-    Result: doc_id, n_assign, n_access, n_hex, base_sha256 and `secrets`, an array ordered by place of
+    Result: row (`row_col`, a column of unique numbers, or a running one), doc_id, n_assign, n_access, n_hex, base_sha256 and `secrets`, an array ordered by place of
     {start, end (code points, exclusive), kind, base, n_repos, n_owners, verdict}.  verdict is `example` from
     `common_owners` distinct owners on, else `live` for a random-looking value (12 characters and `min_entropy` bits
     each), else `weak`.  Null texts are empty; a null owner or repository counts as one of its own; repeated rows
@@ -95,9 +95,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Texts are scanned once.  Only hashes, ids and owners are shuffled: distinct (hash, repository) and (hash, owner)
     are reduced inside the map tasks first, so a value that a third of all rows hold costs a row a task.
     """
-    cols = texts(docs, id_col, text_col, F.col(owner_col).cast("string").alias("owner"), F.col(repo_col).cast("string").alias("repo"))
-    scanned = cols.select("id", "owner", "body", "repo").mapInArrow(_with_repo(min_entropy), FOUND_DDL + ", repo string, row long")
-    scanned = written(scanned.withColumn("row", F.monotonically_increasing_id()), "secrets")
+    cols = texts(docs, id_col, text_col, F.col(owner_col).cast("string").alias("owner"), F.col(repo_col).cast("string").alias("repo"), (F.col(row_col) if row_col else F.monotonically_increasing_id()).cast("long").alias("row"))
+    scanned = written(cols.mapInArrow(_with_repo(min_entropy), FOUND_DDL + ", repo string, row long"), "secrets")
     hits = scanned.where(F.size("found") > 0).select("row", "owner", "repo", F.posexplode("found").alias("place", "f")).select("row", "owner", "repo", "place", "f.*")
     owners = hits.select("value_hash", "owner").distinct().groupBy("value_hash").agg(F.count("*").alias("n_owners"))
     repos = hits.select("value_hash", "repo").distinct().groupBy("value_hash").agg(F.count("*").alias("n_repos"))
@@ -108,7 +107,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     per_row = judged.groupBy("row").agg(F.array_sort(F.collect_list("s")).alias("secrets"))
     empty = F.array().cast("array<struct<place:int,start:int,end:int,kind:string,base:boolean,n_repos:bigint,n_owners:bigint,verdict:string>>")
-    return scanned.join(per_row, "row", "left").select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.coalesce("secrets", empty).alias("secrets"))
+    return scanned.join(per_row, "row", "left").select("row", "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.coalesce("secrets", empty).alias("secrets"))
 
 
 def _with_repo(min_entropy: float):
@@ -117,9 +116,9 @@ def _with_repo(min_entropy: float):
 
     def make():
         one = plain()
-        return lambda doc_id, owner, body, repo: (*one(doc_id, owner, body), repo, 0)
+        return lambda doc_id, owner, body, repo, row: (*one(doc_id, owner, body), repo, row)
 
-    return per_text(make, schema, ("id", "owner", "body", "repo"))
+    return per_text(make, schema, ("id", "owner", "body", "repo", "row"))
 
 
 def reported(found: DataFrame) -> DataFrame:
@@ -130,22 +129,22 @@ def reported(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", as_text.alias("spans"), count("live").alias("n_live"), count("example").alias("n_example"))
 
 
-def mask_live(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "<secret>") -> DataFrame:
+def mask_live(docs: DataFrame, found: DataFrame, row_col: str, text_col: str = "text", mark: str = "<secret>") -> DataFrame:
     """`docs` with the live spans of each text replaced by `mark`; examples and weak values stay.
 
-    `found` is the result of `scan_secrets` over the same rows (one row for each id).  Overlapping spans are merged.
+    `found` is the result of `scan_secrets` over the same rows with the same `row_col`.  Overlapping spans are merged.
     """
     live = F.filter("secrets", lambda s: s["verdict"] == "live")
-    spans = found.select(F.col("doc_id").alias("_id"), F.transform(live, lambda s: F.struct(s["start"].alias("a"), s["end"].alias("b"))).alias("_spans")).where(F.size("_spans") > 0).dropDuplicates(["_id"])
-    # Spans come ordered by start: each adds the text since the furthest end so far, and the mark where it starts anew.
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    spans = found.select(F.col("row").alias("_found"), F.transform(live, lambda s: F.struct(s["start"].alias("a"), s["end"].alias("b"))).alias("_spans")).where(F.size("_spans") > 0)
     text = F.col(text_col)
+    # Spans come ordered by start: each adds the text since the furthest end so far, and the mark where it starts anew.
+    begin = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
     def step(acc, s):
         fresh = s["a"] >= acc["at"]
         piece = F.when(fresh, F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["a"] - acc["at"]), F.lit(mark))).otherwise(acc["out"])
         return F.struct(piece.alias("out"), F.greatest(acc["at"], s["b"]).alias("at"))
 
-    masked = F.aggregate("_spans", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    joined_docs = docs.join(spans, F.col(id_col) == F.col("_id"), "left")
+    masked = F.aggregate("_spans", begin, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    joined_docs = docs.join(spans, F.col(row_col) == F.col("_found"), "left")
     return joined_docs.select(*[F.when(F.col("_spans").isNull(), text).otherwise(masked).alias(c) if c == text_col else F.col(c) for c in docs.columns])
