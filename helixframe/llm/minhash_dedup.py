@@ -2,10 +2,10 @@
 
 Two permutations of the 32-bit numbers give a whole signature: the first breaks up the order of a set's elements, the
 second, shifted circularly by k, gives coordinate k (the least shifted value over the set).  Bands of coordinates are the
-candidate keys.  Texts with equal sets are one class from the start.  Candidates are confirmed on full sets, in two
-rounds: first every class against the smallest class it shares a band with, then only those pairs of a band
-that are not yet in one component.  So a large group of near copies costs one comparison a class, and no link
-that could join two components is left out.
+candidate keys.  Texts with equal sets are one class from the start.  Candidates are confirmed on full sets, in rounds:
+first every class against the smallest class it shares a band with, then all those pairs of a band that are not yet in
+one component.  In crowded bands the second round compares blocks of sets and returns only links that join
+components, so a large group of near copies gives no row for each pair, and no link that could join two is left out.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import hashlib
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
@@ -174,6 +175,38 @@ def confirmed(percent: int):
     return run
 
 
+def spanning_links(cids: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], percent: int) -> pd.DataFrame:
+    """Links among the sets that join components, from the sizes of all intersections."""
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    column = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    shared = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for first in range(0, int(column[-1]) + 1, 4096):  # so many distinct elements at a time
+        a, b = np.searchsorted(column, [first, first + 4096])
+        who, where = np.unique(owner[a:b], return_inverse=True)
+        has = np.zeros((len(who), 4096), np.float32)
+        has[where, column[a:b] - first] = 1
+        shared[np.ix_(who, who)] += has @ has.T
+    linked = 100 * shared.astype(np.int64) >= percent * (sizes[:, None] + sizes[None, :] - shared.astype(np.int64))
+    root = {c: c for c in set(comp.tolist())}
+
+    def find(c):
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    out = []
+    for i, j in zip(*np.nonzero(np.triu(linked & (comp[:, None] != comp[None, :]), 1)), strict=True):
+        p, q = find(int(comp[i])), find(int(comp[j]))
+        if p != q:
+            root[max(p, q)] = min(p, q)
+            out.append((min(cids[i], cids[j]), max(cids[i], cids[j])))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(cid, comp) of every linked class; comp is the least cid that can be reached.
 
@@ -196,9 +229,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 class Deduplicator:
     """Near duplicates of a table; `result()` has one row for each row of it."""
 
-    def __init__(self, docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands: Bands = Bands(), id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None):
+    def __init__(self, docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands: Bands = Bands(), id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None, crowd: int = 32, block: int = 1000):
         """`row_col` names a column of unique numbers, if there is one; else rows are numbered.
 
+        Bands of more than `crowd` classes are compared in blocks of `block`; that changes the plan, not the links.
+
         Documents are linked where 100 * shared shingles >= percent * distinct shingles of both.
 
         A-Z are lower-cased, words split at the six ASCII blanks.  Null and blank texts have no shingles and no links.
@@ -206,6 +241,7 @@ class Deduplicator:
         as copies, and one of them is kept.  Other columns are ignored; an empty table gives an empty result.
         """
         self.docs, self.size, self.percent, self.id_col, self.text_col = docs, shingle_words, percent, id_col, text_col
+        self.crowd, self.block = crowd, block
         rows = texts(docs, id_col, text_col, (F.col(row_col) if row_col else F.monotonically_increasing_id()).cast("long").alias("row"))
         self.signed = written(rows.mapInArrow(sign(shingle_words, bands), SIGNED_DDL), "signed")
         first = F.min(F.struct("doc_id", "row"))
@@ -220,23 +256,39 @@ class Deduplicator:
         banded = self.classes.select("cid", "n", F.explode("keys").alias("key"))
         heads = banded.groupBy("key").agg(F.min(F.struct("cid", "n")).alias("head"), F.count("*").alias("members")).where("members > 1")
         shared = written(banded.join(heads.select("key", "head"), "key"), "shared")
-        stars = shared.where((F.col("cid") != F.col("head.cid")) & self.alike(F.col("n"), F.col("head.n"))).groupBy(F.col("cid").alias("a")).agg(F.min("head.cid").alias("b"))
+        stars = shared.where((F.col("cid") != F.col("head.cid")) & self.alike(F.col("n"), F.col("head.n"))).groupBy(F.col("cid").alias("b")).agg(F.min("head.cid").alias("a")).select("a", "b")
         wanted = shared.select("cid").distinct().join(self.classes.select("cid", "same", "doc_id"), "cid")
         bodies = texts(self.docs, self.id_col, self.text_col).join(wanted, F.col("id") == F.col("doc_id")).select("cid", "same", "body")
         self.sets = written(bodies.mapInArrow(full_sets(self.size), "cid long, elements binary"), "sets")
-        found = written(self.confirm(stars), "links")
+        tested = written(stars, "tested")
+        found = written(self.confirm(tested), "links")
         comp = components(found)
         members = written(shared.select("key", "cid", "n").join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), "members")
-        parts = members.groupBy("key", "comp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-        # Only keys whose members lie in more than one component, and only pairs of components whose sizes overlap.
-        split = written(parts.join(parts.groupBy("key").agg(F.min("comp").alias("p"), F.max("comp").alias("q")).where("p < q").select("key"), "key"), "split")
-        other = split.select("key", F.col("comp").alias("comp_b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"))
-        overlap = (F.col("high") * 100 >= F.col("low_b") * self.percent) & (F.col("high_b") * 100 >= F.col("low") * self.percent)
-        apart = split.join(other, "key").where((F.col("comp") < F.col("comp_b")) & overlap).select("key", "comp", "comp_b")
-        left = apart.join(members.select("key", "comp", F.col("cid").alias("a"), F.col("n").alias("n_a")), ["key", "comp"])
-        right = members.select("key", F.col("comp").alias("comp_b"), F.col("cid").alias("b"), F.col("n").alias("n_b"))
-        pairs = left.join(right, ["key", "comp_b"]).where(self.alike(F.col("n_a"), F.col("n_b"))).select("a", "b").distinct()
-        return found.unionByName(written(self.confirm(pairs), "links"))
+        # Only bands whose members lie in more than one component.
+        several = members.groupBy("key").agg(F.count("*").alias("members"), F.min("comp").alias("p"), F.max("comp").alias("q")).where("p < q").select("key", "members")
+        members = written(members.join(several, "key"), "split")
+        few = members.where(F.col("members") <= self.crowd)
+        other = few.select("key", F.col("comp").alias("comp_b"), F.col("cid").alias("b"), F.col("n").alias("n_b"))
+        pairs = few.join(other, "key").where((F.col("cid") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & self.alike(F.col("n"), F.col("n_b")))
+        pairs = pairs.select(F.col("cid").alias("a"), "b").distinct().join(tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+        found = found.unionByName(written(self.confirm(pairs), "links"))
+        return found.select("a", "b").unionByName(written(self.confirm_crowded(members.where(F.col("members") > self.crowd)), "links"))
+
+    def confirm_crowded(self, members: DataFrame) -> DataFrame:
+        """Links inside crowded bands, without a row for each pair.
+
+        A band's classes are dealt into blocks of about `block` and every two blocks meet in one task, which compares their
+        classes and returns links that join different components.
+        """
+        blocks = F.ceil(F.col("members") / self.block)
+        dealt = members.withColumn("mine", F.pmod(F.xxhash64("cid"), blocks)).withColumn("yours", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        dealt = dealt.select("key", F.least("mine", "yours").alias("i"), F.greatest("mine", "yours").alias("j"), "cid", "comp").join(self.sets, "cid")
+        percent = self.percent
+
+        def meet(frame):
+            return spanning_links(frame["cid"].to_numpy(), frame["comp"].to_numpy(), [unpacked(e) for e in frame["elements"]], percent)
+
+        return dealt.groupBy("key", "i", "j").applyInPandas(meet, "a long, b long")
 
     def confirm(self, pairs: DataFrame) -> DataFrame:
         with_a = pairs.join(self.sets.select(F.col("cid").alias("a"), F.col("elements").alias("x")), "a")
