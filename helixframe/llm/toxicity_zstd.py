@@ -180,10 +180,14 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1, modulus: int = 3,
     """Learned from labelled documents outside the held-out remainder, the first of each kind by a hash of the id."""
     flag = F.col(label_col).cast("int")
     marks = labels.where((id_remainder(id_col, modulus) != held_out) & flag.isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(flag).alias("toxic"))
-    rows = texts(docs, id_col, text_col).where("body is not null").join(marks, "id").where(F.length("body") <= how.most_bytes)
-    kinds = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    first = lambda kind, most: [bytes(r["body"]) for r in rows.where(F.col("toxic") == kind).orderBy(F.xxhash64("id"), "id", "body").limit(most).select("body").collect()]
-    toxic, ordinary = first(1, how.toxic), first(0, how.ordinary)
+    rows = texts(docs, id_col, text_col)
+    sizes = rows.select("id", F.length("body").alias("n")).where(F.col("n") <= how.most_bytes).join(marks, "id").select("id", "toxic").distinct()
+    kinds = {r["toxic"]: r["n"] for r in sizes.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    first = lambda kind, most: sizes.where(F.col("toxic") == kind).orderBy(F.xxhash64("id"), "id").limit(most)
+    # Ids are chosen before a text is moved; the chosen ones are at most how.toxic + how.ordinary.
+    chosen = rows.join(F.broadcast(first(1, how.toxic).union(first(0, how.ordinary))), "id").where(F.length("body") <= how.most_bytes)
+    bodies = sorted((r["toxic"], bytes(r["body"])) for r in chosen.select("toxic", "body").collect())
+    toxic, ordinary = [b for kind, b in bodies if kind], [b for kind, b in bodies if not kind]
     model = learn(toxic, ordinary, how)
     if toxic and ordinary:
         model.weights[0] += np.log(kinds[1] / kinds[0]) - np.log(len(toxic) / len(ordinary))
