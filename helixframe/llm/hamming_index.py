@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from helixframe.llm.common import written
@@ -88,7 +87,7 @@ def learn(x: np.ndarray, k: int, how: Training) -> Codes:
 
 
 def search_group(members: tuple[np.ndarray, np.ndarray], queries: tuple[np.ndarray, np.ndarray, np.ndarray], codes: Codes, radius: int, j: int, k: int):
-    """(query, class, score) of the k best classes of one index group, by exact probing of the group's posting lists.
+    """(query, class, score) of the k best classes of a block that the index of substring j retrieves, by probing its posting lists.
 
     A pair that several indexes retrieve is reported by the first one only: the earliest substring within the reach.
     """
@@ -140,55 +139,29 @@ class Index:
         sample = self.classes.orderBy(F.xxhash64("cid")).limit(how.sample).select("v").toPandas()["v"]
         self.codes = learn(np.array(sample.tolist(), float).reshape(-1, self.dimension), k, how)
 
-    def groups(self, bits: int) -> DataFrame:
-        """Classes with their place in every index: (substring, leading bits of its value), and a salt for crowded ones."""
-        codes, shift = self.codes, BITS - bits
-
-        def place(batches):
-            for batch in batches:
-                x = np.array(batch.column("v").to_pylist(), float).reshape(-1, codes.rotation.shape[0])
-                code = codes.of(x) >> shift
-                yield pa.RecordBatch.from_arrays([batch.column("cid"), batch.column("v"), pa.array(list(code.astype(np.int32)), pa.list_(pa.int32()))], names=["cid", "v", "parts"])
-
-        placed = self.classes.mapInArrow(place, "cid long, v array<double>, parts array<int>")
-        return placed.select("cid", "v", F.posexplode("parts").alias("j", "part"))
-
     def search(self, queries: DataFrame, radius: int | None = None) -> DataFrame:
         """(query_id, cid, score): each query's k best classes among those that the radius retrieves.
 
-        queries: query_id, own (its class), v.  Each index is dealt out in groups of about `group_rows` classes, a crowded group
-        in salted parts; a query goes to the groups that can hold a value in its reach, and queries come in blocks of that size too.
+        queries: query_id, own (its class), v.  Classes and queries are dealt by hash into blocks of about `group_rows`; a task
+        holds one block of each, with an index of its classes for every substring, and returns k rows a query.
         """
         radius, codes, k = self.codes.radius if radius is None else radius, self.codes, self.k
-        reach = radius // codes.substrings
-        n = self.classes.count()
-        bits = min(BITS, max(0, (-(-n // self.group_rows) - 1).bit_length()))
-        index = written(self.groups(bits), "index")
-        sizes = index.groupBy("j", "part").count().select("j", "part", F.ceil(F.col("count") / self.group_rows).alias("salts"))
-        index = index.join(sizes, ["j", "part"]).withColumn("salt", F.pmod(F.xxhash64("cid"), F.col("salts")))
+        pieces = max(1, -(-self.classes.count() // self.group_rows))
         blocks = max(1, -(-queries.count() // self.group_rows))
-
-        def parts(batches):
-            for batch in batches:
-                x = np.array(batch.column("v").to_pylist(), float).reshape(-1, codes.rotation.shape[0])
-                code = codes.of(x) >> (BITS - bits)
-                yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("own"), batch.column("v"), pa.array(list(code.astype(np.int32)), pa.list_(pa.int32()))], names=["query_id", "own", "v", "parts"])
-
-        asked = queries.select("query_id", "own", "v").mapInArrow(parts, "query_id long, own long, v array<double>, parts array<int>")
-        asked = asked.select("query_id", "own", "v", F.posexplode("parts").alias("j", "mine")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit((1 << bits) - 1))))
-        asked = asked.where(F.bit_count(F.col("part").bitwiseXOR(F.col("mine"))) <= reach).withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
-        asked = asked.join(sizes, ["j", "part"]).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
-        index = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+        numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        index = self.classes.withColumn("piece", F.pmod(F.xxhash64("cid"), F.lit(pieces)).cast("int")).withColumn("block", numbers(blocks))
+        asked = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn("piece", numbers(pieces))
 
         def probe(key, own: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+            members = own["cid"].to_numpy(), np.array(own["v"].tolist(), float).reshape(len(own), -1)
+            wanted = theirs["query_id"].to_numpy(), theirs["own"].to_numpy(), np.array(theirs["v"].tolist(), float).reshape(len(theirs), -1)
             if not len(own) or not len(theirs):
                 return pd.DataFrame({"query_id": [], "cid": [], "score": []})
-            members = own["cid"].to_numpy(), np.array(own["v"].tolist(), float)
-            wanted = theirs["query_id"].to_numpy(), theirs["own"].to_numpy(), np.array(theirs["v"].tolist(), float)
-            found = list(search_group(members, wanted, codes, radius, int(key[0]), k))
-            return pd.DataFrame({name: np.concatenate([f[i] for f in found]) for i, name in enumerate(("query_id", "cid", "score"))})
+            found = [f for j in range(codes.substrings) for f in search_group(members, wanted, codes, radius, j, k)]
+            hits = pd.DataFrame({name: np.concatenate([f[i] for f in found]) for i, name in enumerate(("query_id", "cid", "score"))})
+            return hits.sort_values(["query_id", "score", "cid"], ascending=[True, False, True]).groupby("query_id").head(k)
 
-        by = ["j", "part", "salt", "block"]
+        by = ["piece", "block"]
         hits = index.select(*by, "cid", "v").groupBy(*by).cogroup(asked.select(*by, "query_id", "own", "v").groupBy(*by)).applyInPandas(probe, "query_id long, cid long, score double")
         best = W.partitionBy("query_id").orderBy(F.desc("score"), "cid")
         return hits.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k).drop("r")
