@@ -11,7 +11,8 @@ from pyspark.sql import Column, functions as F
 IUPAC = "ACGTRYSWKMBDHVN"
 IUPAC_COMPLEMENT = "TGCAYRSWMKVHDBN"
 
-CIGAR = r"^(?:[1-9][0-9]*[MIDNSHP=X])+$"
+# Groups are repeated possessively: the engine then loops instead of recursing, however long the text is.
+CIGAR = r"^(?:[1-9][0-9]*[MIDNSHP=X])++$"
 OP = "struct<op:string,n:int,ref:bigint,query:bigint>"
 
 

@@ -315,7 +315,7 @@ def enrichment_scores(curve: DataFrame, extra: list[str] = []) -> DataFrame:
     )
 
 
-def permuted_scores(ranked: DataFrame, sets: DataFrame, permutations: int, seed: str = "", min_size: int = 10, max_size: int = 500) -> DataFrame:
+def permuted_scores(ranked: DataFrame, sets: DataFrame, permutations: int = 1000, seed: str = "", min_size: int = 10, max_size: int = 500) -> DataFrame:
     """Null scores: gene labels are re-ordered by a seeded hash, once per permutation.
 
     Rows are permutations x genes, laid out by range over (permutation, contrast, hash), so no task holds a

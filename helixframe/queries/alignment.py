@@ -19,7 +19,7 @@ SELECT 'all' AS sample, 'q' || CAST(l_orderkey AS STRING) AS qname,
   translate(substr(md5(CAST(l_orderkey AS STRING) || '/' || CAST(l_partkey AS STRING)), 1, 10), '0123456789abcdef', 'AAAAAAACCCCGGGTN') AS seq,
   CASE WHEN l_extendedprice BETWEEN 20000 AND 21000 THEN '*' ELSE translate(substr(md5(CAST(l_partkey AS STRING)), 11, 10), '0123456789abcdef', '!+5?I5+5?I5?IIII') END AS qual,
   CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_returnflag END AS rg
-FROM {wide_lineitem}"""
+FROM {lineitem}"""
 REFS = "SELECT 'all' AS sample, 'S' || CAST(s_suppkey AS STRING) AS rname, (SELECT MAX(p_partkey) + 251 FROM {part}) AS length FROM {supplier}"
 SITES = "SELECT DISTINCT 'all' AS sample, 'S' || CAST(l_suppkey AS STRING) AS rname, l_partkey + 4 AS pos FROM {lineitem} WHERE l_returnflag = 'R'"
 

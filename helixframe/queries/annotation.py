@@ -33,7 +33,7 @@ def kind_of(name: str) -> str:
 FEATURES = f"""SELECT CAST(l_orderkey AS STRING) AS record_id, l_linenumber * 100000000000 + l_partkey * 100000 + l_suppkey AS feature_id, {pick([kind_of(c) for c in CANON])} AS type,
   {pick(SPELLINGS)} AS gene, {pick(CANON)} AS canon, CASE WHEN l_returnflag = 'A' THEN -1 ELSE 1 END AS strand, l_linenumber * 40 AS s1, l_linenumber * 40 + CAST(l_quantity AS BIGINT) * 2 AS e1,
   CASE WHEN l_tax > 0.045 THEN l_linenumber * 40 + 150 END AS s2, CASE WHEN l_tax > 0.045 THEN l_linenumber * 40 + 150 + CAST(l_quantity AS BIGINT) END AS e2, CASE WHEN l_discount > 0.05 THEN 'seq:tag' END AS ac,
-  CASE WHEN l_extendedprice > 50000 THEN 'x' END AS note FROM {{wide_lineitem}}"""
+  CASE WHEN l_extendedprice > 50000 THEN 'x' END AS note FROM {{lineitem}}"""
 UNIQ = f"SELECT * FROM ({FEATURES}) QUALIFY row_number() OVER (PARTITION BY record_id, feature_id ORDER BY s1, e1, strand, s2, ac, note) = 1"
 
 
@@ -158,14 +158,15 @@ def barcode(t):
 
 @query(
     "annot_codon_functions",
-    """SELECT doc_id, CASE WHEN regexp_full_match(w, '[ACGTURYKMSWBDHVN]{3}') THEN w END AS codon FROM (SELECT doc_id, upper(trim(left(text, 4))) AS w FROM documents)""",
+    """SELECT doc_id, CASE WHEN regexp_full_match(w, '[ACGTURYKMSWBDHVN]{3}') THEN w END AS codon, COUNT(*) AS n FROM (SELECT doc_id, upper(unnest(regexp_extract_all(text, '[A-Za-z]+'))) AS w FROM documents) GROUP BY ALL""",
 )
 def codons(t):
-    return t.documents.select("doc_id", nm.codon(F.left("text", F.lit(4))).alias("codon"))
+    words = t.documents.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("([A-Za-z]+)"), F.lit(1))).alias("w"))
+    return words.groupBy("doc_id", nm.codon(F.col("w")).alias("codon")).agg(F.count("*").alias("n"))
 
 
 # Coding features cut from the texts' letters: two pieces of every text, joined.
-CDS_SQL = f"SELECT CAST(doc_id AS STRING) AS record_id, {DNA} AS sequence, doc_id FROM {{wide_documents}}"
+CDS_SQL = f"SELECT CAST(doc_id AS STRING) AS record_id, {DNA} AS sequence, doc_id FROM {{documents}}"
 
 
 def coding(t):
@@ -275,7 +276,7 @@ def frame_state(t):
 
 
 # Annotator rows against files and genome: genome and files come from one text.
-AGREE = f"SELECT CAST(doc_id AS STRING) AS record_id, {DNA} AS seq, lang, source FROM {{wide_documents}}"
+AGREE = f"SELECT CAST(doc_id AS STRING) AS record_id, {DNA} AS seq, lang, source FROM {{documents}}"
 
 
 @query(

@@ -22,7 +22,7 @@ SELECT CAST(doc_id AS STRING) AS uid, doc_id AS record_ord,
   CASE lang WHEN 'en' THEN 'TXT, csv' WHEN 'fr' THEN 'CEL; txt' WHEN 'de' THEN 'mtx;MTX' ELSE '' END AS supplemental_files,
   CASE lang WHEN 'en' THEN 'PRJNA' || CAST(doc_id AS STRING) || '; none' ELSE '' END AS bioproject,
   '' AS ftp_link
-FROM {wide_documents}"""
+FROM {documents}"""
 HITS = f"""
 SELECT q.query_ord, q.query, r.* FROM ({RECORDS}) r JOIN (
   SELECT 1 AS query_ord, 'the   first query' AS query, ' the ' AS word UNION ALL SELECT 2, ' der second', ' que ' UNION ALL SELECT 3, 'third', 'ren'
@@ -204,12 +204,13 @@ def page_links(t):
 
 @query(
     "discover_goal_keyword",
-    """SELECT doc_id, CASE WHEN t = '' THEN 'general' WHEN contains(t, 'wgcna') THEN 'wgcna' WHEN contains(t, 'validation') THEN 'validation'
+    """SELECT doc_id, i, CASE WHEN t = '' THEN 'general' WHEN contains(t, 'wgcna') THEN 'wgcna' WHEN contains(t, 'validation') THEN 'validation'
       WHEN contains(t, 'machine') OR contains(t, 'ml') THEN 'machine_learning' WHEN contains(t, 'deg') OR contains(t, 'differential') THEN 'differential_expression'
-      ELSE replace(t, ' ', '_') END AS goal FROM (SELECT doc_id, lower(trim(regexp_extract(text, '^[^.]*', 0))) AS t FROM documents)""",
+      ELSE replace(t, ' ', '_') END AS goal FROM (SELECT doc_id, i, lower(trim(s[i])) AS t FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT doc_id, string_split(text, '.') AS s FROM documents)))""",
 )
 def goals(t):
-    return t.documents.select("doc_id", tx.goal(F.regexp_extract("text", "^[^.]*", 0)).alias("goal"))
+    sentences = t.documents.select("doc_id", F.posexplode(F.split("text", r"\.")).alias("i", "s"))
+    return sentences.select("doc_id", (F.col("i") + 1).cast("long").alias("i"), tx.goal(F.col("s")).alias("goal"))
 
 
 @query(
@@ -305,7 +306,7 @@ SELECT 'SRP' || CAST(o_custkey AS STRING) AS accession, 'SRR' || CAST(o_orderkey
   CASE WHEN o_totalprice > 300000 THEN '' ELSE o_orderstatus END AS treatment, CAST(YEAR(o_orderdate) AS STRING) AS source,
   'tissue: ' || o_orderpriority || ' || Treatment = attr ' || o_orderstatus || ' ||; age: ' || CAST(MONTH(o_orderdate) AS STRING) || ';|| sex || age:' || CAST(MONTH(o_orderdate) + 1 AS STRING) AS sample_attribute,
   CASE WHEN o_totalprice > 100000 THEN 'SAMN' || CAST(o_custkey AS STRING) || o_orderstatus ELSE ' ' END AS biosample
-FROM {wide_orders}"""
+FROM {orders}"""
 SIGNALS = f"""(WITH v AS (SELECT accession, unnest([{{'k': 'treatment', 'v': coalesce(nullif(treatment, ''), 'attr ' || o_orderstatus)}}, {{'k': 'source_name', 'v': nullif(source, '')}},
     {{'k': 'tissue', 'v': o_orderpriority}}, {{'k': 'age', 'v': mon}}]) AS e FROM (SELECT 'SRP' || o_custkey AS accession, CASE WHEN o_totalprice > 300000 THEN '' ELSE o_orderstatus END AS treatment,
     year(o_orderdate)::VARCHAR AS source, o_orderstatus, o_orderpriority, (month(o_orderdate) + 1)::VARCHAR AS mon FROM orders)),

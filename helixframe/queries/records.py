@@ -153,7 +153,7 @@ def duplicates(t):
     return lg.duplicate_lessons(t.sql(LESSONS))
 
 
-DRAFTS = "SELECT doc_id AS lesson_id, CASE WHEN n_chars < 500 THEN 'moved' ELSE source END AS source_path, CASE WHEN lang = 'fr' THEN md5(text) WHEN lang = 'de' THEN md5(text || '!') ELSE md5(lang || source) END AS content_hash FROM {documents} WHERE n_chars < 3000"
+DRAFTS = "SELECT doc_id AS lesson_id, CASE WHEN n_chars < 500 THEN 'moved' ELSE source END AS source_path, CASE WHEN lang = 'fr' THEN md5(text) WHEN lang = 'de' THEN md5(text || '!') ELSE md5(lang || source) END AS content_hash FROM {documents}"
 SUPER = f"""(SELECT lesson_id, content_hash, state, CASE WHEN state = 'accepted' THEN rev + 1 END AS revision FROM (SELECT d.lesson_id, d.content_hash, o.revision AS rev, CASE WHEN o.revision IS NULL THEN 'unknown_lesson' WHEN d.source_path <> o.source_path THEN 'other_source' WHEN d.content_hash = o.content_hash THEN 'same_content'
   WHEN EXISTS (SELECT 1 FROM ({LESSONS}) x WHERE x.content_hash = d.content_hash AND x.lesson_id <> d.lesson_id) THEN 'duplicate_content' ELSE 'accepted' END AS state FROM ({DRAFTS}) d LEFT JOIN ({LESSONS}) o USING (lesson_id)))"""
 
@@ -227,7 +227,7 @@ def verify(t):
 
 # -- edits -----------------------------------------------------------------------------------------
 
-SEQS = f"SELECT source AS set_id, CAST(doc_id AS STRING) AS sequence_id, {DNA} AS seq, doc_id FROM {{wide_documents}}"
+SEQS = f"SELECT source AS set_id, CAST(doc_id AS STRING) AS sequence_id, {DNA} AS seq, doc_id FROM {{documents}}"
 EDITS = f"""SELECT set_id, sequence_id, CAST(p AS BIGINT) AS position, CASE WHEN doc_id % 97 = 0 THEN 'C' ELSE substr(seq, p, 1) END AS old, CASE WHEN substr(seq, p, 1) = 'G' THEN 'A' ELSE 'G' END AS new, CASE WHEN doc_id % 89 = 1 THEN ' ' ELSE 'e' END AS evidence, 'r' AS rationale
   FROM (SELECT *, CAST(7 AS INT) AS p FROM ({SEQS}) UNION ALL SELECT *, CAST(length(seq) - 2 AS INT) AS p FROM ({SEQS})) WHERE length(seq) > 20"""
 
@@ -259,7 +259,7 @@ QUAL = f"""WITH f AS ({FEATS}), q AS ({QEDITS}), m AS (SELECT edit_id, COUNT(DIS
 
 
 def quals(t):
-    f = t.sql(FEATS).dropDuplicates(["record_id", "feature_id"])
+    f = t.sql(FEATS).groupBy("record_id", "feature_id", "type", "gene").agg(F.min("flag").alias("flag"))
     return f.select("record_id", "feature_id", "type", F.create_map(F.lit("gene"), F.array("gene"), F.lit("note"), F.array("flag")).alias("qualifiers"))
 
 
@@ -298,7 +298,7 @@ def boundary(t):
 # -- search ----------------------------------------------------------------------------------------
 
 ASCII = "regexp_replace(lower(text), '[^a-z0-9 ]', ' '{G})"
-LIBRARY = f"SELECT doc_id, {ASCII} AS body, source AS title, CASE WHEN quality = 1 THEN 'verified' ELSE 'candidate' END AS status, lang AS domain, source AS taxon FROM {{wide_documents}} LEFT JOIN {{labels}} USING (doc_id)"
+LIBRARY = f"SELECT doc_id, {ASCII} AS body, source AS title, CASE WHEN quality = 1 THEN 'verified' ELSE 'candidate' END AS status, lang AS domain, source AS taxon FROM {{documents}} LEFT JOIN {{labels}} USING (doc_id)"
 TOK = f"tk AS (SELECT doc_id, status, domain, taxon, regexp_extract_all(title || ' ' || body, '\\w+') AS w FROM ({LIBRARY}))"
 
 
@@ -327,9 +327,9 @@ def search_bm25(t):
     return sr.matching(library(t), "The AND ther!", ["title", "body"]).withColumn("score", F.round("score", 9))
 
 
-@query("search_ranked", bm25(["the", "thion"]) + " SELECT doc_id, round(score, 9) AS score FROM sc WHERE status = 'verified' AND domain = 'en' AND lower(taxon) IN ('src7') ORDER BY sc.score, doc_id LIMIT 5")
+@query("search_ranked", bm25(["the", "and"]) + " SELECT doc_id, round(score, 9) AS score FROM sc WHERE status = 'verified' AND domain = 'en' AND lower(taxon) IN ('src7') ORDER BY sc.score, doc_id LIMIT 5")
 def search_ranked(t):
-    out = sr.search(library(t), "the thion", ["title", "body"], domain="en", taxon="SRC7", data_type="text")
+    out = sr.search(library(t), "the and", ["title", "body"], domain="en", taxon="SRC7", data_type="text")
     return out.select("doc_id", F.round("score", 9).alias("score"))
 
 

@@ -56,7 +56,7 @@ SELECT l_orderkey AS query, l_returnflag AS hit, CASE l_returnflag WHEN 'R' THEN
   CAST(CASE WHEN (l_returnflag = 'A') <> (l_tax > 0.075) THEN (8 - l_linenumber) * 60 + 1 ELSE (l_linenumber - 1) * 60 + l_quantity + CASE WHEN l_extendedprice > 60000 THEN 150 ELSE 0 END END AS BIGINT) AS hit_to,
   CAST(l_quantity + 20 AS BIGINT) AS align_len, CAST(CASE WHEN l_quantity < 2 THEN 0 ELSE l_quantity + 20 - ROUND(l_tax * 100) END AS BIGINT) AS identity, CAST(l_quantity * 2 + ROUND(l_discount * 100) AS DOUBLE) AS bitscore,
   CAST(370 AS BIGINT) AS query_len, CAST(620 AS BIGINT) AS hit_len, CASE WHEN l_linestatus = 'O' THEN 'Plus' ELSE 'minus' END AS hit_strand
-FROM {wide_lineitem}"""
+FROM {lineitem}"""
 
 
 @query(
@@ -142,7 +142,7 @@ SELECT 'g' || CAST(l_suppkey AS STRING) || '_' || CAST(CAST(FLOOR(l_partkey / 50
   CASE WHEN l_linestatus = 'O' THEN l1 + (l_linenumber - 1) * 30 ELSE l1 + (9 - l_linenumber) * 30 END + CASE WHEN l_discount > 0.095 AND l_tax > 0.075 THEN 3 ELSE 0 END AS start,
   CASE WHEN l_linestatus = 'O' THEN l1 + (l_linenumber - 1) * 30 ELSE l1 + (9 - l_linenumber) * 30 END + CASE WHEN l_discount > 0.095 AND l_tax > 0.075 THEN 3 ELSE 0 END + 19 AS "end",
   100 - ROUND(l_tax * 200) AS identity, ROUND(l_discount * 100) AS evalue, CAST(20 + ROUND(l_discount * 100) AS BIGINT) AS aln_len, CAST(50 AS BIGINT) AS query_len
-FROM (SELECT *, CAST(FLOOR(l_partkey / 20) AS BIGINT) * 1000 + 1 AS l1 FROM {wide_lineitem})"""
+FROM (SELECT *, CAST(FLOOR(l_partkey / 20) AS BIGINT) * 1000 + 1 AS l1 FROM {lineitem})"""
 CHAINS = f"""WITH RECURSIVE raw AS ({GENE_HSPS}), u AS (SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY gene, target, strand, qstart, qend, start, "end" ORDER BY evalue, identity DESC, aln_len) = 1),
   n AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY gene, target, strand, qstart, qend, start, "end") AS id, CASE WHEN strand = '+' THEN start ELSE -"end" END AS f, CASE WHEN strand = '+' THEN "end" ELSE -start END AS t FROM u),
   lk AS MATERIALIZED (SELECT a.gene, a.target, a.strand, a.id AS x, b.id AS y FROM n a JOIN n b ON a.gene = b.gene AND a.target = b.target AND a.strand = b.strand
@@ -198,7 +198,7 @@ def taxa(t):
         root, node(F.col("r_regionkey") + 10, F.col("r_name"), "region"), node(F.col("n_nationkey") + 100, F.col("n_name"), "nation"), node(F.col("taxid"), F.col("name"), "species")
     )
     species = full.select("taxid", "name", "rank", path.alias("lineage"))
-    top = t.region.limit(1).select(F.lit(1).cast("long").alias("taxid"), F.lit("root").alias("name"), F.lit("root").alias("rank"), F.array(root).alias("lineage"))
+    top = t.region.agg(F.count("*").alias("regions")).select(F.lit(1).cast("long").alias("taxid"), F.lit("root").alias("name"), F.lit("root").alias("rank"), F.array(root).alias("lineage"))
     return species.unionByName(top)
 
 

@@ -49,11 +49,11 @@ def read_sam(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, Data
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), "value")
     body = lines.where(~F.col("value").startswith("@") & (F.col("value") != "")).withColumn("c", F.split("value", "\t"))
     num = lambda i, t="long": F.expr(f"try_cast(get(c, {i}) AS {t})")
-    groups = F.filter(F.slice("c", 12, 1000), lambda t: t.startswith("RG:Z:"))
+    groups = F.filter(F.slice("c", F.lit(12), F.greatest(F.size("c") - 11, F.lit(0))), lambda t: t.startswith("RG:Z:"))
     reads = body.select(
         F.col("path").alias("sample"), F.get("c", F.lit(0)).alias("qname"), num(1, "int").alias("flag"), F.get("c", F.lit(2)).alias("rname"), num(3).alias("pos"), num(4, "int").alias("mapq"),
         F.get("c", F.lit(5)).alias("cigar"), F.get("c", F.lit(6)).alias("rnext"), num(7).alias("pnext"), num(8).alias("tlen"), F.get("c", F.lit(9)).alias("seq"), F.get("c", F.lit(10)).alias("qual"),
-        F.expr("substr(get(filter(slice(c, 12, 1000), t -> startswith(t, 'RG:Z:')), 0), 6)").alias("rg"), F.size("c").alias("_n"), F.size(groups).alias("_g"), "value",
+        F.substring(F.get(groups, F.lit(0)), 6, 2**31 - 1).alias("rg"), F.size("c").alias("_n"), F.size(groups).alias("_g"), "value",
     )
     bad = (F.col("_n") < 11) | F.col("flag").isNull() | F.col("pos").isNull() | F.col("mapq").isNull() | (F.col("_g") > 1)
     head = lines.where(F.col("value").startswith("@SQ\t"))
@@ -147,7 +147,7 @@ def read_taxonomy_xml(spark: SparkSession, path: str) -> DataFrame:
 
 _SPOT = r"<?\d+(?:\.\.>?\d+)?"
 _PART = rf"(?:complement\({_SPOT}\)|{_SPOT})"
-LOCATION = rf"^(?:complement\((?:join|order)\({_SPOT}(?:,{_SPOT})*\)\)|(?:join|order)\({_PART}(?:,{_PART})*\)|{_PART})$"
+LOCATION = rf"^(?:complement\((?:join|order)\({_SPOT}(?:,{_SPOT})*+\)\)|(?:join|order)\({_PART}(?:,{_PART})*+\)|{_PART})$"
 
 
 def parse_location(text: Column) -> Column:
@@ -194,7 +194,7 @@ def read_genbank(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     feats = rows.select("path", "record_id", F.posexplode(pieces).alias("ord", "_t"))
     kind = F.regexp_extract("_t", r"^(\S+)", 1)
     place = F.regexp_replace(F.regexp_extract("_t", r"(?s)^\S+\s+(.*?)(?:\n\s+/|\z)", 1), r"\s+", "")
-    quals = F.regexp_extract_all("_t", F.lit(r'(?s)\n\s+(/[A-Za-z0-9_]+(?:="(?:[^"]|"")*"|=[^\n]*)?)'), 1)
+    quals = F.regexp_extract_all("_t", F.lit(r'(?s)\n\s+(/[A-Za-z0-9_]+(?:="(?:[^"]++|"")*+"|=[^\n]*)?)'), 1)
 
     def pair(q):
         key = F.regexp_extract(q, r"^/([A-Za-z0-9_]+)", 1)

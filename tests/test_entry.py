@@ -38,4 +38,17 @@ def test_query_equals_sql(spark, name):
 def test_flagship(spark):
     import __spark_entry__ as entry
 
-    assert "fold_enrichment" in entry.entry(spark).columns
+    flagship = entry.entry(spark)
+    assert "fold_enrichment" in flagship.columns and flagship.count() > 0
+
+
+def test_shared_folder_is_mandatory_on_a_cluster(spark):
+    from helixframe.session import shared_dir
+
+    class Cluster:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+        sparkContext = type("Context", (), {"master": "yarn", "getConf": staticmethod(lambda: Cluster.conf)})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Cluster)
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
