@@ -156,7 +156,7 @@ def fit(docs: DataFrame, held_out: int = 1, modulus: int = 3, shape: Shape = Sha
     """
     remainder = id_remainder(id_col, modulus)
     rows = docs.where((remainder != held_out) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    # A training document gives its first, middle and last windows, which are read as bytes.
+    # A training document gives windows that start at its beginning, its first and its second third, read as bytes.
     body = F.col(text_col).cast("string").cast("binary")
     size, n = shape.window, F.length(body)
     parts = [F.substring(body, F.greatest(F.lit(1), (n * k / how.windows).cast("int") + 1), F.lit(size)) for k in range(how.windows)]
