@@ -27,6 +27,12 @@ def repeated_ids(df: DataFrame, entity: str) -> DataFrame:
     return violation(df.groupBy("case_id", "id").agg(F.count("*").alias("_n")).where(F.col("_n") > 1), entity, "duplicate_id")
 
 
+def least_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each key, the least by its other columns in their order: repeated ids give the same verdict in every run."""
+    rest = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_least")).select(*keys, *[F.col(f"_least.{c}").alias(c) for c in rest])
+
+
 def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -60,7 +66,7 @@ def conclusion_violations(conclusions: DataFrame, events: DataFrame, inputs: Dat
         ((reads == "READS_DISCRIMINATING") & (F.size(competitors) == 0), "discriminating_without_competitor"),
         (F.col("review_status").isin("reviewed", "disputed") & (F.coalesce("reviewer", F.lit("")) == ""), "review_without_reviewer"),
     )
-    keyed = events.select("case_id", F.col("id").alias("event_id"), "execution_status", F.coalesce("input_ids", none()).alias("input_ids"), F.transform("artifacts", lambda a: a["id"]).alias("_arts")).dropDuplicates(["case_id", "event_id"])
+    keyed = least_rows(events, ["case_id", "id"]).select("case_id", F.col("id").alias("event_id"), "execution_status", F.coalesce("input_ids", none()).alias("input_ids"), F.transform("artifacts", lambda a: a["id"]).alias("_arts"))
     cited = conclusions.select("case_id", "id", "conclusion_type", F.explode(F.concat("evidence_for", "evidence_against")).alias("e")).select("case_id", "id", "conclusion_type", "e.event_id", "e.artifact_id").distinct()
     checked = cited.join(keyed, ["case_id", "event_id"], "left")
     evidence = row_rules(
@@ -68,7 +74,7 @@ def conclusion_violations(conclusions: DataFrame, events: DataFrame, inputs: Dat
         (F.col("execution_status").isNotNull() & ~F.array_contains("_arts", F.col("artifact_id")), "unknown_artifact"),
         (F.col("execution_status").isNotNull() & (F.col("execution_status") != "completed") & (F.col("conclusion_type") != "tool_execution"), "unfinished_event_as_evidence"),
     ).distinct()
-    role = inputs.select("case_id", F.col("id").alias("input_id"), "role").dropDuplicates(["case_id", "input_id"])
+    role = least_rows(inputs, ["case_id", "id"]).select("case_id", F.col("id").alias("input_id"), "role")
     support = conclusions.select("case_id", "id", F.explode("evidence_for").alias("e")).select("case_id", "id", "e.event_id").distinct()
     used = support.join(keyed, ["case_id", "event_id"]).select("case_id", "id", F.explode("input_ids").alias("input_id")).distinct()
     with_reads = used.join(role.where(F.col("role").isin("reads", "bam")), ["case_id", "input_id"]).select("case_id", "id").distinct()
@@ -102,9 +108,9 @@ def candidate_states(candidates: DataFrame, checks: DataFrame) -> DataFrame:
 
 def candidate_violations(candidates: DataFrame, checks: DataFrame, events: DataFrame, inputs: DataFrame) -> DataFrame:
     """Candidates: registered base and product, completed producer, separate content, valid checks, matching status."""
-    ins = inputs.dropDuplicates(["case_id", "id"])
+    ins = least_rows(inputs, ["case_id", "id"])
     side = lambda p: ins.select("case_id", F.col("id").alias(f"{p}_input_id"), *[F.col(c).alias(f"_{p}_{c}") for c in ("role", "path", "sha256", "size")])
-    ev = events.dropDuplicates(["case_id", "id"]).select("case_id", F.col("id").alias("producer_event_id"), F.col("execution_status").alias("_st"), F.col("artifacts").alias("_arts"), F.coalesce("input_ids", none()).alias("_ins"))
+    ev = least_rows(events, ["case_id", "id"]).select("case_id", F.col("id").alias("producer_event_id"), F.col("execution_status").alias("_st"), F.col("artifacts").alias("_arts"), F.coalesce("input_ids", none()).alias("_ins"))
     j = candidates.join(side("base"), ["case_id", "base_input_id"], "left").join(side("candidate"), ["case_id", "candidate_input_id"], "left").join(ev, ["case_id", "producer_event_id"], "left")
     art = F.try_element_at(F.filter("_arts", lambda a: a["id"] == F.col("artifact_id")), F.lit(1))
     same_product = (art["path"] == F.col("_candidate_path")) & (art["sha256"] == F.col("_candidate_sha256"))
@@ -114,7 +120,7 @@ def candidate_violations(candidates: DataFrame, checks: DataFrame, events: DataF
         (F.col("_st").isNull() | (F.col("_st") != "completed"), "producer_not_completed"), (F.col("_st").isNotNull() & ~F.coalesce(same_product, F.lit(False)), "product_differs"),
         (F.col("_st").isNotNull() & ~F.array_contains("_ins", F.col("base_input_id")), "base_not_used"), (copied, "same_as_base"),
     )
-    cev = events.dropDuplicates(["case_id", "id"]).select("case_id", F.col("id").alias("event_id"), F.col("execution_status").alias("_cst"), F.col("exit_code").alias("_code"), F.coalesce("input_ids", none()).alias("_cins"))
+    cev = least_rows(events, ["case_id", "id"]).select("case_id", F.col("id").alias("event_id"), F.col("execution_status").alias("_cst"), F.col("exit_code").alias("_code"), F.coalesce("input_ids", none()).alias("_cins"))
     k = checks.join(candidates.select("case_id", F.col("id").alias("candidate_id"), "candidate_input_id", "change_type"), ["case_id", "candidate_id"], "left").join(cev, ["case_id", "event_id"], "left").withColumn("id", F.col("candidate_id"))
     reads = ins.where(F.col("role").isin("reads", "bam")).select("case_id", F.col("id").alias("_rid"))
     event_reads = cev.select("case_id", "event_id", F.explode("_cins").alias("_rid")).join(reads, ["case_id", "_rid"]).select("case_id", "event_id").distinct().withColumn("_reads", F.lit(True))

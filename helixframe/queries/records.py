@@ -13,7 +13,7 @@ INPUTS = """SELECT o_orderkey AS case_id, 'I1' AS id, CASE WHEN o_orderstatus =
   UNION ALL SELECT o_orderkey, 'I2', CASE WHEN o_totalprice > 200000 THEN 'candidate' ELSE 'competitive_reference' END, CASE WHEN o_orderpriority = '5-LOW' THEN 'p' || CAST(o_custkey AS STRING) ELSE 'art' END, 'hx', 10 FROM {orders} WHERE o_orderpriority <> '1-URGENT'"""
 EVENTS = """SELECT l_orderkey AS case_id, 'E' || CAST(l_linenumber AS STRING) AS id, CASE WHEN l_tax > 0.065 THEN 'not_run' WHEN l_discount > 0.085 THEN 'failed' ELSE 'completed' END AS execution_status,
   CASE WHEN l_tax > 0.075 OR l_discount < 0.005 THEN NULL ELSE CAST(l_linenumber % 2 AS INT) END AS exit_code, CASE WHEN l_quantity > 47 THEN ' ' ELSE 'run' END AS cmd,
-  CASE WHEN l_returnflag = 'A' THEN 'I1' WHEN l_returnflag = 'N' THEN 'I1,I2' WHEN l_quantity < 3 THEN '' ELSE 'I2,I9' END AS ins, CASE WHEN l_quantity > 8 THEN 'art' END AS art FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_tax, l_discount, l_returnflag) AS rn FROM {lineitem}) WHERE rn = 1)"""
+  CASE WHEN l_returnflag = 'A' THEN 'I1' WHEN l_returnflag = 'N' THEN 'I1,I2' WHEN l_quantity < 3 THEN '' ELSE 'I2,I9' END AS ins, CASE WHEN l_quantity > 8 THEN 'art' END AS art FROM {lineitem}"""
 CONCLUSIONS = """SELECT o_orderkey AS case_id, 'C1' AS id, CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'tool_execution' ELSE 'structure' END AS conclusion_type, CASE o_orderstatus WHEN 'F' THEN 'RESOLVED' WHEN 'O' THEN 'NO_CHANGE' ELSE 'UNRESOLVED' END AS status,
   CASE WHEN o_totalprice > 350000 THEN 'high' WHEN o_totalprice < 50000 THEN 'not_assessable' ELSE 'medium' END AS confidence, CASE WHEN o_totalprice > 250000 THEN 'READS_DISCRIMINATING' WHEN o_totalprice > 150000 THEN 'READS_CONSISTENT' ELSE 'NOT_ASSESSED' END AS reads_support,
   CASE WHEN o_orderpriority = '2-HIGH' THEN '' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'E2' ELSE 'E1' END AS ev, CASE WHEN o_totalprice > 450000 THEN '' WHEN o_totalprice > 300000 THEN 'I2' WHEN o_totalprice > 275000 THEN 'I1' ELSE 'I8' END AS comp,
@@ -39,14 +39,16 @@ def conclusions(t):
     return c.select("case_id", "id", "conclusion_type", "status", "confidence", "reads_support", ev.alias("evidence_for"), F.slice(ev, 1, 0).alias("evidence_against"), split("comp").alias("competitive_reference_ids"), "review_status", "reviewer")
 
 
-EV_SQL = f"""ev AS (SELECT *, list_filter(string_split(ins, ','), lambda x: x <> '') AS il FROM ({EVENTS})), inp AS ({INPUTS})"""
+# all events, and the least one of each id for what cites it
+EV_SQL = f"""every AS (SELECT *, list_filter(string_split(ins, ','), lambda x: x <> '') AS il FROM ({EVENTS})), ev AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY case_id, id ORDER BY execution_status, exit_code NULLS FIRST, cmd, il, art NULLS FIRST) AS rk FROM every) WHERE rk = 1), inp AS ({INPUTS})"""
 
 
 @query(
     "ledger_event_violations",
-    f"""WITH {EV_SQL}, un AS (SELECT DISTINCT case_id, id FROM (SELECT case_id, id, unnest(il) AS i FROM ev) u ANTI JOIN inp ON inp.case_id = u.case_id AND inp.id = u.i)
-    SELECT case_id, 'event' AS entity, id, 'unknown_input' AS rule FROM un UNION ALL SELECT case_id, 'event', id, 'exit_code_without_run' FROM ev WHERE execution_status = 'not_run' AND exit_code IS NOT NULL UNION ALL SELECT case_id, 'event', id, 'missing_exit_code' FROM ev WHERE execution_status <> 'not_run' AND exit_code IS NULL
-    UNION ALL SELECT case_id, 'event', id, 'completed_without_product' FROM ev WHERE execution_status = 'completed' AND (art IS NULL OR len(il) = 0) UNION ALL SELECT case_id, 'event', id, 'empty_command' FROM ev WHERE trim(cmd) = ''""",
+    f"""WITH {EV_SQL}, un AS (SELECT DISTINCT case_id, id FROM (SELECT case_id, id, unnest(il) AS i FROM every) u ANTI JOIN inp ON inp.case_id = u.case_id AND inp.id = u.i)
+    SELECT case_id, 'event' AS entity, id, 'unknown_input' AS rule FROM un UNION ALL SELECT case_id, 'event', id, 'exit_code_without_run' FROM every WHERE execution_status = 'not_run' AND exit_code IS NOT NULL UNION ALL SELECT case_id, 'event', id, 'missing_exit_code' FROM every WHERE execution_status <> 'not_run' AND exit_code IS NULL
+    UNION ALL SELECT case_id, 'event', id, 'completed_without_product' FROM every WHERE execution_status = 'completed' AND (art IS NULL OR len(il) = 0) UNION ALL SELECT case_id, 'event', id, 'empty_command' FROM every WHERE trim(cmd) = ''
+    UNION ALL SELECT case_id, 'event', id, 'duplicate_id' FROM every GROUP BY case_id, id HAVING COUNT(*) > 1""",
 )
 def event_violations(t):
     return lg.event_violations(events(t), inputs(t))
