@@ -284,9 +284,10 @@ def ranked_members(ranked: DataFrame, sets: DataFrame, min_size: int = 10, max_s
     """Ranked genes of each set whose size inside the ranked list is within bounds."""
     members = ranked.select("contrast", "gene", "metric", "rank").join(sets.select(*SET_KEYS, "gene").distinct(), "gene")
     sizes = members.groupBy("contrast", *SET_KEYS).agg(F.count("*").alias("set_size"), F.sum(F.abs("metric")).alias("weight"))
-    sizes = sizes.where(F.col("set_size").between(min_size, max_size))
+    # The list's length joins the sets' sizes, not their members: a contrast may be most of the table.
     totals = ranked.groupBy("contrast").agg(F.count("*").alias("list_size"))
-    return members.join(sizes, ["contrast", *SET_KEYS]).join(totals, "contrast")
+    sizes = sizes.where(F.col("set_size").between(min_size, max_size)).join(totals, "contrast")
+    return members.join(sizes, ["contrast", *SET_KEYS])
 
 
 def running_sum(hits: DataFrame, extra: list[str] = []) -> DataFrame:
@@ -329,9 +330,9 @@ def permuted_scores(ranked: DataFrame, sets: DataFrame, permutations: int = 1000
     members = shuffled.join(sets.select(*SET_KEYS, "gene").distinct(), "gene")
     keys = ["perm", "contrast", *SET_KEYS]
     sizes = members.groupBy(*keys).agg(F.count("*").alias("set_size"), F.sum(F.abs("metric")).alias("weight"))
-    sizes = sizes.where(F.col("set_size").between(min_size, max_size))
     totals = ranked.groupBy("contrast").agg(F.count("*").alias("list_size"))
-    return enrichment_scores(running_sum(members.join(sizes, keys).join(totals, "contrast"), ["perm"]), ["perm"])
+    sizes = sizes.where(F.col("set_size").between(min_size, max_size)).join(totals, "contrast")
+    return enrichment_scores(running_sum(members.join(sizes, keys), ["perm"]), ["perm"])
 
 
 def score_significance(scores: DataFrame, null: DataFrame, method: str = "BH") -> DataFrame:
