@@ -120,7 +120,7 @@ def read_name(header: Column) -> Column:
 PRIVATE_PATTERNS = {
     "email": r"(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b",
     "credential": r"(?i)\b(?:api[_-]?key|token|password|secret)\s*[:=]\s*\S+",
-    "path": r"(?:^|[^:\w/])/(?:[^/\s]+/)+[^/\s]+",
+    "path": r"(?:^|[^:\p{L}\p{N}_/])/[^/\s]+/[^/\s]+",  # a word character is one of any script; one inner folder is enough to tell a path
     "fasta": r"(?m)^\s*>[^\n]+\n\s*[ACGTRYSWKMBDHVNacgtryswkmbdhvn\s]{20,}",
     "sequence": r"^[ACGTNacgtn\s]{40,}$",
 }

@@ -182,7 +182,7 @@ def show(t):
 
 
 @query("lesson_privacy_flags", """SELECT doc_id, concat_ws(',', CASE WHEN regexp_matches(text, '(?i)\\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\\.[A-Z]{2,}\\b') THEN 'email' END, CASE WHEN regexp_matches(text, '(?i)\\b(?:api[_-]?key|token|password|secret)\\s*[:=]\\s*\\S+') THEN 'credential' END,
-  CASE WHEN regexp_matches(text, '(?:^|[^:\\w/])/(?:[^/\\s]+/)+[^/\\s]+') THEN 'path' END, CASE WHEN regexp_matches(text, '(?m)^\\s*>[^\\n]+\\n\\s*[ACGTRYSWKMBDHVNacgtryswkmbdhvn\\s]{20,}') THEN 'fasta' END, CASE WHEN regexp_full_match(text, '[ACGTNacgtn\\s]{40,}') THEN 'sequence' END) AS flags FROM documents""")
+  CASE WHEN regexp_matches(text, '(?:^|[^:\\p{L}\\p{N}_/])/[^/\\s]+/[^/\\s]+') THEN 'path' END, CASE WHEN regexp_matches(text, '(?m)^\\s*>[^\\n]+\\n\\s*[ACGTRYSWKMBDHVNacgtryswkmbdhvn\\s]{20,}') THEN 'fasta' END, CASE WHEN regexp_full_match(text, '[ACGTNacgtn\\s]{40,}') THEN 'sequence' END) AS flags FROM documents""")
 def privacy(t):
     return t.documents.select("doc_id", F.array_join(tx.privacy_flags(F.col("text")), ",").alias("flags"))
 

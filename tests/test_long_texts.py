@@ -45,3 +45,11 @@ def test_gene_spellings(spark):
     frame = spark.createDataFrame(list(names.items()), "name string, want string")
     got = frame.select("name", "want", nm.canonical_gene(F.col("name")).alias("got")).collect()
     assert {r.name: r.got for r in got} == names
+
+
+def test_paths_after_letters_of_any_script(spark):
+    from helixframe.functions import text as tx
+
+    texts = {"see /usr/bin/x": True, "é/usr/bin/x": False, "a/usr/bin": False, "http://a/b": False, "/only": False, "/a/b": True, "x:/a/b": False, "(/home/me/f)": True}
+    frame = spark.createDataFrame(list(texts.items()), "t string, want boolean")
+    assert {r.t: "path" in r.f for r in frame.select("t", tx.privacy_flags(F.col("t")).alias("f")).collect()} == texts
