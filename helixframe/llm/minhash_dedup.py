@@ -252,7 +252,8 @@ class Deduplicator:
         """Sizes that allow the similarity."""
         return F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
 
-    def links(self) -> DataFrame:
+    def component_of(self) -> DataFrame:
+        """(cid, comp) of every class."""
         banded = self.classes.select("cid", "n", F.explode("keys").alias("key"))
         heads = banded.groupBy("key").agg(F.min(F.struct("cid", "n")).alias("head"), F.count("*").alias("members")).where("members > 1")
         shared = written(banded.join(heads.select("key", "head"), "key"), "shared")
@@ -271,8 +272,14 @@ class Deduplicator:
         other = few.select("key", F.col("comp").alias("comp_b"), F.col("cid").alias("b"), F.col("n").alias("n_b"))
         pairs = few.join(other, "key").where((F.col("cid") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & self.alike(F.col("n"), F.col("n_b")))
         pairs = pairs.select(F.col("cid").alias("a"), "b").distinct().join(tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-        found = found.unionByName(written(self.confirm(pairs), "links"))
-        return found.select("a", "b").unionByName(written(self.confirm_crowded(members.where(F.col("members") > self.crowd)), "links"))
+        more = self.confirm(pairs).select("a", "b").unionByName(self.confirm_crowded(members.where(F.col("members") > self.crowd)))
+        # The second round's links join components of the first; a component pair counts once, however many links it has.
+        label = lambda end: comp.select(F.col("cid").alias(end), F.col("comp").alias(f"comp_{end}"))
+        between = more.join(label("a"), "a", "left").join(label("b"), "b", "left").select(F.coalesce("comp_a", "a").alias("p"), F.coalesce("comp_b", "b").alias("q"))
+        joined = components(between.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct())
+        first = self.classes.select("cid").join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+        last = joined.select(F.col("cid").alias("comp"), F.col("comp").alias("further"))
+        return first.join(last, "comp", "left").select("cid", F.coalesce("further", "comp").alias("comp"))
 
     def confirm_crowded(self, members: DataFrame) -> DataFrame:
         """Links inside crowded bands, without a row for each pair.
@@ -297,8 +304,7 @@ class Deduplicator:
 
     def result(self) -> DataFrame:
         """doc_id, row, n_shingles, component_id (the smallest id in reach) and kept, true for one row of each component."""
-        comp = components(self.links())
-        labelled = self.classes.select("cid", "same", F.struct("doc_id", "row").alias("first")).join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+        labelled = self.classes.select("cid", "same", F.struct("doc_id", "row").alias("first")).join(self.component_of(), "cid")
         best = labelled.groupBy("comp").agg(F.min("first").alias("best"))
         by_class = labelled.join(best, "comp").select("same", F.col("best.doc_id").alias("component_id"), F.col("best.row").alias("best_row"))
         rows = self.signed.select("doc_id", "row", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("same")).alias("same"))
