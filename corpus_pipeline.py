@@ -9,21 +9,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from helixframe.llm import minhash_dedup, mixture, packing, quality_bands, secret_ownership
-from helixframe.llm.common import numbered, written
+from helixframe.llm.common import dropped, noted, numbered, written
 
 ROW = "_pipeline_row"
 
+#: Intermediate tables of each stage's latest call.
+_tables: dict[str, list[str]] = {}
+
+
+def _after(before: str | None):
+    """A stage that first deletes the intermediate tables of the stage before: its result has been written and read again."""
+
+    def wrap(stage):
+        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            dropped(spark, _tables.pop(before, []))
+            with noted() as paths:
+                result = stage(spark, docs, sf_dir)
+            _tables[stage.__name__] = paths
+            return result
+
+        run_stage.__doc__ = stage.__doc__
+        return run_stage
+
+    return wrap
+
 
 def _as_before(df: DataFrame, docs: DataFrame) -> DataFrame:
     """The columns of `docs`; n_chars, where there is one, follows the text."""
     return df.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 
+@_after(None)
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the compression bands keep."""
     return quality_bands.keep_good(docs)
 
 
+@_after("quality")
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies (five-word shingles, similarity 0.8)."""
     rows = numbered(docs, ROW)
@@ -32,12 +54,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
+@_after("near_dedup")
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; live-looking secrets of few owners are masked, widely copied examples stay."""
     rows = numbered(docs, ROW)
     return _as_before(secret_ownership.mask_live(rows, secret_ownership.scan_secrets(rows, row_col=ROW), ROW), docs)
 
 
+@_after("secrets")
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: one row for each pass over a document, with the words that the pass takes."""
     rows = numbered(docs, ROW)
@@ -45,6 +69,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _as_before(mix.texts(rows, ROW), docs)
 
 
+@_after("mixing")
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the mixed documents in sequences of 4096 tokens."""
     return packing.pack(docs)

@@ -4,18 +4,42 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from helixframe.session import shared_dir
 
 
+#: Lists that note the tables being written, innermost last.
+_noting: list[list[str]] = []
+
+
+@contextmanager
+def noted():
+    """The list of all tables that `written` writes meanwhile, for `dropped` when nothing reads them any more."""
+    _noting.append([])
+    try:
+        yield _noting[-1]
+    finally:
+        _noting.pop()
+
+
+def dropped(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that `written` has written, wherever the shared folder is."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` written once to the shared folder and read again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for paths in _noting:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
