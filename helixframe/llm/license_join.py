@@ -1,6 +1,8 @@
 """License scan as an exact set-similarity join between text blocks and license templates.
 
-Blocks are the lines of a text; a line of more than `block_words` words is cut into windows that overlap by half.
+Blocks are overlapping windows of words over the whole text, across line ends.  Their size and step follow each template's
+length: a block is twice as long as the template and starts every half template, so any stretch of one and a half template
+lengths lies whole inside a block, however the text is wrapped.
 A block meets a template if it holds at least the share `containment` of the template's distinct tokens.
 Tokens are ordered by their frequency in the corpus, rarest first.  A block that meets a template of n tokens
 shares one of the template's n - ceil(containment * n) + 1 rarest tokens (prefix filter); it has at least
@@ -27,55 +29,57 @@ TEMPLATES = (
     ("apache-2", "Licensed under the Apache License, Version 2.0; you may not use this file except in compliance with the License"),
     ("apache-2", "Licensed under the Apache License, Version 2.0."),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("gpl", "Licensed under the GNU General Public License"),
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
     ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution NonCommercial 4.0 International License"),
     ("cc-by-sa", "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License"),
+    ("all-rights-reserved", "All rights reserved."),
     ("all-rights-reserved", "Copyright. All rights reserved. No part of this publication may be reproduced"),
 )
-#: Word bytes stay: digits, ASCII letters and all of UTF-8 beyond ASCII; other ASCII becomes a blank, but a line end stays one.
-BLANKED = bytes(b if chr(b).isalnum() and b < 128 or b >= 128 or b == 10 else 32 for b in range(256))
+#: Word bytes stay: digits, ASCII letters and all of UTF-8 beyond ASCII; other ASCII becomes a blank.
+BLANKED = bytes(b if chr(b).isalnum() and b < 128 or b >= 128 else 32 for b in range(256))
 
 
 def words_of(body: bytes) -> list[bytes]:
     return body.lower().translate(BLANKED).split()
 
 
-def blocks_of(line: list[bytes], block_words: int):
-    """(start, words) of the blocks of one line."""
-    if len(line) <= block_words:
-        yield 0, line
-        return
-    step = block_words // 2
-    for start in range(0, len(line) - step, step):
-        yield start, line[start : start + block_words]
-
-
 class Prefixes:
     """The templates with their tokens rarest first, and an index of their prefixes."""
 
-    def __init__(self, templates, frequency: dict[bytes, int], containment: float):
+    def __init__(self, templates, frequency: dict[bytes, int], containment: float, block_words: int | None = None):
         self.templates, self.index = [], defaultdict(list)
         for label, text in templates:
-            tokens = sorted(set(words_of(text.encode())), key=lambda w: (frequency.get(w, 0), w))
+            length = len(words := words_of(text.encode()))
+            tokens = sorted(set(words), key=lambda w: (frequency.get(w, 0), w))
             need = math.ceil(containment * len(tokens) - 1e-9)
+            size = max(block_words or 0, 2 * length)
+            step = max(1, size // 2 if block_words else length // 2)
             for place, token in enumerate(tokens[: len(tokens) - need + 1]):
                 self.index[token].append((len(self.templates), place))
-            self.templates.append((label, frozenset(tokens), len(tokens), need))
+            self.templates.append((label, frozenset(tokens), len(tokens), need, size, step))
         self.rare = frozenset(self.index)
 
-    def meets(self, block: list[bytes]):
-        """(template, share) of every template that the block contains far enough."""
-        tokens = set(block)
-        first: dict[int, int] = {}
-        for token in tokens & self.rare:
-            for template, place in self.index[token]:
-                first[template] = min(place, first.get(template, place))
-        for template, place in first.items():
-            _, wanted, n, need = self.templates[template]
-            if len(tokens) >= need and n - place >= need and (shared := len(tokens & wanted)) >= need:
-                yield template, shared / n
+    def meets(self, words: list[bytes]):
+        """(first word, template, share) of every block of a text that contains a template far enough."""
+        seen = defaultdict(list)
+        for at, word in enumerate(words):
+            if word in self.rare:
+                for template, place in self.index[word]:
+                    seen[template].append((at, place))
+        for template, places in seen.items():
+            _, wanted, n, need, size, step = self.templates[template]
+            last = max(0, len(words) - size + step - 1) // step
+            first: dict[int, int] = {}
+            for at, place in places:
+                for block in range(max(0, (at - size) // step + 1), min(at // step, last) + 1):
+                    first[block] = min(place, first.get(block, place))
+            for block, place in first.items():
+                tokens = set(words[block * step : block * step + size])
+                if len(tokens) >= need and n - place >= need and (shared := len(tokens & wanted)) >= need:
+                    yield block * step, template, shared / n
 
 
 def phrase_places(words: list[bytes], phrases) -> list[tuple[int, str]]:
@@ -113,11 +117,12 @@ def token_frequencies(cols: DataFrame, tokens: frozenset[bytes]) -> dict[bytes,
     return {bytes(r["token"]): r["n"] for r in summed.collect()}  # one row for each template token at most
 
 
-def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, containment: float = 0.8, block_words: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, containment: float = 0.8, block_words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Phrase places, labels and matching blocks of every row of `docs`.
 
     `labels` joins the phrases' labels and those of the templates met; `score` is 1 where a phrase stands, else the
-    best containment met, else 0; `blocks` lists what the join found.  A null or empty text has no words and no labels.  Repeated rows are
+    best containment met, else 0; `blocks` lists what the join found.  With `block_words` blocks have at least so many words
+    and overlap by half.  A null or empty text has no words and no labels.  Repeated rows are
     scanned one by one, a null id is handed through, other columns are ignored, an empty table gives an empty result.
 
     Two passes over the texts: one counts the template tokens, one joins.  Templates are a parameter of a few
@@ -125,21 +130,14 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, contain
     """
     cols = texts(docs, id_col, text_col)
     vocabulary = frozenset(w for _, text in templates for w in words_of(text.encode()))
-    index = Prefixes(templates, token_frequencies(cols, vocabulary), containment)
+    index = Prefixes(templates, token_frequencies(cols, vocabulary), containment, block_words)
 
     def make():
         def one(doc_id, body):
-            lowered = (body or b"").lower().translate(BLANKED)
-            words = lowered.split()
+            words = words_of(body or b"")
             base = phrase_places(words, phrases)
-            met = []
-            if not index.rare.isdisjoint(words):
-                before = 0
-                for line in lowered.split(b"\n"):
-                    line_words = line.split()
-                    for start, block in blocks_of(line_words, block_words):
-                        met += [{"start_word": before + start, "label": index.templates[t][0], "containment": share} for t, share in index.meets(block)]
-                    before += len(line_words)
+            found = () if index.rare.isdisjoint(words) else sorted(index.meets(words))
+            met = [{"start_word": start, "label": index.templates[t][0], "containment": share} for start, t, share in found]
             base_labels = {label for _, label in base}
             places = [place for place, _ in base]
             score = 1.0 if base else max((m["containment"] for m in met), default=0.0)

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -122,6 +123,31 @@ def test_license_join_is_exact(spark):
         assert {(b.start_word, b.label, b.containment) for b in r.blocks} == want
 
 
+def test_license_templates_in_wrapped_texts(spark):
+    """License files are wrapped at 70-80 columns and may stand in comments; long templates and short notices count too."""
+    whole = {
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction",
+        "gpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "mpl-2": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one",
+        "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    }
+    around = sentence(random.Random(7), 300).split()
+    texts, want = [], []
+    for label, text in whole.items():
+        for width in (20, 40, 72, 79):
+            for shift in (0, 37, 150, 300):
+                texts.append("\n# ".join(textwrap.wrap(" ".join(around[:shift] + [text] + around[shift:]), width)))
+                want.append(label)
+    texts += ["This work is licensed under the GNU General Public License, version 3.", "one\nAll rights\nreserved.\ntwo", " ".join(around)]
+    want += ["gpl", "all-rights-reserved", ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in license_join.scan_licenses(frame).collect()}
+    assert [got[i].labels for i in range(len(texts))] == want
+    long = " ".join(f"w{i}" for i in range(200))
+    met = license_join.scan_licenses(spark.createDataFrame([(0, " ".join(around) + "\n" + long.replace("0 ", "0\n"))], "doc_id long, text string"), [("long", long)], ()).first()
+    assert (met.labels, met.score) == ("long", 1.0)
+
+
 def test_secrets(docs, none, rows, spark):
     got = secret_ownership.reported(secret_ownership.scan_secrets(docs)).collect()
     assert len(got) == len(rows)
