@@ -6,6 +6,7 @@ stage's docs.  All but the last return the columns of `docs`.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from helixframe.llm import minhash_dedup, mixture, packing, quality_bands, secret_ownership
@@ -41,8 +42,14 @@ def _as_before(df: DataFrame, docs: DataFrame) -> DataFrame:
 
 @_after(None)
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the compression bands keep."""
-    return quality_bands.keep_good(docs)
+    """Documents that the base rules and the compression bands keep; labels calibrate the bands where the folder has them."""
+    try:
+        labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        labels = None
+    return quality_bands.keep_good(docs, labels=labels)
 
 
 @_after("quality")

@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query
 def op1_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_bands.quality(table(spark, sf_dir, "documents"))
+    return quality_bands.quality(table(spark, sf_dir, "documents"), labels=table(spark, sf_dir, "labels"))
 
 
 @query

@@ -90,6 +90,28 @@ def test_quality_bands_reject_both_ends(spark):
     assert got[1].reason == "incompressible" and got[2].reason is None and got[3].reason in ("base", "repetitive")
 
 
+@pytest.mark.parametrize("labelled", [True, False])
+def test_default_quality_bands_part_junk_from_clean_texts(spark, labelled):
+    rng = random.Random(2)
+    known = ["".join(rng.choice("aeiourstlnmdkp") for _ in range(rng.randrange(2, 10))) for _ in range(3000)]
+    make = {
+        "clean": lambda n: " ".join(rng.choice(known) for _ in range(n)),
+        "symbols": lambda n: " ".join(rng.choice(known[:300]) + rng.choice(["###", "$$$", "%%%", "&&&"]) for _ in range(n)),
+        "random": lambda n: " ".join("".join(chr(rng.randrange(33, 0x250)) for _ in range(6)) for _ in range(n)),
+    }
+    kinds = ["clean"] * 18 + ["symbols", "random"]
+    texts = [(i, kinds[i % 20], make[kinds[i % 20]](rng.choice([300, 600, 1500]))) for i in range(1200)]
+    frame = spark.createDataFrame([(i, text) for i, _, text in texts], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(kind == "clean"), 0) for i, kind, _ in texts], "doc_id long, quality int, toxic int") if labelled else None
+    got = {r.doc_id: r.reason for r in quality_bands.quality(frame, labels=labels).collect()}
+    reasons = {kind: Counter(got[i] for i, k, _ in texts if k == kind) for kind in make}
+    assert reasons["clean"][None] >= 0.96 * reasons["clean"].total()
+    assert reasons["symbols"]["repetitive"] >= 0.9 * reasons["symbols"].total()
+    assert reasons["random"]["incompressible"] >= 0.9 * reasons["random"].total()
+    kept = {r.doc_id for r in quality_bands.keep_good(frame, labels=labels).collect()}
+    assert kept == {i for i, reason in got.items() if reason is None}
+
+
 def test_license(docs, none, rows):
     got = {r.doc_id: r for r in license_join.scan_licenses(docs).where("doc_id is not null").collect()}
     phrases = [(p.split(), label) for p, label in license_join.PHRASES]
