@@ -1,7 +1,8 @@
 """Secret scan with corpus-wide ownership: widely copied examples apart from one owner's live-looking credentials.
 
 Candidates are found row by row.  Their hashes are counted over the corpus by distinct repositories and owners;
-a value that many owners have is an example or a fixture, a value of few owners that looks random is live.
+a value that many owners have, or that few owners have in very many repositories, is an example or a fixture;
+any other value that looks random is live.
 """
 
 from __future__ import annotations
@@ -83,12 +84,12 @@ def scan(min_entropy: float):
     return make
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", common_owners: int = 3, min_entropy: float = 2.8, row_col: str | None = None) -> DataFrame:
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", common_owners: int = 3, copies_per_owner: int = 25, min_entropy: float = 2.8, row_col: str | None = None) -> DataFrame:
     """Every row of `docs` with its candidate spans and their ownership.
 
     Result: row (`row_col`, a column of unique numbers, or a running one), doc_id, n_assign, n_access, n_hex, base_sha256 and `secrets`, an array ordered by place of
     {start, end (code points, exclusive), kind, base, n_repos, n_owners, verdict}.  verdict is `example` from
-    `common_owners` distinct owners on, else `live` for a random-looking value (12 characters and `min_entropy` bits
+    `common_owners` distinct owners on, or from `copies_per_owner` distinct repositories for each of its owners on, else `live` for a random-looking value (12 characters and `min_entropy` bits
     each), else `weak`.  Null texts are empty; a null owner or repository counts as one of its own; repeated rows
     of a repository count once for ownership but each row is returned; an empty table gives an empty result; other columns are ignored.
 
@@ -101,7 +102,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     owners = hits.select("value_hash", "owner").distinct().groupBy("value_hash").agg(F.count("*").alias("n_owners"))
     repos = hits.select("value_hash", "repo").distinct().groupBy("value_hash").agg(F.count("*").alias("n_repos"))
     base = F.col("kind").isin([kind for kind, _, _ in BASE])
-    verdict = F.when(F.col("n_owners") >= common_owners, "example").when(F.col("random"), "live").otherwise("weak")
+    verdict = F.when((F.col("n_owners") >= common_owners) | (F.col("n_repos") >= copies_per_owner * F.col("n_owners")), "example").when(F.col("random"), "live").otherwise("weak")
     judged = hits.join(owners.join(repos, "value_hash"), "value_hash").select(
         "row", F.struct("place", "start", "end", "kind", base.alias("base"), "n_repos", "n_owners", verdict.alias("verdict")).alias("s")
     )

@@ -199,6 +199,17 @@ def test_secret_ownership_and_masking(spark):
     assert masked[1].startswith("x <secret>") and masked[1].endswith(" y") and masked[2] == f"{example} z" and masked[5] is None
 
 
+def test_secret_copied_widely_inside_one_source(spark):
+    wide, narrow = "token = 'q8Zr2Lw9Xc4Vb7Nm1Kp5'", "secret: aB3dE6gH9jK2mN5pQ8sT"
+    rows = [(i, wide, "hot") for i in range(40)] + [(100 + i, narrow, "hot") for i in range(24)] + [(300, f"{narrow}x", "hot")] * 40
+    frame = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, source string, row long")
+    found = secret_ownership.scan_secrets(frame, row_col="row")
+    verdicts = {(r.doc_id // 100, s.verdict, s.n_owners, s.n_repos) for r in found.collect() for s in r.secrets if s.kind == "assign"}
+    assert verdicts == {(0, "example", 1, 40), (1, "live", 1, 24), (3, "live", 1, 1)}
+    masked = {r.doc_id: r.text for r in secret_ownership.mask_live(frame, found, "row").collect()}
+    assert masked[0] == wide and "<secret>" in masked[100] and "<secret>" in masked[300]
+
+
 def shingles(text, k):
     w = (text or "").encode().lower().split()
     return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
