@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from helixframe.llm import byte_cnn, hamming_index, license_join, minhash_dedup, mixture, packing, pitman_yor, quality_bands, secret_ownership, toxicity_zstd
+from helixframe.llm import byte_cnn, hamming_index, license_join, minhash_dedup, mixture, packing, periodic_runs, pitman_yor, quality_bands, secret_ownership, toxicity_zstd
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -74,6 +74,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report(periodic_runs.find_runs(periodic_runs.planted(table(spark, sf_dir, "documents"))))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
