@@ -14,7 +14,9 @@ text enter the suffix array.  That filter is exact.
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -124,9 +126,9 @@ def united(edges: Iterator[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
 
 def runs_of(texts_: list[list[bytes]], least: int = 12) -> list[np.ndarray]:
     """(runs, 3) start, length, period of each list of words, by start and then period."""
-    numbers: dict[bytes, int] = {}
+    numbers: dict[bytes, int] = defaultdict(count().__next__)
     sizes = np.array([len(t) for t in texts_], np.int64)
-    x = np.fromiter((numbers.setdefault(w, len(numbers)) for t in texts_ for w in t), np.int64, int(sizes.sum()))
+    x = np.fromiter(map(numbers.__getitem__, chain.from_iterable(texts_)), np.int64, int(sizes.sum()))
     none = np.zeros((0, 3), np.int64)
     result = [none] * len(texts_)
     width = max(1, -(-least // 2))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from helixframe.llm import byte_cnn, hamming_index, license_join, minhash_dedup, mixture, packing, periodic_runs, pitman_yor, quality_bands, secret_ownership, toxicity_zstd
+from helixframe.llm import byte_cnn, hamming_index, license_join, minhash_dedup, mixture, packing, periodic_runs, pitman_yor, quality_bands, secret_ownership, toxicity_zstd, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -74,6 +74,14 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages")).withColumn("patterns", F.array_join("patterns", " "))
+
+
+ORACLE["op12_url_rules"] = url_rules.oracle_sql()
+
+
 @query
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.report(periodic_runs.find_runs(periodic_runs.planted(table(spark, sf_dir, "documents"))))
