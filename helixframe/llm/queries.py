@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from helixframe.llm import byte_cnn, hamming_index, license_join, minhash_dedup, mixture, packing, periodic_runs, pitman_yor, quality_bands, secret_ownership, toxicity_zstd, url_rules
+from helixframe.llm import byte_cnn, gnat_negatives, hamming_index, license_join, minhash_dedup, mixture, packing, periodic_runs, pitman_yor, quality_bands, secret_ownership, toxicity_zstd, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -74,6 +74,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_gnat_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gnat_negatives.hard_negatives(gnat_negatives.quantized(table(spark, sf_dir, "embeddings")), lambda vec_id: vec_id % 50 == 0)
+
+
 @query
 def op12_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages")).withColumn("patterns", F.array_join("patterns", " "))
