@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from helixframe.functions.stats import hypergeometric_upper_tail, neg_log10
-from helixframe.session import global_rank
+from helixframe.session import cut_lineage, global_rank
 
 SET_KEYS = ["collection", "ontology", "term_id"]
 
@@ -316,43 +316,139 @@ def enrichment_scores(curve: DataFrame, extra: list[str] = []) -> DataFrame:
     )
 
 
-def permuted_scores(ranked: DataFrame, sets: DataFrame, permutations: int = 1000, seed: str = "", min_size: int = 10, max_size: int = 500) -> DataFrame:
-    """Null scores: gene labels are re-ordered by a seeded hash, once per permutation.
+# Fixed values of the seeded draws: a Mersenne prime, multipliers and increments below it.
+PRIME, HALF, TIMES, PLUS, SQUARE = 2147483647, 1073741824, 1103515245, 12345, 69069
+#: Mixing rounds of one permutation; a rank keeps its place with a probability of about 2^-SWAPS beyond chance.
+SWAPS = 16
 
-    Rows are permutations x genes, laid out by range over (permutation, contrast, hash), so no task holds a
-    whole list; the set sizes and the list stay those of the real ranking.
+
+def mixed(u: Column | int) -> Column:
+    """A pseudo-random number below PRIME for a number below PRIME, by integer arithmetic that stays below 2^63."""
+    a = (u * TIMES + PLUS) % PRIME
+    return (a * a + u * SQUARE + 1) % PRIME
+
+
+def permutation_steps(perm: Column) -> Column:
+    """Keys of the steps of permutation `perm`."""
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(SWAPS - 1)),
+        lambda r: F.struct(*[mixed((perm * SWAPS + r).cast("bigint") * 3 + i).alias(name) for i, name in enumerate("kab")]),
+    )
+
+
+def permuted_place(place: Column, n: Column, steps: Column) -> Column:
+    """Place (0 to n - 1) that a permutation gives to `place`, computed in the row from its `permutation_steps`.
+
+    A chain of swap-or-not steps: each step pairs x with key - x (modulo n) and swaps the pair by a bit of the larger
+    one, so the chain is a bijection of 0..n-1 for every n, without sorting or storing a permutation.
     """
-    draws = ranked.select("contrast", "gene").withColumn("perm", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
-    draws = draws.withColumn("_h", F.md5(F.concat_ws("#", F.lit(seed), "gene", F.col("perm").cast("string"))))
-    draws = global_rank(draws, ["perm", "contrast"], [F.col("_h"), F.col("gene")], "rank").drop("_h")
-    values = ranked.select("contrast", "rank", "metric")
-    shuffled = draws.join(values, ["contrast", "rank"])
-    members = shuffled.join(sets.select(*SET_KEYS, "gene").distinct(), "gene")
-    keys = ["perm", "contrast", *SET_KEYS]
-    sizes = members.groupBy(*keys).agg(F.count("*").alias("set_size"), F.sum(F.abs("metric")).alias("weight"))
-    totals = ranked.groupBy("contrast").agg(F.count("*").alias("list_size"))
-    sizes = sizes.where(F.col("set_size").between(min_size, max_size)).join(totals, "contrast")
-    return enrichment_scores(running_sum(members.join(sizes, keys), ["perm"]), ["perm"])
 
+    def step(x: Column, r: Column) -> Column:
+        other = (r["k"] % n - x + n) % n
+        return F.when((r["a"] * F.greatest(x, other) + r["b"]) % PRIME >= HALF, other).otherwise(x)
+
+    return F.coalesce(F.aggregate(steps, place.cast("bigint"), step), F.lit(0))
 
-def score_significance(scores: DataFrame, null: DataFrame, method: str = "BH") -> DataFrame:
-    """Normalised score and permutation p from the null scores of the same sign; then adjustment."""
+
+def null_scores(ranked: DataFrame, sizes: DataFrame, first: int, last: int) -> DataFrame:
+    """(contrast, set_size, null_es): scores of random sets of each size, one for each permutation from `first` to `last`.
+
+    The null of a set depends on its size alone, so sets of one size share it: in a permutation, the random set of size k holds the
+    genes at the first k permuted places.  Only as many places as the largest set has are drawn, whatever the length of the
+    list, and each is looked up by (contrast, rank).  Arrays hold at most that many places, or one score for each permutation.
+    """
+    lists = ranked.groupBy("contrast").agg(F.count("*").alias("list_size"))
+    wanted = sizes.groupBy("contrast").agg(F.collect_set("set_size").alias("sizes"), F.max("set_size").alias("most")).join(lists, "contrast")
+    # Work grows with permutations, not with bytes: they are dealt to as many tasks as there are cores, at least.
+    tasks = max(ranked.sparkSession.sparkContext.defaultParallelism, 8)
+    draws = wanted.select("contrast", "list_size", "most", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("perm")).repartition(tasks, "contrast", "perm")
+    draws = draws.withColumn("steps", permutation_steps(F.col("perm")))
+    places = draws.select("contrast", "perm", "list_size", "steps", F.explode(F.sequence(F.lit(1), F.col("most").cast("int"))).alias("place"))
+    rank = permuted_place(F.col("place") - 1, F.col("list_size"), F.col("steps")) + 1
+    places = places.select("contrast", "perm", "place", rank.alias("rank"))
+    found = places.join(ranked.select("contrast", F.col("rank").cast("bigint").alias("rank"), F.abs("metric").alias("w")), ["contrast", "rank"])
+    listed = found.repartition(tasks, "contrast", "perm").groupBy("contrast", "perm").agg(F.sort_array(F.collect_list(F.struct("rank", "place", "w"))).alias("drawn"))
+    each = listed.join(wanted.select("contrast", "list_size", "sizes"), "contrast").withColumn("set_size", F.explode("sizes"))
+    inside = each.select("contrast", "perm", "set_size", "list_size", F.filter("drawn", lambda d: d["place"] <= F.col("set_size")).alias("hits"))
+    inside = inside.withColumn("weight", F.aggregate("hits", F.lit(0.0), lambda a, d: a + d["w"]))
+    start = F.struct(F.lit(0).alias("i"), F.lit(0.0).alias("gained"), F.lit(float("-inf")).alias("top"), F.lit(float("inf")).alias("low"))
+
+    def walk(a: Column, d: Column) -> Column:
+        fall = (d["rank"] - a["i"] - 1) / (F.col("list_size") - F.col("set_size"))
+        gained = a["gained"] + d["w"]
+        return F.struct(
+            (a["i"] + 1).alias("i"), gained.alias("gained"),
+            F.greatest(a["top"], gained / F.col("weight") - fall).alias("top"),
+            F.least(a["low"], a["gained"] / F.col("weight") - fall).alias("low"),
+        )
+
+    peaks = inside.withColumn("peak", F.aggregate("hits", start, walk))
+    es = F.when(F.col("peak.top") > -F.col("peak.low"), F.col("peak.top")).otherwise(F.col("peak.low"))
+    return peaks.groupBy("contrast", "set_size").agg(F.collect_list(es).alias("null_es"))
+
+
+def significance(scores: DataFrame, ranked: DataFrame, permutations: int = 1000, stop: int = 25, looks: tuple[int, ...] = (100, 300), method: str = "BH") -> DataFrame:
+    """Normalised score, permutation p and adjusted p of each term.
+
+    p = (b + 1) / (s + 1), where s of the null scores drawn have the term's sign and b of them are at least as extreme.
+    Drawing is sequential: after the permutations named in `looks`, terms with b >= stop are done (their p is far from
+    small and known well enough), and only the sizes of the others are drawn on, up to `permutations`.  `draws` tells how many a
+    term saw.  Sets as large as their list have no score beyond chance and are left out.
+    """
     keys = ["contrast", *SET_KEYS]
-    joined = scores.join(null.select(*keys, F.col("es").alias("null_es")), keys, "left")
-    same = F.col("null_es").isNotNull() & (F.signum("null_es") == F.signum("es"))
-    stats = joined.groupBy(*keys, "set_size", "es", "peak_rank").agg(
-        F.avg(F.when(same, F.abs("null_es"))).alias("null_mean"),
-        F.count_if(same).alias("null_n"),
-        F.count_if(same & (F.abs("null_es") >= F.abs("es"))).alias("null_beyond"),
-    )
-    stats = stats.withColumn("nes", F.col("es") / F.col("null_mean")).withColumn(
-        "p_value", (F.col("null_beyond") + 1) / (F.col("null_n") + 1)
-    )
-    return adjust_p(stats, ["contrast", "collection", "ontology"], F.lit(method)).drop("null_mean")
+    lists = ranked.groupBy("contrast").agg(F.count("*").alias("list_size"))
+    zero = {"null_n": F.lit(0).cast("bigint"), "null_beyond": F.lit(0).cast("bigint"), "null_sum": F.lit(0.0), "draws": F.lit(0)}
+    tied = lambda x: F.abs(F.round(x, 10))  # noqa: E731  equal scores may differ by the order of their sums
+    open_terms = cut_lineage(scores.join(lists, "contrast").where("set_size < list_size").drop("list_size").withColumns(zero))
+    done, first = None, 1
+    for last in [*[look for look in looks if look < permutations], permutations]:
+        null = null_scores(ranked, open_terms.select("contrast", "set_size").distinct(), first, last)
+        same = F.filter("null_es", lambda x: F.signum(x) == F.signum("es"))
+        seen = open_terms.join(null, ["contrast", "set_size"]).withColumn("_same", same)
+        seen = seen.withColumns({
+            "null_n": F.col("null_n") + F.size("_same"),
+            "null_beyond": F.col("null_beyond") + F.size(F.filter("_same", lambda x: tied(x) >= tied(F.col("es")))),
+            "null_sum": F.col("null_sum") + F.aggregate("_same", F.lit(0.0), lambda a, x: a + F.abs(x)),
+            "draws": F.lit(last),
+        })
+        seen = seen.drop("null_es", "_same")
+        if last < permutations:
+            seen = cut_lineage(seen)
+            finished = seen.where(F.col("null_beyond") >= stop)
+            open_terms = seen.where(F.col("null_beyond") < stop)
+        else:
+            finished = seen
+        done = finished if done is None else done.unionByName(finished)
+        first = last + 1
+    stats = done.withColumn("nes", F.col("es") / F.expr("try_divide(null_sum, null_n)")).withColumn("p_value", (F.col("null_beyond") + 1) / (F.col("null_n") + 1))
+    return adjust_p(stats.drop("null_sum"), ["contrast", "collection", "ontology"], F.lit(method)).select(*keys, "set_size", "es", "peak_rank", "nes", "p_value", "p_adjust", "q_value", "null_n", "null_beyond", "draws")
+
+
+def significant_terms(results: DataFrame, cutoff: float = 0.05) -> DataFrame:
+    """Terms whose p and adjusted p are both within the cut-off (inclusive); terms without p never are."""
+    return results.where((F.col("p_value") <= cutoff) & (F.col("p_adjust") <= cutoff))
+
+
+def best_terms(results: DataFrame, n: int) -> DataFrame:
+    """The n best terms of each contrast and collection with their position: by adjusted p, then the larger normalised score, then id."""
+    order = W.partitionBy("contrast", "collection").orderBy("p_adjust", F.abs("nes").desc_nulls_last(), "term_id")
+    return results.withColumn("position", F.row_number().over(order)).where(F.col("position") <= n)
+
+
+def ridge_input(best: DataFrame, hits: DataFrame) -> DataFrame:
+    """Leading-edge genes of the best terms with their metric."""
+    keys = ["contrast", *SET_KEYS]
+    return leading_edge(best, hits.join(best.select(*keys), keys, "left_semi")).join(best.select(*keys, "position"), keys)
+
+
+def score_curves(best: DataFrame, hits: DataFrame) -> DataFrame:
+    """Running sum before and after every hit of the best terms, `hits` being `ranked_members`."""
+    keys = ["contrast", *SET_KEYS]
+    return running_sum(hits.join(best.select(*keys), keys, "left_semi")).join(best.select(*keys, "position"), keys)
 
 
 def top_by_sign(results: DataFrame, n: int = 15) -> DataFrame:
-    """Best terms among the activated and among the suppressed ones."""
+    """Best terms among the activated and among the suppressed ones; pass `significant_terms` to rank only those."""
     signed = results.withColumn("sign", F.when(F.col("nes") > 0, "activated").otherwise("suppressed"))
     order = W.partitionBy("contrast", "collection", "sign").orderBy("p_adjust", "term_id")
     return signed.withColumn("position", F.row_number().over(order)).where(F.col("position") <= n)

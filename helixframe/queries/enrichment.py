@@ -293,25 +293,18 @@ def ranked_genes(t):
     return ranked(t).withColumn("metric", F.round("metric", 9))
 
 
-def gsea_ctes(perms: int = 0) -> str:
-    head = f"""WITH rk AS MATERIALIZED (SELECT * FROM {RANKED}), st AS (SELECT DISTINCT collection, ontology, term_id, gene FROM ({SETS})),
-    tot AS (SELECT contrast, COUNT(*) AS n FROM rk GROUP BY contrast), """
-    if not perms:
-        src, p, on = "rk", "", ""
-    else:
-        head += f"""sh AS (SELECT contrast, gene, i AS perm, row_number() OVER (PARTITION BY contrast, i ORDER BY md5('s#' || gene || '#' || i), gene) AS rank
-          FROM rk, range(1, {perms + 1}) r(i)), pm AS (SELECT sh.*, v.metric FROM sh JOIN rk v USING (contrast, rank)), """
-        src, p, on = "pm", "perm, ", "perm, "
-    return head + f"""mb AS (SELECT x.*, collection, ontology, term_id FROM {src} x JOIN st USING (gene)),
-    sz AS (SELECT {p}contrast, collection, ontology, term_id, COUNT(*) AS nh, sum(abs(metric)) AS w FROM mb GROUP BY ALL HAVING COUNT(*) BETWEEN 10 AND 500),
-    hit AS (SELECT * FROM mb JOIN sz USING ({on}contrast, collection, ontology, term_id) JOIN tot USING (contrast)),
+def gsea_ctes() -> str:
+    return f"""WITH rk AS MATERIALIZED (SELECT * FROM {RANKED}), st AS (SELECT DISTINCT collection, ontology, term_id, gene FROM ({SETS})),
+    tot AS (SELECT contrast, COUNT(*) AS n FROM rk GROUP BY contrast), mb AS (SELECT x.*, collection, ontology, term_id FROM rk x JOIN st USING (gene)),
+    sz AS (SELECT contrast, collection, ontology, term_id, COUNT(*) AS nh, sum(abs(metric)) AS w FROM mb GROUP BY ALL HAVING COUNT(*) BETWEEN 10 AND 500),
+    hit AS (SELECT * FROM mb JOIN sz USING (contrast, collection, ontology, term_id) JOIN tot USING (contrast)),
     cv AS (SELECT *, (sum(abs(metric)) OVER w1) / w - (rank - row_number() OVER w0)::DOUBLE / (n - nh) AS after,
       ((sum(abs(metric)) OVER w1) - abs(metric)) / w - (rank - row_number() OVER w0)::DOUBLE / (n - nh) AS before FROM hit
-      WINDOW w0 AS (PARTITION BY {p}contrast, collection, ontology, term_id ORDER BY rank),
-             w1 AS (PARTITION BY {p}contrast, collection, ontology, term_id ORDER BY rank ROWS UNBOUNDED PRECEDING)),
-    pk AS (SELECT {p}contrast, collection, ontology, term_id, min(nh) AS set_size, max(after) AS tp, min(before) AS lw,
+      WINDOW w0 AS (PARTITION BY contrast, collection, ontology, term_id ORDER BY rank),
+             w1 AS (PARTITION BY contrast, collection, ontology, term_id ORDER BY rank ROWS UNBOUNDED PRECEDING)),
+    pk AS (SELECT contrast, collection, ontology, term_id, min(nh) AS set_size, max(after) AS tp, min(before) AS lw,
       arg_max(rank, (round(after, 12), -rank)) AS tr, arg_min(rank, (round(before, 12), rank)) AS lr FROM cv GROUP BY ALL),
-    es AS (SELECT {p}contrast, collection, ontology, term_id, set_size, CASE WHEN tp > -lw THEN tp ELSE lw END AS es,
+    es AS (SELECT contrast, collection, ontology, term_id, set_size, CASE WHEN tp > -lw THEN tp ELSE lw END AS es,
       CASE WHEN tp > -lw THEN tr ELSE lr END AS peak_rank FROM pk)"""
 
 
@@ -339,48 +332,119 @@ def edge(t):
     return out.withColumn("es", F.round("es", 8)).withColumn("metric", F.round("metric", 9))
 
 
-PERMS = 20
-
-
 def gsea_results(t: Tables):
     ranks = ranked(t)
-    scores = en.enrichment_scores(en.running_sum(en.ranked_members(ranks, t.sql(SETS))))
-    null = en.permuted_scores(ranks, t.sql(SETS), PERMS, "s")
-    return en.score_significance(scores, null)
-
-
-def significance_sql() -> str:
-    null = gsea_ctes(PERMS)
-    real = gsea_ctes()
-    return f"""WITH nul AS ({null} SELECT contrast, collection, ontology, term_id, es AS null_es FROM es),
-    obs AS ({real} SELECT * FROM es),
-    j AS (SELECT obs.*, null_es, null_es IS NOT NULL AND sign(null_es) = sign(es) AS same FROM obs LEFT JOIN nul USING (contrast, collection, ontology, term_id)),
-    g AS (SELECT contrast, collection, ontology, term_id, set_size, es, avg(CASE WHEN same THEN abs(null_es) END) AS nm, count_if(same)::BIGINT AS null_n,
-      count_if(same AND abs(null_es) >= abs(es))::BIGINT AS null_beyond FROM j GROUP BY ALL),
-    p AS (SELECT *, es / nm AS nes, (null_beyond + 1)::DOUBLE / (null_n + 1) AS p FROM g),
+    return en.significance(en.enrichment_scores(curve(t, ranks)), ranks)
+
+
+def permuted_sql(source: str) -> str:
+    """`source` (contrast, n, perm, place) with the permuted rank: the steps of `permuted_rank` one inside the other."""
+    u = lambda r, i: f"((perm * {en.SWAPS} + {r})::BIGINT * 3 + {i})"
+    a = lambda r, i: f"(({u(r, i)} * {en.TIMES} + {en.PLUS}) % {en.PRIME})"
+    mixed = lambda r, i: f"(({a(r, i)} * {a(r, i)} + {u(r, i)} * {en.SQUARE} + 1) % {en.PRIME})"
+    inner = f"SELECT *, (place - 1)::BIGINT AS x FROM {source}"
+    for r in range(en.SWAPS):
+        inner = f"""SELECT * EXCLUDE (x, y), CASE WHEN ({mixed(r, 1)} * greatest(x, y) + {mixed(r, 2)}) % {en.PRIME} >= {en.HALF} THEN y ELSE x END AS x
+          FROM (SELECT *, ({mixed(r, 0)} % n - x + n) % n AS y FROM ({inner}))"""
+    return f"SELECT * EXCLUDE (x), x + 1 AS rank FROM ({inner})"
+
+
+def significance_sql(stop: int = 25, ends: tuple[int, ...] = (100, 300, 1000)) -> str:
+    """Rounds of draws as one CTE each; the terms of a round are those that the round before left open."""
+    sql = gsea_ctes() + """, t0 AS (SELECT es.*, 0::BIGINT AS null_n, 0::BIGINT AS null_beyond, 0.0::DOUBLE AS null_sum, 0 AS draws FROM es JOIN tot USING (contrast) WHERE set_size < n)"""
+    first, parts = 1, []
+    for k, last in enumerate(ends):
+        sql += f""", o{k} AS MATERIALIZED (SELECT * FROM t{k} {f'WHERE null_beyond < {stop}' if k else ''}),
+        s{k} AS (SELECT DISTINCT contrast, set_size FROM o{k}),
+        d{k} AS (SELECT contrast, n, perm, place FROM (SELECT contrast, max(set_size) AS most FROM s{k} GROUP BY contrast) JOIN tot USING (contrast),
+          range({first}, {last + 1}) p(perm), range(1, 501) q(place) WHERE place <= most),
+        m{k} AS MATERIALIZED (SELECT z.*, abs(metric) AS w FROM ({permuted_sql(f'd{k}')}) z JOIN rk USING (contrast, rank)),
+        c{k} AS (SELECT contrast, perm, set_size, (sum(w) OVER up) AS gained, w, (sum(w) OVER every) AS total,
+          (rank - row_number() OVER along)::DOUBLE / (n - set_size) AS fall FROM m{k} JOIN s{k} USING (contrast) WHERE place <= set_size
+          WINDOW along AS (PARTITION BY contrast, perm, set_size ORDER BY rank), up AS (PARTITION BY contrast, perm, set_size ORDER BY rank ROWS UNBOUNDED PRECEDING),
+            every AS (PARTITION BY contrast, perm, set_size)),
+        n{k} AS (SELECT contrast, perm, set_size, CASE WHEN tp > -lw THEN tp ELSE lw END AS null_es FROM (
+          SELECT contrast, perm, set_size, max(gained / total - fall) AS tp, min((gained - w) / total - fall) AS lw FROM c{k} GROUP BY ALL)),
+        t{k + 1} AS MATERIALIZED (SELECT contrast, collection, ontology, term_id, set_size, es, peak_rank, null_n + count_if(same)::BIGINT AS null_n,
+          null_beyond + count_if(same AND abs(round(null_es, 10)) >= abs(round(es, 10)))::BIGINT AS null_beyond, null_sum + coalesce(sum(CASE WHEN same THEN abs(null_es) END), 0) AS null_sum, {last} AS draws
+          FROM (SELECT *, sign(null_es) = sign(es) AS same FROM o{k} JOIN n{k} USING (contrast, set_size)) GROUP BY contrast, collection, ontology, term_id, set_size, es, peak_rank, null_n, null_beyond, null_sum)"""
+        parts.append(f"SELECT * FROM t{k + 1}" + (f" WHERE null_beyond >= {stop}" if k + 1 < len(ends) else ""))
+        first = last + 1
+    return sql + f""", p AS (SELECT *, es / (null_sum / null_n) AS nes, (null_beyond + 1)::DOUBLE / (null_n + 1) AS p FROM ({' UNION ALL '.join(parts)})),
     r AS (SELECT *, row_number() OVER (PARTITION BY contrast, collection, ontology ORDER BY p, term_id) AS rn,
       COUNT(*) OVER (PARTITION BY contrast, collection, ontology) AS cnt FROM p),
     f AS (SELECT *, least(1.0::DOUBLE, min(p * cnt / rn) OVER (PARTITION BY contrast, collection, ontology ORDER BY rn DESC ROWS UNBOUNDED PRECEDING)) AS p_adjust FROM r)"""
 
 
-@query(
-    "enrich_gsea_significance",
-    significance_sql() + """ SELECT contrast, collection, ontology, term_id, set_size, round(es, 8) AS es, round(nes, 7) AS nes,
-    null_n, null_beyond, round(p, 9) AS p_value, round(p_adjust, 9) AS p_adjust FROM f""",
-)
-def gsea_significance(t):
-    return gsea_results(t).select(
+SHOWN = """contrast, collection, ontology, term_id, set_size, round(es, 8) AS es, round(nes, 7) AS nes,
+    null_n, null_beyond, draws, round(p, 9) AS p_value, round(p_adjust, 9) AS p_adjust"""
+
+
+def shown(results):
+    return results.select(
         "contrast", "collection", "ontology", "term_id", "set_size", F.round("es", 8).alias("es"), F.round("nes", 7).alias("nes"),
-        "null_n", "null_beyond", F.round("p_value", 9).alias("p_value"), F.round("p_adjust", 9).alias("p_adjust"),
+        "null_n", "null_beyond", "draws", F.round("p_value", 9).alias("p_value"), F.round("p_adjust", 9).alias("p_adjust"),
     )
 
 
-@query(
-    "enrich_gsea_top_by_sign",
-    significance_sql() + """, s AS (SELECT *, CASE WHEN nes > 0 THEN 'activated' ELSE 'suppressed' END AS sign, round(p_adjust, 9) AS pa FROM f)
+@query("enrich_gsea_significance", significance_sql() + f" SELECT {SHOWN} FROM f")
+def gsea_significance(t):
+    return shown(gsea_results(t))
+
+
+@query("enrich_gsea_significant_terms", significance_sql() + f" SELECT {SHOWN} FROM f WHERE p <= 0.05 AND p_adjust <= 0.05")
+def gsea_significant(t):
+    return shown(en.significant_terms(gsea_results(t)))
+
+
+@query("enrich_gsea_terms_loose_cutoff", significance_sql() + f" SELECT {SHOWN} FROM f WHERE p <= 0.5 AND p_adjust <= 0.5")
+def gsea_loose(t):
+    return shown(en.significant_terms(gsea_results(t), 0.5))
+
+
+def top_by_sign_sql(where: str = "") -> str:
+    return significance_sql() + f""", s AS (SELECT *, CASE WHEN nes > 0 THEN 'activated' ELSE 'suppressed' END AS sign, round(p_adjust, 9) AS pa FROM f {where})
     SELECT contrast, collection, sign, term_id, row_number() OVER (PARTITION BY contrast, collection, sign ORDER BY pa, term_id) AS position
-    FROM s QUALIFY position <= 15""",
-)
+    FROM s QUALIFY position <= 15"""
+
+
+@query("enrich_gsea_top_by_sign", top_by_sign_sql())
 def gsea_top(t):
     out = en.top_by_sign(gsea_results(t).withColumn("p_adjust", F.round("p_adjust", 9)))
     return out.select("contrast", "collection", "sign", "term_id", "position")
+
+
+@query("enrich_gsea_top_by_sign_cut", top_by_sign_sql("WHERE p <= 0.5 AND p_adjust <= 0.5"))
+def gsea_top_cut(t):
+    out = en.top_by_sign(en.significant_terms(gsea_results(t), 0.5).withColumn("p_adjust", F.round("p_adjust", 9)))
+    return out.select("contrast", "collection", "sign", "term_id", "position")
+
+
+def best_sql(n: int) -> str:
+    return significance_sql() + f""", b AS (SELECT contrast, collection, ontology, term_id, es, peak_rank, row_number() OVER (PARTITION BY contrast, collection
+      ORDER BY round(p_adjust, 9), abs(round(nes, 7)) DESC NULLS LAST, term_id) AS position FROM f QUALIFY position <= {n})"""
+
+
+def best(t: Tables, n: int):
+    rounded = gsea_results(t).withColumns({"p_adjust": F.round("p_adjust", 9), "nes": F.round("nes", 7)})
+    return en.best_terms(rounded, n)
+
+
+@query(
+    "enrich_gsea_ridge",
+    best_sql(15) + """ SELECT contrast, collection, ontology, term_id, gene, round(metric, 9) AS metric, rank, round(es, 8) AS es, position FROM hit
+    JOIN b USING (contrast, collection, ontology, term_id) WHERE CASE WHEN es > 0 THEN rank <= peak_rank ELSE rank >= peak_rank END""",
+)
+def ridge(t):
+    out = en.ridge_input(best(t, 15), curve(t, ranked(t)))
+    return out.withColumns({"es": F.round("es", 8), "metric": F.round("metric", 9)})
+
+
+@query(
+    "enrich_gsea_score_curves",
+    best_sql(5) + """ SELECT contrast, collection, ontology, term_id, gene, rank, round(round(before, 12), 8) AS before, round(round(after, 12), 8) AS after, position FROM cv
+    JOIN b USING (contrast, collection, ontology, term_id)""",
+)
+def score_curves(t):
+    out = en.score_curves(best(t, 5), en.ranked_members(ranked(t), t.sql(SETS)))
+    return out.select("contrast", *en.SET_KEYS, "gene", "rank", F.round(F.round("before", 12), 8).alias("before"), F.round(F.round("after", 12), 8).alias("after"), "position")

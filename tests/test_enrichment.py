@@ -123,3 +123,57 @@ def test_candidate_flow(spark):
     assert lg.candidate_violations(cands, checks, events, inputs).count() == 0 and lg.event_violations(events, inputs).count() == 0
     wrong = checks.withColumn("event_id", F.lit("E2"))
     assert {r.rule for r in lg.candidate_violations(cands, wrong, events, inputs).collect()} == {"candidate_not_checked", "pass_without_reads"}
+
+
+def test_permuted_places_are_a_bijection_and_look_random(spark):
+    draws = spark.range(1, 201).select(F.col("id").alias("perm"), F.explode(F.sequence(F.lit(0), F.lit(96))).alias("place")).withColumn("steps", en.permutation_steps(F.col("perm")))
+    rows = draws.select("perm", "place", en.permuted_place(F.col("place"), F.lit(97), F.col("steps")).alias("x"))
+    per = rows.groupBy("perm").agg(F.countDistinct("x").alias("d"), F.min("x").alias("lo"), F.max("x").alias("hi"), F.count_if(F.col("x") == F.col("place")).alias("fixed"))
+    got = per.agg(F.min("d"), F.min("lo"), F.max("hi"), F.avg("fixed")).first()
+    assert got[:3] == (97, 0, 96) and 0.6 < got[3] < 1.5
+    spread = rows.groupBy("place").agg(F.avg("x").alias("m")).agg(F.min("m"), F.max("m")).first()
+    assert 34 < spread[0] < spread[1] < 62  # 48 +- 4 standard errors
+    one = spark.range(1).select(en.permuted_place(F.lit(0), F.lit(1), en.permutation_steps(F.lit(5))).alias("x")).first()
+    assert one.x == 0
+
+
+def test_permutation_p_values_of_signal_and_noise(spark):
+    rng = random.Random(7)
+    genes = [(c, f"g{i}", 3.0 - 6.0 * i / 399) for c in ("a", "b") for i in range(400)]
+    ranked = en.rank_genes(spark.createDataFrame(genes, "contrast string, gene string, metric double"))
+    sets = [("K", "K", "top", f"g{i}") for i in range(0, 60, 3)] + [("K", "K", "bottom", f"g{399 - i}") for i in range(0, 60, 3)]
+    sets += [("K", "K", f"noise{k}", f"g{i}") for k in range(12) for i in rng.sample(range(400), 20)] + [("K", "K", "all", f"g{i}") for i in range(400)]
+    frame = spark.createDataFrame(sets, "collection string, ontology string, term_id string, gene string")
+    scores = en.enrichment_scores(en.running_sum(en.ranked_members(ranked, frame)))
+    got = {(r.contrast, r.term_id): r for r in en.significance(scores, ranked, 400, looks=(50, 100)).collect()}
+    assert set(t for _, t in got) == {"top", "bottom"} | {f"noise{k}" for k in range(12)}
+    for c in "ab":
+        top, bottom = got[c, "top"], got[c, "bottom"]
+        assert top.draws == bottom.draws == 400 and top.null_beyond == bottom.null_beyond == 0 and top.nes > 2 > -2 > bottom.nes
+        assert top.p_value == 1 / (top.null_n + 1) < 0.01
+    noise = [r for (_, t), r in got.items() if t.startswith("noise")]
+    assert min(r.p_value for r in noise) > 0.004 and any(r.draws < 400 and r.null_beyond >= 25 for r in noise) and all(r.draws == 400 or r.null_beyond >= 25 for r in noise)
+    kept = en.significant_terms(spark.createDataFrame(list(got.values())), 0.05).select("term_id").distinct().collect()
+    assert {r.term_id for r in kept} >= {"top", "bottom"} and len(kept) <= 3
+
+
+def test_null_scores_equal_a_plain_walk(spark):
+    genes = [("a", f"g{i:02}", float(30 - i) if i != 40 else -7.5) for i in range(60)]
+    ranked = en.rank_genes(spark.createDataFrame(genes, "contrast string, gene string, metric double"))
+    metric = {r["rank"]: r.metric for r in ranked.collect()}
+    sizes = spark.createDataFrame([("a", 3), ("a", 11)], "contrast string, set_size long")
+    got = {r.set_size: sorted(r.null_es) for r in en.null_scores(ranked, sizes, 1, 30).collect()}
+    draws = spark.range(1, 31).select(F.col("id").alias("perm"), F.explode(F.sequence(F.lit(0), F.lit(10))).alias("place")).withColumn("steps", en.permutation_steps(F.col("perm")))
+    places = {(r.perm, r.place): r.x + 1 for r in draws.select("perm", "place", en.permuted_place(F.col("place"), F.lit(60), F.col("steps")).alias("x")).collect()}
+    for k in (3, 11):
+        want = []
+        for perm in range(1, 31):
+            ranks = sorted(places[perm, j] for j in range(k))
+            total, gained, values = sum(abs(metric[r]) for r in ranks), 0.0, []
+            for i, r in enumerate(ranks):
+                fall = (r - i - 1) / (60 - k)
+                values.append(gained / total - fall)
+                gained += abs(metric[r])
+                values.append(gained / total - fall)
+            want.append(max(values) if max(values[1::2]) > -min(values[::2]) else min(values))
+        assert [round(x, 9) for x in got[k]] == [round(x, 9) for x in sorted(want)]
