@@ -210,10 +210,7 @@ class Tree:
 
     def numbered_by(self, counts: dict[int, int], rows: int, *by: str) -> Column:
         """A number below ceil(count of the region / rows), by hash."""
-        parts = F.lit(1)
-        for region, count in counts.items():
-            parts = F.when(F.col("region") == region, -(-count // rows)).otherwise(parts)
-        return F.pmod(F.xxhash64(*by), parts).cast("int")
+        return F.pmod(F.xxhash64(*by), parts_of(counts, rows, 1)).cast("int")
 
     def planted(self) -> DataFrame:
         """One row for each piece: its tree with its vectors, and the distances of its rows from the root's split points."""
@@ -259,12 +256,9 @@ class Tree:
         """(query, vec_id, score, hit): of each query and piece of the regions in its column `regions`, the k best rows in the window."""
         asked = queries.withColumn("region", F.explode("regions")).drop("regions")
         loads = {r["region"]: r["count"] for r in asked.groupBy("region").count().collect()}
-        salts = self.pieces.select(F.col("region").alias("holder"), F.col("salt").alias("part"))
-        asked = asked.withColumn("block", self.numbered_by(loads, self.shape.block_queries, "query")).join(salts, F.col("region") == F.col("holder"))
-        blocks = F.lit(0)
-        for region, count in loads.items():
-            blocks = F.when(F.col("region") == region, -(-count // self.shape.block_queries)).otherwise(blocks)
-        trees = self.pieces.select("region", "salt", "tree").where(blocks > 0).withColumn("block", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
+        salts, blocks = parts_of(self.sizes, self.shape.piece_rows, 1), parts_of(loads, self.shape.block_queries, 0)
+        asked = asked.withColumn("block", self.numbered_by(loads, self.shape.block_queries, "query")).withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+        trees = self.pieces.select("region", "salt", "tree").where(blocks > 0).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
         width, most = self.width, self.most
         schema = pa.schema([("query", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("hit", pa.int64())])
 
@@ -281,7 +275,7 @@ class Tree:
             ids = pa.array(piece["id"][at], pa.int64(), mask=piece["null"][at])
             return pa.table([pa.array(n["query"][who]), ids, pa.array(found.score[who, which]), pa.array(piece["row"][at])], schema=schema)
 
-        return trees.groupBy("region", "salt", "block").cogroup(asked.groupBy("holder", "part", "block")).applyInArrow(probe, "query bigint, vec_id bigint, score bigint, hit bigint")
+        return trees.groupBy("region", "salt", "block").cogroup(asked.groupBy("region", "salt", "block")).applyInArrow(probe, "query bigint, vec_id bigint, score bigint, hit bigint")
 
     def search(self, queries: DataFrame, same: bool, k: int) -> DataFrame:
         """(query, rank, vec_id, score): the k best rows of each query, of the anchor's label or of the others, with low <= score <= high.
@@ -305,6 +299,14 @@ def stacked(vectors: list, width: int) -> np.ndarray:
     return np.array([list(v) + [0] * (width - len(v)) for v in vectors], np.int64).reshape(len(vectors), width)
 
 
+def parts_of(counts: dict[int, int], rows: int, otherwise: int) -> Column:
+    """ceil(count of the row's region / rows)."""
+    parts = F.lit(otherwise)
+    for region, count in counts.items():
+        parts = F.when(F.col("region") == region, -(-count // rows)).otherwise(parts)
+    return parts
+
+
 def hard_negatives(
     vectors: DataFrame, is_anchor: Callable[[Column], Column], positives: int = 5, negatives: int = 3, low: int = 50, high: int = 95,
     shape: Shape = Shape(), id_col: str = "vec_id", label_col: str = "label", vector_col: str = "v",
