@@ -291,13 +291,17 @@ def ranked_members(ranked: DataFrame, sets: DataFrame, min_size: int = 10, max_s
 
 
 def running_sum(hits: DataFrame, extra: list[str] = []) -> DataFrame:
-    """Running sum just before and after every hit; between hits it only falls."""
+    """Running sum just before and after every hit; between hits it only falls.
+
+    A set as large as its list never falls; one without weight never rises.
+    """
     order = W.partitionBy(*extra, "contrast", *SET_KEYS).orderBy("rank")
     upto = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     weight = F.abs("metric")
-    fall = (F.col("rank") - F.row_number().over(order)) / (F.col("list_size") - F.col("set_size"))
+    share = lambda part, whole: F.coalesce(F.try_divide(part, whole), F.lit(0.0))
+    fall = share(F.col("rank") - F.row_number().over(order), F.col("list_size") - F.col("set_size"))
     gained = F.sum(weight).over(upto)
-    return hits.withColumn("after", gained / F.col("weight") - fall).withColumn("before", (gained - weight) / F.col("weight") - fall)
+    return hits.withColumn("after", share(gained, F.col("weight")) - fall).withColumn("before", share(gained - weight, F.col("weight")) - fall)
 
 
 def enrichment_scores(curve: DataFrame, extra: list[str] = []) -> DataFrame:
@@ -373,13 +377,15 @@ def null_scores(ranked: DataFrame, sizes: DataFrame, first: int, last: int) -> D
     inside = inside.withColumn("weight", F.aggregate("hits", F.lit(0.0), lambda a, d: a + d["w"]))
     start = F.struct(F.lit(0).alias("i"), F.lit(0.0).alias("gained"), F.lit(float("-inf")).alias("top"), F.lit(float("inf")).alias("low"))
 
+    share = lambda part: F.coalesce(F.try_divide(part, F.col("weight")), F.lit(0.0))
+
     def walk(a: Column, d: Column) -> Column:
         fall = (d["rank"] - a["i"] - 1) / (F.col("list_size") - F.col("set_size"))
         gained = a["gained"] + d["w"]
         return F.struct(
             (a["i"] + 1).alias("i"), gained.alias("gained"),
-            F.greatest(a["top"], gained / F.col("weight") - fall).alias("top"),
-            F.least(a["low"], a["gained"] / F.col("weight") - fall).alias("low"),
+            F.greatest(a["top"], share(gained) - fall).alias("top"),
+            F.least(a["low"], share(a["gained"]) - fall).alias("low"),
         )
 
     peaks = inside.withColumn("peak", F.aggregate("hits", start, walk))

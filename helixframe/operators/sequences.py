@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from helixframe.functions import seq as sq
+from helixframe.functions.windows import end_signature, longest_shared, seeds, suffix_prefix_overlap
 from helixframe.functions.rules import flags
 
 
@@ -49,32 +50,15 @@ def intake_findings(records: DataFrame) -> DataFrame:
 # -- overlaps --------------------------------------------------------------------------------------
 
 
-def suffix_prefix_overlap(left: Column, right: Column, minimum: int = 20) -> Column:
-    """Longest end of `left` that starts `right`, 0 below the minimum.
-
-    The last `minimum` letters of `left` are located in `right` by one zero-width split; only those places can
-    end an overlap, so only they are verified.
-    """
-    tail = F.right(left, F.lit(minimum))
-    pieces = F.split(F.concat(F.lit("#"), right), F.concat(F.lit("(?="), tail, F.lit(")")))
-    start = F.struct(F.lit(-1).alias("at"), F.array().cast("array<int>").alias("out"))
-
-    def step(acc, p):
-        at = (acc["at"] + F.length(p)).cast("int")
-        return F.struct(at.alias("at"), F.concat(acc["out"], F.array(at)).alias("out"))
-
-    ends = F.transform(F.aggregate(F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0))), start, step, lambda acc: acc["out"]), lambda p: p + minimum)
-    fits = F.filter(ends, lambda k: (k <= F.length(left)) & (F.right(left, k) == F.left(right, k)))
-    usable = (F.length(left) >= minimum) & (F.length(right) >= minimum)
-    return F.when(usable, F.coalesce(F.array_max(fits), F.lit(0))).otherwise(0)
-
-
 # The four ways to orient two scaffolds.
 ORIENTATIONS = (("s1+s2", False, False), ("s1+rc(s2)", False, True), ("rc(s1)+s2", True, False), ("rc(s1)+rc(s2)", True, True))
 
 
 def oriented_joins(pairs: DataFrame, minimum: int = 20, flank: int = 10) -> DataFrame:
-    """Four joins per (case_id, seq1, seq2): overlap, joined sequence and the anchor region over the join."""
+    """Four joins per (case_id, seq1, seq2): overlap, joined sequence, the anchor region over the join, and a status.
+
+    Sequences with fewer than `minimum` letters are joined end to end without an overlap and marked insufficient.
+    """
     rc = pairs.select("case_id", "seq1", "seq2", sq.reverse_complement(F.col("seq1")).alias("_r1"), sq.reverse_complement(F.col("seq2")).alias("_r2"))
     ways = [
         F.struct(F.lit(name).alias("variant"), F.col("_r1" if a else "seq1").alias("left"), F.col("_r2" if b else "seq2").alias("right"))
@@ -83,9 +67,30 @@ def oriented_joins(pairs: DataFrame, minimum: int = 20, flank: int = 10) -> Data
     cases = rc.select("case_id", F.explode(F.array(*ways)).alias("w")).select("case_id", "w.*")
     cases = cases.withColumn("overlap", suffix_prefix_overlap(F.col("left"), F.col("right"), minimum))
     joined = F.concat(F.col("left"), F.expr("substr(right, overlap + 1)"))
-    cases = cases.select("case_id", "variant", "overlap", F.length("left").alias("_ll"), joined.alias("joined"))
+    short = F.least(F.length("left"), F.length("right")) < minimum
+    status = F.when(short, "insufficient").when(F.col("overlap") > 0, "overlap").otherwise("no_overlap")
+    cases = cases.select("case_id", "variant", "overlap", F.length("left").alias("_ll"), joined.alias("joined"), status.alias("status"))
     anchor = sq.anchor_region(F.col("_ll"), F.col("overlap"), F.length("joined"), flank)
-    return cases.select("case_id", "variant", "overlap", "joined", anchor["low"].alias("anchor_low"), anchor["high"].alias("anchor_high"))
+    return cases.select("case_id", "variant", "overlap", "joined", anchor["low"].alias("anchor_low"), anchor["high"].alias("anchor_high"), "status")
+
+
+def end_overlaps(scaffolds: DataFrame, minimum: int = 20) -> DataFrame:
+    """Which ends of the scaffolds of a case overlap: (case_id, left_id, left_strand, right_id, right_strand, overlap), left_id < right_id.
+
+    Scaffolds (case_id, scaffold_id, seq) meet only where the hash of one's last `minimum` letters is among the hashes of
+    the other's windows; the longest overlap of those pairs is then found exactly.  Shorter sequences have no end to join.
+    """
+    both = scaffolds.select("case_id", "scaffold_id", F.explode(F.array(
+        F.struct(F.lit("+").alias("strand"), F.col("seq")), F.struct(F.lit("-").alias("strand"), sq.reverse_complement(F.col("seq")).alias("seq")),
+    )).alias("w")).select("case_id", "scaffold_id", "w.strand", "w.seq").where(F.length("seq") >= minimum)
+    ends = both.select("case_id", F.col("scaffold_id").alias("left_id"), F.col("strand").alias("left_strand"), F.explode(end_signature(F.col("seq"), minimum, False)).alias("mark"))
+    held = both.select("case_id", F.col("scaffold_id").alias("right_id"), F.col("strand").alias("right_strand"), F.explode(end_signature(F.col("seq"), minimum, True)).alias("mark"))
+    pairs = ends.join(held, ["case_id", "mark"]).where("left_id < right_id").drop("mark")
+    left = both.select("case_id", F.col("scaffold_id").alias("left_id"), F.col("strand").alias("left_strand"), F.col("seq").alias("_l"))
+    right = both.select("case_id", F.col("scaffold_id").alias("right_id"), F.col("strand").alias("right_strand"), F.col("seq").alias("_r"))
+    pairs = pairs.join(left, ["case_id", "left_id", "left_strand"]).join(right, ["case_id", "right_id", "right_strand"])
+    found = pairs.withColumn("overlap", suffix_prefix_overlap(F.col("_l"), F.col("_r"), minimum)).where("overlap > 0")
+    return found.select("case_id", "left_id", "left_strand", "right_id", "right_strand", "overlap")
 
 
 def unique_maximum(scored: DataFrame, keys: list[str], score: str = "score") -> DataFrame:
@@ -117,37 +122,31 @@ def best_variant(scored: DataFrame) -> DataFrame:
     return out.select("case_id", F.when(status == "selected", F.col("variant")).alias("variant"), F.col("_top").alias("score"), status.alias("status"))
 
 
-def may_share(a: Column, b: Column, length: int) -> Column:
-    """False only if no common stretch of `length` exists: such a stretch holds a whole chunk of half that length."""
-    chunk = max(1, length // 2)
-    pieces = F.regexp_extract_all(a, F.lit("[\\s\\S]{%d}" % chunk), 0)
-    return F.exists(pieces, lambda p: b.contains(p))
-
-
-def longest_shared(a: Column, b: Column, at_least: int = 1) -> Column:
-    """Length of the longest common substring, or `at_least` - 1 when none is that long.
-
-    The longest one seen so far grows by at most one per position of `a`, so testing only the next length at
-    every end position is exact; no k-mer pairs are produced.
-    """
-    ends = F.when(F.length(a) > 0, F.sequence(F.lit(1), F.length(a))).otherwise(F.array().cast("array<int>"))
-    start = F.lit(at_least - 1)
-    return F.aggregate(ends, start, lambda best, j: F.when((j > best) & b.contains(a.substr(j - best, best + 1)), best + 1).otherwise(best))
-
-
 def annotation_matches(segments: DataFrame, annotations: DataFrame, min_length: int = 300) -> DataFrame:
-    """Segments and annotated features of the same record sharing at least `min_length` bases in one stretch.
+    """Segments and annotated features of the same record sharing at least `min_length` bases in one stretch, and how many.
 
-    A cheap exact test drops most pairs before the full comparison.
+    segments: (record, segment_id, seq); annotations: (record, feature_id, seq).  Only pairs that share a seed are compared: each
+    sequence gives the least-hashed of any neighbouring half-length windows, so two that share a stretch share a seed, and a
+    repeat gives one seed however often it occurs.  A seed that many segments of a record hold is split by the join.
     """
-    pairs = segments.select("record", "segment_id", F.col("seq").alias("_a")).join(annotations.select("record", "feature_id", F.col("seq").alias("_b")), "record")
-    # Comparing is the costly part: spread the pairs evenly, also those of one hot record.
-    width = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = pairs.where(may_share(F.col("_a"), F.col("_b"), min_length)).repartition(width, "record", "segment_id", "feature_id")
+    own = segments.select("record", "segment_id", F.explode(seeds(F.col("seq"), min_length)).alias("seed"))
+    theirs = annotations.select("record", "feature_id", F.explode(seeds(F.col("seq"), min_length)).alias("seed"))
+    pairs = own.join(theirs, ["record", "seed"]).select("record", "segment_id", "feature_id").distinct()
+    pairs = pairs.join(segments.select("record", "segment_id", F.col("seq").alias("_a")), ["record", "segment_id"])
+    pairs = pairs.join(annotations.select("record", "feature_id", F.col("seq").alias("_b")), ["record", "feature_id"])
     matched = pairs.withColumn("matched_bp", longest_shared(F.col("_a"), F.col("_b"), min_length))
     return matched.where(F.col("matched_bp") >= min_length).select("record", "segment_id", "feature_id", "matched_bp")
 
 
+def segment_match_status(segments: DataFrame, matches: DataFrame, min_length: int = 300) -> DataFrame:
+    """One row per segment: matched, unmatched, or insufficient where it is absent or shorter than the stretch asked for."""
+    found = matches.groupBy("record", "segment_id").agg(F.count("*").alias("features"), F.max("matched_bp").alias("matched_bp"))
+    rows = segments.select("record", "segment_id", F.length("seq").alias("length"))
+    rows = rows.join(found, rows["record"].eqNullSafe(found["record"]) & (rows["segment_id"] == found["segment_id"]), "left").select(rows["record"], rows["segment_id"], "length", "features", "matched_bp")
+    status = F.when(F.coalesce("length", F.lit(0)) < min_length, "insufficient").when(F.col("features") > 0, "matched").otherwise("unmatched")
+    return rows.select("record", "segment_id", "length", F.coalesce("features", F.lit(0)).alias("features"), "matched_bp", status.alias("status"))
+
+
 # -- de-duplication --------------------------------------------------------------------------------
 
 

