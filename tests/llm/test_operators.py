@@ -433,11 +433,32 @@ def test_pitman_yor_probabilities_sum_to_one(docs):
         assert math.isclose(p.sum(), 1, rel_tol=1e-9)
     rare = model.words.toPandas()
     hashes = rare["hash"].to_numpy().view(np.uint64)
-    p = m.rare_word(hashes, rare["c"].to_numpy(float))[m.class_of(hashes) == 0]
-    known_share = (m.class_of(hashes) == 0).mean()
-    unknown = m.rare_word(np.zeros(1, np.uint64), np.zeros(1))[0]
+    spelled, is_rare = rare["spelled"].to_numpy(float), m.class_of(hashes) == 0
+    p = 10.0 ** m.rare_word(hashes, rare["c"].to_numpy(float), spelled)[is_rare]
+    # What the chain of bytes leaves to all other strings is their share of the new tables.
+    others = 1 - (10.0 ** spelled[is_rare]).sum()
     new = np.mean([m.rare_new(s) for s in m.sweeps])
-    assert math.isclose(p.sum() + unknown + new * 0.5 * (1 - known_share), 1, rel_tol=1e-9)
+    assert 0 < others < 1 and math.isclose(p.sum() + new * others, 1, rel_tol=1e-6)
+    assert math.isclose(10.0 ** m.rare_word(np.zeros(1, np.uint64), np.zeros(1), np.array([-2.0]))[0], new * 0.01, rel_tol=1e-9)
+    assert np.allclose((10.0**m.spelling).sum(axis=1), 1) and np.isfinite(m.rare_word(np.zeros(1, np.uint64), np.zeros(1), np.array([-5e6]))[0])
+    # All strings of up to two of three bytes, and what longer ones can still have, in a chain over those bytes.
+    small = pitman_yor.spelling_of(pitman_yor.spelling_counts([b"a", b"ab", b"cab", b""]), 0.0)
+    strings = [b"", b"a", b"b", b"c", *(bytes([x, y]) for x in b"abc" for y in b"abc")]
+    with np.errstate(divide="ignore"):
+        assert (10.0 ** pitman_yor.spelled_log(strings, small)).sum() <= 1 + 1e-12
+
+
+def test_random_strings_score_below_corpus_texts(spark):
+    rng = random.Random(8)
+    texts = [(i, sentence(rng, 60)) for i in range(400)]
+    noise = [(1000 + i, " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12)) for _ in range(60))) for i in range(400)]
+    noise = [r for r in noise if zlib.crc32(str(r[0]).encode()) % 10 == 0]
+    mixed = [(5000 + i, " ".join(w for pair in zip(sentence(rng, 30).split(), n[1].split()[:30], strict=True) for w in pair)) for i, n in enumerate(noise)]
+    mixed = [r for r in mixed if zlib.crc32(str(r[0]).encode()) % 10 == 0]
+    got = pitman_yor.score_texts(spark.createDataFrame(texts + noise + mixed, "doc_id long, text string"), settings=pitman_yor.Settings(frequent=0.005)).collect()
+    mean = lambda keep: sum(g.score for g in got if keep(g)) / sum(g.n_tokens for g in got if keep(g))
+    corpus, held, odd, half = mean(lambda g: g.doc_id < 400 and not g.held_out), mean(lambda g: g.doc_id < 400 and g.held_out), mean(lambda g: 1000 <= g.doc_id < 5000), mean(lambda g: g.doc_id >= 5000)
+    assert odd < half < held and odd < -10 and held < corpus + 0.1 and held > -3
 
 
 def test_seating_follows_the_process():
