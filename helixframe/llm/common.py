@@ -75,3 +75,15 @@ def per_text(make: Callable[[], Callable[..., tuple]], schema: pa.Schema, inputs
 def numbered(docs: DataFrame, name: str = "_row") -> DataFrame:
     """`docs` written to the shared folder with a column of unique numbers, which later reads see alike."""
     return written(docs.withColumn(name, F.monotonically_increasing_id()), "rows")
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of `df` has it (whatever its case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

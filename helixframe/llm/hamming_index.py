@@ -123,19 +123,19 @@ class Index:
     def __init__(self, vectors: DataFrame, k: int = 20, how: Training = Training(), group_rows: int = 8192, id_col: str = "vec_id", vector_col: str = "embedding"):
         """Vectors that are null, zero or hold null or non-finite components take no part, nor do those of another length than the most frequent one.
 
-        A repeated id counts once, with its least vector; rows with a null id are left out; other columns are ignored; an empty table gives an empty result.
+        Rows of a repeated id are rows of their own; rows with a null id are left out; other columns are ignored; an empty table gives an empty result.
         """
         self.k, self.group_rows = k, group_rows
         v = F.col(vector_col).cast("array<double>")
         whole = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-        rows = vectors.where(F.col(id_col).isNotNull() & whole & F.exists(v, lambda x: x != 0)).groupBy(F.col(id_col).cast("long").alias("vec_id")).agg(F.min(v).alias("v"))
+        rows = vectors.where(F.col(id_col).isNotNull() & whole & F.exists(v, lambda x: x != 0)).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
         rows = written(rows, "vectors")
         common = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
         self.dimension = common["d"] if common else BITS
         rows = rows.where(F.size("v") == self.dimension)
-        classes = rows.groupBy("v").agg(F.min("vec_id").alias("cid"))
+        classes = rows.groupBy("v").agg(F.min("row").alias("cid"))
         self.classes = written(classes.select("cid", "v"), "classes")
-        self.members = written(rows.join(classes, "v").select("vec_id", "cid"), "members")
+        self.members = written(rows.join(self.classes, "v").select("row", "vec_id", "cid"), "members")
         sample = self.classes.orderBy(F.xxhash64("cid")).limit(how.sample).select("v").toPandas()["v"]
         self.codes = learn(np.array(sample.tolist(), float).reshape(-1, self.dimension), k, how)
 
@@ -172,17 +172,18 @@ class Index:
         Ties go to the smaller vec_id.  Queries for which the radius retrieves fewer than k rows are searched once more without one.
         """
         k = self.k
-        queries = self.members.where(F.col("vec_id") % divisor == 0).select(F.col("vec_id").alias("query_id"), F.col("cid").alias("own"))
-        queries = written(queries.join(self.classes, F.col("own") == F.col("cid")).select("query_id", "own", "v"), "queries")
+        asking = self.members.where(F.col("vec_id") % divisor == 0)
+        queries = asking.select(F.col("row").alias("query_id"), F.col("vec_id").alias("asked"), F.col("cid").alias("own"))
+        queries = written(queries.join(self.classes, F.col("own") == F.col("cid")).select("query_id", "asked", "own", "v"), "queries")
         # Of a class, no query needs more than its k + 1 smallest ids.
-        inside = W.partitionBy("cid").orderBy("vec_id")
-        first = written(self.members.withColumn("place", F.row_number().over(inside)).where(F.col("place") <= k + 1).select("cid", "vec_id"), "first")
+        inside = W.partitionBy("cid").orderBy("vec_id", "row")
+        first = written(self.members.withColumn("place", F.row_number().over(inside)).where(F.col("place") <= k + 1).select("cid", "vec_id", "row"), "first")
         dot = F.aggregate(F.transform("v", lambda x: x * x), F.lit(0.0), lambda a, x: a + x)
         same = queries.select("query_id", F.col("own").alias("cid"), dot.alias("score"))
 
         def ranked(hits: DataFrame) -> DataFrame:
-            rows = hits.unionByName(same).join(first, "cid").where("vec_id <> query_id")
-            best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+            rows = hits.unionByName(same).join(first, "cid").where("row <> query_id")
+            best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "row")
             return rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
         found = written(ranked(self.search(queries)), "found")
@@ -192,7 +193,7 @@ class Index:
         if short.limit(1).count():
             again = ranked(self.search(short, self.codes.rotation.shape[1])).join(short.select("query_id"), "query_id", "left_semi")
             found = found.join(short.select("query_id"), "query_id", "left_anti").unionByName(again)
-        return found
+        return found.join(queries.select("query_id", "asked"), "query_id").select(F.col("asked").alias("query_id"), "rank", "vec_id", "score")
 
 
 def nearest(vectors: DataFrame, divisor: int = 20, **options) -> DataFrame:

@@ -121,7 +121,7 @@ SETS = pa.schema([("cid", pa.int64()), ("elements", pa.binary())])
 
 
 def full_sets(size: int):
-    """(cid, elements) of a class from the text of its document; elements are 48-bit hashes, low two thirds first."""
+    """(cid, elements) of a class from the text of its document; elements are the ordered 64-bit hashes of its shingles."""
 
     def run(batches):
         known = WordHashes()
@@ -140,14 +140,11 @@ def full_sets(size: int):
 
 
 def packed(elements: np.ndarray) -> bytes:
-    """The elements' upper 48 bits: a third of the bytes of the 64-bit form less a quarter, still ordered."""
-    top = elements >> U64(16)
-    return (top >> U64(16)).astype("<u4").tobytes() + (top & U64(0xFFFF)).astype("<u2").tobytes()
+    return elements.astype("<u8").tobytes()
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    n = len(data) // 6
-    return (np.frombuffer(data, "<u4", n).astype(U64) << U64(16)) | np.frombuffer(data, "<u2", n, 4 * n)
+    return np.frombuffer(data, "<u8")
 
 
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shared", pa.int64()), ("joint", pa.int64())])
@@ -313,5 +310,6 @@ class Deduplicator:
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """See `Deduplicator`; its result without row numbers."""
-    return Deduplicator(docs, **options).result().drop("row")
+    """See `Deduplicator`; its result without row numbers, and kept for every row that has its component's id (or a null id)."""
+    result = Deduplicator(docs, **options).result().drop("row")
+    return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from helixframe.llm.common import written
+from helixframe.llm.common import unused, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: A word with the blanks before it.
@@ -201,17 +201,18 @@ class Mixture:
         """`docs` as mixed: a row for each pass over a document, its text cut to the words taken in that pass.
 
         Words taken whole leave the text as it is; of a part, each word comes with the blanks before it.  A row goes to the
-        shard of its first part, and each shard lies in one partition in its hashed order.
+        shard of its first part, and each shard lies in one partition in its hashed order.  Columns of `docs` may have any names.
         """
         end = F.col("start") + F.col("length")
         by_pass = self.pieces().groupBy("row", "pass").agg(
             F.min_by(F.struct("shard", "order"), "start").alias("at"), F.sum("length").alias("words"), F.array_sort(F.collect_list(F.struct("start", end.alias("end")))).alias("parts")
         )
         parts = F.transform("parts", lambda p: F.struct(p["start"].alias("start"), (p["end"] - p["start"]).alias("length")))
-        taken = by_pass.join(self.documents.select("row", "size"), "row").select(F.col("row").alias("_taken"), (F.col("words") < F.col("size")).alias("_part"), parts.alias("_parts"), F.col("at.shard").alias("_shard"), F.col("at.order").alias("_order"))
+        row, part, runs, shard, order, cut_words = unused(docs, "taken", "part", "runs", "shard", "order", "words")
+        taken = by_pass.join(self.documents.select("row", "size"), "row").select(F.col("row").alias(row), (F.col("words") < F.col("size")).alias(part), parts.alias(runs), F.col("at.shard").alias(shard), F.col("at.order").alias(order))
         text = F.col(text_col)
         words = F.regexp_extract_all(text, F.lit("(" + SPACED_WORD + ")"), F.lit(1))
-        cut = F.array_join(F.flatten(F.transform("_parts", lambda p: F.slice("_words", p["start"].cast("int") + 1, p["length"].cast("int")))), "")
-        joined = docs.join(taken, F.col(row_col) == F.col("_taken")).withColumn("_words", F.when(F.col("_part"), words))
-        mixed = joined.select("_shard", "_order", *[F.when(F.col("_part"), cut).otherwise(text).alias(c) if c == text_col else F.col(c) for c in docs.columns])
-        return mixed.repartition("_shard").sortWithinPartitions("_shard", "_order").drop("_shard", "_order")
+        cut = F.array_join(F.flatten(F.transform(runs, lambda p: F.slice(cut_words, p["start"].cast("int") + 1, p["length"].cast("int")))), "")
+        joined = docs.join(taken, F.col(row_col) == F.col(row)).withColumn(cut_words, F.when(F.col(part), words))
+        mixed = joined.select(shard, order, *[F.when(F.col(part), cut).otherwise(text).alias(c) if c == text_col else F.col(c) for c in docs.columns])
+        return mixed.repartition(shard).sortWithinPartitions(shard, order).drop(shard, order)

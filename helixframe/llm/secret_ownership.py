@@ -15,7 +15,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from helixframe.llm.common import per_text, texts, written
+from helixframe.llm.common import per_text, texts, unused, written
 
 # The base kinds, in their order.
 ASSIGN = re.compile(r"""(?P<name>(?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?(?P<value>[A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -136,7 +136,8 @@ def mask_live(docs: DataFrame, found: DataFrame, row_col: str, text_col: str = "
     `found` is the result of `scan_secrets` over the same rows with the same `row_col`.  Overlapping spans are merged.
     """
     live = F.filter("secrets", lambda s: s["verdict"] == "live")
-    spans = found.select(F.col("row").alias("_found"), F.transform(live, lambda s: F.struct(s["start"].alias("a"), s["end"].alias("b"))).alias("_spans")).where(F.size("_spans") > 0)
+    row, masks = unused(docs, "found", "spans")
+    spans = found.select(F.col("row").alias(row), F.transform(live, lambda s: F.struct(s["start"].alias("a"), s["end"].alias("b"))).alias(masks)).where(F.size(masks) > 0)
     text = F.col(text_col)
     # Spans come ordered by start: each adds the text since the furthest end so far, and the mark where it starts anew.
     begin = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
@@ -146,6 +147,6 @@ def mask_live(docs: DataFrame, found: DataFrame, row_col: str, text_col: str = "
         piece = F.when(fresh, F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["a"] - acc["at"]), F.lit(mark))).otherwise(acc["out"])
         return F.struct(piece.alias("out"), F.greatest(acc["at"], s["b"]).alias("at"))
 
-    masked = F.aggregate("_spans", begin, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    joined_docs = docs.join(spans, F.col(row_col) == F.col("_found"), "left")
-    return joined_docs.select(*[F.when(F.col("_spans").isNull(), text).otherwise(masked).alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    masked = F.aggregate(masks, begin, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    joined_docs = docs.join(spans, F.col(row_col) == F.col(row), "left")
+    return joined_docs.select(*[F.when(F.col(masks).isNull(), text).otherwise(masked).alias(c) if c == text_col else F.col(c) for c in docs.columns])

@@ -235,7 +235,11 @@ def test_near_duplicates(docs, none, rows, k):
     want = Counter((x, len(s), min((v for v in least[root(i)] if v is not None), default=None) if x is not None else None) for i, (x, s) in sets.items())
     got = minhash_dedup.near_duplicates(docs, shingle_words=k).collect()
     assert Counter((g.doc_id, g.n_shingles, g.component_id) for g in got) == want
-    assert len({g.component_id for g in got if g.n_shingles and g.component_id is not None}) == sum(g.kept for g in got if g.n_shingles and g.doc_id is not None)
+    assert all(g.kept == (g.doc_id == g.component_id) for g in got if g.doc_id is not None) and all(g.kept for g in got if g.doc_id is None)
+    one = Counter(g.component_id for g in minhash_dedup.Deduplicator(docs, shingle_words=k).result().where("kept and n_shingles > 0 and doc_id is not null").collect())
+    assert set(one.values()) == {1}
+    twice = minhash_dedup.near_duplicates(docs.sparkSession.createDataFrame([(1, "a b c d"), (1, "a b c d")], "doc_id long, text string"), shingle_words=k)
+    assert sorted(map(tuple, twice.collect())) == [(1, 5 - k if k < 4 else 1, 1, True)] * 2
     if k == 2:
         assert minhash_dedup.near_duplicates(none).count() == 0
 
@@ -368,7 +372,7 @@ def test_nearest(spark):
     x = rng.normal(size=(600, 16)).astype(np.float32)
     x[100:180] = x[100]  # one vector many times
     rows = [(i, [float(v) for v in row], i) for i, row in enumerate(x)]
-    rows += [(1000, None, 0), (1020, [0.0] * 16, 0), (1040, [float("nan")] * 16, 0), (1060, [None] * 16, 0), (1080, [1.0], 0), (None, rows[0][1], 0), rows[40], rows[40]]
+    rows += [(1000, None, 0), (1020, [0.0] * 16, 0), (1040, [float("nan")] * 16, 0), (1060, [None] * 16, 0), (1080, [1.0], 0), (None, rows[0][1], 0)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank int")
     got = defaultdict(list)
     for r in hamming_index.nearest(frame, k=10, group_rows=100).collect():
@@ -389,6 +393,13 @@ def test_nearest(spark):
     assert hamming_index.nearest(frame.where("false")).count() == 0
 
 
+def test_nearest_takes_rows_of_a_repeated_id_each(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.1]), (1, [0.9, 0.1]), (2, [0.7, 0.0]), (20, [0.2, 1.0]), (20, [0.2, 1.0])]
+    got = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 6)) for r in hamming_index.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=3).collect())
+    assert [g for g in got if g[0] == 0] == [(0, 1, 1, 0.9), (0, 2, 2, 0.7), (0, 3, 1, 0.5)]
+    assert [g for g in got if g[0] == 20] == sorted([(20, 1, 20, 1.04), (20, 2, 1, 0.28), (20, 3, 0, 0.2)] * 2)
+
+
 def test_radius_is_exhaustive():
     """Every class within the radius that is among the best is found by exactly one index."""
     rng = np.random.default_rng(3)
@@ -547,6 +558,46 @@ def test_pipeline_on_a_small_table(spark, tmp_path, rows):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(out["packing"])
 
 
+def test_every_stage_keeps_clashing_columns_and_long_texts(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(31)
+    names = ["pipeline_row", "found", "spans", "taken", "part", "parts", "runs", "shard", "order", "words", "_words", "_spans", "_found", "_pipeline_row", "row", "at", "h"]
+    make = lambda n: " ".join(f"{w}{rng.randrange(400)}" for w in sentence(rng, n).split(" "))
+    texts = [make(rng.choice([120, 300])) for _ in range(30)] + [make(60_000)]
+    texts[3] += ' password = "Zk39xQ81mmPw7731"'
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` long" for n in names)
+    rows = [(i, t, "en", "ab"[i % 2], len(t), *[1000 * i + k for k in range(len(names))]) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    for empty in (False, True):
+        docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+        docs = docs.limit(0) if empty else docs
+        for name, stage in corpus_pipeline.STAGES:
+            df = stage(spark, docs, str(tmp_path))
+            df.write.parquet(f"{tmp_path}/{name}-{empty}")
+            docs = spark.read.parquet(f"{tmp_path}/{name}-{empty}")
+            if name != "packing":
+                assert docs.columns == [*"doc_id text lang source n_chars".split(), *names]
+                kept = docs.collect()
+                assert all(r[5 + k] == 1000 * r.doc_id + k for r in kept for k in range(len(names)))
+                assert (not kept) == empty and (empty or 30 in {r.doc_id for r in kept})
+                assert name != "secrets" or empty or "<secret>" in next(r.text for r in kept if r.doc_id == 3)
+
+
+def test_a_stage_whose_input_is_not_written_yet_keeps_its_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(32)
+    rows = [(i, " ".join(f"{w}{rng.randrange(400)}" for w in sentence(rng, 120).split(" ")), "en", "a", 0) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    lazily = stages["near_dedup"](spark, docs, "somewhere")
+    assert stages["secrets"](spark, lazily, "somewhere").count() == lazily.count() == 12
+    other = stages["near_dedup"](spark, docs, "elsewhere")
+    stages["secrets"](spark, docs, "a third folder")
+    assert other.count() == 12
+
+
 def test_hash_helpers(spark):
     frame = spark.createDataFrame([(5,), (None,)], "doc_id long")
     from helixframe.llm.common import id_remainder
