@@ -10,23 +10,27 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from helixframe.llm import minhash_dedup, mixture, packing, quality_bands, secret_ownership
-from helixframe.llm.common import dropped, noted, numbered, written
+from helixframe.llm.common import dropped, noted, numbered, unused, written
 
-ROW = "_pipeline_row"
-
-#: Intermediate tables of each stage's latest call.
-_tables: dict[str, list[str]] = {}
+#: Intermediate tables of each stage's latest call, by the folder that it worked for.
+_tables: dict[tuple[str, str], list[str]] = {}
 
 
 def _after(before: str | None):
-    """A stage that first deletes the intermediate tables of the stage before: its result has been written and read again."""
+    """A stage that first deletes the intermediate tables of the stage before, if that one's result has been written and read again.
+
+    `docs` that still read one of those tables keep them.
+    """
 
     def wrap(stage):
         def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-            dropped(spark, _tables.pop(before, []))
+            earlier = _tables.pop((sf_dir, before), [])
+            read = docs.inputFiles() if earlier else []
+            if not any(path.rsplit("/", 1)[-1] in file for path in earlier for file in read):
+                dropped(spark, earlier)
             with noted() as paths:
                 result = stage(spark, docs, sf_dir)
-            _tables[stage.__name__] = paths
+            _tables[sf_dir, stage.__name__] = paths
             return result
 
         run_stage.__doc__ = stage.__doc__
@@ -35,6 +39,12 @@ def _after(before: str | None):
     return wrap
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """`docs` with a column of unique numbers under a name of its own."""
+    (name,) = unused(docs, "pipeline_row")
+    return numbered(docs, name), name
+
+
 def _as_before(df: DataFrame, docs: DataFrame) -> DataFrame:
     """The columns of `docs`; n_chars, where there is one, follows the text."""
     return df.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
@@ -55,25 +65,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_after("quality")
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies (five-word shingles, similarity 0.8)."""
-    rows = numbered(docs, ROW)
-    result = minhash_dedup.Deduplicator(rows, row_col=ROW).result()
-    kept = result.where("kept").select(F.col("row").alias(ROW))
-    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
+    rows, row = _numbered(docs)
+    result = minhash_dedup.Deduplicator(rows, row_col=row).result()
+    kept = result.where("kept").select(F.col("row").alias(row))
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
 
 
 @_after("near_dedup")
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; live-looking secrets of few owners are masked, widely copied examples stay."""
-    rows = numbered(docs, ROW)
-    return _as_before(secret_ownership.mask_live(rows, secret_ownership.scan_secrets(rows, row_col=ROW), ROW), docs)
+    rows, row = _numbered(docs)
+    return _as_before(secret_ownership.mask_live(rows, secret_ownership.scan_secrets(rows, row_col=row), row), docs)
 
 
 @_after("secrets")
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: one row for each pass over a document, with the words that the pass takes."""
-    rows = numbered(docs, ROW)
-    mix = mixture.Mixture(rows, row_col=ROW)
-    return _as_before(mix.texts(rows, ROW), docs)
+    rows, row = _numbered(docs)
+    return _as_before(mixture.Mixture(rows, row_col=row).texts(rows, row), docs)
 
 
 @_after("mixing")
