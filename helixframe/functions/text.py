@@ -14,19 +14,28 @@ RUN_PATTERN = r"\bSRR\d+\b"
 STRINGS = "array<string>"
 
 
+# What counts as white space at the ends of a value.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def strip(value: Column | str) -> Column:
+    """The value without white space of any kind at its ends."""
+    return F.trim(value, F.lit(BLANKS))
+
+
 def clean(value: Column) -> Column:
     """NULL becomes empty; surrounding blanks go."""
-    return F.trim(F.coalesce(value.cast("string"), F.lit("")))
+    return strip(F.coalesce(value.cast("string"), F.lit("")))
 
 
 def squeeze(value: Column) -> Column:
     """Collapse runs of white space to one blank."""
-    return F.trim(F.regexp_replace(value, r"\s+", " "))
+    return strip(F.regexp_replace(value, r"\s+", " "))
 
 
 def non_empty(values: Column) -> Column:
     """Trimmed, distinct, non-empty values in order of first appearance."""
-    trimmed = F.transform(F.coalesce(values, F.array().cast(STRINGS)), lambda v: F.trim(F.coalesce(v, F.lit(""))))
+    trimmed = F.transform(F.coalesce(values, F.array().cast(STRINGS)), lambda v: strip(F.coalesce(v, F.lit(""))))
     return F.array_distinct(F.filter(trimmed, lambda v: v != ""))
 
 
@@ -37,7 +46,7 @@ def join_parts(*parts: Column, sep: str = " ") -> Column:
 
 def platform(value: Column) -> Column:
     """';'-separated platforms, bare numbers prefixed with GPL, joined by '; '."""
-    parts = F.filter(F.transform(F.split(clean(value), ";"), lambda p: F.trim(p)), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(clean(value), ";"), lambda p: strip(p)), lambda p: p != "")
     return F.array_join(F.transform(parts, lambda p: F.when(p.rlike("^[0-9]+$"), F.concat(F.lit("GPL"), p)).otherwise(p)), "; ")
 
 
@@ -53,7 +62,7 @@ def mine_sorted(text: Column, pattern: str) -> Column:
 
 def split_accessions(value: Column, prefixes: tuple[str, ...]) -> Column:
     """',' or ';' separated items starting (case ignored) with one of the prefixes."""
-    parts = F.transform(F.split(clean(value), "[;,]"), lambda p: F.trim(p))
+    parts = F.transform(F.split(clean(value), "[;,]"), lambda p: strip(p))
     return F.filter(parts, lambda p: (p != "") & p.rlike("(?i)^(" + "|".join(prefixes) + ")"))
 
 
@@ -65,17 +74,17 @@ def count_runs(text: Column) -> Column:
 
 def capture(text: Column, pattern: str) -> Column:
     """First capture group, case ignored; empty when there is no match."""
-    return F.trim(F.regexp_extract(F.coalesce(text, F.lit("")), "(?i)" + pattern, 1))
+    return strip(F.regexp_extract(F.coalesce(text, F.lit("")), "(?i)" + pattern, 1))
 
 
 def sample_attributes(text: Column) -> Column:
     """'key: value || key=value' as a map; keys in lower case with '_', the last value of a key wins."""
-    pieces = F.transform(F.split(clean(text), r"\|\|"), lambda c: F.regexp_replace(F.trim(c), "^;+|;+$", ""))
+    pieces = F.transform(F.split(clean(text), r"\|\|"), lambda c: F.regexp_replace(strip(c), "^;+|;+$", ""))
 
     def entry(piece):
         sep = F.when(F.instr(piece, ":") > 0, F.instr(piece, ":")).otherwise(F.instr(piece, "="))
-        key = F.regexp_replace(F.lower(F.trim(piece.substr(F.lit(1), sep - 1))), " ", "_")
-        return F.struct(F.when(sep > 0, key).otherwise("").alias("k"), F.trim(piece.substr(sep + 1, F.length(piece))).alias("v"))
+        key = F.regexp_replace(F.lower(strip(piece.substr(F.lit(1), sep - 1))), " ", "_")
+        return F.struct(F.when(sep > 0, key).otherwise("").alias("k"), strip(piece.substr(sep + 1, F.length(piece))).alias("v"))
 
     pairs = F.filter(F.transform(pieces, entry), lambda e: (e["k"] != "") & (e["v"] != ""))
     # Keep the last value of each key without relying on a session-wide duplicate-key policy.

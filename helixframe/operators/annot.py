@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from helixframe.functions import names as nm, seq as sq
 from helixframe.functions.rules import flags
+from helixframe.functions.text import strip
 from helixframe.session import cut_lineage
 
 BIN = 1000
@@ -246,13 +247,13 @@ def judge_exceptions(entries: DataFrame, registry: DataFrame, table: int, taxon:
     names = ("gene", "codon", "amino_acid", "codon_index", "positions", "gene_wide", "transl_table", "taxon", "source", "rationale")
     reg = registry.select(*[F.col(c).alias(f"r_{c}") for c in names])
     joined = matched.join(reg, (F.col("name") == F.col("r_gene")) & (F.col("codon") == F.col("r_codon")) & (F.col("token") == F.lower("r_amino_acid")) & (F.col("name") != ""), "left")
-    blank = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) == ""
+    blank = lambda c: strip(F.coalesce(F.col(c), F.lit(""))) == ""
     wide = F.coalesce("r_gene_wide", F.lit(False))
     site = wide | F.coalesce(F.col("r_codon_index") == F.col("codon_index"), F.lit(False)) | F.coalesce(F.array_sort("r_positions") == F.col("positions"), F.lit(False))
     reasons = flags(
         (F.col("r_gene").isNull(), "not_registered"), (F.lit(not taxon), "no_sample_taxon"), (~site, "site"),
         (blank("r_taxon") | blank("r_source") | blank("r_rationale") | F.col("r_transl_table").isNull(), "incomplete"),
-        (F.col("r_transl_table") != table, "transl_table"), (F.lower(F.trim("r_taxon")) != F.lit((taxon or "").strip().lower()), "taxon"),
+        (F.col("r_transl_table") != table, "transl_table"), (F.lower(strip("r_taxon")) != F.lit((taxon or "").strip().lower()), "taxon"),
     )
     judged = joined.withColumn("_why", reasons)
     return judged.groupBy("record_id", "feature_id", "name", "text", "codon_index", "codon", "token").agg(
@@ -280,7 +281,7 @@ def cds_findings(cds: DataFrame, table: int, registry: DataFrame | None = None,
     parts = [finding(cds.where("uncertain"), "REVIEW", "CODON_START_UNCERTAIN", F.col("name"))]
     cds = cds.where(~F.col("uncertain"))
     p5, p3 = F.coalesce("partial5", F.lit(False)), F.coalesce("partial3", F.lit(False))
-    given = F.trim(F.coalesce("declared_table", F.lit("")))
+    given = strip(F.coalesce("declared_table", F.lit("")))
     odd_start = ~p5 & ~F.col("start_codon").isin(*sq.START_CODONS[table])
     begin = F.col("start_codon")
     parts.append(row_findings(
@@ -338,13 +339,13 @@ def registry_findings(records: DataFrame) -> DataFrame:
     r = records.withColumn("_gene", nm.canonical_gene(F.col("gene"))).withColumn("_codon", nm.codon(F.col("codon")))
     about_stop = F.col("amino_acid").isNotNull()
     sites = F.col("codon_index").isNotNull().cast("int") + F.col("pos").isNotNull().cast("int") + F.col("scope").isNotNull().cast("int")
-    identity = F.when(about_stop, F.concat_ws("|", F.lit("stop"), "_gene", "_codon", F.lower("amino_acid"), F.col("codon_index").cast("string"), "pos", "scope", F.lower(F.trim("taxon")), F.col("transl_table").cast("string")))
+    identity = F.when(about_stop, F.concat_ws("|", F.lit("stop"), "_gene", "_codon", F.lower("amino_acid"), F.col("codon_index").cast("string"), "pos", "scope", F.lower(strip("taxon")), F.col("transl_table").cast("string")))
     r = r.withColumn("_key", F.coalesce(identity, F.concat_ws("|", F.lit("start"), "_gene", "_codon")))
     repeats = r.groupBy("_key").agg(F.count("*").alias("_n"))
     place = F.concat(F.lit("(pos:"), F.col("pos"), F.lit(",aa:Met)"))
     found = flags(
-        (F.col("_gene") == "", "gene"), (F.col("_codon").isNull(), "codon"), (about_stop & ~F.lower(F.trim("amino_acid")).isin(*nm.EXCEPT_TOKENS), "amino_acid"),
-        (about_stop & (sites != 1), "site_binding"), (F.col("scope").isNotNull() & (F.trim("scope") != "gene_wide"), "scope"),
+        (F.col("_gene") == "", "gene"), (F.col("_codon").isNull(), "codon"), (about_stop & ~F.lower(strip("amino_acid")).isin(*nm.EXCEPT_TOKENS), "amino_acid"),
+        (about_stop & (sites != 1), "site_binding"), (F.col("scope").isNotNull() & (strip("scope") != "gene_wide"), "scope"),
         (F.col("pos").isNotNull() & ~nm.exceptions_readable(place), "pos"), (F.col("codon_index") < 1, "codon_index"), (F.col("transl_table") < 1, "transl_table"),
         (F.col("_n") > 1, "duplicate"),
     )

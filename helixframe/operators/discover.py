@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from helixframe.functions import text as tx
+from helixframe.functions.text import strip
 
 
 def order() -> Column:
@@ -141,7 +142,7 @@ def resolve_anchor(requests: DataFrame, records: DataFrame) -> DataFrame:
     named = records.select(
         "requested", "record_ord",
         tx.join_parts(F.col("study_accession")).alias("_study"), tx.join_parts(F.col("accession")).alias("_acc"),
-        F.exists(ids, lambda i: F.coalesce(F.upper(i), F.lit("")) == F.upper(F.trim(F.col("requested")))).alias("_match"),
+        F.exists(ids, lambda i: F.coalesce(F.upper(i), F.lit("")) == F.upper(strip(F.col("requested")))).alias("_match"),
     )
     best = named.groupBy("requested").agg(
         F.min_by(F.struct("_study", "_acc", "_match"), F.struct((~F.col("_match")).cast("int"), F.col("record_ord"))).alias("b")
@@ -153,11 +154,12 @@ def resolve_anchor(requests: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def backfill_links(projects: DataFrame, studies: DataFrame) -> DataFrame:
-    """Project links; a project without any takes them from the archive records that name it."""
+    """Project links; a project without any takes the accessions of all levels from the archive records that name it."""
     own = projects.select("accession", F.explode("linked_sra").alias("linked")).withColumn("backfilled", F.lit(False))
     bare = projects.where(F.size("linked_sra") == 0).select("accession")
+    levels = [studies[c] for c in ("accession", "study_accession", "experiment_accession", "sample_accession") if c in studies.columns]
     found = studies.join(bare, studies["bioproject"] == bare["accession"]).select(
-        bare["accession"], F.explode(F.concat(F.array("study_accession"), F.coalesce("run_accessions", F.array().cast("array<string>")))).alias("linked")
+        bare["accession"], F.explode(F.concat(F.array(*levels), F.coalesce("run_accessions", F.array().cast("array<string>")))).alias("linked")
     )
     found = found.where(F.coalesce("linked", F.lit("")) != "").distinct().withColumn("backfilled", F.lit(True))
     return own.unionByName(found)
@@ -183,7 +185,7 @@ def long_samples(table: DataFrame, ids: list[str] = ["accession", "sample", "ord
 
 def value_counts(samples: DataFrame) -> DataFrame:
     """Counts per (accession, column, non-blank value)."""
-    trimmed = samples.withColumn("value", F.trim("value")).where(F.col("value") != "")
+    trimmed = samples.withColumn("value", strip("value")).where(F.col("value") != "")
     return trimmed.groupBy("accession", "column", "value").agg(F.count("*").alias("n"), F.min("ord").alias("first_ord"))
 
 
@@ -227,7 +229,7 @@ def design_signals(runs: DataFrame, top_values: int = 8, top_keys: int = 8) -> D
     pairs = []
     for key in DESIGN_KEYS:
         name = by_lower.get(key) or by_lower.get(KEY_ALIASES.get(key, ""))
-        options = [F.nullif(F.trim(F.col(f"`{name}`").cast("string")), F.lit(""))] if name else []
+        options = [F.nullif(strip(F.col(f"`{name}`").cast("string")), F.lit(""))] if name else []
         if attributes is not None:
             options.append(F.try_element_at(attributes, F.lit(key)))
         if options:
@@ -257,10 +259,32 @@ def sample_counts(records: DataFrame, samples: DataFrame) -> DataFrame:
     )
 
 
+# The metadata columns that may name a sample or a run, in order.
+SAMPLE_COLUMNS = ("biosample", "biosample_s", "sample_accession", "sample_alias")
+RUN_COLUMNS = ("run", "run_accession")
+
+
 def run_counts(runs: DataFrame) -> DataFrame:
-    """Distinct runs and samples per accession, NULL when nothing is known."""
-    distinct = lambda c: F.nullif(F.countDistinct(F.nullif(F.trim(c), F.lit(""))), F.lit(0))
-    return runs.groupBy("accession").agg(distinct("run").alias("run_count"), distinct("biosample").alias("sample_count"))
+    """(accession, metadata_rows, run_count, sample_count): distinct runs and samples per accession, NULL when nothing is known.
+
+    A row's sample is the first of the columns SAMPLE_COLUMNS (whatever their case) that is not blank there, its run the
+    first of RUN_COLUMNS.
+    """
+    by_lower = {c.strip().lower(): c for c in runs.columns}
+
+    def distinct(names: tuple[str, ...]) -> Column:
+        options = [F.nullif(tx.clean(F.col(f"`{by_lower[n]}`")), F.lit("")) for n in names if n in by_lower]
+        return F.nullif(F.countDistinct(F.coalesce(*options, F.lit(None).cast("string"))), F.lit(0))
+
+    return runs.groupBy("accession").agg(F.count("*").alias("metadata_rows"), distinct(RUN_COLUMNS).alias("run_count"), distinct(SAMPLE_COLUMNS).alias("sample_count"))
+
+
+def metadata_union(*sources: DataFrame) -> DataFrame:
+    """The metadata rows of several sources under one another; a column that a source lacks is null there, names match in any case."""
+    first, *rest = sources
+    names = {c.lower(): c for s in reversed(sources) for c in s.columns}
+    alike = [s.select(*[F.col(f"`{c}`").alias(names[c.lower()]) for c in s.columns]) for s in (first, *rest)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), alike)
 
 
 def first_usable(records: DataFrame, key: str, names: list[str], order: str = "record_ord") -> DataFrame:

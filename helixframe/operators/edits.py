@@ -8,38 +8,53 @@ from helixframe.functions import seq as sq, text as tx
 from helixframe.functions.rules import flags, none
 
 
+TILE = 1000
+SITE = ["set_id", "sequence_id"]
+
+
+def tiles(records: DataFrame, width: int = TILE) -> DataFrame:
+    """(set_id, sequence_id, tile, piece): upper-case sequences in pieces of `width` letters, cut in one pass."""
+    pieces = F.regexp_extract_all(F.upper("seq"), F.lit("([\\s\\S]{1,%d})" % width), F.lit(1))
+    return records.select(*SITE, F.posexplode(pieces).alias("tile", "piece"))
+
+
 def base_edit_reasons(edits: DataFrame, records: DataFrame) -> DataFrame:
-    """Reasons to refuse each base edit (set_id, sequence_id, position, old, new, evidence, rationale)."""
-    sites = edits.groupBy("set_id", "sequence_id", "position").agg(F.count("*").alias("_n"))
-    joined = edits.join(sites, ["set_id", "sequence_id", "position"], "left").join(records.select("set_id", "sequence_id", F.upper("seq").alias("_seq")), ["set_id", "sequence_id"], "left")
-    inside = F.col("position").between(1, F.length("_seq"))
+    """Reasons to refuse each base edit (set_id, sequence_id, position, old, new, evidence, rationale).
+
+    Edits meet the tile that holds their position and the sequence's length; no sequence travels with its edits.
+    """
+    sites = edits.groupBy(*SITE, "position").agg(F.count("*").alias("_n"))
+    joined = edits.join(sites, [*SITE, "position"], "left").join(records.select(*SITE, F.coalesce(F.length("seq"), F.lit(0)).alias("_length")), SITE, "left")
+    joined = joined.withColumn("tile", F.floor((F.col("position") - 1) / TILE).cast("int")).join(tiles(records), [*SITE, "tile"], "left")
+    inside = F.col("position").between(1, F.col("_length"))
     old, new = F.upper("old"), F.upper("new")
+    letter = F.expr(f"substr(piece, CAST(position - tile * {TILE} AS INT), 1)")
     reasons = flags(
-        (F.col("_seq").isNull(), "unknown_sequence"), (F.col("_seq").isNotNull() & ~inside, "outside_sequence"), (F.col("_n") > 1, "repeated_site"),
-        (~old.rlike(f"^[{sq.IUPAC}]$") | ~new.rlike("^[ACGT]$") | (old == new), "bad_base"), (inside & (F.expr("substr(_seq, CAST(position AS INT), 1)") != old), "old_base_differs"),
+        (F.col("_length").isNull(), "unknown_sequence"), (F.col("_length").isNotNull() & ~inside, "outside_sequence"), (F.col("_n") > 1, "repeated_site"),
+        (~old.rlike(f"^[{sq.IUPAC}]$") | ~new.rlike("^[ACGT]$") | (old == new), "bad_base"), (inside & (letter != old), "old_base_differs"),
         (tx.clean(F.col("evidence")) == "", "no_evidence"), (tx.clean(F.col("rationale")) == "", "no_rationale"),
     )
-    return joined.withColumn("reasons", reasons).drop("_seq", "_n")
+    return joined.withColumn("reasons", reasons).drop("_length", "_n", "tile", "piece")
 
 
 def apply_base_edits(edits: DataFrame, records: DataFrame) -> DataFrame:
     """Edited sequences of the sets without any refused edit; one bad edit refuses its whole set.
 
-    A sequence is cut between its edited positions and joined again once, so work is linear in its length.
+    Each tile is cut between its edited positions and joined again, then a sequence's tiles are joined; work is linear in the length.
     """
     judged = base_edit_reasons(edits, records)
     bad = judged.where(F.size("reasons") > 0).select("set_id").distinct()
-    good = judged.join(bad, "set_id", "left_anti").groupBy("set_id", "sequence_id").agg(F.array_sort(F.collect_list(F.struct("position", F.upper("new").alias("new")))).alias("_e"))
-    pieces = F.transform(
-        "_e",
-        lambda e, i: F.concat(
-            F.col("_seq").substr(F.when(i == 0, 1).otherwise(F.get(F.col("_e"), i - 1)["position"] + 1).cast("int"), (e["position"] - F.when(i == 0, 0).otherwise(F.get(F.col("_e"), i - 1)["position"]) - 1).cast("int")),
-            e["new"],
-        ),
-    )
-    rest = F.expr("substr(_seq, CAST(element_at(_e, -1).position AS INT) + 1)")
-    joined = records.select("set_id", "sequence_id", F.upper("seq").alias("_seq")).join(bad, "set_id", "left_anti").join(good, ["set_id", "sequence_id"], "left")
-    return joined.select("set_id", "sequence_id", F.when(F.col("_e").isNull(), F.col("_seq")).otherwise(F.concat(F.array_join(pieces, ""), rest)).alias("seq"), F.coalesce(F.size("_e"), F.lit(0)).alias("edits"))
+    local = judged.select(*SITE, F.floor((F.col("position") - 1) / TILE).cast("int").alias("tile"), "position", F.upper("new").alias("new"))
+    by_tile = local.groupBy(*SITE, "tile").agg(F.array_sort(F.collect_list(F.struct((F.col("position") - F.col("tile") * TILE).cast("int").alias("at"), "new"))).alias("_e"))
+    before = lambda i: F.when(i == 0, 0).otherwise(F.get(F.col("_e"), i - 1)["at"])
+    pieces = F.transform("_e", lambda e, i: F.concat(F.col("piece").substr((before(i) + 1).cast("int"), (e["at"] - before(i) - 1).cast("int")), e["new"]))
+    rest = F.expr("substr(piece, element_at(_e, -1).at + 1)")
+    cut = tiles(records.join(bad, "set_id", "left_anti")).join(by_tile, [*SITE, "tile"], "left")
+    cut = cut.select(*SITE, "tile", F.when(F.col("_e").isNull(), F.col("piece")).otherwise(F.concat(F.array_join(pieces, ""), rest)).alias("piece"), F.coalesce(F.size("_e"), F.lit(0)).alias("_n"))
+    whole = cut.groupBy(*SITE).agg(F.array_sort(F.collect_list(F.struct("tile", "piece"))).alias("_t"), F.sum("_n").cast("int").alias("_n"))
+    joined = records.join(bad, "set_id", "left_anti").select(*SITE, F.col("seq").isNotNull().alias("_known")).join(whole, SITE, "left")
+    seq = F.coalesce(F.array_join(F.transform("_t", lambda t: t["piece"]), ""), F.when(F.col("_known"), F.lit("")))
+    return joined.select(*SITE, seq.alias("seq"), F.coalesce("_n", F.lit(0)).alias("edits"))
 
 
 def select_feature(edits: DataFrame, features: DataFrame, kind: str | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from helixframe.functions import text as tx
 from helixframe.functions.rules import flags, none
+from helixframe.functions.text import strip
 from helixframe.session import global_rank
 
 
@@ -48,7 +49,7 @@ def event_violations(events: DataFrame, inputs: DataFrame) -> DataFrame:
         repeated_ids(events, "event"), violation(unknown, "event", "unknown_input"),
         row_rules(
             events, "event", ((status == "not_run") & code.isNotNull(), "exit_code_without_run"), ((status != "not_run") & code.isNull(), "missing_exit_code"),
-            ((status == "completed") & nothing, "completed_without_product"), (F.trim(F.coalesce(F.try_element_at("command", F.lit(1)), F.lit(""))) == "", "empty_command"),
+            ((status == "completed") & nothing, "completed_without_product"), (strip(F.coalesce(F.try_element_at("command", F.lit(1)), F.lit(""))) == "", "empty_command"),
         ),
     ])
 
@@ -195,6 +196,52 @@ def review_lessons(lessons: DataFrame, reviews: DataFrame) -> DataFrame:
     return joined.withColumn("state", state).withColumn("new_status", F.when(F.col("state") == "accepted", F.col("to_status")).otherwise(F.col("validation_status")))
 
 
+def review_batch(lessons: DataFrame, reviews: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    """State of every review of a batch, in the order submitted: the first one that is allowed takes effect and later ones see it.
+
+    reviews(lesson_id, ord, to_status, reviewer, reason), `ord` unique in a lesson; sources(lesson_id, source_state) tells
+    whether a lesson's source case is `ok`, `changed` since or `unresolved`; a lesson is not verified unless it is ok (a lesson
+    without such a row has no source to check).  Result: the reviews with old_status, state and new_status.  A chain of reviews is as
+    long as the transitions allow, so that many aggregations decide it, whatever the number of reviews of a lesson.
+    """
+    state_of = F.lit(None).cast("string") if sources is None else F.col("source_state")
+    rows = reviews.select("lesson_id", "ord", "to_status", "reviewer", "reason").join(lessons.select("lesson_id", F.col("validation_status").alias("_start")), "lesson_id", "left")
+    if sources is not None:
+        rows = rows.join(sources.select("lesson_id", "source_state"), "lesson_id", "left")
+    blank = (tx.clean(F.col("reviewer")) == "") | (tx.clean(F.col("reason")) == "")
+    unsure = (F.col("to_status") == "verified") & F.coalesce(state_of != "ok", F.lit(False))
+
+    def verdict(status: Column) -> Column:
+        allowed = reduce(lambda a, b: a | b, [(status == k) & F.col("to_status").isin(*v) for k, v in TRANSITIONS.items()])
+        return (
+            F.when(F.col("_start").isNull(), "unknown_lesson").when(blank, "incomplete_review").when(~F.coalesce(allowed, F.lit(False)), "transition_refused")
+            .when(unsure, F.concat(F.lit("source_"), state_of)).otherwise("accepted")
+        )
+
+    rows = rows.withColumn("old_status", F.col("_start"))
+    reached, longest = set(TRANSITIONS), 0
+    while reached:
+        longest += 1
+        reached = {t for k in reached for t in TRANSITIONS.get(k, ())} & set(TRANSITIONS)
+    rows = rows.withColumn("_last", F.lit(None).cast(rows.schema["ord"].dataType))
+    for _ in range(longest):
+        pending = F.col("_last").isNull() | (F.col("ord") > F.col("_last"))
+        won = rows.where(pending & (verdict(F.col("old_status")) == "accepted")).groupBy("lesson_id").agg(F.min(F.struct("ord", "to_status")).alias("_won"))
+        rows = rows.join(won, "lesson_id", "left")
+        after = F.coalesce(F.col("ord") > F.col("_won.ord"), F.lit(False))
+        rows = rows.withColumns({"old_status": F.when(after, F.col("_won.to_status")).otherwise(F.col("old_status")), "_last": F.coalesce("_won.ord", "_last")}).drop("_won")
+    out = rows.withColumn("state", verdict(F.col("old_status")))
+    kept = [c for c in ("lesson_id", "ord", "to_status", "reviewer", "reason", "old_status", "state") if c in out.columns]
+    return out.select(*kept, F.when(F.col("state") == "accepted", F.col("to_status")).otherwise(F.col("old_status")).alias("new_status"))
+
+
+def reviewed_table(lessons: DataFrame, reviewed: DataFrame) -> DataFrame:
+    """The lessons after a batch of reviews: the status that the last accepted one gives, and how many were accepted."""
+    last = reviewed.where(F.col("state") == "accepted").groupBy("lesson_id").agg(F.max_by("to_status", "ord").alias("_status"), F.count("*").alias("_n"))
+    joined = lessons.join(last, "lesson_id", "left")
+    return joined.withColumn("validation_status", F.coalesce("_status", "validation_status")).withColumn("reviews_accepted", F.coalesce("_n", F.lit(0))).drop("_status", "_n")
+
+
 def duplicate_lessons(lessons: DataFrame) -> DataFrame:
     """Current lessons with equal content: all but the first identifier are refused."""
     first = lessons.groupBy("content_hash").agg(F.min("lesson_id").alias("first_id"), F.count("*").alias("copies")).where(F.col("copies") > 1)
@@ -287,6 +334,26 @@ def register(existing: DataFrame, proposals: DataFrame) -> DataFrame:
     return proposals.join(known, "accession", "left").withColumn("state", state).drop("_h")
 
 
+def register_batch(existing: DataFrame, proposals: DataFrame) -> DataFrame:
+    """State of every proposal of a batch, in the order submitted (`ord`, unique in an accession): the first proposal of an unknown
+    accession is new, and later ones are held against it as against a registered record: identical or drift.
+
+    Proposals without an accession (databases) are new each.  Only (accession, hash) pairs are compared; nothing is gathered.
+    """
+    known = existing.where(F.col("accession").isNotNull()).select("accession").distinct().withColumn("_known", F.lit(True))
+    same = existing.where(F.col("accession").isNotNull()).select("accession", "file_sha256").distinct().withColumn("_same", F.lit(True))
+    first = proposals.where(F.col("accession").isNotNull()).groupBy("accession").agg(F.min(F.struct("ord", "file_sha256")).alias("_first"))
+    rows = proposals.join(known, "accession", "left").join(same, ["accession", "file_sha256"], "left").join(first, "accession", "left")
+    match = F.when(F.col("_known"), F.coalesce("_same", F.lit(False))).otherwise(F.coalesce(F.col("file_sha256") == F.col("_first.file_sha256"), F.lit(False)))
+    is_new = F.col("accession").isNull() | (F.col("_known").isNull() & (F.col("ord") == F.col("_first.ord")))
+    return rows.withColumn("state", F.when(is_new, "new").when(match, "identical").otherwise("drift")).drop("_known", "_same", "_first")
+
+
+def registry_table(existing: DataFrame, registered: DataFrame) -> DataFrame:
+    """The registry after a batch: the rows that were there and the new ones."""
+    return existing.unionByName(registered.where(F.col("state") == "new").select(*existing.columns))
+
+
 def verify_registry(records: DataFrame, current: DataFrame) -> DataFrame:
     """Registered files that have no path, are missing or changed."""
     now = current.select("path", F.col("sha256").alias("_sha"))

@@ -52,6 +52,42 @@ def sample_pairs(records: DataFrame, budget: int, seed: str = "0") -> DataFrame:
     return placed.join(amount, "lane").where(F.col("position") <= F.col("amount")).drop("_h", "amount")
 
 
+def sample_plan(lanes: DataFrame, requests: DataFrame) -> DataFrame:
+    """(sample, lane, pairs, amount, status) of every lane of the requested samples.
+
+    lanes(sample, lane, lane_ord, pairs), requests(sample, budget).  A budget that does not allow a pair for each lane and a
+    sample with an empty lane are refused, with an amount of 0; else each lane gets an equal share of the budget as far as it
+    reaches, and what is left goes to the lanes in order.
+    """
+    every, before = W.partitionBy("sample"), W.partitionBy("sample").orderBy("lane_ord", "lane").rowsBetween(W.unboundedPreceding, -1)
+    rows = lanes.join(requests, "sample").withColumns({"_lanes": F.count("*").over(every), "_least": F.min("pairs").over(every)})
+    status = F.when(F.col("budget") < F.col("_lanes"), "budget_below_lanes").when(F.col("_least") < 1, "empty_lane").otherwise("ok")
+    rows = rows.withColumn("_base", F.least(F.col("pairs"), F.floor(F.col("budget") / F.col("_lanes"))))
+    room = F.col("pairs") - F.col("_base")
+    left = F.least(F.col("budget"), F.sum("pairs").over(every)) - F.sum("_base").over(every)
+    extra = F.greatest(F.lit(0), F.least(room, left - F.coalesce(F.sum(room).over(before), F.lit(0))))
+    return rows.select("sample", "lane", "pairs", F.when(status == "ok", F.col("_base") + extra).otherwise(0).cast("long").alias("amount"), status.alias("status"))
+
+
+def sample_lanes(records: DataFrame, plan: DataFrame, seed: str = "0") -> DataFrame:
+    """The records (sample, lane, id, …) of `sample_plan`'s amounts: those with the least seeded hashes of each lane.
+
+    Hashes are counted in 65,536 buckets of each lane, which merge over the tasks; all buckets before the one that reaches the amount are
+    taken whole, and only the records of that one are ranked.  No lane is sorted or gathered.
+    """
+    digest = F.md5(F.concat(F.lit(seed), F.lit("#"), F.col("id").cast("string")))
+    hashed = records.withColumn("_h", digest).withColumn("_bucket", F.conv(F.substring("_h", 1, 4), 16, 10).cast("int"))
+    lane = ["sample", "lane"]
+    upto = W.partitionBy(*lane).orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
+    counts = hashed.groupBy(*lane, "_bucket").agg(F.count("*").alias("_n")).withColumn("_upto", F.sum("_n").over(upto))
+    reached = counts.join(plan.where("amount > 0").select(*lane, "amount"), lane).where(F.col("_upto") >= F.col("amount"))
+    cut = reached.groupBy(*lane).agg(F.min(F.struct("_bucket", (F.col("amount") - F.col("_upto") + F.col("_n")).alias("_need"))).alias("_cut"))
+    near = hashed.join(cut, lane).where(F.col("_bucket") <= F.col("_cut._bucket"))
+    place = F.row_number().over(W.partitionBy(*lane).orderBy("_h", "id"))
+    last = near.where(F.col("_bucket") == F.col("_cut._bucket")).withColumn("_place", place).where(F.col("_place") <= F.col("_cut._need")).drop("_place")
+    return near.where(F.col("_bucket") < F.col("_cut._bucket")).unionByName(last).drop("_h", "_bucket", "_cut")
+
+
 def template_name(lane_index, identifier, mate):
     """Stable name binding a read to its template: lane, hashed identifier, mate."""
     return F.concat(F.lit("L"), lane_index.cast("string"), F.lit("_P"), F.sha2(tx.read_name(identifier), 256), F.lit("/"), mate.cast("string"))

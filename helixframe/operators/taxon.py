@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from helixframe.functions.text import strip
+
 # Names accepted for an expected taxon.
 TAXON_ALIASES = {"昆虫": "Insecta", "insect": "Insecta", "insects": "Insecta", "节肢动物": "Arthropoda"}
 
@@ -11,7 +13,7 @@ TAXON_ALIASES = {"昆虫": "Insecta", "insect": "Insecta", "insects": "Insecta",
 def alias_taxon(requests: DataFrame, aliases: dict[str, str] = TAXON_ALIASES) -> DataFrame:
     """Replace a known alias of the expected taxon by its scientific name."""
     table = F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair])
-    return requests.withColumn("expected", F.coalesce(F.try_element_at(table, F.lower(F.trim("expected"))), F.trim("expected")))
+    return requests.withColumn("expected", F.coalesce(F.try_element_at(table, F.lower(strip("expected"))), strip("expected")))
 
 
 def near_best_hits(hits: DataFrame, min_identity: float = 75, min_coverage: float = 0.8, near_best: float = 0.95) -> tuple[DataFrame, DataFrame]:
@@ -84,6 +86,6 @@ def sample_verdict(markers: DataFrame, samples: DataFrame) -> DataFrame:
 
 def exact_profile(requests: DataFrame, profiles: DataFrame) -> DataFrame:
     """Profile of exactly the requested taxon name; relatives never stand in."""
-    wanted = requests.select(F.col("name").alias("requested"), F.lower(F.trim("name")).alias("_k"))
+    wanted = requests.select(F.col("name").alias("requested"), F.lower(strip("name")).alias("_k"))
     known = profiles.withColumn("_k", F.lower("name")).withColumn("_hit", F.lit(True))
     return wanted.join(known, "_k", "left").withColumn("found", F.coalesce("_hit", F.lit(False))).drop("_k", "_hit")

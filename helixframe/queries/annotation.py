@@ -165,17 +165,19 @@ def codons(t):
     return words.groupBy("doc_id", nm.codon(F.col("w")).alias("codon")).agg(F.count("*").alias("n"))
 
 
-# Coding features cut from the texts' letters: two pieces of every text, joined.
+# Coding features cut from the texts' letters: two pieces of every text, joined; the whole of texts of up to 30 letters.
 CDS_SQL = f"SELECT CAST(doc_id AS STRING) AS record_id, {DNA} AS sequence, doc_id FROM {{documents}}"
 
 
 def coding(t):
-    records = t.sql(CDS_SQL).where(F.length("sequence") > 30)
+    records = t.sql(CDS_SQL)
     n = F.length("sequence").cast("long")
     seg = lambda a, b: F.struct(a.cast("long").alias("start"), b.cast("long").alias("end"))
     half = F.floor(n / 2)
     strand = F.when(F.col("doc_id") % 2 == 0, 1).otherwise(-1)
-    forward, backward = F.array(seg(F.lit(3), half), seg(half + 5, n)), F.array(seg(half + 5, n), seg(F.lit(3), half))
+    whole = F.array(seg(F.lit(0), n))
+    forward = F.when(n > 30, F.array(seg(F.lit(3), half), seg(half + 5, n))).otherwise(whole)
+    backward = F.when(n > 30, F.array(seg(half + 5, n), seg(F.lit(3), half))).otherwise(whole)
     site = F.concat(F.lit("(pos:"), F.lit(4).cast("string"), F.lit(".."), F.lit(6).cast("string"), F.lit(",aa:Trp)"))
     quals = F.create_map(F.lit("transl_except"), F.array(site), F.lit("codon_start"), F.array((F.col("doc_id") % 3 + 1).cast("string")))
     feats = records.select(
@@ -186,7 +188,8 @@ def coding(t):
 
 
 SPLICED = f"""sp AS (SELECT record_id, doc_id, substr(CASE WHEN doc_id % 2 = 0 THEN a || b ELSE reverse(translate(b, 'ACGTRYN', 'TGCAYRN')) || reverse(translate(a, 'ACGTRYN', 'TGCAYRN')) END, (doc_id % 3 + 1)::INT) AS coding
-  FROM (SELECT *, substr(sequence, 4, h - 3) AS a, substr(sequence, h + 6) AS b FROM (SELECT *, (length(sequence) // 2)::INT AS h FROM ({CDS_SQL}) WHERE length(sequence) > 30)))"""
+  FROM (SELECT *, CASE WHEN length(sequence) > 30 THEN substr(sequence, 4, h - 3) ELSE sequence END AS a, CASE WHEN length(sequence) > 30 THEN substr(sequence, h + 6) ELSE '' END AS b
+    FROM (SELECT *, (length(sequence) // 2)::INT AS h FROM ({CDS_SQL}))))"""
 
 
 def protein_sql() -> str:

@@ -204,9 +204,9 @@ def page_links(t):
 
 @query(
     "discover_goal_keyword",
-    """SELECT doc_id, i, CASE WHEN t = '' THEN 'general' WHEN contains(t, 'wgcna') THEN 'wgcna' WHEN contains(t, 'validation') THEN 'validation'
+    f"""SELECT doc_id, i, CASE WHEN t = '' THEN 'general' WHEN contains(t, 'wgcna') THEN 'wgcna' WHEN contains(t, 'validation') THEN 'validation'
       WHEN contains(t, 'machine') OR contains(t, 'ml') THEN 'machine_learning' WHEN contains(t, 'deg') OR contains(t, 'differential') THEN 'differential_expression'
-      ELSE replace(t, ' ', '_') END AS goal FROM (SELECT doc_id, i, lower(trim(s[i])) AS t FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT doc_id, string_split(text, '.') AS s FROM documents)))""",
+      ELSE replace(t, ' ', '_') END AS goal FROM (SELECT doc_id, i, lower(trim(s[i], '{tx.BLANKS}')) AS t FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT doc_id, string_split(text, '.') AS s FROM documents)))""",
 )
 def goals(t):
     sentences = t.documents.select("doc_id", F.posexplode(F.split("text", r"\.")).alias("i", "s"))
@@ -347,7 +347,7 @@ def counts(t):
     """SELECT 'SRP' || o_custkey AS accession, COUNT(*) AS run_count, nullif(COUNT(DISTINCT CASE WHEN o_totalprice > 100000 THEN o_orderstatus END), 0) AS sample_count FROM orders GROUP BY o_custkey""",
 )
 def run_counts(t):
-    return di.run_counts(t.sql(RUN_META))
+    return di.run_counts(t.sql(RUN_META)).select("accession", "run_count", "sample_count")
 
 
 @query(
@@ -390,7 +390,7 @@ def distinct_runs(t):
 def metadata_union(t):
     first = t.sql("SELECT 'SRP' || CAST(o_custkey AS STRING) AS accession, 'SRR' || CAST(o_orderkey AS STRING) AS run, o_orderstatus AS treatment FROM {orders}")
     second = t.sql("SELECT 'SRP' || CAST(l_suppkey AS STRING) AS accession, 'SRR' || CAST(l_partkey AS STRING) AS run, l_returnflag AS platform FROM {lineitem}")
-    return first.unionByName(second, allowMissingColumns=True)
+    return di.metadata_union(first, second)
 
 
 # -- rules -----------------------------------------------------------------------------------------

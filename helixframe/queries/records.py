@@ -150,6 +150,39 @@ def reviews(t):
     return lg.review_lessons(t.sql(LESSONS), r).select("lesson_id", "state")
 
 
+# A batch: an order is a lesson, its lines are the reviews in the order submitted.
+BATCH_LESSONS = "SELECT o_orderkey AS lesson_id, CASE o_orderstatus WHEN 'P' THEN 'verified' ELSE 'candidate' END AS validation_status FROM {orders} WHERE o_orderkey % 50 > 0"
+BATCH_SOURCES = "SELECT o_orderkey AS lesson_id, CASE WHEN o_orderpriority LIKE '1%' THEN 'changed' WHEN o_orderpriority LIKE '2%' THEN 'unresolved' ELSE 'ok' END AS source_state FROM {orders} WHERE o_orderkey % 3 > 0"
+BATCH_REVIEWS = """SELECT l_orderkey AS lesson_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS ord,
+  CASE l_suppkey % 5 WHEN 0 THEN 'deprecated' WHEN 1 THEN 'rejected' WHEN 2 THEN 'withdrawn' ELSE 'verified' END AS to_status, CASE WHEN l_quantity > 45 THEN '  ' ELSE 'me' END AS reviewer, 'because' AS reason FROM {lineitem}"""
+# The same by folding the reviews one after the other.
+FOLD = f"""WITH RECURSIVE rv AS MATERIALIZED ({BATCH_REVIEWS}), so AS ({BATCH_SOURCES}), st AS (
+    SELECT lesson_id, 0::BIGINT AS ord, validation_status AS status, NULL::VARCHAR AS state, NULL::VARCHAR AS old_status, NULL::VARCHAR AS to_status FROM (SELECT DISTINCT lesson_id FROM rv) LEFT JOIN ({BATCH_LESSONS}) USING (lesson_id)
+    UNION ALL SELECT lesson_id, ord, CASE WHEN state = 'accepted' THEN to_status ELSE status END, state, status, to_status FROM (
+      SELECT st.lesson_id, rv.ord, st.status, rv.to_status, CASE WHEN st.status IS NULL THEN 'unknown_lesson' WHEN trim(reviewer) = '' THEN 'incomplete_review'
+        WHEN NOT ((st.status = 'candidate' AND rv.to_status IN ('verified', 'rejected')) OR (st.status = 'verified' AND rv.to_status IN ('deprecated', 'withdrawn'))) THEN 'transition_refused'
+        WHEN rv.to_status = 'verified' AND source_state <> 'ok' THEN 'source_' || source_state ELSE 'accepted' END AS state
+      FROM st JOIN rv ON rv.lesson_id = st.lesson_id AND rv.ord = st.ord + 1 LEFT JOIN so ON so.lesson_id = st.lesson_id))"""
+
+
+def batch(t):
+    return lg.review_batch(t.sql(BATCH_LESSONS), t.sql(BATCH_REVIEWS), t.sql(BATCH_SOURCES))
+
+
+@query("lesson_review_batch", FOLD + " SELECT lesson_id, ord, to_status, old_status, state, status AS new_status FROM st WHERE ord > 0")
+def review_batch(t):
+    return batch(t).select("lesson_id", F.col("ord").cast("long").alias("ord"), "to_status", "old_status", "state", "new_status")
+
+
+@query(
+    "lesson_review_table",
+    FOLD + f""" SELECT lesson_id, coalesce(s, validation_status) AS validation_status, coalesce(n, 0) AS reviews_accepted FROM ({BATCH_LESSONS})
+    LEFT JOIN (SELECT lesson_id, arg_max(status, ord) AS s, count_if(state = 'accepted')::BIGINT AS n FROM st WHERE ord > 0 GROUP BY lesson_id) USING (lesson_id)""",
+)
+def review_table(t):
+    return lg.reviewed_table(t.sql(BATCH_LESSONS), batch(t))
+
+
 @query("lesson_duplicates", f"SELECT lesson_id, f AS first_id FROM ({LESSONS}) JOIN (SELECT content_hash, min(lesson_id) AS f FROM ({LESSONS}) GROUP BY content_hash HAVING COUNT(*) > 1) USING (content_hash) WHERE lesson_id <> f")
 def duplicates(t):
     return lg.duplicate_lessons(t.sql(LESSONS))
@@ -220,6 +253,27 @@ def register(t):
     return lg.register(known, new).select("l_orderkey", "l_linenumber", "l_partkey", "state")
 
 
+KNOWN = "SELECT CAST(p_partkey AS STRING) AS accession, CAST(p_size % 3 AS STRING) AS file_sha256 FROM {part} WHERE p_size < 20"
+PROPOSED = "SELECT l_orderkey * 10 + l_linenumber AS ord, CASE WHEN l_tax > 0.07 THEN NULL ELSE CAST(l_partkey AS STRING) END AS accession, CAST(l_suppkey % 3 AS STRING) AS file_sha256 FROM {lineitem}"
+PROPOSED = f"SELECT min(ord) AS ord, accession, file_sha256 FROM ({PROPOSED}) GROUP BY ord, accession, file_sha256"
+REGISTERED = f"""WITH pr AS ({PROPOSED}), k AS (SELECT accession, list(DISTINCT file_sha256) AS hs FROM ({KNOWN}) GROUP BY ALL), f AS (SELECT accession, min(ord) AS fo, arg_min(file_sha256, (ord, file_sha256)) AS fh FROM pr WHERE accession IS NOT NULL GROUP BY ALL),
+  st AS (SELECT ord, accession, file_sha256, CASE WHEN accession IS NULL THEN 'new' WHEN hs IS NULL AND ord = fo AND file_sha256 = fh THEN 'new' WHEN list_contains(coalesce(hs, [fh]), file_sha256) THEN 'identical' ELSE 'drift' END AS state FROM pr LEFT JOIN k USING (accession) LEFT JOIN f USING (accession))"""
+
+
+def proposals(t):
+    return lg.register_batch(t.sql(KNOWN), t.sql(PROPOSED))
+
+
+@query("registry_register_batch", REGISTERED + " SELECT * FROM st")
+def register_batch(t):
+    return proposals(t).select("ord", "accession", "file_sha256", "state")
+
+
+@query("registry_table", REGISTERED + f" SELECT * FROM ({KNOWN}) UNION ALL SELECT accession, file_sha256 FROM st WHERE state = 'new'")
+def registry_table(t):
+    return lg.registry_table(t.sql(KNOWN), proposals(t))
+
+
 @query("registry_verify", "SELECT p_partkey AS id, CASE WHEN p_size = 1 THEN 'no_path' WHEN p_size > 40 THEN 'missing' WHEN p_size > 30 THEN 'changed' ELSE 'ok' END AS state FROM part")
 def verify(t):
     r = t.part.select(F.col("p_partkey").alias("id"), F.when(F.col("p_size") == 1, "").otherwise(F.col("p_partkey").cast("string")).alias("path"), F.lit("h").alias("file_sha256"), "p_size")
@@ -229,27 +283,38 @@ def verify(t):
 
 # -- edits -----------------------------------------------------------------------------------------
 
-SEQS = f"SELECT source AS set_id, CAST(doc_id AS STRING) AS sequence_id, {DNA} AS seq, doc_id FROM {{documents}}"
-EDITS = f"""SELECT set_id, sequence_id, CAST(p AS BIGINT) AS position, CASE WHEN doc_id % 97 = 0 THEN 'C' ELSE substr(seq, p, 1) END AS old, CASE WHEN substr(seq, p, 1) = 'G' THEN 'A' ELSE 'G' END AS new, CASE WHEN doc_id % 89 = 1 THEN ' ' ELSE 'e' END AS evidence, 'r' AS rationale
-  FROM (SELECT *, CAST(7 AS INT) AS p FROM ({SEQS}) UNION ALL SELECT *, CAST(length(seq) - 2 AS INT) AS p FROM ({SEQS})) WHERE length(seq) > 20"""
+# Every 97th letter of every text is edited; some edits expect another letter, give no evidence or lie behind the end.
+SEQS = f"SELECT source || '/' || CAST(doc_id % 40 AS STRING) AS set_id, CAST(doc_id AS STRING) AS sequence_id, {DNA} AS seq, doc_id FROM {{documents}}"
+PLACES = {
+    "spark": "explode(CASE WHEN length(seq) >= 97 THEN sequence(97, length(seq), 97) ELSE CAST(array() AS ARRAY<INT>) END)",
+    "duck": "unnest(range(97, length(seq) + 1, 97))::INT",
+}
+
+
+def edits_sql(engine: str) -> str:
+    return f"""SELECT set_id, sequence_id, CAST(p AS BIGINT) AS position, CASE WHEN doc_id % 97 = 0 THEN 'C' WHEN p > length(seq) THEN 'T' ELSE substr(seq, p, 1) END AS old, CASE WHEN substr(seq, p, 1) = 'G' THEN 'A' ELSE 'G' END AS new,
+      CASE WHEN doc_id % 89 = 1 THEN ' ' ELSE 'e' END AS evidence, 'r' AS rationale
+      FROM (SELECT *, {PLACES[engine]} AS p FROM ({SEQS}) UNION ALL SELECT *, CAST(length(seq) + 1 AS INT) AS p FROM ({SEQS}) WHERE doc_id % 131 = 7)"""
+
+
+EDITS = edits_sql("duck")
 
 
 @query(
     "edit_base_reasons",
-    f"""SELECT e.set_id, e.sequence_id, position, concat_ws(',', CASE WHEN old = new THEN 'bad_base' END, CASE WHEN substr(seq, position::INT, 1) <> old THEN 'old_base_differs' END, CASE WHEN evidence = ' ' THEN 'no_evidence' END) AS reasons FROM ({EDITS}) e JOIN ({SEQS}) s USING (set_id, sequence_id)""",
+    f"""SELECT e.set_id, e.sequence_id, position, concat_ws(',', CASE WHEN position > length(seq) THEN 'outside_sequence' END, CASE WHEN old = new THEN 'bad_base' END, CASE WHEN position <= length(seq) AND substr(seq, position::INT, 1) <> old THEN 'old_base_differs' END, CASE WHEN evidence = ' ' THEN 'no_evidence' END) AS reasons FROM ({EDITS}) e JOIN ({SEQS}) s USING (set_id, sequence_id)""",
 )
 def base_reasons(t):
-    return ed.base_edit_reasons(t.sql(EDITS), t.sql(SEQS)).select("set_id", "sequence_id", "position", F.array_join("reasons", ",").alias("reasons"))
+    return ed.base_edit_reasons(t.sql(edits_sql("spark")), t.sql(SEQS)).select("set_id", "sequence_id", "position", F.array_join("reasons", ",").alias("reasons"))
 
 
 @query(
     "edit_apply_bases",
-    f"""WITH e AS ({EDITS}), bad AS (SELECT DISTINCT e.set_id FROM e JOIN ({SEQS}) s USING (set_id, sequence_id) WHERE old = new OR substr(seq, position::INT, 1) <> old OR evidence = ' ')
-    SELECT set_id, sequence_id, md5(CASE WHEN length(seq) > 20 THEN left(seq, 6) || CASE WHEN substr(seq, 7, 1) = 'G' THEN 'A' ELSE 'G' END || substr(seq, 8, length(seq) - 10) || CASE WHEN substr(seq, length(seq) - 2, 1) = 'G' THEN 'A' ELSE 'G' END || right(seq, 2) ELSE seq END) AS digest,
-      CASE WHEN length(seq) > 20 THEN 2 ELSE 0 END AS edits FROM ({SEQS}) ANTI JOIN bad USING (set_id)""",
+    f"""WITH e AS ({EDITS}), bad AS (SELECT DISTINCT e.set_id FROM e JOIN ({SEQS}) s USING (set_id, sequence_id) WHERE old = new OR position > length(seq) OR substr(seq, position::INT, 1) <> old OR evidence = ' ')
+    SELECT set_id, sequence_id, md5(array_to_string(list_transform(range(1, length(seq) + 1), lambda i: CASE WHEN i % 97 > 0 THEN substr(seq, i::INT, 1) WHEN substr(seq, i::INT, 1) = 'G' THEN 'A' ELSE 'G' END), '')) AS digest, (length(seq) // 97)::INT AS edits FROM ({SEQS}) ANTI JOIN bad USING (set_id)""",
 )
 def apply_bases(t):
-    return ed.apply_base_edits(t.sql(EDITS), t.sql(SEQS)).select("set_id", "sequence_id", F.md5("seq").alias("digest"), "edits")
+    return ed.apply_base_edits(t.sql(edits_sql("spark")), t.sql(SEQS)).select("set_id", "sequence_id", F.md5("seq").alias("digest"), "edits")
 
 
 # Features with one qualifier each: lines on an order; selectors name a part.

@@ -273,6 +273,34 @@ def keep(t):
     return kept.select("lane", "template", "turn", name.alias("name"))
 
 
+# Samples are conversations by number, lanes their roles; one sample has an empty lane, one a budget below its lanes.
+SAMPLED = "SELECT conv_id % 6 AS sample, role AS lane, CAST(conv_id AS STRING) || '_' || CAST(turn AS STRING) AS id FROM {conversations}"
+LANES = f"""SELECT sample, lane, CASE lane WHEN 'user' THEN 1 ELSE 2 END AS lane_ord, COUNT(*) AS pairs FROM ({SAMPLED}) GROUP BY sample, lane
+UNION ALL SELECT 5 AS sample, 'none' AS lane, 3 AS lane_ord, 0 AS pairs"""
+SAMPLE_REQUESTS = "SELECT DISTINCT conv_id % 6 AS sample, CASE conv_id % 6 WHEN 4 THEN 1 WHEN 3 THEN 1000000 ELSE 101 + conv_id % 6 END AS budget FROM {conversations}"
+PLAN = f"""pl AS (SELECT sample, lane, pairs, status, CASE WHEN status = 'ok' THEN base + greatest(0, least(pairs - base, least(budget, total) - bases - before)) ELSE 0 END::BIGINT AS amount FROM (
+    SELECT *, sum(pairs) OVER w AS total, sum(base) OVER w AS bases, coalesce(sum(pairs - base) OVER (PARTITION BY sample ORDER BY lane_ord, lane ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (
+      SELECT *, least(pairs, budget // COUNT(*) OVER s) AS base, CASE WHEN budget < COUNT(*) OVER s THEN 'budget_below_lanes' WHEN min(pairs) OVER s < 1 THEN 'empty_lane' ELSE 'ok' END AS status
+      FROM ({LANES}) JOIN ({SAMPLE_REQUESTS}) USING (sample) WINDOW s AS (PARTITION BY sample)) WINDOW w AS (PARTITION BY sample)))"""
+
+
+def sampling_plan(t):
+    return rd.sample_plan(t.sql(LANES), t.sql(SAMPLE_REQUESTS))
+
+
+@query("reads_sample_plan", f"WITH {PLAN} SELECT sample, lane, pairs, amount, status FROM pl")
+def sample_plan(t):
+    return sampling_plan(t)
+
+
+@query(
+    "reads_sample_lanes",
+    f"""WITH {PLAN}, h AS (SELECT *, row_number() OVER (PARTITION BY sample, lane ORDER BY md5('3#' || id), id) AS p FROM ({SAMPLED})) SELECT h.sample, h.lane, id FROM h JOIN pl USING (sample, lane) WHERE p <= amount""",
+)
+def sample_lanes(t):
+    return rd.sample_lanes(t.sql(SAMPLED), sampling_plan(t), "3").select("sample", "lane", "id")
+
+
 QC = f"SELECT source AS lane, {DNA} AS seq, translate(text, ' aeiounst', '!5?IIII04') AS qual FROM {{documents}}"
 
 

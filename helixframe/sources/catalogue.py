@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from helixframe.functions import text as tx
+from helixframe.functions.text import strip
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """Saved summary documents, one per line; malformed lines become NULL payloads."""
-    return spark.read.text(path).where(F.trim("value") != "").select(F.try_parse_json("value").alias("payload"))
+    return spark.read.text(path).where(strip("value") != "").select(F.try_parse_json("value").alias("payload"))
 
 
 def raw(payload: Column, name: str) -> Column:
@@ -18,7 +19,7 @@ def raw(payload: Column, name: str) -> Column:
 
 def first_text(payload: Column, *names: str) -> Column:
     """First non-empty spelling of a field."""
-    return F.coalesce(*[F.nullif(F.trim(raw(payload, n)), F.lit("")) for n in names], F.lit(""))
+    return F.coalesce(*[F.nullif(strip(raw(payload, n)), F.lit("")) for n in names], F.lit(""))
 
 
 def kind(payload: Column, name: str) -> Column:
@@ -31,8 +32,8 @@ KEYS = ("accession", "name", "title", "value", "label")
 def named_value(item: Column, keys=KEYS[:4]) -> Column:
     """Text of a list or object member: the first of its naming keys, or the value itself."""
     is_object = F.schema_of_variant(item).startswith("OBJECT")
-    named = F.coalesce(*[F.nullif(F.trim(F.try_variant_get(item, f"$.{k}", "string")), F.lit("")) for k in keys], F.lit(""))
-    return F.when(is_object, named).otherwise(F.trim(F.coalesce(F.try_variant_get(item, "$", "string"), F.lit(""))))
+    named = F.coalesce(*[F.nullif(strip(F.try_variant_get(item, f"$.{k}", "string")), F.lit("")) for k in keys], F.lit(""))
+    return F.when(is_object, named).otherwise(strip(F.coalesce(F.try_variant_get(item, "$", "string"), F.lit(""))))
 
 
 def flat_text(payload: Column, name: str, keys=KEYS[:4]) -> Column:
@@ -41,7 +42,7 @@ def flat_text(payload: Column, name: str, keys=KEYS[:4]) -> Column:
     items = F.coalesce(F.try_variant_get(payload, f"$.{name}", "array<variant>"), F.array().cast("array<variant>"))
     joined = F.array_join(F.filter(F.transform(items, lambda i: named_value(i, keys)), lambda t: F.coalesce(t, F.lit("")) != ""), "; ")
     member = named_value(F.try_variant_get(payload, f"$.{name}", "variant"), keys)
-    return F.when(k.startswith("ARRAY"), joined).when(k.startswith("OBJECT"), member).otherwise(F.trim(F.coalesce(raw(payload, name), F.lit(""))))
+    return F.when(k.startswith("ARRAY"), joined).when(k.startswith("OBJECT"), member).otherwise(strip(F.coalesce(raw(payload, name), F.lit(""))))
 
 
 def digits(payload: Column, name: str) -> Column:
@@ -54,7 +55,7 @@ def series_records(payloads: DataFrame) -> DataFrame:
     p = F.col("payload")
     list_size = lambda n: F.size(F.try_variant_get(p, f"$.{n}", "array<variant>"))
     taxa = F.try_variant_get(p, "$.taxon", "array<string>")
-    taxon = F.when(kind(p, "taxon").startswith("ARRAY"), F.array_join(F.filter(F.transform(taxa, lambda t: F.trim(t)), lambda t: t != ""), ", ")).otherwise(first_text(p, "taxon"))
+    taxon = F.when(kind(p, "taxon").startswith("ARRAY"), F.array_join(F.filter(F.transform(taxa, lambda t: strip(t)), lambda t: t != ""), ", ")).otherwise(first_text(p, "taxon"))
     platform = F.coalesce(*[F.nullif(tx.platform(flat_text(p, n)), F.lit("")) for n in ("GPL", "gpl", "platform", "Platform")], F.lit(""))
     projects = F.coalesce(F.nullif(first_text(p, "bioproject"), F.lit("")), F.nullif(flat_text(p, "Projects"), F.lit("")), flat_text(p, "projects"))
     samples = F.coalesce(

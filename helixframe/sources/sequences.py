@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from helixframe.functions import seq as sq
 from helixframe.functions.rules import flags
+from helixframe.functions.text import strip
 
 PROTEIN = "ABCDEFGHIJKLMNOPQRSTUVWXYZ*"
 
@@ -16,7 +17,7 @@ def read_fasta(spark: SparkSession, path: str, alphabet: str = "ACGTRYSWKMBDHVN"
     # Only the first record of a file keeps its '>'; text before a first header has none.
     first = F.col("value").startswith(">")
     body = F.when(first, F.expr("substr(value, 2)")).otherwise(F.col("value"))
-    rows = raw.where(F.trim("value") != "").select("path", body.alias("_b"), F.regexp_extract(body, r"^[ \t]*(\S+)", 1).alias("id"))
+    rows = raw.where(strip("value") != "").select("path", body.alias("_b"), F.regexp_extract(body, r"^[ \t]*(\S+)", 1).alias("id"))
     rows = rows.withColumn("seq", F.upper(F.regexp_replace(F.regexp_replace("_b", r"^[^\n]*\n?", ""), r"\s+", "")))
     allowed = "^[" + alphabet.replace("-", "\\-").replace("*", "\\*") + "]*$"
     found = flags((F.col("id") == "", "missing_id"), (F.col("seq") == "", "empty_sequence"), (~F.col("seq").rlike(allowed), "invalid_letters"))
@@ -30,10 +31,10 @@ def repeated_records(records: DataFrame) -> DataFrame:
 
 def read_annotator_fasta(spark: SparkSession, path: str) -> DataFrame:
     """Records headed `…;start-end;strand;name`; `problem` marks headers that do not follow this form."""
-    raw = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", "\r", "").alias("value")).where(F.trim("value") != "")
+    raw = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", "\r", "").alias("value")).where(strip("value") != "")
     head = F.regexp_replace(F.regexp_extract("value", r"^>?([^\n]*)", 1), r"\s+$", "")
     rows = raw.select(head.alias("_h"), F.upper(F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s+", "")).alias("seq"))
-    rows = rows.withColumn("_p", F.transform(F.split("_h", ";"), lambda p: F.trim(p))).withColumn("_n", F.size("_p"))
+    rows = rows.withColumn("_p", F.transform(F.split("_h", ";"), lambda p: strip(p))).withColumn("_n", F.size("_p"))
     part = lambda k: F.get("_p", F.col("_n") - k)
     place = r"^([0-9]+)-([0-9]+)$"
     ok = (F.col("_n") >= 4) & part(3).rlike(place) & part(2).isin("+", "-") & (part(1) != "")
@@ -114,7 +115,7 @@ def read_blast_xml(spark: SparkSession, path: str, dialect: str = "xml2") -> Dat
     number = lambda n, t: F.col(f"p.`{prefix}{n}`").try_cast(t).alias(n.replace("-", "_"))
     strand = lambda side: F.coalesce(F.lower(f"p.`{prefix}{side}-strand`"), F.when(F.col(f"p.`{prefix}{side}-frame`") == "1", "plus").when(F.col(f"p.`{prefix}{side}-frame`") == "-1", "minus"))
     return flat.select(
-        "query", "query_len", "hit_no", "hit", "accession", F.regexp_replace(F.trim("description"), r"\s+", " ").alias("description"), F.col("hit_len").try_cast("long").alias("hit_len"), "taxids", "hsp_no",
+        "query", "query_len", "hit_no", "hit", "accession", F.regexp_replace(strip("description"), r"\s+", " ").alias("description"), F.col("hit_len").try_cast("long").alias("hit_len"), "taxids", "hsp_no",
         *[number(n, "long") for n in ("query-from", "query-to", "hit-from", "hit-to", "align-len", "identity")], F.col(f"p.`{prefix}bit-score`").try_cast("double").alias("bitscore"),
         strand("query").alias("query_strand"), strand("hit").alias("hit_strand"),
     )
@@ -190,7 +191,7 @@ def read_genbank(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     block = F.regexp_extract("v", r"(?s)\nFEATURES[^\n]*\n(.*?)(?:\nORIGIN|\nCONTIG|\z)", 1)
     rows = raw.select("path", F.when(version != "", version).otherwise(locus).alias("record_id"), sequence.alias("sequence"), block.alias("_f"))
     records = rows.select("path", "record_id", "sequence")
-    pieces = F.filter(F.split(F.concat(F.lit("\n"), F.col("_f")), r"\n {5}(?=\S)"), lambda p: F.trim(p) != "")
+    pieces = F.filter(F.split(F.concat(F.lit("\n"), F.col("_f")), r"\n {5}(?=\S)"), lambda p: strip(p) != "")
     feats = rows.select("path", "record_id", F.posexplode(pieces).alias("ord", "_t"))
     kind = F.regexp_extract("_t", r"^(\S+)", 1)
     place = F.regexp_replace(F.regexp_extract("_t", r"(?s)^\S+\s+(.*?)(?:\n\s+/|\z)", 1), r"\s+", "")

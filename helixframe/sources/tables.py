@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from helixframe.functions.rules import flags
+from helixframe.functions.text import strip
 
 
 def sniff_separator(spark: SparkSession, path: str, candidates: str = "\t,;|", lines: int = 20) -> str:
@@ -49,7 +50,7 @@ def read_run_table(spark: SparkSession, path: str, sep: str | None = ",") -> Dat
     """Run metadata with trimmed names and values; `sep=None` finds tab or comma, tab when unclear."""
     sep = sep or sniff_separator(spark, path, "\t,")
     rows = spark.read.option("sep", sep).option("header", True).csv(path)
-    return rows.select(*[F.trim(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c.strip()) for c in rows.columns if c and c.strip()])
+    return rows.select(*[strip(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c.strip()) for c in rows.columns if c and c.strip()])
 
 
 BLAST_TABLE = "qseqid string, sseqid string, pident double, length int, qstart int, qend int, sstart int, send int, evalue double"
@@ -86,7 +87,7 @@ def read_coverage_table(spark: SparkSession, path: str) -> DataFrame:
 
 def read_gff(spark: SparkSession, path: str) -> DataFrame:
     """Annotation rows with their attributes as a map; `problem` names what is wrong with a row."""
-    text = spark.read.text(path).where((F.trim("value") != "") & ~F.col("value").startswith("#"))
+    text = spark.read.text(path).where((strip("value") != "") & ~F.col("value").startswith("#"))
     cells = text.select(F.split("value", "\t").alias("c"))
     attributes = F.str_to_map(F.rtrim(F.get("c", F.lit(8)), F.lit(";")), F.lit(";"), F.lit("="))
     rows = cells.select(

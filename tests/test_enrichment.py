@@ -178,3 +178,46 @@ def test_null_scores_equal_a_plain_walk(spark):
                 values.append(gained / total - fall)
             want.append(max(values) if max(values[1::2]) > -min(values[::2]) else min(values))
         assert [round(x, 9) for x in got[k]] == [round(x, 9) for x in sorted(want)]
+
+
+def test_batches_of_reviews_and_proposals_take_effect_in_order(spark):
+    rng = random.Random(5)
+    lessons = [(k, rng.choice(["candidate", "verified", "rejected", "superseded"])) for k in range(60)]
+    sources = [(k, rng.choice(["ok", "ok", "changed", "unresolved"])) for k in range(50)]
+    reviews = [(rng.randrange(64), o, rng.choice(["verified", "rejected", "deprecated", "withdrawn", "nonsense"]), rng.choice(["me", "me", "me", "\t "]), "why") for o in range(400)]
+    status, state_of, want = dict(lessons), dict(sources), []
+    for k, o, to, who, why in reviews:
+        old = status.get(k)
+        if old is None:
+            state = "unknown_lesson"
+        elif not who.strip():
+            state = "incomplete_review"
+        elif to not in lg.TRANSITIONS.get(old, ()):
+            state = "transition_refused"
+        elif to == "verified" and state_of.get(k, "ok") != "ok":
+            state = "source_" + state_of[k]
+        else:
+            state, status[k] = "accepted", to
+        want.append((k, o, state, status.get(k)))
+    frames = spark.createDataFrame(lessons, "lesson_id int, validation_status string"), spark.createDataFrame(reviews, "lesson_id int, ord int, to_status string, reviewer string, reason string"), spark.createDataFrame(sources, "lesson_id int, source_state string")
+    got = lg.review_batch(*frames)
+    assert sorted((r.lesson_id, r.ord, r.state, r.new_status) for r in got.collect()) == sorted(want, key=lambda w: w[:2])
+    assert {r.lesson_id: r.validation_status for r in lg.reviewed_table(frames[0], got).collect()} == status
+    assert sum(w[2] == "accepted" for w in want) > 20
+
+    existing = [(f"A{k}", f"h{k % 3}") for k in range(10)]
+    proposals = [(o, rng.choice([None, *(f"A{k}" for k in range(20))]), f"h{rng.randrange(3)}") for o in range(200)]
+    known, expected = dict(existing), []
+    for o, a, h in proposals:
+        expected.append((o, "new" if a is None or a not in known else "identical" if known[a] == h else "drift"))
+        if a is not None:
+            known.setdefault(a, h)
+    base = spark.createDataFrame(existing, "accession string, file_sha256 string")
+    done = lg.register_batch(base, spark.createDataFrame(proposals, "ord int, accession string, file_sha256 string"))
+    assert sorted((r.ord, r.state) for r in done.collect()) == expected
+    assert lg.registry_table(base, done).count() == 10 + sum(s == "new" for _, s in expected)
+
+
+def test_white_space_of_any_kind_is_blank(spark):
+    row = spark.createDataFrame([("\t x y\u00a0\r\n", "\u2003\t")], "a string, b string").select(tx.clean(F.col("a")).alias("a"), tx.clean(F.col("b")).alias("b"), tx.non_empty(F.array("a", "b")).alias("c")).first()
+    assert (row.a, row.b, row.c) == ("x y", "", ["x y"])

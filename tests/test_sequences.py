@@ -1,5 +1,6 @@
 """Segments, intervals, sequences, reads and taxonomy on small inputs."""
 
+import hashlib
 import random
 import time
 
@@ -222,3 +223,21 @@ def test_sample_verdicts(spark):
     samples = spark.createDataFrame([(s, int(s == "d")) for s in "abcde"], "sample string, failures int")
     got = {r.sample: r.status for r in tn.sample_verdict(spark.createDataFrame(rows, "sample string, status string"), samples).collect()}
     assert got == {"a": "suspected_mixed", "b": "suspected_mismatch", "c": "compatible", "d": "insufficient", "e": "insufficient"}
+
+
+def test_samples_are_refused_or_drawn_exactly(spark):
+    lanes = [("a", "x", 1, 5), ("a", "y", 2, 1000), ("a", "z", 3, 40), ("b", "x", 1, 10), ("b", "y", 2, 10), ("c", "x", 1, 10), ("c", "y", 2, 0), ("d", "x", 1, 7)]
+    records = [(s, lane, f"{s}{lane}{i}") for s, lane, _, n in lanes for i in range(n)]
+    requests = [("a", 100), ("b", 1), ("c", 10), ("d", 50), ("e", 5)]
+    plan = rd.sample_plan(spark.createDataFrame(lanes, "sample string, lane string, lane_ord int, pairs long"), spark.createDataFrame(requests, "sample string, budget long"))
+    got = {(r.sample, r.lane): (r.amount, r.status) for r in plan.collect()}
+    assert got == {
+        ("a", "x"): (5, "ok"), ("a", "y"): (62, "ok"), ("a", "z"): (33, "ok"), ("b", "x"): (0, "budget_below_lanes"), ("b", "y"): (0, "budget_below_lanes"),
+        ("c", "x"): (0, "empty_lane"), ("c", "y"): (0, "empty_lane"), ("d", "x"): (7, "ok"),
+    }
+    frame = spark.createDataFrame(records, "sample string, lane string, id string")
+    drawn = rd.sample_lanes(frame, plan, "s").collect()
+    for (s, lane), (amount, _) in got.items():
+        ids = sorted((i for a, b, i in records if (a, b) == (s, lane)), key=lambda i: hashlib.md5(f"s#{i}".encode()).hexdigest())
+        assert sorted(r.id for r in drawn if (r.sample, r.lane) == (s, lane)) == sorted(ids[:amount])
+    assert sorted(r.id for r in drawn) == sorted(r.id for r in rd.sample_lanes(frame.orderBy(F.rand()), plan, "s").collect())
