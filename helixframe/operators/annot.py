@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from helixframe.functions import names as nm, seq as sq
 from helixframe.functions.rules import flags
 from helixframe.functions.text import strip
+from helixframe.operators.tiles import slices
 from helixframe.session import cut_lineage
 
 BIN = 1000
@@ -185,14 +186,31 @@ def set_differences(query: DataFrame, reference: DataFrame) -> DataFrame:
 # -- coding sequences ------------------------------------------------------------------------------
 
 
+def spliced(features: DataFrame, records: DataFrame) -> DataFrame:
+    """features of known records with `spliced`, the letters of their segments in transcription orientation.
+
+    Segments meet the tiles they touch (see `tiles.slices`), so no genome travels with its features.  A repeated feature id
+    is no matter: what is joined back is told by record, segments and strand.
+    """
+    known = features.join(records.select("record_id").distinct(), "record_id", "left_semi")
+    shape = known.select("record_id", "segments", "strand").distinct()
+    parts = shape.select("record_id", "segments", "strand", F.posexplode("segments").alias("_i", "_s")).withColumns({"start": F.col("_s.start"), "end": F.col("_s.end")})
+    parts = parts.join(slices(parts, records, ["record_id"], "sequence"), ["record_id", "start", "end"], "left")
+    letters = F.coalesce("slice", F.lit(""))
+    letters = F.when(F.col("strand") < 0, sq.reverse_complement(letters)).otherwise(letters)
+    whole = parts.groupBy("record_id", "segments", "strand").agg(F.array_sort(F.collect_list(F.struct("_i", letters.alias("t")))).alias("_t"))
+    whole = whole.select(F.col("record_id").alias("_r"), F.col("segments").alias("_g"), F.col("strand").alias("_d"), F.array_join(F.transform("_t", lambda x: x["t"]), "").alias("_x"))
+    joined = known.join(whole, (F.col("record_id") == F.col("_r")) & (F.col("segments") == F.col("_g")) & F.col("strand").eqNullSafe(F.col("_d")), "left")
+    return joined.withColumn("spliced", F.coalesce("_x", F.lit(""))).drop("_r", "_g", "_d", "_x")
+
+
 def coding_features(features: DataFrame, records: DataFrame, table: int) -> DataFrame:
     """CDS with their spliced sequence, frame, protein, terminal state and codon positions."""
     first = lambda k: F.try_element_at(F.try_element_at("qualifiers", F.lit(k)), F.lit(1))
-    cds = features.where(F.col("type") == "CDS").join(records.select("record_id", "sequence"), "record_id")
+    cds = spliced(features.where(F.col("type") == "CDS"), records)
     declared = F.expr("try_cast(try_element_at(try_element_at(qualifiers, 'codon_start'), 1) AS INT)")
     cds = cds.withColumn("codon_start_given", F.coalesce(declared, F.lit(1)))
     cds = cds.withColumn("codon_start", F.when(F.col("codon_start_given").isin(1, 2, 3), F.col("codon_start_given")).otherwise(1))
-    cds = cds.withColumn("spliced", F.upper(sq.extract(F.col("sequence"), F.col("segments"), F.col("strand")))).drop("sequence")
     cds = cds.withColumn("coding", F.expr("substr(spliced, codon_start)"))
     cds = cds.withColumn("remainder", F.length("coding") % 3).withColumn("codons", sq.codon_list(F.col("coding")))
     cds = cds.withColumn("protein", sq.translate(F.col("coding"), table)).withColumn("last3", F.right("coding", F.lit(3)))
@@ -397,16 +415,20 @@ def frame_conflict(phase: Column, offset: Column, has_protein: Column) -> Column
 def agreement(gff: DataFrame, nucleotide: DataFrame, protein: DataFrame, genomes: DataFrame) -> DataFrame:
     """Annotator rows against their sequence files and the genome slice; every disagreement is named.
 
-    `gff(record_id, name, start, end, strand)` with 1-based closed coordinates; the others carry the same place.
+    `gff(record_id, name, start, end, strand)` with 1-based closed coordinates; the others carry the same place.  Features meet the
+    tiles of the genome that they touch.
     """
     n = nucleotide.select("record_id", "name", F.col("start").alias("_ns"), F.col("end").alias("_ne"), F.col("strand").alias("_nd"), F.col("seq").alias("_nseq"))
     p = protein.select("record_id", "name", F.col("start").alias("_ps"), F.col("end").alias("_pe"), F.col("strand").alias("_pd"))
-    joined = gff.join(n, ["record_id", "name"], "left").join(p, ["record_id", "name"], "left").join(genomes.select("record_id", F.col("seq").alias("_g")), "record_id", "left")
-    piece = F.expr("substr(_g, CAST(start AS INT), CAST(end - start + 1 AS INT))")
-    joined = joined.withColumn("_slice", F.when(F.col("strand") == "-", sq.reverse_complement(piece)).otherwise(F.upper(piece)))
+    joined = gff.join(n, ["record_id", "name"], "left").join(p, ["record_id", "name"], "left").join(genomes.select("record_id", F.coalesce(F.length("seq"), F.lit(0)).alias("_g")), "record_id", "left")
+    cut = slices(gff.select("record_id", (F.col("start") - 1).cast("long").alias("start"), F.col("end").cast("long").alias("end")), genomes, ["record_id"])
+    cut = cut.select("record_id", (F.col("start") + 1).alias("_from"), F.col("end").alias("_to"), "slice")
+    joined = joined.join(cut.withColumnRenamed("record_id", "_r"), (F.col("record_id") == F.col("_r")) & (F.col("start") == F.col("_from")) & (F.col("end") == F.col("_to")), "left")
+    piece = F.when(F.col("_g").isNotNull(), F.coalesce("slice", F.lit("")))
+    joined = joined.withColumn("_slice", F.when(F.col("strand") == "-", sq.reverse_complement(piece)).otherwise(piece))
     plain = lambda c: F.translate(F.upper(c), "U", "T")
     problems = flags(
-        (F.col("_g").isNull(), "foreign_record"), ((F.col("start") < 1) | (F.col("end") < F.col("start")) | (F.col("end") > F.length("_g")), "outside_genome"),
+        (F.col("_g").isNull(), "foreign_record"), ((F.col("start") < 1) | (F.col("end") < F.col("start")) | (F.col("end") > F.col("_g")), "outside_genome"),
         (~F.col("strand").isin("+", "-"), "bad_strand"), (F.col("_ns").isNotNull() & ((F.col("_ns") != F.col("start")) | (F.col("_ne") != F.col("end")) | (F.col("_nd") != F.col("strand"))), "place_conflict"),
         (F.col("_nseq") == "", "empty_sequence"), ((F.col("_nseq") != "") & (plain(F.col("_nseq")) != plain(F.col("_slice"))), "sequence_conflict"),
         (F.col("_ps").isNotNull() & ((F.col("_ps") != F.col("start")) | (F.col("_pe") != F.col("end")) | (F.col("_pd") != F.col("strand"))), "protein_place_conflict"),

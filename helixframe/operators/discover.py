@@ -267,14 +267,15 @@ RUN_COLUMNS = ("run", "run_accession")
 def run_counts(runs: DataFrame) -> DataFrame:
     """(accession, metadata_rows, run_count, sample_count): distinct runs and samples per accession, NULL when nothing is known.
 
-    A row's sample is the first of the columns SAMPLE_COLUMNS (whatever their case) that is not blank there, its run the
-    first of RUN_COLUMNS.
+    A row's sample is the first of the columns SAMPLE_COLUMNS (whatever their case) that is not empty there, its run the
+    first of RUN_COLUMNS; a value of white space alone names none.
     """
     by_lower = {c.strip().lower(): c for c in runs.columns}
 
     def distinct(names: tuple[str, ...]) -> Column:
-        options = [F.nullif(tx.clean(F.col(f"`{by_lower[n]}`")), F.lit("")) for n in names if n in by_lower]
-        return F.nullif(F.countDistinct(F.coalesce(*options, F.lit(None).cast("string"))), F.lit(0))
+        options = [F.nullif(F.col(f"`{by_lower[n]}`").cast("string"), F.lit("")) for n in names if n in by_lower]
+        value = F.nullif(tx.clean(F.coalesce(*options, F.lit(None).cast("string"))), F.lit(""))
+        return F.nullif(F.countDistinct(value), F.lit(0))
 
     return runs.groupBy("accession").agg(F.count("*").alias("metadata_rows"), distinct(RUN_COLUMNS).alias("run_count"), distinct(SAMPLE_COLUMNS).alias("sample_count"))
 

@@ -6,18 +6,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from helixframe.functions import seq as sq, text as tx
 from helixframe.functions.rules import flags, none
+from helixframe.operators.tiles import tiles
 
 
 TILE = 1000
 SITE = ["set_id", "sequence_id"]
 
 
-def tiles(records: DataFrame, width: int = TILE) -> DataFrame:
-    """(set_id, sequence_id, tile, piece): upper-case sequences in pieces of `width` letters, cut in one pass."""
-    pieces = F.regexp_extract_all(F.upper("seq"), F.lit("([\\s\\S]{1,%d})" % width), F.lit(1))
-    return records.select(*SITE, F.posexplode(pieces).alias("tile", "piece"))
-
-
 def base_edit_reasons(edits: DataFrame, records: DataFrame) -> DataFrame:
     """Reasons to refuse each base edit (set_id, sequence_id, position, old, new, evidence, rationale).
 
@@ -25,7 +20,7 @@ def base_edit_reasons(edits: DataFrame, records: DataFrame) -> DataFrame:
     """
     sites = edits.groupBy(*SITE, "position").agg(F.count("*").alias("_n"))
     joined = edits.join(sites, [*SITE, "position"], "left").join(records.select(*SITE, F.coalesce(F.length("seq"), F.lit(0)).alias("_length")), SITE, "left")
-    joined = joined.withColumn("tile", F.floor((F.col("position") - 1) / TILE).cast("int")).join(tiles(records), [*SITE, "tile"], "left")
+    joined = joined.withColumn("tile", F.floor((F.col("position") - 1) / TILE).cast("int")).join(tiles(records, SITE, width=TILE), [*SITE, "tile"], "left")
     inside = F.col("position").between(1, F.col("_length"))
     old, new = F.upper("old"), F.upper("new")
     letter = F.expr(f"substr(piece, CAST(position - tile * {TILE} AS INT), 1)")
@@ -49,7 +44,7 @@ def apply_base_edits(edits: DataFrame, records: DataFrame) -> DataFrame:
     before = lambda i: F.when(i == 0, 0).otherwise(F.get(F.col("_e"), i - 1)["at"])
     pieces = F.transform("_e", lambda e, i: F.concat(F.col("piece").substr((before(i) + 1).cast("int"), (e["at"] - before(i) - 1).cast("int")), e["new"]))
     rest = F.expr("substr(piece, element_at(_e, -1).at + 1)")
-    cut = tiles(records.join(bad, "set_id", "left_anti")).join(by_tile, [*SITE, "tile"], "left")
+    cut = tiles(records.join(bad, "set_id", "left_anti"), SITE, width=TILE).join(by_tile, [*SITE, "tile"], "left")
     cut = cut.select(*SITE, "tile", F.when(F.col("_e").isNull(), F.col("piece")).otherwise(F.concat(F.array_join(pieces, ""), rest)).alias("piece"), F.coalesce(F.size("_e"), F.lit(0)).alias("_n"))
     whole = cut.groupBy(*SITE).agg(F.array_sort(F.collect_list(F.struct("tile", "piece"))).alias("_t"), F.sum("_n").cast("int").alias("_n"))
     joined = records.join(bad, "set_id", "left_anti").select(*SITE, F.col("seq").isNotNull().alias("_known")).join(whole, SITE, "left")

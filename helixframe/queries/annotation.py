@@ -278,24 +278,25 @@ def frame_state(t):
     return out.groupBy("l_orderkey", "l_linenumber", "phase", "state").agg(F.count("*").alias("n"))
 
 
-# Annotator rows against files and genome: genome and files come from one text.
-AGREE = f"SELECT CAST(doc_id AS STRING) AS record_id, {DNA} AS seq, lang, source FROM {{documents}}"
+# Annotator rows against files and genome: genome and files come from one text, the feature is the whole of it.
+AGREE = f"SELECT CAST(doc_id AS STRING) AS record_id, {DNA} AS seq, lang, source, doc_id % 11 = 0 AS beyond FROM {{documents}}"
 
 
 @query(
     "annot_source_agreement",
-    f"""SELECT record_id, lang = 'es' AS from_genome_only, array_to_string(list_filter([CASE WHEN source = 'src11' THEN 'foreign_record' END, CASE WHEN source <> 'src11' AND length(seq) < 40 THEN 'outside_genome' END, CASE WHEN lang = 'fr' THEN 'place_conflict' END,
-      CASE WHEN source <> 'src11' AND lang <> 'es' AND lang = 'de' AND substr(seq, 11, 30) <> substr(seq, 12, 30) THEN 'sequence_conflict' END, CASE WHEN source IN ('src5', 'src10') THEN 'protein_place_conflict' END], lambda x: x IS NOT NULL), ',') AS problems FROM ({AGREE}) WHERE length(seq) >= 12""",
+    f"""SELECT record_id, lang = 'es' AS from_genome_only, array_to_string(list_filter([CASE WHEN source = 'src11' THEN 'foreign_record' END, CASE WHEN source <> 'src11' AND (beyond OR seq = '') THEN 'outside_genome' END,
+      CASE WHEN lang = 'fr' THEN 'place_conflict' END, CASE WHEN lang <> 'es' AND nuc = '' THEN 'empty_sequence' END, CASE WHEN source <> 'src11' AND lang <> 'es' AND nuc <> '' AND nuc <> seq THEN 'sequence_conflict' END,
+      CASE WHEN source IN ('src5', 'src10') THEN 'protein_place_conflict' END], lambda x: x IS NOT NULL), ',') AS problems FROM (SELECT *, CASE WHEN lang = 'de' THEN substr(seq, 2) ELSE seq END AS nuc FROM ({AGREE}))""",
 )
 def source_agreement(t):
-    base = t.sql(AGREE).where(F.length("seq") >= 12)
-    place = [F.lit("g").alias("name"), F.lit(11).alias("start"), F.lit(40).alias("end"), F.lit("+").alias("strand")]
-    gff = base.select("record_id", *place)
+    base = t.sql(AGREE)
+    end = (F.length("seq") + F.when(F.col("beyond"), 3).otherwise(0)).alias("end")
+    gff = base.select("record_id", F.lit("g").alias("name"), F.lit(1).alias("start"), end, F.lit("+").alias("strand"))
     nuc = base.where("lang <> 'es'").select(
-        "record_id", F.lit("g").alias("name"), F.when(F.col("lang") == "fr", 12).otherwise(11).alias("start"), F.lit(40).alias("end"), F.lit("+").alias("strand"),
-        F.when(F.col("lang") == "de", F.substring("seq", 12, 30)).otherwise(F.substring("seq", 11, 30)).alias("seq"),
+        "record_id", F.lit("g").alias("name"), F.when(F.col("lang") == "fr", 2).otherwise(1).alias("start"), end, F.lit("+").alias("strand"),
+        F.when(F.col("lang") == "de", F.expr("substr(seq, 2)")).otherwise(F.col("seq")).alias("seq"),
     )
-    prot = base.select("record_id", F.lit("g").alias("name"), F.lit(11).alias("start"), F.lit(40).alias("end"), F.when(F.col("source").isin("src5", "src10"), "-").otherwise("+").alias("strand"))
+    prot = base.select("record_id", F.lit("g").alias("name"), F.lit(1).alias("start"), end, F.when(F.col("source").isin("src5", "src10"), "-").otherwise("+").alias("strand"))
     out = an.agreement(gff, nuc, prot, base.where("source <> 'src11'").select("record_id", "seq"))
     return out.select("record_id", "from_genome_only", F.array_join("problems", ",").alias("problems"))
 
