@@ -380,7 +380,7 @@ SHOWN = """contrast, collection, ontology, term_id, set_size, round(es, 8) AS es
     null_n, null_beyond, draws, round(p, 9) AS p_value, round(p_adjust, 9) AS p_adjust"""
 
 
-def shown(results):
+def gsea_shown(results):
     return results.select(
         "contrast", "collection", "ontology", "term_id", "set_size", F.round("es", 8).alias("es"), F.round("nes", 7).alias("nes"),
         "null_n", "null_beyond", "draws", F.round("p_value", 9).alias("p_value"), F.round("p_adjust", 9).alias("p_adjust"),
@@ -389,17 +389,17 @@ def shown(results):
 
 @query("enrich_gsea_significance", significance_sql() + f" SELECT {SHOWN} FROM f")
 def gsea_significance(t):
-    return shown(gsea_results(t))
+    return gsea_shown(gsea_results(t))
 
 
 @query("enrich_gsea_significant_terms", significance_sql() + f" SELECT {SHOWN} FROM f WHERE p <= 0.05 AND p_adjust <= 0.05")
 def gsea_significant(t):
-    return shown(en.significant_terms(gsea_results(t)))
+    return gsea_shown(en.significant_terms(gsea_results(t)))
 
 
 @query("enrich_gsea_terms_loose_cutoff", significance_sql() + f" SELECT {SHOWN} FROM f WHERE p <= 0.5 AND p_adjust <= 0.5")
 def gsea_loose(t):
-    return shown(en.significant_terms(gsea_results(t), 0.5))
+    return gsea_shown(en.significant_terms(gsea_results(t), 0.5))
 
 
 def top_by_sign_sql(where: str = "") -> str:
@@ -425,7 +425,7 @@ def best_sql(n: int) -> str:
       ORDER BY round(p_adjust, 9), abs(round(nes, 7)) DESC NULLS LAST, term_id) AS position FROM f QUALIFY position <= {n})"""
 
 
-def best(t: Tables, n: int):
+def gsea_best(t: Tables, n: int):
     rounded = gsea_results(t).withColumns({"p_adjust": F.round("p_adjust", 9), "nes": F.round("nes", 7)})
     return en.best_terms(rounded, n)
 
@@ -436,7 +436,7 @@ def best(t: Tables, n: int):
     JOIN b USING (contrast, collection, ontology, term_id) WHERE CASE WHEN es > 0 THEN rank <= peak_rank ELSE rank >= peak_rank END""",
 )
 def ridge(t):
-    out = en.ridge_input(best(t, 15), curve(t, ranked(t)))
+    out = en.ridge_input(gsea_best(t, 15), curve(t, ranked(t)))
     return out.withColumns({"es": F.round("es", 8), "metric": F.round("metric", 9)})
 
 
@@ -446,5 +446,5 @@ def ridge(t):
     JOIN b USING (contrast, collection, ontology, term_id)""",
 )
 def score_curves(t):
-    out = en.score_curves(best(t, 5), en.ranked_members(ranked(t), t.sql(SETS)))
+    out = en.score_curves(gsea_best(t, 5), en.ranked_members(ranked(t), t.sql(SETS)))
     return out.select("contrast", *en.SET_KEYS, "gene", "rank", F.round(F.round("before", 12), 8).alias("before"), F.round(F.round("after", 12), 8).alias("after"), "position")

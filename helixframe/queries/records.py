@@ -254,8 +254,8 @@ def register(t):
 
 
 KNOWN = "SELECT CAST(p_partkey AS STRING) AS accession, CAST(p_size % 3 AS STRING) AS file_sha256 FROM {part} WHERE p_size < 20"
-PROPOSED = "SELECT l_orderkey * 10 + l_linenumber AS ord, CASE WHEN l_tax > 0.07 THEN NULL ELSE CAST(l_partkey AS STRING) END AS accession, CAST(l_suppkey % 3 AS STRING) AS file_sha256 FROM {lineitem}"
-PROPOSED = f"SELECT min(ord) AS ord, accession, file_sha256 FROM ({PROPOSED}) GROUP BY ord, accession, file_sha256"
+EACH_PROPOSED = "SELECT l_orderkey * 10 + l_linenumber AS ord, CASE WHEN l_tax > 0.07 THEN NULL ELSE CAST(l_partkey AS STRING) END AS accession, CAST(l_suppkey % 3 AS STRING) AS file_sha256 FROM {lineitem}"
+PROPOSED = f"SELECT min(ord) AS ord, accession, file_sha256 FROM ({EACH_PROPOSED}) GROUP BY ord, accession, file_sha256"
 REGISTERED = f"""WITH pr AS ({PROPOSED}), k AS (SELECT accession, list(DISTINCT file_sha256) AS hs FROM ({KNOWN}) GROUP BY ALL), f AS (SELECT accession, min(ord) AS fo, arg_min(file_sha256, (ord, file_sha256)) AS fh FROM pr WHERE accession IS NOT NULL GROUP BY ALL),
   st AS (SELECT ord, accession, file_sha256, CASE WHEN accession IS NULL THEN 'new' WHEN hs IS NULL AND ord = fo AND file_sha256 = fh THEN 'new' WHEN list_contains(coalesce(hs, [fh]), file_sha256) THEN 'identical' ELSE 'drift' END AS state FROM pr LEFT JOIN k USING (accession) LEFT JOIN f USING (accession))"""
 
