@@ -3,10 +3,11 @@
 import math
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from helixframe.llm import gnat_negatives as gn
-from helixframe.llm.queries import QUERIES
+from helixframe.llm.queries import ORACLE, QUERIES
 
 SCHEMA = "vec_id long, embedding array<float>, label int, row long, region int, v array<long>, score long, low long"
 
@@ -51,6 +52,9 @@ def test_query_equals_brute_force(spark, tmp_path):
     assert got.columns[:6] == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
     want = brute(rows)
     assert len(want) > 100 and sorted(map(tuple, got.collect()), key=repr) == want
+    duck = duckdb.connect()
+    duck.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert sorted(duck.execute(ORACLE["op11_gnat_negatives"]).fetchall(), key=repr) == want
 
 
 def test_small_pieces_blocks_and_leaves(spark):

@@ -8,11 +8,12 @@ import textwrap
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helixframe.llm import byte_cnn, hamming_index, license_join, minhash_dedup, mixture, packing, pitman_yor, quality_bands, secret_ownership, toxicity_zstd
+from helixframe.llm import byte_cnn, hamming_index, license_join, minhash_dedup, mixture, packing, pitman_yor, quality_bands, queries, secret_ownership, toxicity_zstd
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row long, id long, body string, kept boolean, score double, size long, held boolean"
 VOCABULARY = [a + b for a in ("ka", "lo", "mi", "ne", "ru", "so", "ta") for b in ("ba", "de", "fi", "go", "hu", "x", "")]
@@ -244,6 +245,14 @@ def test_near_duplicates(docs, none, rows, k):
         assert minhash_dedup.near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_query_equals_its_sql(docs, spark, tmp_path):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    got = queries.QUERIES["op3_circulant_minhash"](spark, str(tmp_path)).select("doc_id", "n_shingles", "component_id", "kept")
+    assert by_id(got) == sorted(duck.execute(queries.ORACLE["op3_circulant_minhash"]).fetchall(), key=repr)
+
+
 def test_large_group_of_near_copies(spark):
     """A chain of near copies: neighbours are linked, the ends are not."""
     rng = random.Random(8)
