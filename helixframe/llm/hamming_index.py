@@ -86,31 +86,41 @@ def learn(x: np.ndarray, k: int, how: Training) -> Codes:
     return codes
 
 
-def search_group(members: tuple[np.ndarray, np.ndarray], queries: tuple[np.ndarray, np.ndarray, np.ndarray], codes: Codes, radius: int, j: int, k: int):
-    """(query, class, score) of the k best classes of a block that the index of substring j retrieves, by probing its posting lists.
+def words_of(code: np.ndarray) -> np.ndarray:
+    """Codes as 64-bit words, for counting differing bits eight substrings at a time."""
+    pad = -code.shape[1] % 8
+    return np.ascontiguousarray(np.pad(code, ((0, 0), (0, pad)))).view(np.uint64)
 
-    A pair that several indexes retrieve is reported by the first one only: the earliest substring within the reach.
+
+def search_group(members: tuple[np.ndarray, np.ndarray], queries: tuple[np.ndarray, np.ndarray, np.ndarray], codes: Codes, radius: int, k: int):
+    """(query, class, score) of the k best classes of a block that the indexes retrieve, by probing their posting lists.
+
+    Each substring's index marks what its near values hold; a class that several indexes retrieve is ranked once.
     """
     cids, x = members
     qids, own, qx = queries
     reach = radius // codes.substrings
     code, qcode = codes.of(x), codes.of(qx)
-    order = np.argsort(code[:, j], kind="stable")
-    cids, x, code = cids[order], x[order], code[order]
-    values, begin = np.unique(code[:, j], return_index=True)
-    ends = np.r_[begin[1:], len(code)]
+    whole, asked = words_of(code), words_of(qcode)
+    lists = []
+    for j in range(codes.substrings):
+        order = np.argsort(code[:, j], kind="stable")
+        values, begin = np.unique(code[order, j], return_index=True)
+        lists.append([(value, order[start:end]) for value, start, end in zip(values, begin, np.r_[begin[1:], len(order)], strict=True)])
     for start in range(0, len(qids), 128):
-        q, c = qx[start : start + 128], qcode[start : start + 128]
-        score = np.full((len(q), len(x)), -np.inf)
-        for value, a, b in zip(values, begin, ends, strict=True):
-            probing = np.flatnonzero(COUNT[c[:, j] ^ value] <= reach)
-            if not len(probing):
-                continue
-            hit = distances(c[probing], code[a:b]) <= radius
-            for i in range(j):
-                hit &= COUNT[c[probing, i, None] ^ code[None, a:b, i]] > reach
-            score[probing, a:b] = np.where(hit, q[probing] @ x[a:b].T, -np.inf)
-        score[own[start : start + 128, None] == cids[None, :]] = -np.inf  # a query's own class is added later
+        q, c, w = (v[start : start + 128] for v in (qx, qcode, asked))
+        hit = np.zeros((len(q), len(x)), bool)
+        for j, postings in enumerate(lists):
+            for value, held in postings:
+                probing = np.flatnonzero(COUNT[c[:, j] ^ value] <= reach)
+                if len(probing):
+                    hit[probing[:, None], held[None, :]] = True
+        differing = np.zeros(hit.shape, np.uint16)
+        for i in range(whole.shape[1]):
+            differing += np.bitwise_count(w[:, i, None] ^ whole[None, :, i])
+        hit &= differing <= radius
+        hit &= own[start : start + 128, None] != cids[None, :]  # a query's own class is added later
+        score = np.where(hit, q @ x.T, -np.inf)
         width = min(k, score.shape[1])
         best = np.argpartition(-score, width - 1, axis=1)[:, :width]
         row, col = np.nonzero(np.isfinite(np.take_along_axis(score, best, axis=1)))
@@ -157,7 +167,7 @@ class Index:
             wanted = theirs["query_id"].to_numpy(), theirs["own"].to_numpy(), np.array(theirs["v"].tolist(), float).reshape(len(theirs), -1)
             if not len(own) or not len(theirs):
                 return pd.DataFrame({"query_id": [], "cid": [], "score": []})
-            found = [f for j in range(codes.substrings) for f in search_group(members, wanted, codes, radius, j, k)]
+            found = list(search_group(members, wanted, codes, radius, k))
             hits = pd.DataFrame({name: np.concatenate([f[i] for f in found]) for i, name in enumerate(("query_id", "cid", "score"))})
             return hits.sort_values(["query_id", "score", "cid"], ascending=[True, False, True]).groupby("query_id").head(k)
 
