@@ -1,10 +1,14 @@
 """Registered queries against their SQL, on small tables that the given ones do not resemble."""
 
+import random
+
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from helixframe.operators import sequences
 
 
 def both(spark, folder, name: str, **tables: pa.Table) -> tuple[list[tuple], list[tuple]]:
@@ -41,3 +45,28 @@ def test_run_summary_of_contrasts_without_terms(spark, tmp_path):
     parts = pa.table({"p_partkey": pa.array(range(6), pa.int64()), "p_size": pa.array([1] * 6, pa.int64()), "p_type": ["PROMO"] * 6, "p_brand": ["a", "b"] * 3})
     mine, theirs = both(spark, tmp_path, "enrich_run_summary", part=parts, lineitem=order_lines(60, 6))
     assert mine == theirs and len(mine) == 2 and all(None in row for row in mine)
+
+
+def test_annotation_matches_of_repeats_and_long_stretches(spark, tmp_path):
+    """A line once or several times in many texts, whole copies, and stretches that end at either end of a text."""
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("aecgtns") for _ in range(n))
+    line, passage, base = word(75), word(400), word(900)
+    texts = [base, base[300:], base[:500] + word(60), passage + word(50), word(30) + passage, "x", ""]
+    for i in range(40):
+        texts.append(word(rng.randrange(200)) + (line + word(rng.randrange(9))) * (i % 12) + word(rng.randrange(200)) + rng.choice(["", passage[rng.randrange(200):], base[: rng.randrange(900)]]))
+    tables = {"documents": documents(texts, lang=[["en", "fr"][i % 5 == 4] for i in range(len(texts))], ids=[i * (20 if i % 3 == 0 else 1) + (i % 3 > 0) * 1000 for i in range(len(texts))])}
+    for name in ("sequence_annotation_matches", "sequence_segment_match_status"):
+        mine, theirs = both(spark, tmp_path, name, **tables)
+        assert mine == theirs and len(mine) > 20
+
+
+def test_a_common_line_needs_no_whole_comparison(spark, monkeypatch):
+    """Pairs that share one line only are told from the letters around it."""
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    line = word(80)
+    rows = [("r", i, word(300) + line + word(300) + (line if i % 4 == 0 else "") + word(90)) for i in range(30)]
+    monkeypatch.setattr(sequences, "longest_shared", lambda a, b, n: F.raise_error(F.lit("compared whole")).cast("bigint"))
+    out = sequences.annotation_matches(spark.createDataFrame(rows[:20], "record string, segment_id int, seq string"), spark.createDataFrame(rows[20:], "record string, feature_id int, seq string"), 60).collect()
+    assert len(out) == 200 and min(r["matched_bp"] for r in out) == 80
