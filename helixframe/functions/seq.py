@@ -241,10 +241,11 @@ def segment_overlap(a: Column, b: Column) -> Column:
 def coding_positions(segments: Column, strand: Column, codon_start: Column | int = 1) -> Column:
     """1-based genomic positions in transcription order, from the reading frame on.
 
-    Segments are half-open and listed in transcription order.
+    Segments are half-open and listed in transcription order; an empty one has no position.
     """
     def positions(s):
-        return F.when(strand < 0, F.sequence(s["end"], s["start"] + 1, F.lit(-1).cast("long"))).otherwise(F.sequence(s["start"] + 1, s["end"]))
+        held = F.when(strand < 0, F.sequence(s["end"], s["start"] + 1, F.lit(-1).cast("long"))).otherwise(F.sequence(s["start"] + 1, s["end"]))
+        return F.when(s["end"] <= s["start"], F.array().cast("array<bigint>")).otherwise(held)
 
     every = F.flatten(F.transform(segments, positions))
     start = codon_start.cast("int") if isinstance(codon_start, Column) else F.lit(codon_start)

@@ -70,3 +70,14 @@ def test_a_common_line_needs_no_whole_comparison(spark, monkeypatch):
     monkeypatch.setattr(sequences, "longest_shared", lambda a, b, n: F.raise_error(F.lit("compared whole")).cast("bigint"))
     out = sequences.annotation_matches(spark.createDataFrame(rows[:20], "record string, segment_id int, seq string"), spark.createDataFrame(rows[20:], "record string, feature_id int, seq string"), 60).collect()
     assert len(out) == 200 and min(r["matched_bp"] for r in out) == 80
+
+
+def test_findings_of_texts_without_letters(spark, tmp_path):
+    """A text that has no letter, on either strand, is a coding feature without bases."""
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("aecgtnsjb ") for _ in range(n))
+    texts = ["", "123", "4 5", ""] + [word(rng.randrange(90)) for _ in range(60)] + ["6"] * 12
+    mine, theirs = both(spark, tmp_path, "annot_cds_finding_counts", documents=documents(texts))
+    assert mine == theirs and len(mine) == 6
+    rows = entry.queries()["annot_cds_findings"](spark, str(tmp_path)).collect()
+    assert {r["record_id"] for r in rows if r["detail"] == "end="} >= {"1", "2", "3"}
