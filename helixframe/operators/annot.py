@@ -428,7 +428,7 @@ def agreement(gff: DataFrame, nucleotide: DataFrame, protein: DataFrame, genomes
     joined = joined.withColumn("_slice", F.when(F.col("strand") == "-", sq.reverse_complement(piece)).otherwise(piece))
     plain = lambda c: F.translate(F.upper(c), "U", "T")
     problems = flags(
-        (F.col("_g").isNull(), "foreign_record"), ((F.col("start") < 1) | (F.col("end") < F.col("start")) | (F.col("end") > F.col("_g")), "outside_genome"),
+        (F.col("_g").isNull(), "foreign_record"), (F.col("_g").isNotNull() & ((F.col("start") < 1) | (F.col("end") < F.col("start")) | (F.col("end") > F.col("_g"))), "outside_genome"),
         (~F.col("strand").isin("+", "-"), "bad_strand"), (F.col("_ns").isNotNull() & ((F.col("_ns") != F.col("start")) | (F.col("_ne") != F.col("end")) | (F.col("_nd") != F.col("strand"))), "place_conflict"),
         (F.col("_nseq") == "", "empty_sequence"), ((F.col("_nseq") != "") & (plain(F.col("_nseq")) != plain(F.col("_slice"))), "sequence_conflict"),
         (F.col("_ps").isNotNull() & ((F.col("_ps") != F.col("start")) | (F.col("_pe") != F.col("end")) | (F.col("_pd") != F.col("strand"))), "protein_place_conflict"),

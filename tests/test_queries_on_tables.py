@@ -81,3 +81,12 @@ def test_findings_of_texts_without_letters(spark, tmp_path):
     assert mine == theirs and len(mine) == 6
     rows = entry.queries()["annot_cds_findings"](spark, str(tmp_path)).collect()
     assert {r["record_id"] for r in rows if r["detail"] == "end="} >= {"1", "2", "3"}
+
+
+def test_source_agreement_of_texts_without_letters(spark, tmp_path):
+    """A feature of a record that has no genome is foreign, whatever its place."""
+    texts = ["", "123", "a tree", "a", "the stone is in the ground"] * 24
+    n = len(texts)
+    lang, source = [["en", "de", "fr", "es"][i // 5 % 4] for i in range(n)], [["src11", "src5", "src1"][i % 3] for i in range(n)]
+    mine, theirs = both(spark, tmp_path, "annot_source_agreement", documents=documents(texts, lang, source))
+    assert mine == theirs and len(mine) == n
