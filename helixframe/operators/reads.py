@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from helixframe.functions import text as tx
 from helixframe.functions.rules import flags
-from helixframe.session import global_rank
+from helixframe.functions.windows import agreed_letters
+from helixframe.session import cut_lineage, global_rank
 
 
 def pair_mates(r1: DataFrame, r2: DataFrame) -> DataFrame:
@@ -120,15 +121,20 @@ def read_count_status(summary: DataFrame, expected: DataFrame, keys: list[str])
 # -- consensus -------------------------------------------------------------------------------------
 
 
+PIECE = 1_000
+
+
 def consensus_columns(rows: DataFrame, min_templates: int = 5, fraction: float = 0.9) -> DataFrame:
     """Called base per alignment column from (alignment, template, seq); mates that disagree count for nothing.
 
-    Letters become rows inside the map tasks and are merged there per (column, template) before anything is
-    shuffled; a column shared by most templates only receives counts.
+    The rows of a template meet in pieces of `PIECE` letters and are merged there; the letters left become rows inside the tasks and
+    are counted there, so what is shuffled is a letter a base and then counts, not a row a base.
     """
-    letters = rows.select("alignment", "template", F.posexplode(F.split(F.upper("seq"), "")).alias("site", "base"))
-    calls = letters.where(F.col("base").isin("A", "C", "G", "T")).groupBy("alignment", "site", "template").agg(F.min("base").alias("base"), F.max("base").alias("_other"))
-    agreed = calls.where(F.col("base") == F.col("_other"))
+    pieces = F.regexp_extract_all(F.upper("seq"), F.lit("([\\s\\S]{1,%d})" % PIECE), F.lit(1))
+    cut = rows.select("alignment", "template", F.posexplode(pieces).alias("_piece", "_letters"))
+    merged = cut.groupBy("alignment", "template", "_piece").agg(agreed_letters(F.collect_list("_letters")).alias("_letters"))
+    letters = merged.select("alignment", "_piece", F.posexplode(F.split("_letters", "")).alias("_at", "base"))
+    agreed = letters.where(F.col("base").isin("A", "C", "G", "T")).select("alignment", (F.col("_piece") * PIECE + F.col("_at")).alias("site"), "base")
     counts = agreed.groupBy("alignment", "site").agg(*[F.count_if(F.col("base") == b).alias(b) for b in "ACGT"])
     # Equal counts are decided in favour of the first base in the alphabet.
     ranked = F.array_sort(F.array(*[F.struct((-F.col(b)).alias("n"), F.lit(b).alias("base")) for b in "ACGT"]))
@@ -143,7 +149,7 @@ def consensus_segments(rows: DataFrame, min_length: int = 300, min_templates: in
 
     The collected consensus of an alignment is as long as one of its rows, not as their sum.
     """
-    columns = consensus_columns(rows, min_templates, fraction)
+    columns = cut_lineage(consensus_columns(rows, min_templates, fraction))
     mixed = columns.groupBy("alignment").agg(F.count_if("mixed").alias("mixed_columns"))
     clean = columns.where(F.col("call") != "N").join(mixed.where("mixed_columns = 0"), "alignment", "left_semi")
     placed = F.array_sort(F.collect_list(F.struct("site", "call")))

@@ -2,7 +2,7 @@
 
 import random
 
-from helixframe.operators import sequences as se
+from helixframe.operators import reads as rd, sequences as se
 
 
 def stages(spark):
@@ -50,3 +50,31 @@ def test_end_overlaps_of_a_case_in_parts(spark, monkeypatch):
                         if best:
                             expected.add((c, i, sa, j, sb, best))
     assert {tuple(r) for r in rows} == expected and len(rows) == len(expected) > 20
+
+
+def test_consensus_columns_shuffle_letters_not_rows(spark):
+    rng = random.Random(5)
+    rows = [("a", f"t{i}", "".join(rng.choices("ACGT", k=3_000))) for i in range(200)]
+    out, moved = shuffled(spark, rd.consensus_columns(spark.createDataFrame(rows, "alignment string, template string, seq string")))
+    assert len(out) == 3_000 and {r["depth"] for r in out} == {200}
+    assert 0 < moved < 4 * 200 * 3_000
+
+
+def test_consensus_columns_of_mates_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(rd, "PIECE", 7, raising=False)
+    rng = random.Random(6)
+    rows = [(rng.choice("ab"), f"t{rng.randrange(30)}", "".join(rng.choices("ACGTacgN-", [9, 1, 1, 1, 3, 1, 1, 1, 1], k=rng.randrange(40)))) for _ in range(90)]
+    rows += [("a", "t1", None), ("b", "t2", ""), ("c", "t1", "-" * 30)]
+    held: dict = {}
+    for a, t, seq in rows:
+        for i, base in enumerate((seq or "").upper()):
+            if base in "ACGT":
+                held.setdefault((a, i), {}).setdefault(t, set()).add(base)
+    expected = {}
+    for key, templates in held.items():
+        calls = [next(iter(b)) for b in templates.values() if len(b) == 1]
+        if calls:
+            (n, first), (m, _) = sorted(((-calls.count(b), b) for b in "ACGT"))[:2]
+            expected[key] = (len(calls), first if len(calls) >= 5 and -n / len(calls) >= 0.9 else "N", -m >= 3 and -m / len(calls) >= 0.2)
+    out = rd.consensus_columns(spark.createDataFrame(rows, "alignment string, template string, seq string")).collect()
+    assert {(r["alignment"], r["site"]): (r["depth"], r["call"], r["mixed"]) for r in out} == expected and len(out) == len(expected) > 60
