@@ -98,8 +98,8 @@ def windows(t):
       CASE WHEN count_if(low) > 0 OR any_value(zero_bases) > 0 THEN 'REVIEW' ELSE 'NO_COVERAGE_WARNING' END AS status FROM lw JOIN tot USING (rname) GROUP BY rname""",
 )
 def status(t):
-    depths, refs = al.depth(reads(t)), t.sql(REFS)
-    out = al.coverage_status(al.coverage_windows(depths, refs, min_depth=MIN_DEPTH), al.coverage_totals(depths, refs))
+    tally, refs = al.window_tally(al.depth(reads(t))), t.sql(REFS)
+    out = al.coverage_status(al.tally_windows(tally, refs, min_depth=MIN_DEPTH), al.tally_totals(tally, refs))
     return out.withColumn("global_mean", F.round("global_mean", 9))
 
 

@@ -2,7 +2,7 @@
 
 import random
 
-from helixframe.operators import reads as rd, sequences as se
+from helixframe.operators import align as al, reads as rd, sequences as se
 
 
 def stages(spark):
@@ -14,11 +14,11 @@ def stages(spark):
 
 
 def shuffled(spark, df) -> tuple[list, int]:
-    """Rows of `df` and the bytes shuffled for them; small tables are shuffled as large ones are."""
+    """Rows of `df` (or of what it makes, if it is a function) and the bytes shuffled for them; small tables are shuffled as large ones are."""
     before = stages(spark)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        rows = df.collect()
+        rows = (df() if callable(df) else df).collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     return rows, sum(n for k, n in stages(spark).items() if k not in before)
@@ -78,3 +78,14 @@ def test_consensus_columns_of_mates_in_pieces(spark, monkeypatch):
             expected[key] = (len(calls), first if len(calls) >= 5 and -n / len(calls) >= 0.9 else "N", -m >= 3 and -m / len(calls) >= 0.2)
     out = rd.consensus_columns(spark.createDataFrame(rows, "alignment string, template string, seq string")).collect()
     assert {(r["alignment"], r["site"]): (r["depth"], r["call"], r["mixed"]) for r in out} == expected and len(out) == len(expected) > 60
+
+
+def test_coverage_windows_take_the_depth_once(spark):
+    rng = random.Random(8)
+    rows = [("s", f"q{i}", 0, "r", rng.randrange(1, 40_000), 60, "50M", "=", 1, "A" * 50, "I" * 50, None) for i in range(4_000)]
+    reads = spark.createDataFrame(rows, "sample string, qname string, flag int, rname string, pos long, mapq int, cigar string, rnext string, pnext long, seq string, qual string, rg string")
+    refs = spark.createDataFrame([("s", "r", 40_100)], "sample string, rname string, length long")
+    depths, once = shuffled(spark, al.depth(reads))
+    windows, moved = shuffled(spark, lambda: al.coverage_windows(al.depth(reads), refs))
+    assert moved < 1.4 * once and len(windows) == 81
+    assert round(sum(w["mean"] * (w["end"] - w["start"] + 1) for w in windows)) == sum(d["depth"] for d in depths) == 200_000
