@@ -62,15 +62,17 @@ def gene_set_findings(features: DataFrame, level: str = "ERROR") -> DataFrame:
     tally = cut_lineage(rows.groupBy("record_id", "kind", "name", "gene").agg(F.count("*").alias("n")))
     counts = tally.where(F.col("gene").isNotNull()).groupBy("record_id", "kind", "gene").agg(F.sum("n").alias("n"))
     expected = [(k, g) for k, genes in (("CDS", nm.EXPECTED_CDS), ("tRNA", nm.EXPECTED_TRNA), ("rRNA", nm.EXPECTED_RRNA)) for g in genes]
-    known = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(g).alias("gene")) for k, g in expected]))
-    wanted = tally.select("record_id").distinct().select("record_id", known.alias("e")).select("record_id", "e.kind", "e.gene")
-    missing = wanted.join(counts, ["record_id", "kind", "gene"], "left_anti")
     bare = tally.where((F.col("kind") == "tRNA") & F.col("gene").isNull() & F.col("name").isin(*nm.AMBIGUOUS_TRNA)).select("record_id", "name", "n")
-    covers = F.create_map(*[x for k, v in nm.AMBIGUOUS_TRNA.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
-    open_trna = bare.select("record_id", F.lit("tRNA").alias("kind"), F.explode(F.element_at(covers, F.col("name"))).alias("gene"))
     loose = counts.where((F.col("kind") == "rRNA") & (F.col("gene") == "rrna"))
-    open_rrna = loose.select("record_id", "kind", F.explode(F.array(*map(F.lit, nm.EXPECTED_RRNA))).alias("gene"))
-    missing = missing.join(open_trna.unionByName(open_rrna), ["record_id", "kind", "gene"], "left_anti")
+    # What a record has of the expected genes, and could have, is at most as long as their list: no record meets the list by a join.
+    places = F.array(*[F.lit(f"{k}:{g}") for k, g in expected])
+    own = F.concat_ws(":", "kind", "gene")
+    could = F.when((F.col("kind") == "tRNA") & F.col("gene").isNull(), F.coalesce(*[F.when(F.col("name") == k, F.array(*[F.lit(f"tRNA:{g}") for g in v])) for k, v in nm.AMBIGUOUS_TRNA.items()]))
+    could = could.when((F.col("kind") == "rRNA") & (F.col("gene") == "rrna"), F.array(*[F.lit(f"rRNA:{g}") for g in nm.EXPECTED_RRNA]))
+    held = F.when(F.col("gene").isNotNull() & F.array_contains(places, own), F.array(own)).otherwise(could)
+    sets = tally.groupBy("record_id").agg(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("record_id").isNotNull(), held)))).alias("_held"))
+    missing = sets.select("record_id", F.explode(F.array_except(places, F.col("_held"))).alias("_place"))
+    missing = missing.select("record_id", F.substring_index("_place", ":", 1).alias("kind"), F.substring_index("_place", ":", -1).alias("gene"))
     is_expected = reduce(lambda a, b: a | b, [(F.col("kind") == k) & F.col("gene").isin(*g) for k, g in (("CDS", nm.EXPECTED_CDS), ("tRNA", nm.EXPECTED_TRNA), ("rRNA", nm.EXPECTED_RRNA))])
     extra = counts.where(~is_expected & ~((F.col("kind") == "rRNA") & (F.col("gene") == "rrna")))
     repeated = counts.where(F.col("n") > 1)

@@ -2,7 +2,8 @@
 
 import random
 
-from helixframe.operators import align as al, reads as rd, sequences as se
+from helixframe.functions import names as nm
+from helixframe.operators import align as al, annot as an, reads as rd, sequences as se
 
 
 def stages(spark):
@@ -89,3 +90,13 @@ def test_coverage_windows_take_the_depth_once(spark):
     windows, moved = shuffled(spark, lambda: al.coverage_windows(al.depth(reads), refs))
     assert moved < 1.4 * once and len(windows) == 81
     assert round(sum(w["mean"] * (w["end"] - w["start"] + 1) for w in windows)) == sum(d["depth"] for d in depths) == 200_000
+
+
+def test_missing_genes_need_no_row_a_gene_in_the_shuffle(spark):
+    rows = [(f"r{i}", i, *[("tRNA", "trnl", None), ("rRNA", "rrna", "rrna"), ("CDS", "nd1", "nd1")][i % 3]) for i in range(6_000)]
+    frame = spark.createDataFrame(rows, "record_id string, feature_id long, type string, name string, identity string")
+    out, moved = shuffled(spark, lambda: an.gene_set_findings(frame).where("code = 'MISSING_GENE'"))
+    every = len(nm.EXPECTED_CDS) + len(nm.EXPECTED_TRNA) + len(nm.EXPECTED_RRNA)
+    assert len(out) == 2_000 * (3 * every - 5)
+    assert not {(r["record_id"], r["detail"]) for r in out} & {("r0", "tRNA:trnl1"), ("r0", "tRNA:trnl2"), ("r1", "rRNA:rrnl"), ("r1", "rRNA:rrns"), ("r2", "CDS:nd1")}
+    assert moved < 100 * len(rows), moved
