@@ -161,46 +161,56 @@ def follow_links(hsps: DataFrame) -> DataFrame:
     # The target axis runs backwards on the minus strand.
     nodes = hsps.select(
         *GROUP, *SPOT, gap.alias("gap"), F.when(plus, F.col("start")).otherwise(-F.col("end")).alias("_from"), F.when(plus, F.col("end")).otherwise(-F.col("start")).alias("_to")
-    ).withColumn("node", F.concat_ws(":", *GROUP, *[F.col(c).cast("string") for c in SPOT]))
+    )
     bins = lambda c: F.sequence(F.floor((F.col(c) + 1) / step), F.floor((F.col(c) + 1 + F.col("gap")) / step))
-    left = nodes.select(*GROUP, F.col("node").alias("node_a"), F.col("qend").alias("_qa"), F.col("_to").alias("_ta"), "gap", F.explode(bins("qend")).alias("_qb"), bins("_to").alias("_tbs"))
+    left = nodes.select(*GROUP, *[F.col(c).alias(f"_a_{c}") for c in SPOT], F.col("_to").alias("_ta"), "gap", F.explode(bins("qend")).alias("_qb"), bins("_to").alias("_tbs"))
     left = left.withColumn("_tb", F.explode("_tbs")).drop("_tbs")
-    right = nodes.select(*GROUP, F.col("node").alias("node_b"), F.col("qstart").alias("_qs"), F.col("_from").alias("_ts"), F.floor(F.col("qstart") / step).alias("_qb"), F.floor(F.col("_from") / step).alias("_tb"))
+    right = nodes.select(*GROUP, *[F.col(c).alias(f"_b_{c}") for c in SPOT], F.col("_from").alias("_ts"), F.floor(F.col("qstart") / step).alias("_qb"), F.floor(F.col("_from") / step).alias("_tb"))
     pairs = left.join(right, [*GROUP, "_qb", "_tb"])
-    qgap, tgap = F.col("_qs") - F.col("_qa") - 1, F.col("_ts") - F.col("_ta") - 1
+    qgap, tgap = F.col("_b_qstart") - F.col("_a_qend") - 1, F.col("_ts") - F.col("_ta") - 1
     fits = qgap.between(0, F.col("gap")) & tgap.between(0, F.col("gap")) & (F.abs(qgap - tgap) <= F.col("gap"))
-    return pairs.where(fits).select(*GROUP, "node_a", "node_b")
+    return pairs.where(fits).select(*GROUP, *[F.struct(*[F.col(f"_{side}_{c}").alias(c) for c in SPOT]).alias(f"node_{side}") for side in "ab"])
+
+
+def linked_roots(links: DataFrame) -> DataFrame:
+    """The first HSP of the chain (root) of every linked HSP, of links where no HSP has two neighbours on a side.
+
+    Found by pointer jumping: every round doubles the distance looked back, so the number of joins grows with the
+    logarithm of the longest chain.  Only HSPs with a neighbour take part.
+    """
+    followers = links.select(*GROUP, F.col("node_b").alias("node"), F.col("node_a").alias("root"))
+    heads = links.select(*GROUP, F.col("node_a").alias("node")).join(followers.select(*GROUP, "node"), [*GROUP, "node"], "left_anti")
+    pointers = cut_lineage(followers.unionByName(heads.withColumn("root", F.col("node"))))
+    while True:
+        hop = pointers.select(*GROUP, F.col("node").alias("root"), F.col("root").alias("_next"))
+        moved = cut_lineage(pointers.join(hop, [*GROUP, "root"]).select(*GROUP, "node", F.col("_next").alias("root"), (F.col("_next") != F.col("root")).alias("_moved")))
+        pointers = moved.select(*GROUP, "node", "root")
+        if not moved.where("_moved").limit(1).count():
+            return pointers.select(*GROUP, *[F.col(f"node.{c}").alias(c) for c in SPOT], "root")
 
 
 def locus_chains(hsps: DataFrame) -> DataFrame:
     """Chains of mutually unique neighbours; a group with any branch keeps its HSPs apart, marked ambiguous.
 
-    The first HSP of each chain is found by pointer jumping: every round doubles the distance looked back,
-    so the number of joins grows with the logarithm of the longest chain.
+    An HSP without a neighbour, or in a group with a branch, is a chain by itself and is not shuffled to be one.
     """
-    unique = cut_lineage(distinct_hsps(hsps).withColumn("node", F.concat_ws(":", *GROUP, *[F.col(c).cast("string") for c in SPOT])))
+    unique = cut_lineage(distinct_hsps(hsps))
     links = cut_lineage(follow_links(unique))
     many = lambda side: links.groupBy(*GROUP, side).agg(F.count("*").alias("_n")).where(F.col("_n") > 1).select(*GROUP)
     branched = many("node_a").union(many("node_b")).distinct()
-    clean = links.join(branched, GROUP, "left_anti")
-    pointers = cut_lineage(
-        unique.select("node").join(clean.select(F.col("node_b").alias("node"), F.col("node_a").alias("root")), "node", "left")
-        .select("node", F.coalesce("root", "node").alias("root"))
-    )
-    while True:
-        hop = pointers.select(F.col("node").alias("root"), F.col("root").alias("_next"))
-        moved = cut_lineage(pointers.join(hop, "root").select("node", F.col("_next").alias("root"), (F.col("_next") != F.col("root")).alias("_moved")))
-        pointers = moved.select("node", "root")
-        if not moved.where("_moved").limit(1).count():
-            break
-    marks = unique.join(branched.withColumn("_b", F.lit(True)), GROUP, "left").join(pointers, "node")
-    chains = marks.groupBy(*GROUP, "root").agg(
-        F.coalesce(F.bool_or("_b"), F.lit(False)).alias("ambiguous_chain"), F.count("*").alias("hsps"), F.max("query_len").alias("query_len"),
+    roots = linked_roots(links.join(branched, GROUP, "left_anti"))
+    chained = unique.join(roots, [*GROUP, *SPOT]).groupBy(*GROUP, "root").agg(
+        F.lit(False).alias("ambiguous_chain"), F.count("*").alias("hsps"), F.max("query_len").alias("query_len"),
         F.sum(F.col("qend") - F.col("qstart") + 1).alias("aln_len"), F.sum("aln_len").alias("alignment_columns"),
         (F.sum(F.col("identity") * F.col("aln_len")) / F.sum("aln_len")).alias("identity"), F.max("evalue").alias("evalue"),
         F.min("qstart").alias("qstart"), F.max("qend").alias("qend"), F.min("start").alias("start"), F.max("end").alias("end"),
     )
-    return chains.drop("root")
+    alone = unique.join(roots, [*GROUP, *SPOT], "left_anti").join(branched.withColumn("_b", F.lit(True)), GROUP, "left").select(
+        *GROUP, F.coalesce("_b", F.lit(False)).alias("ambiguous_chain"), F.lit(1).cast("long").alias("hsps"), "query_len",
+        (F.col("qend") - F.col("qstart") + 1).alias("aln_len"), F.col("aln_len").alias("alignment_columns"),
+        (F.col("identity") * F.col("aln_len") / F.col("aln_len")).alias("identity"), "evalue", "qstart", "qend", "start", "end",
+    )
+    return chained.drop("root").unionByName(alone)
 
 
 def gene_hits(chains: DataFrame, genes: DataFrame, min_identity: float = 80.0, min_coverage: float = 0.8) -> DataFrame:

@@ -3,7 +3,7 @@
 import random
 
 from helixframe.functions import names as nm
-from helixframe.operators import align as al, annot as an, reads as rd, sequences as se
+from helixframe.operators import align as al, annot as an, hsp as hs, reads as rd, sequences as se
 
 
 def stages(spark):
@@ -100,3 +100,21 @@ def test_missing_genes_need_no_row_a_gene_in_the_shuffle(spark):
     assert len(out) == 2_000 * (3 * every - 5)
     assert not {(r["record_id"], r["detail"]) for r in out} & {("r0", "tRNA:trnl1"), ("r0", "tRNA:trnl2"), ("r1", "rRNA:rrnl"), ("r1", "rRNA:rrns"), ("r2", "CDS:nd1")}
     assert moved < 100 * len(rows), moved
+
+
+HSP = "gene string, target string, strand string, qstart long, qend long, start long, end long, identity double, evalue double, aln_len long, query_len long"
+
+
+def test_chains_shuffle_few_bytes_for_hsps_without_neighbours(spark):
+    rng = random.Random(6)
+    rows = [(f"gene{rng.random()}", f"target{rng.random()}", "+", 1, 20, i * 1000, i * 1000 + 19, 90.0, 0.0, 20, 50) for i in range(20_000)]
+    out, moved = shuffled(spark, lambda: hs.locus_chains(spark.createDataFrame(rows, HSP)))
+    assert len(out) == len(rows) and {r["hsps"] for r in out} == {1}
+    assert 0 < moved < 600 * len(rows)
+
+
+def test_chains_of_names_with_colons_stay_apart(spark):
+    spots = [(1, 20, 1, 20, 90.0, 0.0, 20, 50), (31, 50, 31, 50, 90.0, 0.0, 20, 50)]
+    rows = [(*names, "+", *s) for names in (("a:b", "c"), ("a", "b:c")) for s in spots]
+    out = hs.locus_chains(spark.createDataFrame(rows, HSP)).collect()
+    assert sorted((r["gene"], r["target"], r["hsps"], r["qstart"], r["qend"]) for r in out) == [("a", "b:c", 2, 1, 50), ("a:b", "c", 2, 1, 50)]
