@@ -5,6 +5,7 @@ import math
 import random
 import re
 import textwrap
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -440,6 +441,29 @@ def test_pitman_yor(docs, none, rows):
     assert pitman_yor.score_texts(none).count() == 0
 
 
+def test_pitman_yor_counts_and_scores_in_slices(docs, monkeypatch):
+    settings = pitman_yor.Settings(frequent=0.02, block_tokens=700)
+    whole = sorted(pitman_yor.score_texts(docs, settings=settings).collect(), key=str)
+    monkeypatch.setattr(pitman_yor, "SLICE", 7)
+    assert sorted(pitman_yor.score_texts(docs, settings=settings).collect(), key=str) == whole
+
+
+def test_pitman_yor_counts_pairs_in_little_memory():
+    rng = np.random.default_rng(1)
+    classes, lengths = rng.integers(0, 40_000, 2_000_000).astype(np.int32), np.full(2_000, 1_000)
+    tracemalloc.start()
+    try:
+        key, n = pitman_yor.counted_keys(pitman_yor.pair_keys(classes, lengths, 1, 40_001), np.repeat(np.arange(2_000) % 10 > 0, lengths))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 6 * 8 * len(classes)
+    before = np.r_[1, classes[:-1]].astype(np.int64)
+    before[::1_000] = 1
+    expected, inverse = np.unique(before * 40_001 + classes, return_inverse=True)
+    assert (key == expected).all() and (n == np.bincount(inverse, np.repeat(np.arange(2_000) % 10 > 0, lengths))).all()
+
+
 def test_pitman_yor_probabilities_sum_to_one(docs):
     model = pitman_yor.LanguageModel(docs, settings=pitman_yor.Settings(frequent=0.02))
     m, pairs = model.model, model.pairs.toPandas()
