@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from helixframe.functions import text as tx
 from helixframe.functions.rules import flags, none
 from helixframe.functions.text import strip
-from helixframe.session import global_rank
+from helixframe.session import global_rank, spread
 
 
 def violation(df: DataFrame, entity: str, rule: str, id_col: str = "id") -> DataFrame:
@@ -29,9 +29,12 @@ def repeated_ids(df: DataFrame, entity: str) -> DataFrame:
 
 
 def least_rows(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row for each key, the least by its other columns in their order: repeated ids give the same verdict in every run."""
+    """One row for each key, the least by its other columns in their order: repeated ids give the same verdict in every run.
+
+    Dealt over a number of tasks that grows with the rows, which joins by the same keys keep.
+    """
     rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_least")).select(*keys, *[F.col(f"_least.{c}").alias(c) for c in rest])
+    return spread(df, keys, df.count()).groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_least")).select(*keys, *[F.col(f"_least.{c}").alias(c) for c in rest])
 
 
 def union(parts: list[DataFrame]) -> DataFrame:
@@ -102,9 +105,15 @@ def candidate_status(results: str = "result") -> Column:
 
 
 def candidate_states(candidates: DataFrame, checks: DataFrame) -> DataFrame:
-    """Status of every candidate from its registered checks."""
-    joined = candidates.select("case_id", F.col("id").alias("candidate_id")).join(checks.select("case_id", "candidate_id", "result"), ["case_id", "candidate_id"], "left")
-    return joined.groupBy("case_id", "candidate_id").agg(candidate_status().alias("status"), F.count("result").alias("checks"))
+    """Status of every candidate from its registered checks; a candidate that is listed twice has one row.
+
+    Candidates and checks meet in one grouping over a number of tasks that grows with them, not in a join.
+    """
+    keys = ["case_id", "candidate_id"]
+    known = candidates.select("case_id", F.col("id").alias("candidate_id"), F.lit(None).cast("string").alias("result"), F.lit(True).alias("_known"))
+    rows = known.unionByName(checks.where(F.col("case_id").isNotNull() & F.col("candidate_id").isNotNull()).select(*keys, "result", F.lit(False).alias("_known")))
+    states = spread(rows, keys, candidates.count() + checks.count()).groupBy(*keys).agg(candidate_status().alias("status"), F.count("result").alias("checks"), F.bool_or("_known").alias("_known"))
+    return states.where("_known").drop("_known")
 
 
 def candidate_violations(candidates: DataFrame, checks: DataFrame, events: DataFrame, inputs: DataFrame) -> DataFrame:

@@ -78,7 +78,7 @@ CANDS = """SELECT DISTINCT l_orderkey AS case_id, 'K' || CAST(l_suppkey AS STRIN
     FROM ({CANDS}) k LEFT JOIN ({CHECKS}) c ON c.case_id = k.case_id AND c.candidate_id = k.id GROUP BY ALL""",
 )
 def candidate_states(t):
-    return lg.candidate_states(t.sql(CANDS), t.sql(CHECKS))
+    return lg.candidate_states(t.sql(CANDS.replace("DISTINCT ", "")), t.sql(CHECKS))  # the operator lists each once
 
 
 CANDIDATES = """SELECT o_orderkey AS case_id, 'K1' AS id, CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'annotation' ELSE 'sequence' END AS change_type, 'I1' AS base_input_id, 'I2' AS candidate_input_id, CASE WHEN o_orderstatus = 'P' THEN 'E7' ELSE 'E1' END AS producer_event_id, 'A1' AS artifact_id,

@@ -2,8 +2,11 @@
 
 import random
 
+from pyspark.sql import functions as F
+
+from helixframe import session
 from helixframe.functions import names as nm
-from helixframe.operators import align as al, annot as an, hsp as hs, reads as rd, sequences as se
+from helixframe.operators import align as al, annot as an, hsp as hs, ledger as lg, reads as rd, sequences as se
 
 
 def stages(spark):
@@ -118,3 +121,21 @@ def test_chains_of_names_with_colons_stay_apart(spark):
     rows = [(*names, "+", *s) for names in (("a:b", "c"), ("a", "b:c")) for s in spots]
     out = hs.locus_chains(spark.createDataFrame(rows, HSP)).collect()
     assert sorted((r["gene"], r["target"], r["hsps"], r["qstart"], r["qend"]) for r in out) == [("a", "b:c", 2, 1, 50), ("a:b", "c", 2, 1, 50)]
+
+
+def test_candidate_states_count_checks_once(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_A_TASK", 5, raising=False)
+    cands = spark.createDataFrame([(i, "K") for i in range(100)] + [(1, "K"), (2, None), (None, "K")], "case_id long, id string")
+    checks = [(i, "K", "pass" if i % 3 else "fail") for i in range(110)] + [(3, "K", "pass"), (2, None, "pass"), (None, "K", "fail")]
+    out = lg.candidate_states(cands, spark.createDataFrame(checks, "case_id long, candidate_id string, result string"))
+    tasks = out.select(F.spark_partition_id()).distinct().count()
+    expected = [(i, "K", "inconclusive" if i == 3 else "verified" if i % 3 else "rejected", 2 if i == 3 else 1) for i in range(100)] + [(2, None, "proposed", 0), (None, "K", "proposed", 0)]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(expected, key=repr)
+    assert tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_least_rows_in_tasks_that_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_A_TASK", 5, raising=False)
+    out = lg.least_rows(spark.createDataFrame([(i, f"e{i % 3}") for i in range(200)] * 2, "case_id long, v string"), ["case_id"])
+    assert out.count() == 200
+    assert out.select(F.spark_partition_id()).distinct().count() > int(spark.conf.get("spark.sql.shuffle.partitions"))
