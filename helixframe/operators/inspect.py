@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from helixframe.functions import rules, text as tx
 from helixframe.operators import discover as di
+from helixframe.session import spread
 
 # Accession levels of an archive record.
+RECORDS_A_TASK = 50_000  # their lists are held while a request is summed up
 LEVELS = ("accession", "study_accession", "experiment_accession", "sample_accession")
 
 
@@ -95,9 +97,10 @@ def project_inspection(requests: DataFrame, records: DataFrame, studies: DataFra
 
     records: hits (requested, record_ord, accession, title, summary, organism, linked_sra, linked_biosamples); those of the requested
     accession count where there are any.  A project without links takes accessions of all levels, biosamples and
-    organisms from the archive records (studies) that name it, counted in `backfilled`.
+    organisms from the archive records (studies) that name it, counted in `backfilled`.  Records are dealt by request over a
+    number of tasks that grows with them; records that name no project, often the most, are not moved.
     """
-    hits = records.join(requests.select("requested", "goal"), "requested").withColumn("_exact", F.upper(tx.clean(F.col("accession"))) == F.upper(tx.clean(F.col("requested"))))
+    hits = spread(records, ["requested"], records.count(), RECORDS_A_TASK).join(requests.select("requested", "goal"), "requested").withColumn("_exact", F.upper(tx.clean(F.col("accession"))) == F.upper(tx.clean(F.col("requested"))))
     exact = hits.groupBy("requested").agg(F.max(F.coalesce("_exact", F.lit(False))).alias("_any"))
     kept = hits.join(exact, "requested").where(~F.col("_any") | F.col("_exact"))
     tissue = rules.title_tissue(F.col("title"), F.col("summary"))
@@ -106,7 +109,8 @@ def project_inspection(requests: DataFrame, records: DataFrame, studies: DataFra
         in_order(tissue).alias("tissues"), lists_in_order(F.col("linked_sra")).alias("own_sra"), lists_in_order(F.col("linked_biosamples")).alias("own_biosamples"),
     )
     bare = stats.where(F.size("own_sra") == 0).select("requested")
-    filled = studies.withColumnRenamed("bioproject", "requested").join(bare, "requested", "left_semi").groupBy("requested").agg(
+    naming = studies.where(F.col("bioproject") != "").withColumnRenamed("bioproject", "requested")
+    filled = spread(naming, ["requested"], naming.count(), RECORDS_A_TASK).join(bare, "requested", "left_semi").groupBy("requested").agg(
         F.count("*").alias("backfilled"), *[in_order(F.col(c)).alias(f"_{c}") for c in LEVELS], lists_in_order(F.col("run_accessions")).alias("_runs"),
         in_order(F.col("biosample")).alias("_biosamples"), in_order(F.col("organism")).alias("_organisms"),
     )

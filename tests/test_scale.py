@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from helixframe import session
 from helixframe.functions import names as nm
-from helixframe.operators import align as al, annot as an, hsp as hs, ledger as lg, reads as rd, sequences as se
+from helixframe.operators import align as al, annot as an, hsp as hs, inspect as ins, ledger as lg, reads as rd, sequences as se
+from helixframe.queries import load
 
 
 def stages(spark):
@@ -139,3 +140,19 @@ def test_least_rows_in_tasks_that_grow_with_the_rows(spark, monkeypatch):
     out = lg.least_rows(spark.createDataFrame([(i, f"e{i % 3}") for i in range(200)] * 2, "case_id long, v string"), ["case_id"])
     assert out.count() == 200
     assert out.select(F.spark_partition_id()).distinct().count() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_project_inspection_moves_no_record_that_names_no_project(spark):
+    rng = random.Random(8)
+    requests = spark.createDataFrame([(f"P{i}", "general") for i in range(5)], "requested string, goal string")
+    hits = spark.createDataFrame([(f"P{i}", i, f"P{i}", "t", "s", "o", [], []) for i in range(5)], "requested string, record_ord long, accession string, title string, summary string, organism string, linked_sra array<string>, linked_biosamples array<string>")
+    rows = [(i, f"SRX{rng.random()}", "", "", "", [f"SRR{rng.random()}"], f"SAMN{rng.random()}", "o", "P1" if i < 3 else "") for i in range(20_000)]
+    studies = spark.createDataFrame(rows, "record_ord long, accession string, study_accession string, experiment_accession string, sample_accession string, run_accessions array<string>, biosample string, organism string, bioproject string")
+    out, moved = shuffled(spark, lambda: ins.project_inspection(requests, hits, studies))
+    assert {(r["requested"], r["backfilled"], len(r["linked_biosamples"])) for r in out} == {(f"P{i}", 3 if i == 1 else 0, 3 if i == 1 else 0) for i in range(5)}
+    assert 0 < moved < 20 * len(rows)
+
+
+def test_study_fit_moves_a_row_once(spark):
+    plan = load().QUERIES["discover_study_fit"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "Expand" not in plan
