@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from helixframe.functions import seq as sq, text as tx
 from helixframe.functions.rules import flags, none
 from helixframe.operators.tiles import tiles
+from helixframe.session import cut_lineage
 
 
 TILE = 1000
@@ -35,21 +36,39 @@ def base_edit_reasons(edits: DataFrame, records: DataFrame) -> DataFrame:
 def apply_base_edits(edits: DataFrame, records: DataFrame) -> DataFrame:
     """Edited sequences of the sets without any refused edit; one bad edit refuses its whole set.
 
-    Each tile is cut between its edited positions and joined again, then a sequence's tiles are joined; work is linear in the length.
+    Refused are the edits that `base_edit_reasons` gives a reason.  Edits and sequences are each read once and meet by tile: there
+    the edits are judged and the tile is cut between its edited positions.  Only the sets without a refused edit are joined to
+    whole sequences; work is linear in the length.
     """
-    judged = base_edit_reasons(edits, records)
-    bad = judged.where(F.size("reasons") > 0).select("set_id").distinct()
-    local = judged.select(*SITE, F.floor((F.col("position") - 1) / TILE).cast("int").alias("tile"), "position", F.upper("new").alias("new"))
-    by_tile = local.groupBy(*SITE, "tile").agg(F.array_sort(F.collect_list(F.struct((F.col("position") - F.col("tile") * TILE).cast("int").alias("at"), "new"))).alias("_e"))
+    old, new = F.upper("old"), F.upper("new")
+    place = (F.col("position") - 1) / TILE
+    wrong = ~old.rlike(f"^[{sq.IUPAC}]$") | ~new.rlike("^[ACGT]$") | (old == new) | (tx.clean(F.col("evidence")) == "") | (tx.clean(F.col("rationale")) == "")
+    # An edit without a position hits no letter, but its sequence must be known: it meets the first tile.
+    placed = edits.select(*SITE, F.coalesce(F.floor(place).cast("int"), F.lit(0)).alias("tile"), "position", old.alias("old"), new.alias("new"), F.coalesce(wrong, F.lit(False)).alias("_wrong"))
+    at = (F.col("position") - F.col("tile") * TILE).cast("int").alias("at")
+    by_tile = placed.groupBy(*SITE, "tile").agg(
+        F.array_sort(F.collect_set(F.when(~F.col("_wrong"), F.struct(at, "old", "new")))).alias("_all"), F.bool_or("_wrong").alias("_wrong"),
+        F.count("position").alias("_placed"),
+    )
+    by_tile = by_tile.withColumn("_e", F.filter("_all", lambda e: e["at"].isNotNull())).drop("_all")
+    known = F.col("seq").isNotNull().alias("_known")
+    held = tiles(records.select(*SITE, "seq", known), [*SITE, "_known"], width=TILE, empty=True)
+    here = lambda e: F.col("piece").substr(e["at"], F.lit(1))
+    missed = F.exists("_e", lambda e: F.coalesce((e["at"] > F.length("piece")) | (here(e) != e["old"]), F.lit(False)))
+    # Fewer edited places than edits with a position: a place is edited twice.
+    repeated = F.size(F.array_distinct(F.transform("_e", lambda e: e["at"]))) < F.col("_placed")
+    refused = F.col("_placed").isNotNull() & (F.col("piece").isNull() | F.col("_wrong") | repeated | missed)
     before = lambda i: F.when(i == 0, 0).otherwise(F.get(F.col("_e"), i - 1)["at"])
-    pieces = F.transform("_e", lambda e, i: F.concat(F.col("piece").substr((before(i) + 1).cast("int"), (e["at"] - before(i) - 1).cast("int")), e["new"]))
-    rest = F.expr("substr(piece, element_at(_e, -1).at + 1)")
-    cut = tiles(records.join(bad, "set_id", "left_anti"), SITE, width=TILE).join(by_tile, [*SITE, "tile"], "left")
-    cut = cut.select(*SITE, "tile", F.when(F.col("_e").isNull(), F.col("piece")).otherwise(F.concat(F.array_join(pieces, ""), rest)).alias("piece"), F.coalesce(F.size("_e"), F.lit(0)).alias("_n"))
-    whole = cut.groupBy(*SITE).agg(F.array_sort(F.collect_list(F.struct("tile", "piece"))).alias("_t"), F.sum("_n").cast("int").alias("_n"))
-    joined = records.join(bad, "set_id", "left_anti").select(*SITE, F.col("seq").isNotNull().alias("_known")).join(whole, SITE, "left")
-    seq = F.coalesce(F.array_join(F.transform("_t", lambda t: t["piece"]), ""), F.when(F.col("_known"), F.lit("")))
-    return joined.select(*SITE, seq.alias("seq"), F.coalesce("_n", F.lit(0)).alias("edits"))
+    cuts = F.transform("_e", lambda e, i: F.concat(F.col("piece").substr((before(i) + 1).cast("int"), (e["at"] - before(i) - 1).cast("int")), e["new"]))
+    rest = F.expr("substr(piece, try_element_at(_e, -1).at + 1)")
+    edited = F.when(F.size("_e") > 0, F.concat(F.array_join(cuts, ""), rest)).otherwise(F.col("piece"))
+    met = held.join(by_tile, [*SITE, "tile"], "full").withColumn("_refused", refused)
+    cut = cut_lineage(met.select(*SITE, "tile", "_known", "_refused", F.when(~F.col("_refused"), edited).alias("piece"), F.when(F.col("_placed").isNull(), 0).otherwise(F.size("_e")).alias("_n")))
+    bad = cut.where("_refused").select("set_id").distinct()
+    whole = cut.where(F.col("_known").isNotNull()).join(bad, "set_id", "left_anti").groupBy(*SITE).agg(
+        F.array_sort(F.collect_list(F.struct("tile", "piece"))).alias("_t"), F.sum("_n").cast("int").alias("edits"), F.bool_or("_known").alias("_known")
+    )
+    return whole.select(*SITE, F.when(F.col("_known"), F.array_join(F.transform("_t", lambda t: t["piece"]), "")).alias("seq"), "edits")
 
 
 def select_feature(edits: DataFrame, features: DataFrame, kind: str | None = None) -> DataFrame:

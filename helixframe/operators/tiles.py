@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, functions as F
 TILE = 10_000
 
 
-def tiles(records: DataFrame, keys: list[str], seq: str = "seq", width: int = TILE) -> DataFrame:
-    """(keys, tile, piece): upper-case sequences in pieces of `width` letters, cut in one pass; empty ones have none."""
-    pieces = F.regexp_extract_all(F.upper(seq), F.lit("([\\s\\S]{1,%d})" % width), F.lit(1))
-    return records.select(*keys, F.posexplode(pieces).alias("tile", "piece"))
+def tiles(records: DataFrame, keys: list[str], seq: str = "seq", width: int = TILE, empty: bool = False) -> DataFrame:
+    """(keys, tile, piece): upper-case sequences in pieces of `width` letters, cut in one pass; empty ones have none, or with `empty` an empty first one."""
+    pieces = F.regexp_extract_all(F.upper(seq), F.lit("(?s).{1,%d}" % width), F.lit(0))
+    if not empty:
+        return records.select(*keys, F.posexplode(pieces).alias("tile", "piece"))
+    cut = records.select(*keys, F.posexplode_outer(pieces).alias("tile", "piece"))
+    return cut.select(*keys, F.coalesce("tile", F.lit(0)).alias("tile"), F.coalesce("piece", F.lit("")).alias("piece"))
 
 
 def slices(places: DataFrame, records: DataFrame, keys: list[str], seq: str = "seq", width: int = TILE) -> DataFrame:
