@@ -203,7 +203,7 @@ def stop_prefixes(table: int) -> list[str]:
 
 def codon_list(seq: Column) -> Column:
     """Complete codons in frame, cut in one pass over the sequence."""
-    return F.regexp_extract_all(seq, F.lit("[\\s\\S]{3}"), 0)
+    return F.regexp_extract_all(seq, F.lit("(?s)..."), 0)
 
 
 def translate(seq: Column, table: int = 5) -> Column:

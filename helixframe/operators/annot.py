@@ -192,9 +192,9 @@ def spliced(features: DataFrame, records: DataFrame) -> DataFrame:
     """features of known records with `spliced`, the letters of their segments in transcription orientation.
 
     Segments meet the tiles they touch (see `tiles.slices`), so no genome travels with its features.  A repeated feature id
-    is no matter: what is joined back is told by record, segments and strand.
+    is no matter: what is joined back is told by record, segments and strand.  Features are laid down once, as three steps read them.
     """
-    known = features.join(records.select("record_id").distinct(), "record_id", "left_semi")
+    known = cut_lineage(features.join(records.select("record_id").distinct(), "record_id", "left_semi"))
     shape = known.select("record_id", "segments", "strand").distinct()
     parts = shape.select("record_id", "segments", "strand", F.posexplode("segments").alias("_i", "_s")).withColumns({"start": F.col("_s.start"), "end": F.col("_s.end")})
     parts = parts.join(slices(parts, records, ["record_id"], "sequence"), ["record_id", "start", "end"], "left")

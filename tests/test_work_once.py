@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from helixframe.operators import edits as ed
+from helixframe.operators import annot as an, edits as ed
 
 EDIT = "set_id string, sequence_id string, position long, old string, new string, evidence string, rationale string"
 
@@ -54,3 +54,13 @@ def test_base_edits_are_read_once_and_judged_as_their_reasons(spark):
                 text[e[2] - 1] = e[4].upper()
             wanted[s, q] = (None if letters is None else "".join(text), len(mine))
     assert got == wanted
+
+
+def test_coding_features_read_the_features_once(spark):
+    schema = "record_id string, feature_id string, type string, gene string, product string, strand int, segments array<struct<start:long,end:long>>, partial5 boolean, partial3 boolean, qualifiers map<string,array<string>>"
+    rows = [("r", "a", "CDS", "cox1", None, 1, [(0, 4), (6, 11)], False, False, {}), ("r", "b", "CDS", "nad1", None, -1, [(6, 11), (0, 4)], False, False, {}), ("lost", "c", "CDS", "nad2", None, 1, [(0, 3)], False, False, {})]
+    features, seen = counted(spark, spark.createDataFrame(rows, schema), "gene")
+    records = spark.createDataFrame([("r", "ATGAccTAGAAg\n")], "record_id string, sequence string")
+    got = {r.feature_id: (r.gene, r.coding, r.protein, r.codons) for r in an.coding_features(features, records, 5).collect()}
+    assert got == {"a": ("cox1", "ATGATAGAA", "MME", ["ATG", "ATA", "GAA"]), "b": ("nad1", "TTCTATCAT", "FYH", ["TTC", "TAT", "CAT"])}
+    assert seen.value == len(rows)
