@@ -61,25 +61,60 @@ def monotonic_hits(hsps: DataFrame) -> DataFrame:
     return bins.withColumn("_ok", F.col("_ok") & across).groupBy(*HIT).agg(F.bool_and("_ok").alias("monotonic"))
 
 
+HELD = 1000  # HSPs of a hit that are summed up in one row
+
+
+def held_sums(points: Column) -> list[Column]:
+    """Covered positions of the query and of the hit, and whether the hit advances (`monotonic_hits`), from a hit's list of HSPs."""
+    def covered(side: str) -> Column:
+        closed = F.transform(points, lambda p: F.struct(F.least(p[f"{side}_from"], p[f"{side}_to"]).alias("s"), (F.greatest(p[f"{side}_from"], p[f"{side}_to"]) + 1).alias("e")))
+        start = F.struct(F.lit(None).cast("long").alias("reach"), F.lit(0).cast("long").alias("sum"))
+        step = lambda t, p: F.struct(F.greatest(t["reach"], p["e"]).alias("reach"), (t["sum"] + F.greatest(F.lit(0).cast("long"), p["e"] - F.greatest(p["s"], t["reach"]))).alias("sum"))
+        return F.aggregate(F.array_sort(F.filter(closed, lambda p: p["e"].isNotNull())), start, step, lambda t: t["sum"])
+
+    forward = lambda p: F.when(p["hit_to"] >= p["hit_from"], p["hit_from"]).otherwise(-p["hit_from"])
+    ordered = F.array_sort(F.transform(points, lambda p: F.struct(p["query_from"].alias("q"), forward(p).alias("h"))))
+    begin = F.struct(F.lit(None).cast("long").alias("last"), F.lit(True).alias("ok"))
+    advance = lambda t, p: F.struct(p["h"].alias("last"), (t["ok"] & F.coalesce(p["h"] >= t["last"], F.lit(True))).alias("ok"))
+    return [covered("query").alias("_query"), covered("hit").alias("_hit"), F.aggregate(ordered, begin, advance, lambda t: t["ok"]).alias("monotonic")]
+
+
+def hit_sums(hsps: DataFrame, *sums: Column) -> DataFrame:
+    """`sums` per hit with the covered positions of its query and hit side (`_query`, `_hit`) and `monotonic`.
+
+    A hit of up to HELD HSPs is summed up from their list, so its HSPs are moved once; the few that have more are counted
+    beforehand, and their intervals and order are checked in bins.
+    """
+    known = hsps.where(F.col("query").isNotNull() & F.col("hit").isNotNull())
+    big = cut_lineage(known.groupBy(*HIT).agg(F.count("*").alias("_n")).where(F.col("_n") > HELD).select(*HIT))
+    points = F.collect_list(F.struct(*[F.col(p).cast("long").alias(p) for p in ("query_from", "query_to", "hit_from", "hit_to")]))
+    any_big = not big.isEmpty()
+    few = known.join(big, HIT, "left_anti") if any_big else known
+    small = few.groupBy(*HIT).agg(*sums, points.alias("_points"))
+    small = small.select("*", *held_sums(F.col("_points"))).drop("_points")
+    if not any_big:
+        return small
+    many = known.join(big, HIT, "left_semi")
+    covered = lambda side: iv.union_length(iv.from_closed(many.select(*HIT, F.col(f"{side}_from").alias("start"), F.col(f"{side}_to").alias("end"))), HIT)
+    sides = covered("query").select(*HIT, F.col("union_length").alias("_query")).join(covered("hit").select(*HIT, F.col("union_length").alias("_hit")), HIT)
+    return small.unionByName(many.groupBy(*HIT).agg(*sums).join(sides, HIT).join(monotonic_hits(many), HIT))
+
+
 def hit_summaries(hsps: DataFrame, max_span_ratio: float = 3.0, origin_margin: int = 200) -> DataFrame:
     """One row per hit: union coverage, reuse, collinearity, blockers and, only without blockers, one identity."""
     c = F.col
     span = F.abs(c("query_to") - c("query_from")) + 1
     signature = F.concat(F.when(c("query_to") >= c("query_from"), "+").otherwise("-"), F.when(c("hit_to") >= c("hit_from"), "+").otherwise("-"))
     pct = c("identity") / c("align_len") * 100
-    base = hsps.groupBy(*HIT).agg(
+    joined = hit_sums(
+        hsps,
         F.min("accession").alias("accession"), F.max("query_len").alias("query_len"), F.max("hit_len").alias("hit_len"), F.count("*").alias("hsp_count"),
         F.sum(span).alias("spanned_bases"), F.sum("identity").alias("_id"), F.sum("align_len").alias("_al"), F.min(pct).alias("identity_low"), F.max(pct).alias("identity_high"),
         F.max("bitscore").alias("bitscore"), F.sum("bitscore").alias("ranking_bitscore"), F.min(signature).alias("_s1"), F.max(signature).alias("_s2"),
         F.min(F.least("hit_from", "hit_to")).alias("_lo"), F.max(F.greatest("hit_from", "hit_to")).alias("_hi"), F.bool_or(c("identity") == 0).alias("_zero"),
-    )
-    query_side = iv.union_length(iv.from_closed(hsps.select(*HIT, c("query_from").alias("start"), c("query_to").alias("end"))), HIT)
-    hit_side = iv.union_length(iv.from_closed(hsps.select(*HIT, c("hit_from").alias("start"), c("hit_to").alias("end"))), HIT)
-    joined = (
-        base.join(query_side.select(*HIT, c("union_length").alias("aligned_bases"), c("redundant").alias("redundant_bases")), HIT)
-        .join(hit_side.select(*HIT, c("redundant").alias("subject_overlap_bases")), HIT)
-        .join(monotonic_hits(hsps), HIT)
-    )
+        F.coalesce(F.sum(span), F.lit(0)).alias("_sq"), F.coalesce(F.sum(F.abs(c("hit_to") - c("hit_from")) + 1), F.lit(0)).alias("_sh"),
+    )
+    joined = joined.withColumns({"aligned_bases": c("_query"), "redundant_bases": c("_sq") - c("_query"), "subject_overlap_bases": c("_sh") - c("_hit")})
     single = c("hsp_count") < 2
     one_way = c("_s1") == c("_s2")
     ratio = F.when(single, F.lit(1.0)).when(one_way, (c("_hi") - c("_lo") + 1) / c("spanned_bases")).otherwise(F.lit(0.0))
@@ -109,8 +144,11 @@ def best_per_accession(hits: DataFrame) -> DataFrame:
 
 
 def hit_order(hits: DataFrame) -> DataFrame:
-    """Position of each hit by descending bit score, then identity."""
-    placed = hits.withColumn("_i", F.coalesce("identity", F.lit(0.0)))
+    """Position of each hit by descending bit score, then identity.
+
+    The hits are laid down first, since the range sort reads its input twice; columns that are not needed are best dropped before.
+    """
+    placed = cut_lineage(hits.withColumn("_i", F.coalesce("identity", F.lit(0.0))))
     return global_rank(placed, ["query"], [F.col("bitscore").desc(), F.col("_i").desc(), F.col("hit").asc()], "position").drop("_i")
 
 

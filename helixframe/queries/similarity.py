@@ -115,7 +115,7 @@ def best_per_accession(t):
 
 @query("hsp_hit_order", HITS + " SELECT query, hit, row_number() OVER (PARTITION BY query ORDER BY bitscore DESC, coalesce(identity, 0) DESC, hit) AS position FROM hits")
 def hit_order(t):
-    return hs.hit_order(hits(t)).select("query", "hit", "position")
+    return hs.hit_order(hits(t).select("query", "hit", "bitscore", "identity")).select("query", "hit", "position")
 
 
 @query(

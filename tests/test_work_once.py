@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from helixframe.operators import annot as an, edits as ed
+from helixframe.operators import annot as an, edits as ed, hsp as hs
+from test_scale import shuffled
 
 EDIT = "set_id string, sequence_id string, position long, old string, new string, evidence string, rationale string"
 
@@ -64,3 +65,24 @@ def test_coding_features_read_the_features_once(spark):
     got = {r.feature_id: (r.gene, r.coding, r.protein, r.codons) for r in an.coding_features(features, records, 5).collect()}
     assert got == {"a": ("cox1", "ATGATAGAA", "MME", ["ATG", "ATA", "GAA"]), "b": ("nad1", "TTCTATCAT", "FYH", ["TTC", "TAT", "CAT"])}
     assert seen.value == len(rows)
+
+
+HSP = "query string, hit string, accession string, query_from long, query_to long, hit_from long, hit_to long, align_len long, identity long, bitscore double, query_len long, hit_len long"
+
+
+def test_hits_of_few_hsps_are_moved_once_and_summed_as_large_ones(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = []
+    for i in range(30_000):
+        a, b, n = rng.randrange(1, 25_000), rng.randrange(1, 25_000), rng.randrange(1, 60)
+        q, h = (a, a + n)[:: rng.choice([1, 1, -1])], (b, b + n)[:: rng.choice([1, 1, -1])]
+        rows.append((f"q{i % 900}", rng.choice("ab"), "x", *q, *h, n + 5, rng.choice([0, n]), float(n), 30_000, 30_000))
+    rows += [("q0", "c", "x", 5, 1, None, 9, 5, 5, 1.0, 10, None), (None, "c", "x", 5, 1, 2, 9, 5, 5, 1.0, 10, 10)]
+    hsps = spark.createDataFrame(rows, HSP)
+    few, moved = shuffled(spark, lambda: hs.hit_summaries(hsps))
+    for held in (0, 16):
+        monkeypatch.setattr(hs, "HELD", held)
+        some, _ = shuffled(spark, lambda: hs.hit_summaries(hsps))
+        assert sorted(map(repr, some)) == sorted(map(repr, few))
+    assert len(few) == 1801 and any(r["monotonic"] for r in few) and any(r["redundant_bases"] for r in few)
+    assert moved < 70 * len(rows), moved / len(rows)
