@@ -86,9 +86,17 @@ def query_length(cigar: Column) -> Column:
 
 def query_offset(pos: Column, cigar: Column, at: Column) -> Column:
     """0-based query offset aligned to reference position `at`; NULL in a deletion, skip or outside."""
-    ops = laid_operations(pos, cigar)
-    hit = F.filter(ops, lambda o: is_match(o["op"]) & (o["ref"] <= at) & (at < o["ref"] + o["n"]))
-    return F.try_element_at(F.transform(hit, lambda o: o["query"] + at - o["ref"]), F.lit(1))
+    start = F.struct(pos.cast("long").alias("r"), F.lit(0).cast("long").alias("q"), F.lit(None).cast("long").alias("hit"))
+
+    def step(acc, o):
+        here = is_match(o["op"]) & (acc["r"] <= at) & (at < acc["r"] + o["n"])
+        return F.struct(
+            (acc["r"] + F.when(o["op"].isin("M", "=", "X", "D", "N"), o["n"]).otherwise(0)).alias("r"),
+            (acc["q"] + F.when(o["op"].isin("M", "=", "X", "I", "S"), o["n"]).otherwise(0)).alias("q"),
+            F.coalesce(acc["hit"], F.when(here, acc["q"] + at - acc["r"])).alias("hit"),
+        )
+
+    return F.aggregate(cigar_operations(cigar), start, step, lambda acc: acc["hit"])
 
 
 def phred(qual: Column, offset: Column) -> Column:

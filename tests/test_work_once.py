@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from helixframe.operators import annot as an, edits as ed, hsp as hs
+from helixframe.operators import align as al, annot as an, edits as ed, hsp as hs
 from test_scale import shuffled
 
 EDIT = "set_id string, sequence_id string, position long, old string, new string, evidence string, rationale string"
@@ -86,3 +86,15 @@ def test_hits_of_few_hsps_are_moved_once_and_summed_as_large_ones(spark, monkeyp
         assert sorted(map(repr, some)) == sorted(map(repr, few))
     assert len(few) == 1801 and any(r["monotonic"] for r in few) and any(r["redundant_bases"] for r in few)
     assert moved < 70 * len(rows), moved / len(rows)
+
+
+READ = "sample string, qname string, flag int, rname string, pos long, mapq int, cigar string, rnext string, pnext long, seq string, qual string, rg string"
+
+
+def test_base_support_finds_the_calls_once(spark):
+    rows = [("s", f"q{i % 7}", 0 if i % 3 else 16, "r", 5, [60, 10, 255][i % 5 % 3], "10M", "=", 1, "ACGTACGTAC", "IIII!IIIII", None) for i in range(20)]
+    calls, seen = counted(spark, al.site_calls(spark.createDataFrame(rows, READ), spark.createDataFrame([("s", "r", 6), ("s", "r", 9)], "sample string, rname string, pos long")), "qname")
+    out = {r.site: r for r in al.base_support(calls, min_depth=3).collect()}
+    assert (out[6].base, out[6].depth, out[6].read_depth, out[6].n_c) == ("C", 6, 8, 6)
+    assert (out[6].excluded_low_mapq, out[9].excluded_low_baseq, out[9].depth, out[9].reasons) == (12, 8, 0, ["zero_depth"])
+    assert seen.value == 40
