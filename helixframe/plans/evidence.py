@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from helixframe.functions import text as tx
+from helixframe.session import cut_lineage
 
 GEO_LINK = "https://www.ncbi.nlm.nih.gov/geo/query/acc.cgi?acc="
 SRA_LINK = "https://www.ncbi.nlm.nih.gov/sra/"
@@ -186,7 +187,9 @@ def project_inspections(df: DataFrame) -> DataFrame:
 
 
 def bundle(candidates: DataFrame, inspected: DataFrame) -> DataFrame:
-    """Inspected evidence when there is any, else the candidates (decided inside the plan, no driver check)."""
-    any_inspected = inspected.limit(1).select(F.lit(True).alias("_any"))
-    rest = candidates.join(any_inspected, F.lit(True), "left_anti")
-    return inspected.unionByName(rest)
+    """Inspected evidence when there is any, else the candidates.
+
+    The inspected evidence is laid down once, and the candidates are worked out only where they are wanted.
+    """
+    found = cut_lineage(inspected)
+    return candidates.select(*found.columns) if found.isEmpty() else found

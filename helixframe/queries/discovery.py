@@ -601,5 +601,5 @@ def candidates(t):
       family AS assay_family, sc AS sample_count, NULL::BIGINT AS run_count, s.geo, s.sra, s.bioproject, s.biosample, r.risks FROM {RULED} r JOIN (SELECT accession, geo, sra, bioproject, biosample FROM ({SERIES_SQL})) s USING (accession)""",
 )
 def inspections(t):
-    found = ev.series_inspections(inspected(t))
-    return flat(ev.bundle(ev.series_candidates(t.sql(RECORDS)), found))
+    found = flat(ev.series_inspections(inspected(t)))
+    return ev.bundle(flat(ev.series_candidates(t.sql(RECORDS))), found)

@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from helixframe.operators import align as al, annot as an, edits as ed, hsp as hs
+from helixframe.plans import evidence as ev
 from test_scale import shuffled
 
 EDIT = "set_id string, sequence_id string, position long, old string, new string, evidence string, rationale string"
@@ -118,3 +119,12 @@ def test_base_support_finds_the_calls_once(spark):
     assert (out[6].base, out[6].depth, out[6].read_depth, out[6].n_c) == ("C", 6, 8, 6)
     assert (out[6].excluded_low_mapq, out[9].excluded_low_baseq, out[9].depth, out[9].reasons) == (12, 8, 0, ["zero_depth"])
     assert seen.value == 40
+
+
+def test_candidates_are_not_worked_out_where_something_was_inspected(spark):
+    frame = spark.createDataFrame([("a", 1), ("b", 2)], "accession string, sample_count long")
+    candidates, seen = counted(spark, frame, "accession")
+    inspected, read = counted(spark, frame.where("sample_count = 2"), "accession")
+    assert [tuple(r) for r in ev.bundle(candidates, inspected).collect()] == [("b", 2)]
+    assert (seen.value, read.value) == (0, 1)
+    assert sorted(tuple(r) for r in ev.bundle(candidates, frame.where("sample_count = 3")).collect()) == [("a", 1), ("b", 2)]
