@@ -72,6 +72,36 @@ def test_a_common_line_needs_no_whole_comparison(spark, monkeypatch):
     assert len(out) == 200 and min(r["matched_bp"] for r in out) == 80
 
 
+def longest(a, b):
+    """Length of the longest common substring; a shorter one is common as well."""
+    low, high = 0, min(len(a), len(b)) + 1
+    while high - low > 1:
+        n = (low + high) // 2
+        low, high = (n, high) if {a[p : p + n] for p in range(len(a) - n + 1)} & {b[p : p + n] for p in range(len(b) - n + 1)} else (low, n)
+    return low
+
+
+def test_a_line_repeated_among_others_needs_no_whole_comparison(spark, monkeypatch):
+    """Many places of one line, and passages of several hundred letters, are told from the letters beside their seeds."""
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    line, passage = word(70), word(700)
+    rows = [("r", i, "".join(line + word(rng.randrange(20, 40)) for _ in range(i)) + (passage[rng.randrange(90) : 500 + rng.randrange(90)] if i % 3 == 0 else "")) for i in range(1, 25)]
+    monkeypatch.setattr(sequences, "longest_shared", lambda a, b, n: F.raise_error(F.lit("compared whole")).cast("bigint"))
+    monkeypatch.setattr(sequences, "whole_stretches", lambda n: lambda pairs, texts: 1 / (pairs.num_rows == 0) and pairs.append_column("matched_bp", pairs["segment_id"]), raising=False)
+    out = sequences.annotation_matches(spark.createDataFrame(rows[:18], "record string, segment_id int, seq string"), spark.createDataFrame(rows[18:], "record string, feature_id int, seq string"), 60).collect()
+    assert {(r["segment_id"], r["feature_id"]): r["matched_bp"] for r in out} == {(a[1], b[1]): longest(a[2], b[2]) for a in rows[:18] for b in rows[18:]}
+
+
+def test_long_repeats_in_both_texts(spark):
+    """Periodic stretches begin at many pairs of places; such pairs are searched whole, one hashing for each text."""
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    rows = [("r", i, word(30) + "CA" * (20 + 17 * i) + word(50) + "CA" * (9 * i) + word(20)) for i in range(1, 19)]
+    out = sequences.annotation_matches(spark.createDataFrame(rows[:12], "record string, segment_id int, seq string"), spark.createDataFrame(rows[12:], "record string, feature_id int, seq string"), 60).collect()
+    assert {(r["segment_id"], r["feature_id"]): r["matched_bp"] for r in out} == {(a[1], b[1]): longest(a[2], b[2]) for a in rows[:12] for b in rows[12:]}
+
+
 def test_findings_of_texts_without_letters(spark, tmp_path):
     """A text that has no letter, on either strand, is a coding feature without bases."""
     rng = random.Random(7)
