@@ -260,6 +260,34 @@ def coding_positions(segments: Column, strand: Column, codon_start: Column | int
     return F.slice(every, start, F.size(every))
 
 
+def segment_size(s: Column) -> Column:
+    return F.greatest(s["end"] - s["start"], F.lit(0).cast("long"))
+
+
+def place_of(segments: Column, strand: Column, nth: Column) -> Column:
+    """1-based genomic position of the nth letter (from 0) of the segments, see `coding_positions`; NULL beyond them."""
+    none = F.struct(F.lit(0).cast("long").alias("done"), F.lit(None).cast("long").alias("place"))
+
+    def step(acc, s):
+        inside = (nth >= acc["done"]) & (nth < acc["done"] + segment_size(s))
+        place = F.when(strand < 0, s["end"] - (nth - acc["done"])).otherwise(s["start"] + 1 + nth - acc["done"])
+        return F.struct((acc["done"] + segment_size(s)).alias("done"), F.when(inside, place).otherwise(acc["place"]).alias("place"))
+
+    return F.aggregate(segments, none, step, lambda acc: acc["place"])
+
+
+def letters_at(segments: Column, strand: Column, place: Column) -> Column:
+    """Numbers (from 0) of the letters of the segments that lie at a 1-based genomic position; several where segments overlap."""
+    none = F.struct(F.lit(0).cast("long").alias("done"), F.array().cast("array<bigint>").alias("found"))
+
+    def step(acc, s):
+        nth = acc["done"] + F.when(strand < 0, s["end"] - place).otherwise(place - s["start"] - 1)
+        found = F.when((place > s["start"]) & (place <= s["end"]), F.concat(acc["found"], F.array(nth))).otherwise(acc["found"])
+        return F.struct((acc["done"] + segment_size(s)).alias("done"), found.alias("found"))
+
+    return F.aggregate(segments, none, step, lambda acc: acc["found"])
+
+
 def extract(sequence: Column, segments: Column, strand: Column) -> Column:
     """Spliced sequence of a compound location in transcription orientation."""
     def piece(s):

@@ -231,31 +231,40 @@ def coding_features(features: DataFrame, records: DataFrame, table: int) -> Data
 COMPLETION_NOTE = r"(?i)stop codon.*completed.*addition.*3['’]?\s*A.*mRNA"
 
 
-def exception_entries(cds: DataFrame, table: int) -> DataFrame:
-    """One row per declared translation exception with what it matches, or why it matches nothing."""
+def judged_entries(table: int) -> Column:
+    """Array of the declared translation exceptions with what they match, or why they match nothing.
+
+    Codons are found by their place in the segments; no position is listed for every base.
+    """
     values = F.coalesce(F.try_element_at("qualifiers", F.lit("transl_except")), F.array().cast("array<string>"))
     entries = F.flatten(F.transform(values, nm.parse_exceptions))
-    rows = cds.withColumn("_e", F.explode(entries)).withColumn("token", F.lower("_e.amino_acid"))
-    wanted = F.array_sort("_e.positions")
-    index = F.filter(
-        F.transform("codons", lambda c, i: F.when(F.array_sort(F.slice("positions", i * 3 + 1, 3)) == wanted, i + 1)), lambda i: i.isNotNull()
-    )
-    minus = F.col("strand") < 0
-    tail_positions = F.when(F.col("remainder") > 0, F.slice("positions", -F.col("remainder"), F.col("remainder")))
-    completes = (
-        (F.col("token") == "term") & ~F.col("_e.mixed") & (F.col("_e.complement") == minus) & (F.col("remainder") > 0)
-        & F.col("tail").isin(*sq.stop_prefixes(table)) & (F.array_sort(tail_positions) == wanted) & F.col("note").rlike(COMPLETION_NOTE)
-    )
-    rows = rows.withColumn("codon_index", F.try_element_at(index, F.lit(1))).withColumn("completes_stop", F.coalesce(completes, F.lit(False)))
-    problem = (
-        F.when(F.col("completes_stop"), F.lit(None)).when(~F.col("token").isin(*nm.EXCEPT_TOKENS), "bad_token").when(F.col("token") == "term", "termination_token")
-        .when(F.col("_e.mixed"), "mixed_strands").when(F.col("_e.complement") != minus, "wrong_strand").when(F.size("_e.positions") != 3, "not_one_codon")
-        .when(F.col("codon_index").isNull(), "no_such_codon").when(~F.array_contains("stops", F.col("codon_index")), "not_a_stop")
-    )
-    return rows.select(
-        "record_id", "feature_id", "name", F.col("_e.text").alias("text"), wanted.alias("positions"), "token", "codon_index",
-        F.get(F.col("codons"), F.col("codon_index") - 1).alias("codon"), "completes_stop", problem.alias("problem"),
-    )
+    segments, strand, skipped = F.col("segments"), F.col("strand"), (F.col("codon_start") - 1).cast("long")
+    places = lambda first, n: F.array_sort(F.array(*[sq.place_of(segments, strand, first + i) for i in range(n)]))
+    total = F.aggregate(segments, F.lit(0).cast("long"), lambda n, s: n + sq.segment_size(s))
+    remainder, codons = F.col("remainder").cast("long"), F.floor(F.length("coding") / 3)
+    tail_places = F.when(total - skipped >= remainder, F.when(remainder == 1, places(total - 1, 1)).when(remainder == 2, places(total - 2, 2)))
+    minus = strand < 0
+
+    def matched(e):
+        numbers = F.transform(sq.letters_at(segments, strand, F.try_element_at(e["positions"], F.lit(1))), lambda n: F.floor((n - skipped) / 3))
+        index = F.array_min(F.filter(numbers, lambda i: (i >= 0) & (i < codons) & (places(skipped + i * 3, 3) == e["positions"])))
+        completes = (
+            (e["token"] == "term") & ~e["mixed"] & (e["complement"] == minus) & (remainder > 0)
+            & F.col("tail").isin(*sq.stop_prefixes(table)) & (F.coalesce(tail_places, F.array().cast("array<bigint>")) == e["positions"]) & F.col("note").rlike(COMPLETION_NOTE)
+        )
+        return F.struct(*[e[c].alias(c) for c in ("text", "positions", "token", "complement", "mixed")], (index + 1).cast("int").alias("codon_index"), F.coalesce(completes, F.lit(False)).alias("completes_stop"))
+
+    def judged(e):
+        problem = (
+            F.when(e["completes_stop"], F.lit(None)).when(~e["token"].isin(*nm.EXCEPT_TOKENS), "bad_token").when(e["token"] == "term", "termination_token")
+            .when(e["mixed"], "mixed_strands").when(e["complement"] != minus, "wrong_strand").when(F.size(e["positions"]) != 3, "not_one_codon")
+            .when(e["codon_index"].isNull(), "no_such_codon").when(~F.array_contains("stops", e["codon_index"]), "not_a_stop")
+        )
+        codon = F.when(e["codon_index"].isNotNull(), F.col("coding").substr((e["codon_index"] - 1) * 3 + 1, F.lit(3)))
+        return F.struct(*[e[c].alias(c) for c in ("text", "positions", "token", "codon_index")], codon.alias("codon"), e["completes_stop"].alias("completes_stop"), problem.alias("problem"))
+
+    plain = F.transform(entries, lambda e: F.struct(e["text"].alias("text"), F.array_sort(e["positions"]).cast("array<bigint>").alias("positions"), F.lower(e["amino_acid"]).alias("token"), e["complement"].alias("complement"), e["mixed"].alias("mixed")))
+    return F.transform(F.transform(plain, matched), judged)
 
 
 def judge_exceptions(entries: DataFrame, registry: DataFrame, table: int, taxon: str | None) -> DataFrame:
@@ -290,14 +299,16 @@ def cds_findings(cds: DataFrame, table: int, registry: DataFrame | None = None,
     uncertain = F.exists(F.coalesce(F.try_element_at("qualifiers", F.lit("note")), none), lambda n: n.startswith("codon_start uncertain:"))
     values = F.coalesce(F.try_element_at("qualifiers", F.lit("transl_except")), none)
     cds = cds.withColumn("uncertain", uncertain).withColumn("start_codon", F.left("coding", F.lit(3)))
-    cds = cds.withColumn("unread", F.size(F.filter(values, lambda v: ~nm.exceptions_readable(v)))).withColumn("vague", sq.ambiguous_codons(F.col("coding")))
+    cds = cds.withColumn("unread", F.size(F.filter(values, lambda v: ~nm.exceptions_readable(v))))
+    # Of codons with other letters only the numbers are kept; what the findings tell of bases is worked out from the segments.
+    cds = cds.withColumn("vague", F.transform(sq.ambiguous_codons(F.col("coding")), lambda c: c["codon"])).withColumn("entries", judged_entries(table))
     if start_exceptions is not None:
         listed = start_exceptions.select("name", F.col("codon").alias("start_codon"), "registered")
         cds = cds.join(listed, ["name", "start_codon"], "left")
     else:
         cds = cds.withColumn("registered", F.lit(None).cast("boolean"))
-    # Spliced sequences feed several branches: splice and translate once.
-    cds = cut_lineage(cds.drop("spliced", "segments", "gene", "product"))
+    # Several branches follow: splice and translate once, and lay down nothing that has a value for every base.
+    cds = cut_lineage(cds.drop("spliced", "coding", "codons", "protein", "positions", "qualifiers", "note", "gene", "product"))
     parts = [finding(cds.where("uncertain"), "REVIEW", "CODON_START_UNCERTAIN", F.col("name"))]
     cds = cds.where(~F.col("uncertain"))
     p5, p3 = F.coalesce("partial5", F.lit(False)), F.coalesce("partial3", F.lit(False))
@@ -318,10 +329,12 @@ def cds_findings(cds: DataFrame, table: int, registry: DataFrame | None = None,
         (~p3 & (F.col("terminal") == "incomplete"), "REVIEW", "INCOMPLETE_STOP", F.col("tail")),
         (~p3 & (F.col("terminal") == "nonstop"), "ERROR", "INVALID_CDS", F.concat(F.lit("end="), F.col("last3"))),
     ))
-    vague = cds.select("record_id", "feature_id", "positions", F.explode("vague").alias("_a"))
-    parts.append(finding(vague, "REVIEW", "AMBIGUOUS_CODON", F.concat_ws(":", F.col("_a.codon").cast("string"), F.array_join(F.slice("positions", F.col("_a.start"), 3).cast("array<string>"), ","))))
+    first = (F.col("_c") - 1) * 3 + F.col("codon_start") - 1
+    places = F.array(*[sq.place_of(F.col("segments"), F.col("strand"), (first + i).cast("long")) for i in range(3)])
+    vague = cds.select("record_id", "feature_id", "segments", "strand", "codon_start", F.explode("vague").alias("_c"))
+    parts.append(finding(vague, "REVIEW", "AMBIGUOUS_CODON", F.concat_ws(":", F.col("_c").cast("string"), F.array_join(places.cast("array<string>"), ","))))
 
-    entries = cut_lineage(exception_entries(cds, table))
+    entries = cds.select("record_id", "feature_id", "name", F.explode("entries").alias("_e")).select("record_id", "feature_id", "name", "_e.*")
     done, bad = F.col("completes_stop"), F.col("problem").isNotNull()
     matched = ~bad & ~done
     rules = [

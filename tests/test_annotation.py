@@ -86,6 +86,30 @@ def test_minus_strand_compound(spark):
     assert row.name == "nd1" and row.coding == "ATGAAATAA"[:4] + "AATAA" and row.positions == [4, 3, 2, 1, 12, 11, 10, 9, 8]
 
 
+def test_findings_lay_down_nothing_for_every_base(spark, monkeypatch):
+    """Codons of exceptions and of other letters are told from the segments, overlapping and on either strand, as the listed positions tell them."""
+    sequence = "ATGNAATAGTCANNTTTAGGCATAACATGAAATTTAGCCATANNTAG" * 2
+    shapes = [(1, [(0, 30), (29, 60)]), (-1, [(40, 70), (3, 41)]), (1, [(50, 90), (0, 20)]), (-1, [(0, 25), (60, 91)])]
+    feats, wanted = [], {}
+    for i, (strand, segments) in enumerate(shapes):
+        for start in (1, 2, 3):
+            listed = [p for s, e in segments for p in (range(s + 1, e + 1) if strand > 0 else range(e, s, -1))][start - 1 :]
+            codons = [sorted(listed[k : k + 3]) for k in range(0, len(listed) - 2, 3)]
+            where = lambda c: ("join(%s)" if len(set(c)) == 3 and c[2] - c[0] != 2 else "%s") % (f"{c[0]}..{c[2]}" if c[2] - c[0] == 2 else ",".join(map(str, c)))
+            texts = [f"(pos:{'complement(%s)' % where(c) if strand < 0 else where(c)},aa:Trp)" for c in codons[::3]]
+            feats.append(("r", f"{i}.{start}", "CDS", "cox1", None, strand, segments, True, True, {"transl_except": texts, "codon_start": [str(start)]}))
+            wanted[f"{i}.{start}"] = listed, codons
+    laid = []
+    monkeypatch.setattr(an, "cut_lineage", lambda df: laid.append(df.columns) or df)
+    cds = an.coding_features(an.named(spark.createDataFrame(feats, FEATURE)), spark.createDataFrame([("r", sequence)], "record_id string, sequence string"), 5)
+    got = an.cds_findings(cds, 5).collect()
+    assert not {"positions", "codons", "coding", "protein", "spliced"} & set(laid[-1])
+    vague = [(r.feature_id, r.detail.split(":")) for r in got if r.code == "AMBIGUOUS_CODON"]
+    assert vague and all(places == ",".join(str(p) for p in wanted[f][0][3 * (int(c) - 1) :][:3]) for f, (c, places) in vague)
+    problems = [r.detail.rsplit(":", 1)[1] for r in got if r.code == "TRANSL_EXCEPT_UNEXPLAINED" and ":" in r.detail]
+    assert "not_a_stop" in problems and "no_such_codon" not in problems and any(r.code == "TRANSL_EXCEPT_MATCHED" for r in got)
+
+
 def test_protein_frames(spark):
     rows = [("r", "a", "ATGAGATAA", "MS"), ("r", "b", "ATTAAATAA", "MK*"), ("r", "c", "ATGAGATAA", ""), ("r", "d", "ATGAGATAA", "XX")]
     df = spark.createDataFrame(rows, "record_id string, name string, nt string, protein string")
