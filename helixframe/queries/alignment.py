@@ -152,7 +152,7 @@ def base_support(t):
 )
 def observations(t):
     r = reads(t)
-    return al.region_observations(r, al.coverage_windows(al.depth(r), t.sql(REFS), min_depth=MIN_DEPTH))
+    return al.region_observations(r, al.first_low_windows(al.window_tally(al.depth(r)), t.sql(REFS), min_depth=MIN_DEPTH))
 
 
 TARGETS = f"""{BASES}, tc AS (SELECT r.rname, r.length, coalesce(nr, 0) AS reads, coalesce(cb, 0) AS covered_bases, coalesce(cb, 0)::DOUBLE / length * 100 AS breadth_percent,
