@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -491,6 +492,52 @@ def test_pitman_yor_probabilities_sum_to_one(docs):
         assert (10.0 ** pitman_yor.spelled_log(strings, small)).sum() <= 1 + 1e-12
 
 
+def test_every_word_is_a_context_of_its_own(spark):
+    """Rarer words are told apart as the word before and as what follows it."""
+    rng = random.Random(3)
+    couple = lambda i, j: f"the left{i} right{j} and"
+    texts = [(n, " ".join(couple(i, i) for i in rng.sample(range(300), 40))) for n in range(600)]
+    held = [n for n in range(10_000, 20_000) if zlib.crc32(str(n).encode()) % 10 == 0][:200]
+    texts += [(n, " ".join(couple(i, i if n % 2 else (i + 7) % 300) for i in rng.sample(range(300), 40))) for n in held]
+    got = pitman_yor.score_texts(spark.createDataFrame(texts, "doc_id long, text string"), settings=pitman_yor.Settings(frequent=0.05, block_tokens=20_000)).collect()
+    mean = lambda odd: np.mean([g.score / g.n_tokens for g in got if g.doc_id >= 10_000 and g.doc_id % 2 == odd])
+    assert mean(1) > mean(0) + 0.4
+
+
+def test_pairs_of_words_are_counted_whole():
+    """Totals of blocks against counted pairs; probabilities after a word sum to one."""
+    rng = np.random.default_rng(5)
+    counts, dishes, sent = Counter(), {}, []
+    frequent = np.array([0, 11, 12], np.uint64)
+    for block in range(3):
+        vocabulary = np.r_[0, rng.permutation(np.arange(11, 60))].astype(np.uint64)
+        classes = np.where(np.isin(vocabulary, frequent), np.searchsorted(frequent, vocabulary) + 1, 0)
+        lengths, codes = np.full(40, 50), rng.integers(1, 50, 2000)
+        codes[49::50] = 0
+        learned = np.repeat(rng.random(40) < 0.8, 50)
+        before = pitman_yor.words_before(codes, lengths)
+        for b, w, on in zip(vocabulary[before].tolist(), vocabulary[codes].tolist(), learned.tolist(), strict=True):
+            if on and not {b, w} <= {0, 11, 12}:
+                counts[b, w] += 1
+        sent += [{"part": p, "block": block, "contexts": c.tobytes(), "sizes": pitman_yor.squeezed(s), "pairs": x.tobytes(), "n": pitman_yor.squeezed(n)} for p, c, s, x, n in pitman_yor.packed_pairs(codes, lengths, learned, vocabulary, classes, 4)]
+    number = {int(pitman_yor.word_pair(*np.array([[b], [w]], np.uint64))[0]): n for (b, w), n in counts.items()}
+    spread = Counter()
+    for p in range(4):
+        rows = [s for s in sent if s["part"] == p]
+        back = pitman_yor.totalled(frequent)(pa.Table.from_pylist(rows)).to_pylist()
+        for s, r in zip(rows, back, strict=False):
+            pairs, contexts = np.frombuffer(s["pairs"], np.uint64).tolist(), np.frombuffer(s["contexts"], np.uint64).tolist()
+            assert pitman_yor.widened(r["totals"]).tolist() == [number.get(x, 0) for x in pairs]
+            dishes |= {c: n for c, n in zip(contexts, pitman_yor.widened(r["dishes"]).tolist(), strict=True) if c not in frequent.tolist()}
+        for c, n in zip(np.frombuffer(back[-1]["contexts"], np.uint64).tolist(), pitman_yor.widened(back[-1]["dishes"]).tolist(), strict=True):
+            spread[c] += n
+    wanted = Counter(b for b, _ in counts)
+    assert {**dishes, **spread} == dict(wanted)
+    model = pitman_yor.Model(pitman_yor.Settings(), 1, 1, word_discount=0.7)
+    n, base = np.array([4, 1, 0, 2, 0.0]), np.array([0.1, 0.3, 0.2, 0.05, 0.35])
+    assert math.isclose((10.0 ** model.after_word(np.full(5, n.sum()), np.full(5, 3.0), n, np.log10(base))).sum(), 1, rel_tol=1e-12)
+
+
 def test_random_strings_score_below_corpus_texts(spark):
     rng = random.Random(8)
     texts = [(i, sentence(rng, 60)) for i in range(400)]
